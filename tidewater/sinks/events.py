@@ -35,9 +35,15 @@ def to_sink_rows(enriched: DataFrame, strict: bool = False) -> tuple[DataFrame,
 
 
 def enforce_required(rows: DataFrame) -> DataFrame:
-    """Fail the write when a REQUIRED column is NULL (checked inside the tasks)."""
-    checks = [F.assert_true(F.col(c).isNotNull(), F.lit(f"{c} is required")) for c in REQUIRED]
-    return rows.where(F.coalesce(*checks).isNull() | F.lit(True))
+    """Fail the write when a REQUIRED column is NULL (checked inside the tasks).
+
+    The check is part of the written projection, so it runs only on rows
+    that reach the sink and cannot be pruned or reordered before filters.
+    """
+    types = dict(rows.dtypes)
+    return rows.select(*[
+        F.coalesce(F.col(c), F.raise_error(F.lit(f"{c} is required")).cast(types[c])).alias(c)
+        if c in REQUIRED else F.col(c) for c in rows.columns])
 
 
 def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None) -> None:
