@@ -124,3 +124,24 @@ def test_failed_table_is_isolated(spark, scratch):
     assert got == {"missing": ("failed", 0, False), "nulls": ("failed", 40, False), "ev": ("ok", 0, True)}
     assert {r.table_name for r in read_control(spark, f"{scratch}/c").collect()} == {"ev"}
     assert read_current(spark, f"{scratch}/t/n_t") is None
+
+
+def test_affected_rows_hot_key_across_ranges(spark):
+    """One key holding most versions is split over ranges; result equals a sequential scan."""
+    import random
+    rnd = random.Random(7)
+    rows, expected = [], {}
+    tgt_rows = [(0, "t", 0), (5, "x", 5)]
+    tval = {0: ("t", 0), 5: ("x", 5)}
+    for key, n in ((0, 400), (1, 3), (5, 2), (9, 50)):
+        prev = tval.get(key)
+        for ver in range(n):
+            val = (rnd.choice("ab"), rnd.choice([0, 1]))
+            kind = 1 if prev is None else (2 if val != prev else 0)
+            expected[(key, ver)] = kind
+            rows.append((key, val[0], val[1], ver))
+            prev = val
+    tgt = spark.createDataFrame(tgt_rows, SCHEMA)
+    src = spark.createDataFrame(rows, SCHEMA + ", ver long")
+    got = {(r.id, r.ver): r.affected for r in affected_rows(tgt, src, ["id"], ["ver"], partitions=16).collect()}
+    assert got == expected

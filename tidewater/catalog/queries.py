@@ -8,7 +8,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.functions.coerce import fill_missing, nan_to_null, try_number, try_timestamp
-from tidewater.functions.json import json_kind
 from tidewater.functions.marks import Mark, TS_NTZ_FORMAT, encode_mark
 from tidewater.operators.dedup import keep_last
 from tidewater.operators.enrich import enrich_left, enrich_stats, load_lookup
@@ -313,12 +312,12 @@ def _lookup(spark, sf):
 
 def _validated(spark, sf):
     d = decode_messages(_messages(spark, sf))
-    return validate_messages(d.where(F.col("v").isNotNull()))
+    return validate_messages(d)
 
 
 def json_decode_skip(spark, sf):
     d = decode_messages(_messages(spark, sf))
-    return d.where(F.col("v").isNotNull()).select(F.col("offset").alias("seq"), json_kind(F.col("v")).alias("kind"))
+    return d.where(F.col("v").isNotNull()).select(F.col("offset").alias("seq"), "kind")
 
 
 def schema_validate(spark, sf):
@@ -363,7 +362,7 @@ def enrich_lookup_down(spark, sf):
 
 def q_bounded_batch(spark, sf):
     d = decode_messages(_messages(spark, sf))
-    return bounded_batch(d, MAX_MESSAGES).select(F.col("offset").alias("seq"), json_kind(F.col("v")).alias("kind"))
+    return bounded_batch(d, MAX_MESSAGES).select(F.col("offset").alias("seq"), "kind")
 
 
 def _sink_view(rows: DataFrame) -> DataFrame:

@@ -6,14 +6,34 @@ decode to NULL; nothing throws, so one bad message never stops a batch.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import BinaryType, DataType
 
+# JSON kind by the first character of a valid JSON text.
+_KIND_BY_FIRST_CHAR = (("{", "object"), ("[", "array"), ('"', "string"), ("t", "boolean"),
+                       ("f", "boolean"), ("n", "null"))
+
+
+def message_text(value: Column, dtype: DataType | None = None) -> Column:
+    """UTF-8 text of a message value; invalid UTF-8 -> NULL."""
+    text = value.cast("string") if isinstance(dtype, BinaryType) or dtype is None else value
+    return F.try_validate_utf8(text)
+
 
 def decode_json(value: Column, dtype: DataType | None = None) -> Column:
     """UTF-8 check, then JSON parse to VARIANT; failure -> NULL."""
-    text = value.cast("string") if isinstance(dtype, BinaryType) or dtype is None else value
-    return F.try_parse_json(F.try_validate_utf8(text))
+    return F.try_parse_json(message_text(value, dtype))
+
+
+def text_kind(text: Column) -> Column:
+    """Kind of a *valid* JSON text from its first non-blank character (no parse, no walk)."""
+    first = F.substring(F.ltrim(F.regexp_replace(F.substring(text, 1, 64), r"^\s+", "")), 1, 1)
+    kind = F.when(first == F.lit(_KIND_BY_FIRST_CHAR[0][0]), F.lit(_KIND_BY_FIRST_CHAR[0][1]))
+    for ch, name in _KIND_BY_FIRST_CHAR[1:]:
+        kind = kind.when(first == F.lit(ch), F.lit(name))
+    return kind.otherwise(F.lit("number"))
 
 
 def json_kind(v: Column) -> Column:
@@ -30,3 +50,14 @@ def json_kind(v: Column) -> Column:
 def field_kind(v: Column, name: str) -> Column:
     """Spark type name of a top-level field; absent -> NULL, JSON null -> VOID."""
     return F.schema_of_variant(F.try_variant_get(v, f"$.{name}", "variant"))
+
+
+def evaluate_once(df: DataFrame, keep: Sequence[str], exprs: Sequence[Column]) -> DataFrame:
+    """``keep`` columns plus ``exprs``, each evaluated exactly once per row.
+
+    The expressions are emitted through a one-element generator. A filter
+    on a generator's output is never pushed below it, so a later predicate
+    on, say, a reject reason cannot be rewritten into a fresh JSON parse
+    inside the scan's filter (plain projections get inlined that way).
+    """
+    return df.select(*keep, F.inline(F.array(F.struct(*exprs))))

@@ -35,7 +35,7 @@ def _check(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> list[st
     return [c for c in source.columns if c not in keys]
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | None = None, *,
+def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str] | None = None, *,
            order_by: Sequence[str] | None = None, strategy: str = "auto",
            max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """The target table after applying ``source``.
@@ -46,6 +46,8 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str] | None = No
     keys = list(keys or source.columns[:1])
     if order_by:
         source = keep_last(source, keys, order_by)
+    if target is None:  # first load
+        return source
     upd = _check(target, source, keys)
     tcols = target.columns
     if strategy == "auto":
@@ -92,31 +94,59 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str] | None
     return new_rows, conflicts
 
 
+def cur_type(df: DataFrame, cols: Sequence[str]):
+    return df.select(F.struct(*[_q(c) for c in cols]).alias("s")).schema["s"].dataType
+
+
 # Rows affected by INSERT ... ON DUPLICATE KEY UPDATE.
 AFFECTED_INSERT, AFFECTED_UPDATE, AFFECTED_SAME = 1, 2, 0
 
 
-def affected_rows(target: DataFrame, source: DataFrame, keys: Sequence[str],
-                  order_by: Sequence[str]) -> DataFrame:
+def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
+                  order_by: Sequence[str], partitions: int | None = None) -> DataFrame:
     """Classify each source row applied in ``order_by`` order within its key.
 
     Adds ``change`` (insert / update / same) and ``affected`` (1 / 2 / 0):
     a row is compared with the previous source row of its key, or with the
     target row for the first one. Order columns absent from the target only
     order the versions and are not compared.
+
+    Skew-safe: versions are range-partitioned on (key, order), so a key
+    with many versions is spread over several tasks. ``lag`` runs inside
+    each (range, key) group; the first row of a group takes its previous
+    version from the last row of the preceding range (a table with one row
+    per range, broadcast) when that row has the same key, else from the
+    target.
     """
-    upd = _check(target, source.drop(*[c for c in order_by if c not in target.columns]), keys)
-    w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])
+    if target is None:  # first load: no target rows to compare with
+        upd = [c for c in source.columns if c not in keys and c not in order_by]
+    else:
+        upd = _check(target, source.drop(*[c for c in order_by if c not in target.columns]), keys)
+    spark = source.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cur = F.struct(*[_q(c) for c in upd])
-    prev = F.lag(cur).over(w)
-    first = F.lag(F.lit(1)).over(w).isNull()
-    src = source.select("*", prev.alias("_prev"), first.alias("_first"))
-    tgt = (target.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_t"))
-           .join(source.select(*keys).distinct(), keys, "left_semi"))
-    j = src.join(tgt, keys, "left")
-    before = F.when(F.col("_first"), F.col("_t")).otherwise(F.col("_prev"))
+    ranged = (source.repartitionByRange(n, *[_q(c) for c in (*keys, *order_by)])
+              .withColumn("_p", F.spark_partition_id()))
+    w = Window.partitionBy("_p", *[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])
+    local = ranged.select("*", F.lag(cur).over(w).alias("_prev"),
+                          F.lag(F.lit(1)).over(w).isNull().alias("_first"))
+    # last row of every non-empty range, and for each range the last row before it
+    kstruct = F.struct(*[_q(k) for k in keys])
+    last = ranged.groupBy("_p").agg(F.max_by(F.struct(kstruct.alias("k"), cur.alias("v")),
+                                             F.struct(kstruct, *[_q(c) for c in order_by])).alias("_last"))
+    carry = last.select("_p", F.lag("_last").over(Window.orderBy("_p")).alias("_carry"))
+    j = local.join(F.broadcast(carry), "_p", "left")
+    if target is None:
+        j = j.withColumn("_t", F.lit(None).cast(cur_type(source, upd)))
+    else:
+        tgt = (target.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_t"))
+               .join(source.select(*keys).distinct(), keys, "left_semi"))
+        j = j.join(tgt, keys, "left")
+    carried = F.when(F.col("_carry.k") == kstruct, F.col("_carry.v"))
+    before = F.when(~F.col("_first"), F.col("_prev")) \
+        .when(carried.isNotNull(), carried).otherwise(F.col("_t"))
     change = (F.when(before.isNull(), F.lit("insert"))
-              .when(~F.struct(*[_q(c) for c in upd]).eqNullSafe(before), F.lit("update"))
+              .when(~cur.eqNullSafe(before), F.lit("update"))
               .otherwise(F.lit("same")))
     affected = (F.when(change == "insert", AFFECTED_INSERT)
                 .when(change == "update", AFFECTED_UPDATE).otherwise(AFFECTED_SAME))

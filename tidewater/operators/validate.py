@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidewater.functions.json import field_kind
+from tidewater.functions.json import evaluate_once, field_kind
 
 # Reject reasons, in the order they are tested.
 NOT_OBJECT = "not_object"
@@ -25,33 +25,37 @@ REQUIRED_STRINGS = ("event_id", "user_id", "timestamp")
 OPTIONAL_OBJECT = "payload"
 
 
-def reject_reason(v: Column) -> Column:
-    """NULL for a conforming message, else the first failed rule."""
-    is_obj = F.schema_of_variant(v).startswith("OBJECT")
-    payload = field_kind(v, OPTIONAL_OBJECT)
-    reason = F.when(~is_obj, F.lit(NOT_OBJECT))
+def reject_reason(kind: Column, v: Column, payload_text: Column) -> Column:
+    """NULL for a conforming message, else the first failed rule.
+
+    ``kind`` is the root JSON kind and ``payload_text`` the payload as JSON
+    text (NULL when absent, ``null`` for an explicit JSON null).
+    """
+    reason = F.when(kind != "object", F.lit(NOT_OBJECT))
     for name, code in zip(REQUIRED_STRINGS, (BAD_EVENT_ID, BAD_USER_ID, BAD_TIMESTAMP_TYPE)):
         reason = reason.when(F.coalesce(field_kind(v, name) != "STRING", F.lit(True)), F.lit(code))
-    return reason.when(payload.isNotNull() & ~payload.startswith("OBJECT"), F.lit(BAD_PAYLOAD))
+    return reason.when(payload_text.isNotNull() & ~payload_text.startswith("{"), F.lit(BAD_PAYLOAD))
+
+
+def validate_messages(decoded: DataFrame, v_col: str = "v", kind_col: str = "kind") -> DataFrame:
+    """Decoded messages with ``reason`` and the sink fields; VARIANT dropped.
 
+    Undecodable messages (``v`` NULL) are left out. Fields are strings,
+    ``payload`` is JSON text; each is computed once per message.
+    """
+    v = F.col(v_col)
+    keep = [c for c in decoded.columns if c not in (v_col, kind_col)]
+    ok = decoded.where(v.isNotNull())
 
-def message_fields(v: Column) -> list[Column]:
-    """Sink fields read from a decoded message (strings; payload as JSON text)."""
     def s(name):
         return F.try_variant_get(v, f"$.{name}", "string")
-    payload = F.try_variant_get(v, f"$.{OPTIONAL_OBJECT}", "variant")
-    return [s("event_id").alias("event_id"), s("user_id").alias("user_id"),
-            s("timestamp").alias("ts_text"),
-            F.when(F.is_variant_null(payload) | payload.isNull(), F.lit(None))
-             .otherwise(F.to_json(payload)).alias("payload"),
-            s("user_name").alias("user_name"), s("user_location").alias("user_location")]
-
 
-def validate_messages(decoded: DataFrame, v_col: str = "v") -> DataFrame:
-    """Decoded messages with ``reason`` and the extracted fields; VARIANT dropped."""
-    v = F.col(v_col)
-    keep = [c for c in decoded.columns if c != v_col]
-    return decoded.select(*keep, reject_reason(v).alias("reason"), *message_fields(v))
+    payload_text = F.to_json(F.try_variant_get(v, f"$.{OPTIONAL_OBJECT}", "variant"))
+    fields = [reject_reason(F.col(kind_col), v, payload_text).alias("reason"),
+              s("event_id").alias("event_id"), s("user_id").alias("user_id"),
+              s("timestamp").alias("ts_text"), payload_text.alias("payload"),
+              s("user_name").alias("user_name"), s("user_location").alias("user_location")]
+    return evaluate_once(ok, keep, fields)
 
 
 def validation_stats(validated: DataFrame) -> DataFrame:

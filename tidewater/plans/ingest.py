@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from tidewater.functions.json import decode_json
+from tidewater.functions.json import decode_json, evaluate_once, message_text, text_kind
 from tidewater.operators.dedup import keep_first
 from tidewater.operators.enrich import enrich_left
 from tidewater.operators.validate import validate_messages
@@ -33,9 +33,15 @@ class IngestResult:
 
 
 def decode_messages(messages: DataFrame) -> DataFrame:
-    """``partition, offset, v`` for every message; ``v`` NULL when undecodable."""
-    return messages.select(*ORDER, decode_json(F.col("value"), messages.schema["value"].dataType)
-                           .alias("v"))
+    """``partition, offset, v, kind`` for every message; ``v`` NULL when undecodable.
+
+    The JSON text is parsed once per message (see ``evaluate_once``).
+    """
+    dtype = messages.schema["value"].dataType
+    v = decode_json(F.col("value"), dtype)
+    kind = text_kind(message_text(F.col("value"), dtype))
+    once = evaluate_once(messages, list(ORDER), [v.alias("v"), kind.alias("_kind")])
+    return once.select(*ORDER, "v", F.when(F.col("v").isNotNull(), F.col("_kind")).alias("kind"))
 
 
 def decode_stats(decoded: DataFrame) -> DataFrame:
@@ -60,7 +66,7 @@ def dedup_stats(validated: DataFrame, key: str = "event_id") -> DataFrame:
 
 def ingest_batch(messages: DataFrame, lookup: DataFrame, spec: IngestSpec = IngestSpec()) -> IngestResult:
     decoded = decode_messages(messages)
-    ok = decoded.where(F.col("v").isNotNull())
+    ok = decoded
     if spec.max_messages:
         ok = bounded_batch(ok, spec.max_messages, ORDER)
     validated = validate_messages(ok)

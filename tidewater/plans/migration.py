@@ -75,50 +75,51 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         if inc:
             inc = next((c for c in src.columns if c.lower() == inc.lower()), inc)
             run.incremental_column = inc
-        delta = extract(src, inc, mark)
+            run.hwm_type = src.schema[inc].dataType.simpleString()
+        data = nan_to_null(rename_columns(extract(src, inc, mark), t.columns, t.only_mapped))
+        for fn in t.transforms:
+            data = data.transform(fn)
+        keys = list(t.keys or data.columns[:1])
+        order = [rename_name(t, inc)] if inc else []
+        # Versions of one key are applied in incremental-column order; the
+        # remaining columns break ties deterministically.
+        order += [c for c in data.columns if c not in keys and c not in order]
+        # One pass over the source: freeze the batch in the shared checkpoint
+        # folder and observe its size, NULL keys and maximum mark on the way,
+        # so the load and the new mark are computed from the same rows.
         obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count(F.lit(1)).alias("rows")]
+        metrics = [F.count(F.lit(1)).alias("rows"),
+                   F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
+                   .alias("null_keys")]
         if inc:
-            metrics.append(batch_max(delta, inc).alias("mx"))
+            dtype = src.schema[inc].dataType
+            metrics.append(encode_mark(batch_max(data, order[0]), dtype).alias("mx"))
         checkpoint_root(spark)
-        frozen = delta.observe(obs, *metrics).checkpoint(eager=True)
+        frozen = data.observe(obs, *metrics).checkpoint(eager=True)
         m = obs.get
         run.rows = int(m["rows"])
         if inc:
-            dtype = src.schema[inc].dataType
-            run.hwm_type = dtype.simpleString()
-            old_lit = Mark(run.old_mark, run.hwm_type).literal() if run.old_mark is not None else F.lit(None)
-            folded = spark.range(1).select(encode_mark(
-                F.greatest(old_lit.cast(dtype), F.lit(m["mx"]).cast(dtype)), dtype).alias("m")).first()
-            run.new_mark = folded["m"]
+            # rows above the old mark only: their maximum, when any, is the larger
+            run.new_mark = m["mx"] if m["mx"] is not None else run.old_mark
         if run.rows == 0 or not frozen.columns:
             run.status = EMPTY
             return run
-        data = nan_to_null(rename_columns(frozen, t.columns, t.only_mapped))
-        for fn in t.transforms:
-            data = data.transform(fn)
-        keys = list(t.keys or data.columns[:1])
-        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-        if data.where(null_key).take(1):
-            raise ValueError(f"NULL key in {t.source}")
-        # Order of versions within a key: the incremental column, then the
-        # remaining columns as a deterministic tie-break.
-        order = [rename_name(t, inc)] if inc else []
-        order += [c for c in data.columns if c not in keys and c not in order]
+        if m["null_keys"]:
+            raise ValueError(f"{m['null_keys']} rows with a NULL key in {t.source}")
         root = f"{spec.target_root.rstrip('/')}/{t.target}"
         current = read_current(spark, root)
-        if current is None:
-            current = spark.createDataFrame([], data.schema)
         if count_affected:
-            run.affected = int(affected_rows(current, data, keys, order)
+            run.affected = int(affected_rows(current, frozen, keys, order)
                                .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
-        publish(upsert(current, data, keys, order_by=order), root)
+        strategy = "broadcast" if run.rows <= t.max_broadcast_rows else "shuffle"
+        publish(upsert(current, frozen, keys, order_by=order, strategy=strategy), root)
         run.status = OK
     except Exception as e:  # noqa: BLE001 - a failed table must not stop the others
         log.warning("table %s failed: %s", t.source, e)
         run.status = FAILED
         run.failed = run.rows
         run.affected = 0
+        run.new_mark = None
     return run
 
 
@@ -129,7 +130,7 @@ def rename_name(t: TableSpec, col: str) -> str:
 
 def runs_frame(spark: SparkSession, runs: list[TableRun]) -> DataFrame:
     """Per-table metrics as a DataFrame (one row per configured table)."""
-    return spark.createDataFrame([tuple(asdict(r).values()) for r in runs], RUN_SCHEMA)
+    return spark.createDataFrame([tuple(asdict(r).values()) for r in runs], RUN_SCHEMA).coalesce(1)
 
 
 def migrate_all(spark: SparkSession, spec: MigrationSpec, run_id: str | None = None,
@@ -143,7 +144,9 @@ def migrate_all(spark: SparkSession, spec: MigrationSpec, run_id: str | None = N
              for r in read_control(spark, spec.state_path).collect()}
     runs = [migrate_table(spark, spec, t, state.get(t.source), count_affected) for t in spec.tables]
     gated = commit_gate(runs_frame(spark, runs))
-    advanced = gated.where("advanced").select("table_name", F.col("mark").alias("hwm_value"), "hwm_type")
-    if advanced.take(1):
-        append_control(advanced, spec.state_path, run_id)
-    return gated
+    rows = gated.collect()  # one row per configured table
+    advanced = [(r["table_name"], r["mark"], r["hwm_type"]) for r in rows if r["advanced"]]
+    if advanced:
+        append_control(spark.createDataFrame(advanced, "table_name string, hwm_value string, hwm_type string"),
+                       spec.state_path, run_id)
+    return spark.createDataFrame(rows, gated.schema)

@@ -33,6 +33,7 @@ class TableSpec:
     transforms: Sequence[Callable[[DataFrame], DataFrame]] = ()
     source_format: str = "parquet"
     source_options: Mapping[str, str] = field(default_factory=dict)
+    max_broadcast_rows: int = 2_000_000           # change sets up to this size are broadcast
 
 
 @dataclass(frozen=True)
