@@ -61,11 +61,12 @@ def test_insert_only_conflicts(spark):
     assert _rows(conflicts) == [(101,), (103,)]
 
 
-def test_affected_rows_accounting(spark):
+@pytest.mark.parametrize("skew_safe", [True, False])
+def test_affected_rows_accounting(spark, skew_safe):
     tgt = spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA)
     src = spark.createDataFrame([(1, "a", 1, 1), (2, "B", 2, 1), (3, "c", 3, 1), (3, "c", 3, 2), (3, "C", 3, 3)],
                                 SCHEMA + ", ver long")
-    got = {(r.id, r.ver): r.affected for r in affected_rows(tgt, src, ["id"], ["ver"]).collect()}
+    got = {(r.id, r.ver): r.affected for r in affected_rows(tgt, src, ["id"], ["ver"], skew_safe=skew_safe).collect()}
     # same -> 0, changed -> 2, new -> 1, repeated identical -> 0, changed again -> 2
     assert got == {(1, 1): 0, (2, 1): 2, (3, 1): 1, (3, 2): 0, (3, 3): 2}
 

@@ -102,8 +102,12 @@ def cur_type(df: DataFrame, cols: Sequence[str]):
 AFFECTED_INSERT, AFFECTED_UPDATE, AFFECTED_SAME = 1, 2, 0
 
 
+DEFAULT_SEQUENTIAL_ROWS = 1_000_000
+
+
 def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
-                  order_by: Sequence[str], partitions: int | None = None) -> DataFrame:
+                  order_by: Sequence[str], partitions: int | None = None,
+                  skew_safe: bool = True) -> DataFrame:
     """Classify each source row applied in ``order_by`` order within its key.
 
     Adds ``change`` (insert / update / same) and ``affected`` (1 / 2 / 0):
@@ -111,40 +115,50 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     target row for the first one. Order columns absent from the target only
     order the versions and are not compared.
 
-    Skew-safe: versions are range-partitioned on (key, order), so a key
-    with many versions is spread over several tasks. ``lag`` runs inside
-    each (range, key) group; the first row of a group takes its previous
-    version from the last row of the preceding range (a table with one row
-    per range, broadcast) when that row has the same key, else from the
-    target.
+    With ``skew_safe`` (the default) versions are range-partitioned on
+    (key, order), so a key with many versions is spread over several tasks.
+    ``lag`` runs inside each (range, key) group; the first row of a group
+    takes its previous version from the last row of the preceding range (a
+    table with one row per range, broadcast) when that row has the same key,
+    else from the target. Only those first rows meet the target, so the
+    target join sees at most one row per key and range. Without
+    ``skew_safe`` (for batches of a checked, small size) one window
+    partitioned by key is used.
     """
     if target is None:  # first load: no target rows to compare with
         upd = [c for c in source.columns if c not in keys and c not in order_by]
     else:
         upd = _check(target, source.drop(*[c for c in order_by if c not in target.columns]), keys)
-    spark = source.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cur = F.struct(*[_q(c) for c in upd])
-    ranged = (source.repartitionByRange(n, *[_q(c) for c in (*keys, *order_by)])
-              .withColumn("_p", F.spark_partition_id()))
-    w = Window.partitionBy("_p", *[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])
-    local = ranged.select("*", F.lag(cur).over(w).alias("_prev"),
-                          F.lag(F.lit(1)).over(w).isNull().alias("_first"))
-    # last row of every non-empty range, and for each range the last row before it
     kstruct = F.struct(*[_q(k) for k in keys])
-    last = ranged.groupBy("_p").agg(F.max_by(F.struct(kstruct.alias("k"), cur.alias("v")),
-                                             F.struct(kstruct, *[_q(c) for c in order_by])).alias("_last"))
-    carry = last.select("_p", F.lag("_last").over(Window.orderBy("_p")).alias("_carry"))
-    j = local.join(F.broadcast(carry), "_p", "left")
-    if target is None:
-        j = j.withColumn("_t", F.lit(None).cast(cur_type(source, upd)))
+    if skew_safe:
+        n = partitions or int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        ranged = (source.repartitionByRange(n, *[_q(c) for c in (*keys, *order_by)])
+                  .withColumn("_p", F.spark_partition_id()))
+        w = Window.partitionBy("_p", *[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])
+        local = ranged.select("*", F.lag(cur).over(w).alias("_prev"),
+                              F.lag(F.lit(1)).over(w).isNull().alias("_first"))
+        # last row of every non-empty range; each range gets the one before it
+        last = ranged.groupBy("_p").agg(F.max_by(F.struct(kstruct.alias("k"), cur.alias("v")),
+                                                 F.struct(kstruct, *[_q(c) for c in order_by]))
+                                        .alias("_last"))
+        carry = last.select("_p", F.lag("_last").over(Window.orderBy("_p")).alias("_carry"))
+        j = local.join(F.broadcast(carry), "_p", "left")
+        carried = F.when(F.col("_carry.k") == kstruct, F.col("_carry.v"))
+        j = j.select(*source.columns, F.when(~F.col("_first"), F.col("_prev"))
+                     .otherwise(carried).alias("_before"),
+                     (F.col("_first") & carried.isNull()).alias("_needs_target"))
     else:
+        w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])
+        first = F.lag(F.lit(1)).over(w).isNull()
+        j = source.select("*", F.lag(cur).over(w).alias("_before"), first.alias("_needs_target"))
+    if target is not None:
         tgt = (target.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_t"))
                .join(source.select(*keys).distinct(), keys, "left_semi"))
-        j = j.join(tgt, keys, "left")
-    carried = F.when(F.col("_carry.k") == kstruct, F.col("_carry.v"))
-    before = F.when(~F.col("_first"), F.col("_prev")) \
-        .when(carried.isNotNull(), carried).otherwise(F.col("_t"))
+        firsts = j.where("_needs_target").join(tgt, keys, "left") \
+            .withColumn("_before", F.col("_t")).drop("_t")
+        j = j.where(~F.col("_needs_target")).unionByName(firsts)
+    before = F.col("_before")
     change = (F.when(before.isNull(), F.lit("insert"))
               .when(~cur.eqNullSafe(before), F.lit("update"))
               .otherwise(F.lit("same")))

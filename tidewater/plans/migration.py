@@ -22,7 +22,7 @@ from tidewater.functions.coerce import nan_to_null
 from tidewater.functions.marks import Mark, encode_mark
 from tidewater.operators.marks import batch_max, commit_gate
 from tidewater.operators.rename import rename_columns
-from tidewater.operators.upsert import affected_rows, upsert
+from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, upsert
 from tidewater.session import checkpoint_root
 from tidewater.sinks.control import append_control, read_control
 from tidewater.sinks.versioned import publish, read_current
@@ -109,7 +109,9 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         root = f"{spec.target_root.rstrip('/')}/{t.target}"
         current = read_current(spark, root)
         if count_affected:
-            run.affected = int(affected_rows(current, frozen, keys, order)
+            # small batches (checked count) take the one-window plan
+            skew_safe = run.rows > DEFAULT_SEQUENTIAL_ROWS
+            run.affected = int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe)
                                .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
         strategy = "broadcast" if run.rows <= t.max_broadcast_rows else "shuffle"
         publish(upsert(current, frozen, keys, order_by=order, strategy=strategy), root)
