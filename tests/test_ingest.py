@@ -120,3 +120,36 @@ def test_stream_equals_batch(spark, scratch):
 def test_kafka_options():
     o = kafka_options("b1:9092,b2:9092", "topic", max_offsets_per_trigger=1000)
     assert o["subscribe"] == "topic" and o["startingOffsets"] == "earliest" and o["maxOffsetsPerTrigger"] == "1000"
+
+
+def test_bad_timestamp_quarantined_or_strict(spark):
+    import pytest
+    from tidewater.spec import IngestSpec
+    vals = [json.dumps(GOOD), json.dumps({**GOOD, "event_id": "e2", "timestamp": "not a time"})]
+    r = ingest_batch(_msgs(spark, vals), _lookup(spark))
+    assert [x.event_id for x in r.rows.collect()] == ["e1"]
+    assert [(x.event_id, x.reason_load) for x in r.quarantine.collect()] == [("e2", "bad_timestamp")]
+    strict = ingest_batch(_msgs(spark, vals), _lookup(spark), IngestSpec(strict_load=True))
+    with pytest.raises(Exception):
+        strict.rows.collect()
+
+
+def test_clustered_append(spark, scratch):
+    from tidewater.catalog.queries import _lookup as lookup, _messages as messages
+    sf = "/root/testdata/sf0.001"
+    rows = ingest_batch(messages(spark, sf), lookup(spark, sf)).rows
+    append_daily(rows, scratch, cluster_by=("user_id",))
+    assert spark.read.parquet(scratch).count() == rows.count()
+
+
+def test_cross_batch_dedup_stream(spark, scratch):
+    from tidewater.streaming.ingest_stream import cross_batch_dedup
+    vals = [json.dumps({**GOOD, "payload": {"n": i}}) for i in range(4)]
+    base = _msgs(spark, vals).withColumn("timestamp", F.current_timestamp())
+    base.write.parquet(f"{scratch}/src")
+    stream = read_message_stream(spark, "parquet", f"{scratch}/src")
+    deduped = cross_batch_dedup(stream, F.get_json_object(F.col("value").cast("string"), "$.event_id"))
+    q = (deduped.writeStream.format("memory").queryName("xdedup").option("checkpointLocation", f"{scratch}/ck")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert spark.sql("select count(*) from xdedup").first()[0] == 1

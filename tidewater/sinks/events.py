@@ -46,14 +46,22 @@ def enforce_required(rows: DataFrame) -> DataFrame:
         if c in REQUIRED else F.col(c) for c in rows.columns])
 
 
-def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None) -> None:
+def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
+                 cluster_by: tuple[str, ...] = ()) -> None:
     """Append sink rows partitioned by ``event_date``.
 
     With ``batch_id`` the write is idempotent: rows go to
     ``event_date=<d>/ingest_batch=<id>`` under dynamic partition overwrite,
     so replaying a batch replaces exactly its own partitions.
+    ``cluster_by`` (e.g. ``("user_id",)``) range-partitions and sorts rows on
+    (event_date, cluster columns) so files carry tight min/max statistics; a
+    busy day is split over several tasks rather than written by one.
     """
     out = enforce_required(rows.select(*SINK_COLUMNS, "event_date"))
+    if cluster_by:
+        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartitionByRange(n, "event_date", *cluster_by) \
+            .sortWithinPartitions("event_date", *cluster_by)
     if batch_id is None:
         out.write.mode("append").partitionBy("event_date").parquet(path)
         return
