@@ -82,3 +82,10 @@ def test_commit_gate_cases(spark):
                                "new_mark string, rows long, failed long")
     got = {r.table_name: r.mark for r in commit_gate(df).collect()}
     assert got == {c[0]: c[6] for c in cases}
+
+
+def test_jdbc_range_options_from_chunk_size():
+    from tidewater.sources.tables import jdbc_range_options
+    o = jdbc_range_options("jdbc:x", "id", 1, 25000, 10000, dbtable="t")
+    assert (o["partitionColumn"], o["numPartitions"], o["lowerBound"], o["upperBound"]) == ("id", "3", "1", "25001")
+    assert "partitionColumn" not in jdbc_range_options("jdbc:x", "id", 1, 25000, None, dbtable="t")

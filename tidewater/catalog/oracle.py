@@ -268,6 +268,7 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN conflict_keys > 0 THEN source_rows ELSE 0 END AS failed_rows,
                CASE WHEN conflict_keys > 0 THEN 0 ELSE new_keys END AS inserted_rows FROM c""",
     "incremental_two_runs": _LATEST_EVENTS,
+    "incremental_two_runs_bucketed": _LATEST_EVENTS,
     "migrate_all": _MIGRATE_ALL,
     "run_summary": _RUN_SUMMARY,
     "json_decode_skip": "WITH " + MSG + "SELECT seq, lower(json_type(j)) AS kind FROM dec",

@@ -21,6 +21,7 @@ from tidewater.plans.migration import migrate_all, runs_frame, TableRun
 from tidewater.session import apply_defaults, scratch_path
 from tidewater.sinks.control import append_control, read_control
 from tidewater.sinks.events import SINK_COLUMNS, append_daily
+from tidewater.sinks.bucketed import read_bucketed
 from tidewater.sinks.versioned import read_current
 from tidewater.sources.files import (export_csv, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_whole)
@@ -236,7 +237,7 @@ def insert_only_conflicts(spark, sf):
                          F.when(failed, F.lit(0).cast("bigint")).otherwise(F.col("new_keys")).alias("inserted_rows"))
 
 
-def incremental_two_runs(spark, sf):
+def incremental_two_runs(spark, sf, buckets: int | None = None):
     """Run 1 sees the events up to a split point, run 2 the whole table."""
     work = scratch_path(spark, "two_runs")
     events = _t(spark, sf, "events")
@@ -244,16 +245,23 @@ def incremental_two_runs(spark, sf):
         .write.mode("overwrite").parquet(f"{work}/snapshot1")
     def spec(path):
         t = TableSpec(source="events", target="events_latest", incremental_column="ts",
-                      keys=["user_id"], source_options={"path": path})
+                      keys=["user_id"], source_options={"path": path}, buckets=buckets)
         return MigrationSpec(tables=[t], source_root=sf, target_root=f"{work}/target",
                              state_path=f"{work}/control")
     r1 = migrate_all(spark, spec(f"{work}/snapshot1")).collect()
     r2 = migrate_all(spark, spec(f"{sf.rstrip('/')}/events.parquet")).collect()
     if r1[0]["status"] != "ok" or r2[0]["status"] != "ok":
         raise RuntimeError(f"migration failed: {r1} {r2}")
+    if buckets:
+        return read_bucketed(spark, f"{work}/target/events_latest")
     return read_current(spark, f"{work}/target/events_latest")
 
 
+def incremental_two_runs_bucketed(spark, sf):
+    """Same two runs into a key-bucketed target (only touched buckets rewritten)."""
+    return incremental_two_runs(spark, sf, buckets=16)
+
+
 def _routing(sf: str, work: str, extra: tuple = ()) -> MigrationSpec:
     root = sf.rstrip("/")
     tables = [
@@ -454,6 +462,7 @@ _ALL: dict[str, Query] = {
     "affected_rows": q_affected_rows,
     "insert_only_conflicts": insert_only_conflicts,
     "incremental_two_runs": incremental_two_runs,
+    "incremental_two_runs_bucketed": incremental_two_runs_bucketed,
     "migrate_all": q_migrate_all,
     "run_summary": run_summary,
     "json_decode_skip": json_decode_skip,

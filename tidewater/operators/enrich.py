@@ -41,12 +41,25 @@ def load_lookup(spark: SparkSession, loader: Callable[[], DataFrame], key: str,
         return spark.createDataFrame([], schema), False
 
 
+def lookup_fits_broadcast(dim: DataFrame, key: str, columns: Sequence[str],
+                          max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
+    """Whether the de-duplicated lookup is small enough to broadcast (counts it)."""
+    return prepare_lookup(dim, key, columns).count() <= max_broadcast_rows
+
+
 def enrich_left(messages: DataFrame, dim: DataFrame, key: str = "user_id",
                 columns: Sequence[str] = ("user_name", "user_location"), *,
-                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """Messages with lookup columns filled in, plus boolean ``matched``."""
+                max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                broadcast: bool | None = None) -> DataFrame:
+    """Messages with lookup columns filled in, plus boolean ``matched``.
+
+    ``broadcast`` is the outcome of ``lookup_fits_broadcast`` when already
+    known (a stream decides once, not per micro-batch); None counts now.
+    """
     lk = prepare_lookup(dim, key, columns)
-    if lk.count() <= max_broadcast_rows:
+    if broadcast is None:
+        broadcast = lk.count() <= max_broadcast_rows
+    if broadcast:
         lk = F.broadcast(lk)
     k = F.col(key)
     probe = messages.withColumn("_pk", F.when(k.isNotNull() & (k != ""), k))

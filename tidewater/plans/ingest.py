@@ -64,7 +64,8 @@ def dedup_stats(validated: DataFrame, key: str = "event_id") -> DataFrame:
         "input_rows", "unique_rows", (F.col("input_rows") - F.col("unique_rows")).alias("duplicates"))
 
 
-def ingest_batch(messages: DataFrame, lookup: DataFrame, spec: IngestSpec = IngestSpec()) -> IngestResult:
+def ingest_batch(messages: DataFrame, lookup: DataFrame, spec: IngestSpec = IngestSpec(),
+                 lookup_broadcast: bool | None = None) -> IngestResult:
     decoded = decode_messages(messages)
     ok = decoded
     if spec.max_messages:
@@ -72,6 +73,6 @@ def ingest_batch(messages: DataFrame, lookup: DataFrame, spec: IngestSpec = Inge
     validated = validate_messages(ok)
     unique = dedup_valid(validated, spec.dedup_key)
     enriched = enrich_left(unique, lookup, spec.lookup_key, spec.lookup_columns,
-                           max_broadcast_rows=spec.max_broadcast_rows)
+                           max_broadcast_rows=spec.max_broadcast_rows, broadcast=lookup_broadcast)
     rows, quarantine = to_sink_rows(enriched, strict=spec.strict_load)
     return IngestResult(decoded, validated, unique, enriched, rows, quarantine)

@@ -24,6 +24,7 @@ from tidewater.operators.marks import batch_max, commit_gate
 from tidewater.operators.rename import rename_columns
 from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, upsert
 from tidewater.session import checkpoint_root
+from tidewater.sinks.bucketed import read_bucketed, touched_buckets, upsert_bucketed
 from tidewater.sinks.control import append_control, read_control
 from tidewater.sinks.versioned import publish, read_current
 from tidewater.sources.tables import extract, read_table
@@ -107,14 +108,19 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         if m["null_keys"]:
             raise ValueError(f"{m['null_keys']} rows with a NULL key in {t.source}")
         root = f"{spec.target_root.rstrip('/')}/{t.target}"
-        current = read_current(spark, root)
+        touched = touched_buckets(frozen, keys, t.buckets) if t.buckets else None
+        current = read_bucketed(spark, root, touched) if t.buckets else read_current(spark, root)
         if count_affected:
             # small batches (checked count) take the one-window plan
             skew_safe = run.rows > DEFAULT_SEQUENTIAL_ROWS
             run.affected = int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe)
                                .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
         strategy = "broadcast" if run.rows <= t.max_broadcast_rows else "shuffle"
-        publish(upsert(current, frozen, keys, order_by=order, strategy=strategy), root)
+        if t.buckets:
+            upsert_bucketed(frozen, root, keys, t.buckets, order_by=order, strategy=strategy,
+                            touched=touched)
+        else:
+            publish(upsert(current, frozen, keys, order_by=order, strategy=strategy), root)
         run.status = OK
     except Exception as e:  # noqa: BLE001 - a failed table must not stop the others
         log.warning("table %s failed: %s", t.source, e)

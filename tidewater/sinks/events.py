@@ -65,11 +65,6 @@ def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
     if batch_id is None:
         out.write.mode("append").partitionBy("event_date").parquet(path)
         return
-    spark = rows.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        (out.withColumn("ingest_batch", F.lit(str(batch_id)))
-         .write.mode("overwrite").partitionBy("event_date", "ingest_batch").parquet(path))
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (out.withColumn("ingest_batch", F.lit(str(batch_id)))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("event_date", "ingest_batch").parquet(path))

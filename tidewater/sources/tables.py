@@ -49,6 +49,22 @@ def jdbc_options(url: str, *, partition_column: str | None = None,
     return opts
 
 
+def jdbc_range_options(url: str, column: str, lower_bound: int, upper_bound: int,
+                       chunk_size: int | None, **extra: str) -> dict[str, str]:
+    """Partitioned JDBC read with about ``chunk_size`` key values per range.
+
+    ``chunk_size`` None (or 0) reads one range. The bounds usually come from
+    a ``SELECT min(col), max(col)`` read through the same connection.
+    """
+    span = max(int(upper_bound) - int(lower_bound) + 1, 1)
+    parts = max(1, -(-span // chunk_size)) if chunk_size else 1
+    if parts == 1:
+        return jdbc_options(url, **extra)
+    return jdbc_options(url, partition_column=column, lower_bound=lower_bound,
+                        upper_bound=int(upper_bound) + 1, num_partitions=parts,
+                        fetchsize=min(chunk_size, 10000), **extra)
+
+
 def extract(df: DataFrame, incremental_column: str | None = None,
             mark: Mark | object | None = None, upper: Mark | object | None = None) -> DataFrame:
     """Rows to move in this run.

@@ -34,6 +34,7 @@ class TableSpec:
     source_format: str = "parquet"
     source_options: Mapping[str, str] = field(default_factory=dict)
     max_broadcast_rows: int = 2_000_000           # change sets up to this size are broadcast
+    buckets: int | None = None                    # target partitioned by key bucket; None -> versioned
 
 
 @dataclass(frozen=True)

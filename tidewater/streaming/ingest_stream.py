@@ -12,11 +12,12 @@ dedup across batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
+from tidewater.operators.enrich import lookup_fits_broadcast
 from tidewater.plans.ingest import ingest_batch
 from tidewater.sinks.events import append_daily
 from tidewater.spec import IngestSpec
@@ -46,8 +47,10 @@ def cross_batch_dedup(messages: DataFrame, key_expr, delay: str = "1 hour") -> D
 def ingest_stream(stream: DataFrame, lookup: DataFrame, sink_path: str, checkpoint: str,
                   spec: IngestSpec = IngestSpec()) -> StreamingQuery:
     """Drain the stream once (``availableNow``) and return the finished query."""
+    fits = lookup_fits_broadcast(lookup, spec.lookup_key, spec.lookup_columns, spec.max_broadcast_rows)
+
     def each(batch: DataFrame, batch_id: int) -> None:
-        result = ingest_batch(batch, lookup, spec)
+        result = ingest_batch(batch, lookup, spec, lookup_broadcast=fits)
         append_daily(result.rows, sink_path, batch_id=batch_id)
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
