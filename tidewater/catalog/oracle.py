@@ -181,7 +181,8 @@ WITH per AS (
   UNION ALL SELECT 'unrouted', 'skipped', 0, 0, 0
   UNION ALL SELECT 'orders_late', 'empty', 0, 0, 0)
 SELECT * FROM per
-UNION ALL SELECT 'TOTAL', NULL, sum(rows_processed), sum(rows_affected), sum(rows_failed) FROM per
+UNION ALL SELECT 'TOTAL', NULL, CAST(sum(rows_processed) AS BIGINT), CAST(sum(rows_affected) AS BIGINT),
+                 CAST(sum(rows_failed) AS BIGINT) FROM per
 """
 
 _CSV_RAW = """
