@@ -153,3 +153,26 @@ def test_cross_batch_dedup_stream(spark, scratch):
          .trigger(availableNow=True).start())
     q.awaitTermination()
     assert spark.sql("select count(*) from xdedup").first()[0] == 1
+
+
+def test_stream_resumes_from_checkpoint(spark, scratch):
+    from tidewater.catalog.queries import _lookup as lookup, _messages as messages
+    sf = "/root/testdata/sf0.001"
+    msgs = messages(spark, sf)
+    msgs.where("offset % 2 = 0").write.parquet(f"{scratch}/src/part=a")
+    src = read_message_stream(spark, "parquet", f"{scratch}/src")
+    ingest_stream(src, lookup(spark, sf), f"{scratch}/sink", f"{scratch}/ckpt")
+    first = spark.read.parquet(f"{scratch}/sink").count()
+    msgs.where("offset % 2 = 1").write.parquet(f"{scratch}/src/part=b")
+    ingest_stream(read_message_stream(spark, "parquet", f"{scratch}/src"), lookup(spark, sf),
+                  f"{scratch}/sink", f"{scratch}/ckpt")
+    sink = spark.read.parquet(f"{scratch}/sink")
+    assert sink.count() > first
+    assert sink.select("ingest_batch").distinct().count() == 2
+
+
+def test_append_daily_reports_rows(spark, scratch):
+    from tidewater.catalog.queries import _lookup as lookup, _messages as messages
+    sf = "/root/testdata/sf0.001"
+    rows = ingest_batch(messages(spark, sf), lookup(spark, sf)).rows
+    assert append_daily(rows, scratch) == rows.count()

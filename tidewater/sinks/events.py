@@ -7,7 +7,9 @@ user_location STRING``, plus the partition column ``event_date``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import uuid
+
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from tidewater.functions.coerce import try_timestamp
 from tidewater.operators.validate import BAD_TIMESTAMP
@@ -47,7 +49,7 @@ def enforce_required(rows: DataFrame) -> DataFrame:
 
 
 def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
-                 cluster_by: tuple[str, ...] = ()) -> None:
+                 cluster_by: tuple[str, ...] = ()) -> int:
     """Append sink rows partitioned by ``event_date``.
 
     With ``batch_id`` the write is idempotent: rows go to
@@ -56,15 +58,19 @@ def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
     ``cluster_by`` (e.g. ``("user_id",)``) range-partitions and sorts rows on
     (event_date, cluster columns) so files carry tight min/max statistics; a
     busy day is split over several tasks rather than written by one.
+    Returns the number of rows loaded, observed during the write itself.
     """
-    out = enforce_required(rows.select(*SINK_COLUMNS, "event_date"))
+    obs = Observation(f"loaded_{uuid.uuid4().hex[:8]}")
+    out = enforce_required(rows.select(*SINK_COLUMNS, "event_date")) \
+        .observe(obs, F.count(F.lit(1)).alias("rows"))
     if cluster_by:
         n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         out = out.repartitionByRange(n, "event_date", *cluster_by) \
             .sortWithinPartitions("event_date", *cluster_by)
     if batch_id is None:
         out.write.mode("append").partitionBy("event_date").parquet(path)
-        return
-    (out.withColumn("ingest_batch", F.lit(str(batch_id)))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("event_date", "ingest_batch").parquet(path))
+    else:
+        (out.withColumn("ingest_batch", F.lit(str(batch_id)))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("event_date", "ingest_batch").parquet(path))
+    return int(obs.get["rows"])

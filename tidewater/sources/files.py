@@ -8,6 +8,7 @@ are taken, without descending into sub-folders.
 from __future__ import annotations
 
 import posixpath
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -68,6 +69,18 @@ def csv_files(spark: SparkSession, folder: str) -> list[str]:
     return sorted(spark.read.option("pathGlobFilter", CSV_GLOB).text(folder).inputFiles())
 
 
+# Concurrent per-file schema inferences submitted from the driver.
+INFER_THREADS = 16
+
+
+def _per_file(files: list[str], fn):
+    """``fn`` over every file; the small inference jobs run concurrently."""
+    if len(files) <= 1:
+        return [fn(f) for f in files]
+    with ThreadPoolExecutor(max_workers=min(INFER_THREADS, len(files))) as pool:
+        return list(pool.map(fn, files))
+
+
 def _file_name() -> Column:
     return F.col("_metadata.file_name").alias("file_name")
 
@@ -79,8 +92,9 @@ def read_csv_folder_raw(spark: SparkSession, folder: str, width: int | None = No
     with NULL. ``width`` defaults to the widest first line among the files.
     """
     if width is None:
-        width = max((len(spark.read.option("header", False).csv(f).columns)
-                     for f in csv_files(spark, folder)), default=0)
+        widths = _per_file(csv_files(spark, folder),
+                           lambda f: len(spark.read.option("header", False).csv(f).columns))
+        width = max(widths, default=0)
     schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
     df = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
           .option("pathGlobFilter", CSV_GLOB).csv(folder))
@@ -93,8 +107,9 @@ def read_csv_folder_typed(spark: SparkSession, folder: str) -> DataFrame:
     One read per file: a folder-wide header read would silently take the
     first file's names for every file.
     """
-    parts = [spark.read.option("header", True).option("inferSchema", True).csv(f)
-             .select(_file_name(), "*") for f in csv_files(spark, folder)]
+    parts = _per_file(csv_files(spark, folder),
+                      lambda f: spark.read.option("header", True).option("inferSchema", True).csv(f)
+                      .select(_file_name(), "*"))
     if not parts:
         return spark.createDataFrame([], "file_name string")
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
