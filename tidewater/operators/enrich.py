@@ -18,8 +18,16 @@ from pyspark.sql.types import StringType, StructField, StructType
 DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 
 
+PREPARED_KEY = "_lk"
+
+
 def prepare_lookup(dim: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
-    """One row per key (deterministic: the smallest column tuple), plus a match flag."""
+    """One row per key (deterministic: the smallest column tuple), plus a match flag.
+
+    Already prepared lookups are returned unchanged.
+    """
+    if PREPARED_KEY in dim.columns:
+        return dim
     one = dim.groupBy(key).agg(F.min(F.struct(*columns)).alias("_r"))
     return one.select(F.col(key).alias("_lk"), *[F.col(f"_r.{c}").alias(f"_l_{c}") for c in columns],
                       F.lit(True).alias("_matched"))

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import logging
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from dataclasses import asdict, dataclass
 
@@ -142,15 +143,25 @@ def runs_frame(spark: SparkSession, runs: list[TableRun]) -> DataFrame:
 
 
 def migrate_all(spark: SparkSession, spec: MigrationSpec, run_id: str | None = None,
-                count_affected: bool = True) -> DataFrame:
+                count_affected: bool = True, parallel_tables: int = 4) -> DataFrame:
     """Migrate every routed table, then save the advanced marks once.
 
+    Tables are independent, so up to ``parallel_tables`` of them run at once
+    (their jobs share the cluster); a failure stays within its table.
     Returns the per-table run summary with the gated ``mark``.
     """
     run_id = run_id or uuid.uuid4().hex
     state = {r["table_name"]: Mark(r["hwm_value"], r["hwm_type"])
              for r in read_control(spark, spec.state_path).collect()}
-    runs = [migrate_table(spark, spec, t, state.get(t.source), count_affected) for t in spec.tables]
+
+    def one(t: TableSpec) -> TableRun:
+        return migrate_table(spark, spec, t, state.get(t.source), count_affected)
+
+    if parallel_tables > 1 and len(spec.tables) > 1:
+        with ThreadPoolExecutor(max_workers=min(parallel_tables, len(spec.tables))) as pool:
+            runs = list(pool.map(one, spec.tables))
+    else:
+        runs = [one(t) for t in spec.tables]
     gated = commit_gate(runs_frame(spark, runs))
     rows = gated.collect()  # one row per configured table
     advanced = [(r["table_name"], r["mark"], r["hwm_type"]) for r in rows if r["advanced"]]

@@ -1,17 +1,23 @@
 """The control table of high-water marks.
 
-An append-only parquet table ``(table_name, hwm_value, hwm_type, run_id,
-updated_at)``; the state of a table is its latest row. A missing or
-unreadable control table reads as empty state rather than failing the run.
+Rows ``(table_name, hwm_value, hwm_type, run_id, updated_at)``, one per
+configured table. Each save writes the whole state as a new version
+(``sinks.versioned``): a read touches one small version however many runs
+came before, and a failed save leaves the previous state in place. The
+state has one row per table, so it is handled as a small local list on
+the driver. A missing or unreadable control table reads as empty state
+rather than failing the run.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
+from tidewater.sinks.versioned import publish, read_current
+
 CONTROL_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
     StructField("hwm_value", StringType(), True),
@@ -19,27 +25,31 @@ CONTROL_SCHEMA = StructType([
     StructField("run_id", StringType(), True),
     StructField("updated_at", TimestampType(), True),
 ])
+STATE_COLUMNS = ("table_name", "hwm_value", "hwm_type")
 
 
-def _empty(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], CONTROL_SCHEMA)
+def _state(spark: SparkSession, path: str) -> dict[str, tuple]:
+    try:
+        rows = read_current(spark, path)
+        if rows is None:
+            return {}
+        return {r["table_name"]: tuple(r[f.name] for f in CONTROL_SCHEMA.fields)
+                for r in rows.select(*CONTROL_SCHEMA.fieldNames()).collect()}
+    except Exception:  # noqa: BLE001 - missing / empty / corrupt state -> empty state
+        return {}
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
-    """Latest ``(table_name, hwm_value, hwm_type)`` per table."""
-    try:
-        rows = spark.read.schema(CONTROL_SCHEMA).parquet(path)
-        rows.limit(1).collect()  # surface a missing or corrupt table here
-    except Exception:  # noqa: BLE001 - missing / empty / corrupt state -> empty state
-        rows = _empty(spark)
-    latest = rows.groupBy("table_name").agg(
-        F.max_by(F.struct("hwm_value", "hwm_type"), F.struct("updated_at", "run_id")).alias("s"))
-    return latest.select("table_name", "s.hwm_value", "s.hwm_type")
+    """Current ``(table_name, hwm_value, hwm_type)`` per table."""
+    rows = [v[:3] for v in _state(spark, path).values()]
+    return spark.createDataFrame(rows, StructType(CONTROL_SCHEMA.fields[:3])).coalesce(1)
 
 
 def append_control(marks: DataFrame, path: str, run_id: str) -> None:
-    """Append the advanced marks ``(table_name, hwm_value, hwm_type)``."""
+    """Save advanced marks ``(table_name, hwm_value, hwm_type)`` as a new state version."""
+    spark = marks.sparkSession
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    (marks.select("table_name", "hwm_value", "hwm_type", F.lit(run_id).alias("run_id"),
-                  F.lit(now).cast("timestamp").alias("updated_at"))
-     .coalesce(1).write.mode("append").parquet(path))
+    state = _state(spark, path)
+    for r in marks.select(*STATE_COLUMNS).collect():  # one row per advanced table
+        state[r["table_name"]] = (r["table_name"], r["hwm_value"], r["hwm_type"], run_id, now)
+    publish(spark.createDataFrame(sorted(state.values()), CONTROL_SCHEMA).coalesce(1), path)

@@ -17,8 +17,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
-from tidewater.operators.enrich import lookup_fits_broadcast
+from tidewater.operators.enrich import prepare_lookup
 from tidewater.plans.ingest import ingest_batch
+from tidewater.session import checkpoint_root
 from tidewater.sinks.events import append_daily
 from tidewater.spec import IngestSpec
 
@@ -46,8 +47,16 @@ def cross_batch_dedup(messages: DataFrame, key_expr, delay: str = "1 hour") -> D
 
 def ingest_stream(stream: DataFrame, lookup: DataFrame, sink_path: str, checkpoint: str,
                   spec: IngestSpec = IngestSpec()) -> StreamingQuery:
-    """Drain the stream once (``availableNow``) and return the finished query."""
-    fits = lookup_fits_broadcast(lookup, spec.lookup_key, spec.lookup_columns, spec.max_broadcast_rows)
+    """Drain the stream once (``availableNow``) and return the finished query.
+
+    The lookup is de-duplicated and frozen once per run (checkpointed into
+    the shared folder), so micro-batches neither re-aggregate it nor see it
+    change mid-run; whether it is broadcast is decided once from its size.
+    """
+    checkpoint_root(lookup.sparkSession)
+    frozen = prepare_lookup(lookup, spec.lookup_key, spec.lookup_columns).checkpoint(eager=True)
+    fits = frozen.count() <= spec.max_broadcast_rows
+    lookup = frozen
 
     def each(batch: DataFrame, batch_id: int) -> None:
         result = ingest_batch(batch, lookup, spec, lookup_broadcast=fits)
