@@ -1,9 +1,6 @@
 """Rename / select / coercions (carried over from the reference's unit cases)."""
 
-import math
-
 import pytest
-from pyspark.sql import functions as F
 
 from tidewater.functions.coerce import fill_missing, nan_to_null, try_number, try_timestamp
 from tidewater.operators.rename import rename_columns, select_mapped

@@ -190,30 +190,41 @@ SELECT 'nation.csv' AS file_name, 'n_nationkey' AS _c0, 'n_name' AS _c1, 'n_regi
 UNION ALL SELECT 'nation.csv', CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR) FROM nation
 UNION ALL SELECT 'region.csv', 'r_regionkey', 'r_name', NULL
 UNION ALL SELECT 'region.csv', CAST(r_regionkey AS VARCHAR), r_name, NULL FROM region
+UNION ALL SELECT 'supplier.csv', 's_suppkey', 's_name', 's_nationkey'
+UNION ALL SELECT 'supplier.csv', CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier
 """
 
 _CSV_TYPED = """
 SELECT 'nation.csv' AS file_name, n_nationkey, n_name, n_regionkey,
-       CAST(NULL AS INTEGER) AS r_regionkey, CAST(NULL AS VARCHAR) AS r_name FROM nation
-UNION ALL SELECT 'region.csv', NULL, NULL, NULL, r_regionkey, r_name FROM region
+       CAST(NULL AS INTEGER) AS r_regionkey, CAST(NULL AS VARCHAR) AS r_name,
+       CAST(NULL AS INTEGER) AS s_suppkey, CAST(NULL AS VARCHAR) AS s_name,
+       CAST(NULL AS INTEGER) AS s_nationkey FROM nation
+UNION ALL SELECT 'region.csv', NULL, NULL, NULL, r_regionkey, r_name, NULL, NULL, NULL FROM region
+UNION ALL SELECT 'supplier.csv', NULL, NULL, NULL, NULL, NULL, CAST(s_suppkey AS INTEGER), s_name,
+                 CAST(s_nationkey AS INTEGER) FROM supplier
 """
 
 _TEXT_WHOLE = """
 SELECT 'regions.txt' AS file_name, true AS found, string_agg(r_name || chr(10), '' ORDER BY r_regionkey) AS content
 FROM region
+UNION ALL
+SELECT 'suppliers.txt', true, string_agg(s_name || chr(10), '' ORDER BY s_suppkey) FROM supplier
 UNION ALL SELECT 'missing.txt', false, NULL
 """
 
 _COMBINE_ORDER = """
-WITH files AS (SELECT * FROM (VALUES ('nation.csv'), ('region.csv')) f(file_name)),
+WITH files AS (SELECT * FROM (VALUES ('nation.csv'), ('region.csv'), ('supplier.csv')) f(file_name)),
 csv AS (
   SELECT 'nation.csv' AS file_name, CAST(0 AS BIGINT) AS line_no, 'n_nationkey,n_name,n_regionkey' AS line
   UNION ALL SELECT 'nation.csv', row_number() OVER (ORDER BY n_nationkey),
          CAST(n_nationkey AS VARCHAR) || ',' || n_name || ',' || CAST(n_regionkey AS VARCHAR) FROM nation
   UNION ALL SELECT 'region.csv', 0, 'r_regionkey,r_name'
   UNION ALL SELECT 'region.csv', row_number() OVER (ORDER BY r_regionkey),
-         CAST(r_regionkey AS VARCHAR) || ',' || r_name FROM region),
-txt AS (SELECT row_number() OVER (ORDER BY r_regionkey) - 1 AS line_no, r_name AS line FROM region)
+         CAST(r_regionkey AS VARCHAR) || ',' || r_name FROM region
+  UNION ALL SELECT 'supplier.csv', 0, 's_suppkey,s_name,s_nationkey'
+  UNION ALL SELECT 'supplier.csv', row_number() OVER (ORDER BY s_suppkey),
+         CAST(s_suppkey AS VARCHAR) || ',' || s_name || ',' || CAST(s_nationkey AS VARCHAR) FROM supplier),
+txt AS (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS line_no, s_name AS line FROM supplier)
 SELECT 'combined_' || file_name AS out_name, 0 AS section, line_no, line FROM csv
 UNION ALL
 SELECT 'combined_' || f.file_name, 1, t.line_no, t.line FROM files f, txt t

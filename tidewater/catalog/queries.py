@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,7 +16,7 @@ from tidewater.operators.upsert import affected_rows, insert_only, upsert
 from tidewater.operators.validate import validation_stats
 from tidewater.plans.combine import combine_folder
 from tidewater.plans.ingest import (dedup_stats, dedup_valid, decode_messages, ingest_batch)
-from tidewater.plans.migration import migrate_all, runs_frame, TableRun
+from tidewater.plans.migration import migrate_all
 from tidewater.session import apply_defaults, scratch_path
 from tidewater.sinks.control import append_control, read_control
 from tidewater.sinks.events import SINK_COLUMNS, append_daily
@@ -27,7 +26,7 @@ from tidewater.sources.files import (export_csv, export_text, read_csv_folder_ra
                                      read_csv_folder_typed, read_text_whole)
 from tidewater.sources.messages import bounded_batch, messages_from_events
 from tidewater.sources.tables import chunk_stats, extract
-from tidewater.spec import IngestSpec, MigrationSpec, TableSpec
+from tidewater.spec import MigrationSpec, TableSpec
 from tidewater.streaming.ingest_stream import ingest_stream, read_message_stream
 from tidewater.operators.validate import validate_messages
 
@@ -403,14 +402,17 @@ def event_ingest_stream(spark, sf):
 # ---------------------------------------------------------------- files
 
 def _file_fixture(spark, sf) -> tuple[str, str]:
-    """Export nation and region as CSV files and region names as a text file."""
+    """Export nation, region and supplier as CSV files, region and supplier names as text."""
     work = scratch_path(spark, "files")
     csv_dir, txt_dir = f"{work}/csv", f"{work}/txt"
+    supplier = _t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     export_csv(_t(spark, sf, "nation"), csv_dir, "nation.csv", ["n_nationkey"])
     export_csv(_t(spark, sf, "region"), csv_dir, "region.csv", ["r_regionkey"])
+    export_csv(supplier, csv_dir, "supplier.csv", ["s_suppkey"])
     export_csv(_t(spark, sf, "region"), csv_dir, "ignored.CSV", ["r_regionkey"])
     export_text(_t(spark, sf, "region").select("r_name", "r_regionkey"), txt_dir, "regions.txt",
                 ["r_regionkey"])
+    export_text(supplier.select("s_name", "s_suppkey"), txt_dir, "suppliers.txt", ["s_suppkey"])
     return csv_dir, txt_dir
 
 
@@ -427,20 +429,21 @@ def csv_folder_typed(spark, sf):
 def text_whole(spark, sf):
     _, txt_dir = _file_fixture(spark, sf)
     return read_text_whole(spark, txt_dir, "regions.txt").unionByName(
+        read_text_whole(spark, txt_dir, "suppliers.txt")).unionByName(
         read_text_whole(spark, txt_dir, "missing.txt"))
 
 
 def csv_text_combine(spark, sf):
     csv_dir, txt_dir = _file_fixture(spark, sf)
     out = scratch_path(spark, "combined")
-    combine_folder(spark, csv_dir, f"{txt_dir}/regions.txt", out)
+    combine_folder(spark, csv_dir, f"{txt_dir}/suppliers.txt", out)
     back = spark.read.text(out)
     return back.select("out_name", F.col("value").alias("line"))
 
 
 def csv_text_combine_order(spark, sf):
     csv_dir, txt_dir = _file_fixture(spark, sf)
-    return combine_folder(spark, csv_dir, f"{txt_dir}/regions.txt")
+    return combine_folder(spark, csv_dir, f"{txt_dir}/suppliers.txt")
 
 
 _ALL: dict[str, Query] = {
