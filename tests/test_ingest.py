@@ -176,3 +176,16 @@ def test_append_daily_reports_rows(spark, scratch):
     sf = "/root/testdata/sf0.001"
     rows = ingest_batch(messages(spark, sf), lookup(spark, sf)).rows
     assert append_daily(rows, scratch) == rows.count()
+
+
+def test_stream_cross_batch_dedup_option(spark, scratch):
+    from tidewater.spec import IngestSpec
+    vals = [json.dumps({**GOOD, "payload": {"n": i}}) for i in range(3)]
+    base = _msgs(spark, vals).withColumn("timestamp", F.current_timestamp())
+    base.where("offset = 0").write.parquet(f"{scratch}/src/part=a")
+    run = lambda: ingest_stream(read_message_stream(spark, "parquet", f"{scratch}/src"), _lookup(spark),
+                                f"{scratch}/sink", f"{scratch}/ckpt", IngestSpec(cross_batch_delay="1 hour"))
+    run()
+    base.where("offset > 0").write.parquet(f"{scratch}/src/part=b")
+    run()
+    assert spark.read.parquet(f"{scratch}/sink").count() == 1

@@ -85,3 +85,5 @@ class IngestSpec:
     max_messages: int | None = None               # None -> whole batch
     max_broadcast_rows: int = 5_000_000           # lookup broadcast only below this
     strict_load: bool = False                     # True -> unparsable timestamp fails the batch
+    cross_batch_delay: str | None = None          # stream only: also drop keys seen in earlier
+                                                  # micro-batches within this event-time delay

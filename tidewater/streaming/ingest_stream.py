@@ -12,11 +12,12 @@ dedup across batches.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampType)
 
+from tidewater.functions.json import decode_json
 from tidewater.operators.enrich import prepare_lookup
 from tidewater.plans.ingest import ingest_batch
 from tidewater.session import checkpoint_root
@@ -40,7 +41,11 @@ def read_message_stream(spark: SparkSession, fmt: str = "parquet", path: str | N
 
 
 def cross_batch_dedup(messages: DataFrame, key_expr, delay: str = "1 hour") -> DataFrame:
-    """Optional stronger mode: drop a key already seen within the watermark delay."""
+    """Optional stronger mode: drop a key already seen within the watermark delay.
+
+    State is kept per key by Structured Streaming (in the checkpoint) and
+    evicted once the message-time watermark passes ``delay``.
+    """
     return (messages.withColumn("_k", key_expr).withWatermark("timestamp", delay)
             .dropDuplicatesWithinWatermark(["_k"]).drop("_k"))
 
@@ -58,6 +63,11 @@ def ingest_stream(stream: DataFrame, lookup: DataFrame, sink_path: str, checkpoi
     fits = frozen.count() <= spec.max_broadcast_rows
     lookup = frozen
 
+    if spec.cross_batch_delay:
+        key = F.try_variant_get(decode_json(F.col("value"), stream.schema["value"].dataType),
+                                f"$.{spec.dedup_key}", "string")
+        stream = cross_batch_dedup(stream, key, spec.cross_batch_delay)
+
     def each(batch: DataFrame, batch_id: int) -> None:
         result = ingest_batch(batch, lookup, spec, lookup_broadcast=fits)
         append_daily(result.rows, sink_path, batch_id=batch_id)
