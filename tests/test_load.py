@@ -177,3 +177,14 @@ def test_bucketed_migration_equals_versioned(spark, scratch):
         b = migrate_all(spark, spec(path, "k", 8)).first()
         assert (a.rows, a.affected, a.mark) == (b.rows, b.affected, b.mark)
     assert _rows(read_current(spark, f"{scratch}/v/ev_t")) == _rows(read_bucketed(spark, f"{scratch}/k/ev_t"))
+
+
+def test_jdbc_merge_statements():
+    from tidewater.sinks.jdbc import merge_statement
+    assert merge_statement("t", "t_stg", ["id", "name", "value"], ["id"]) == (
+        "INSERT INTO `t` (`id`, `name`, `value`) SELECT `id`, `name`, `value` FROM `t_stg` "
+        "ON DUPLICATE KEY UPDATE `name` = VALUES(`name`), `value` = VALUES(`value`)")
+    assert merge_statement("t", "t_stg", ["pk_col"], ["pk_col"]) == \
+        "INSERT INTO `t` (`pk_col`) SELECT `pk_col` FROM `t_stg`"
+    ansi = merge_statement("t", "s", ["id", "v"], ["id"], dialect="ansi")
+    assert ansi.startswith('MERGE INTO "t" t USING "s" s ON (t."id" = s."id") WHEN MATCHED THEN UPDATE SET "v" = s."v"')
