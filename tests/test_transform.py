@@ -82,3 +82,16 @@ def test_settings_routing():
 def test_settings_without_tables():
     spec = MigrationSpec.from_settings({}, source_root="/s", target_root="/t")
     assert spec.tables == () and spec.state_path == "/t/_control"
+
+
+def test_settings_from_ini(tmp_path):
+    from tidewater.spec import settings_from_ini
+    ini = tmp_path / "db.ini"
+    ini.write_text("[mysql]\nport = 3306\n[migration]\nora_emp = mysql_staff\nchunk_size = 5000\n"
+                   "ORA_EMP.EMP_ID = mysql_staff.staff_id\n")
+    s = settings_from_ini(str(ini))
+    assert s == {"ora_emp": "mysql_staff", "chunk_size": "5000", "ora_emp.emp_id": "mysql_staff.staff_id"}
+    spec = MigrationSpec.from_settings(s, source_root="/s", target_root="/t")
+    assert spec.tables[0].chunk_size == 5000 and dict(spec.tables[0].columns) == {"emp_id": "staff_id"}
+    with pytest.raises(FileNotFoundError):
+        settings_from_ini(str(tmp_path / "missing.ini"))

@@ -38,6 +38,17 @@ def kafka_options(bootstrap_servers: str, topic: str, *, starting_offsets: str =
     return opts
 
 
+def read_messages(spark, fmt: str = "kafka", path: str | None = None,
+                  options: dict[str, str] | None = None) -> DataFrame:
+    """A bounded batch of messages with the Kafka source's columns.
+
+    For Kafka pass ``kafka_options(...)`` plus ``endingOffsets``; a file
+    format reads files already holding those columns.
+    """
+    r = spark.read.format(fmt).options(**(options or {}))
+    return r.load(path) if path else r.load()
+
+
 def message_text(events: DataFrame) -> DataFrame:
     """``(seq, text)``: one JSON message per event, with faults injected by kind."""
     eid = F.col("event_id")

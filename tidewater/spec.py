@@ -9,6 +9,7 @@ reused; the parsing of settings files itself is left to the caller.
 
 from __future__ import annotations
 
+import configparser
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -21,6 +22,17 @@ INCREMENTAL_SUFFIX = "incremental_column"
 DEFAULT_CHUNK_SIZE = 10000
 
 
+def settings_from_ini(path: str, section: str = "migration") -> dict[str, str]:
+    """The options of one section of an INI settings file (keys lower-cased).
+
+    A missing file raises ``FileNotFoundError``; a missing section gives {}.
+    """
+    parser = configparser.ConfigParser()
+    if not parser.read(path):
+        raise FileNotFoundError(path)
+    return dict(parser.items(section)) if parser.has_section(section) else {}
+
+
 @dataclass(frozen=True)
 class TableSpec:
     source: str                                   # source table name
