@@ -188,3 +188,12 @@ def test_jdbc_merge_statements():
         "INSERT INTO `t` (`pk_col`) SELECT `pk_col` FROM `t_stg`"
     ansi = merge_statement("t", "s", ["id", "v"], ["id"], dialect="ansi")
     assert ansi.startswith('MERGE INTO "t" t USING "s" s ON (t."id" = s."id") WHEN MATCHED THEN UPDATE SET "v" = s."v"')
+
+
+def test_insert_only_stats(spark):
+    from tidewater.operators.upsert import insert_only_stats
+    tgt = spark.createDataFrame([(101,)], "pk_col long")
+    ok = insert_only_stats(tgt, spark.createDataFrame([(102,), (103,)], "pk_col long")).first()
+    assert tuple(ok) == (2, 2, 0, 0, 2)
+    bad = insert_only_stats(tgt, spark.createDataFrame([(101,), (102,), (103,), (103,)], "pk_col long")).first()
+    assert tuple(bad) == (4, 3, 2, 4, 0)

@@ -12,7 +12,7 @@ from tidewater.operators.dedup import keep_last
 from tidewater.operators.enrich import enrich_left, enrich_stats, load_lookup
 from tidewater.operators.marks import batch_max, commit_gate, fold_mark
 from tidewater.operators.rename import rename_columns, select_mapped
-from tidewater.operators.upsert import affected_rows, insert_only, upsert
+from tidewater.operators.upsert import affected_rows, insert_only_stats, upsert
 from tidewater.operators.validate import validation_stats
 from tidewater.plans.combine import combine_folder
 from tidewater.plans.ingest import (dedup_stats, dedup_valid, decode_messages, ingest_batch)
@@ -225,15 +225,7 @@ def q_affected_rows(spark, sf):
 
 def insert_only_conflicts(spark, sf):
     p = _t(spark, sf, "part").select("p_partkey")
-    target = p.where(F.col("p_partkey") % 2 == 0)
-    new_rows, conflicts = insert_only(target, p, ["p_partkey"])
-    counts = p.agg(F.count(F.lit(1)).alias("source_rows")).crossJoin(
-        new_rows.agg(F.count(F.lit(1)).alias("new_keys"))).crossJoin(
-        conflicts.agg(F.count(F.lit(1)).alias("conflict_keys")))
-    failed = F.col("conflict_keys") > 0
-    return counts.select("source_rows", "new_keys", "conflict_keys",
-                         F.when(failed, F.col("source_rows")).otherwise(F.lit(0).cast("bigint")).alias("failed_rows"),
-                         F.when(failed, F.lit(0).cast("bigint")).otherwise(F.col("new_keys")).alias("inserted_rows"))
+    return insert_only_stats(p.where(F.col("p_partkey") % 2 == 0), p, ["p_partkey"])
 
 
 def incremental_two_runs(spark, sf, buckets: int | None = None):

@@ -29,7 +29,7 @@ def decode_json(value: Column, dtype: DataType | None = None) -> Column:
 
 def text_kind(text: Column) -> Column:
     """Kind of a *valid* JSON text from its first non-blank character (no parse, no walk)."""
-    first = F.substring(F.ltrim(F.regexp_replace(F.substring(text, 1, 64), r"^\s+", "")), 1, 1)
+    first = F.regexp_extract(text, r"^\s*(\S)", 1)  # anchored: reads only leading blanks
     kind = F.when(first == F.lit(_KIND_BY_FIRST_CHAR[0][0]), F.lit(_KIND_BY_FIRST_CHAR[0][1]))
     for ch, name in _KIND_BY_FIRST_CHAR[1:]:
         kind = kind.when(first == F.lit(ch), F.lit(name))

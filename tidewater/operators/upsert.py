@@ -98,6 +98,32 @@ def cur_type(df: DataFrame, cols: Sequence[str]):
     return df.select(F.struct(*[_q(c) for c in cols]).alias("s")).schema["s"].dataType
 
 
+def insert_only_stats(target: DataFrame, source: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
+    """One row: ``source_rows, new_keys, conflict_keys, failed_rows, inserted_rows``.
+
+    Counted in one grouped pass (rows per key, and whether the key exists):
+    ``new_keys`` counts source rows whose key is not in the target; a key in
+    the target or repeated in the batch is a conflict, and any conflict
+    fails the whole batch (every row failed, none inserted).
+    """
+    keys = list(keys or source.columns[:1])
+    tk = target.select(*keys).distinct().withColumn("_in_t", F.lit(True))
+    per_key = (source.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+               .join(tk, keys, "left"))
+    conflict = F.col("_in_t").isNotNull() | (F.col("_n") > 1)
+    counts = per_key.agg(
+        F.sum("_n").cast("bigint").alias("source_rows"),
+        F.coalesce(F.sum(F.when(F.col("_in_t").isNull(), F.col("_n"))), F.lit(0)).cast("bigint")
+        .alias("new_keys"),
+        F.count_if(conflict).alias("conflict_keys"))
+    failed = F.col("conflict_keys") > 0
+    return counts.select(
+        F.coalesce("source_rows", F.lit(0).cast("bigint")).alias("source_rows"), "new_keys",
+        "conflict_keys",
+        F.when(failed, F.col("source_rows")).otherwise(F.lit(0).cast("bigint")).alias("failed_rows"),
+        F.when(failed, F.lit(0).cast("bigint")).otherwise(F.col("new_keys")).alias("inserted_rows"))
+
+
 # Rows affected by INSERT ... ON DUPLICATE KEY UPDATE.
 AFFECTED_INSERT, AFFECTED_UPDATE, AFFECTED_SAME = 1, 2, 0
 
