@@ -57,3 +57,17 @@ def test_combine_writes_one_output_per_csv(spark, scratch):
     parts = sorted(glob.glob(os.path.join(local, "out_name=combined_a.csv", "part-*")))
     text = "".join(open(p).read() for p in parts)
     assert text == "id,name,amount\n1,x,2.5\n2,y,3.5\nline one\nline two\n"
+
+
+def test_raw_read_never_truncates(spark, scratch):
+    import pytest
+    d = f"{scratch}/wide"
+    spark.createDataFrame([("a,b",), ('1,"x,y"',), ("5",), ("1,2,3,4",)], "v string").coalesce(1) \
+        .write.text(d + "/tmp")
+    # put the text file in place as a .csv
+    from tidewater.sources.files import _single_file
+    _single_file(spark, d + "/tmp", d + "/w.csv", ".txt")
+    with pytest.raises(Exception):
+        read_csv_folder_raw(spark, d).collect()
+    rows = sorted(tuple(r) for r in read_csv_folder_raw(spark, d, width=4).collect())
+    assert ("w.csv", "1", "2", "3", "4") in rows and ("w.csv", "1", "x,y", None, None) in rows

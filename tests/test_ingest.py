@@ -189,3 +189,9 @@ def test_stream_cross_batch_dedup_option(spark, scratch):
     base.where("offset > 0").write.parquet(f"{scratch}/src/part=b")
     run()
     assert spark.read.parquet(f"{scratch}/sink").count() == 1
+
+
+def test_root_kind_reads_past_any_leading_blanks(spark):
+    vals = [" " * 200 + json.dumps(GOOD), "\n\t[1]", ' "s"', "12", " null"]
+    got = [r.kind for r in decode_messages(_msgs(spark, vals)).orderBy("offset").collect()]
+    assert got == ["object", "array", "string", "number", "null"]

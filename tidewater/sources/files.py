@@ -90,15 +90,28 @@ def read_csv_folder_raw(spark: SparkSession, folder: str, width: int | None = No
 
     Columns are ``file_name, _c0 .. _c{width-1}``; short rows are padded
     with NULL. ``width`` defaults to the widest first line among the files.
+    A later row wider than ``width`` fails the read (pass a larger
+    ``width``) rather than losing its extra fields.
     """
     if width is None:
         widths = _per_file(csv_files(spark, folder),
                            lambda f: len(spark.read.option("header", False).csv(f).columns))
         width = max(widths, default=0)
-    schema = StructType([StructField(f"_c{i}", StringType()) for i in range(width)])
+    names = [f"_c{i}" for i in range(width)]
+    schema = StructType([StructField(n, StringType()) for n in names]
+                        + [StructField("_bad_row", StringType())])
     df = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_bad_row")
           .option("pathGlobFilter", CSV_GLOB).csv(folder))
-    return df.select(_file_name(), *schema.fieldNames())
+    if not names:
+        return df.select(_file_name())
+    # A row whose shape differs from the schema is kept in _bad_row; count its
+    # fields (commas outside quoted sections) to tell a short row from a wide one.
+    fields = F.size(F.split(F.regexp_replace("_bad_row", r'"(?:[^"]|"")*"', "q"), ","))
+    wider = F.col("_bad_row").isNotNull() & (fields > width)
+    last = F.when(wider, F.raise_error(F.lit(f"CSV row wider than {width} fields; pass width=")))
+    cols = [F.col(n) for n in names[:-1]] + [last.otherwise(F.col(names[-1])).alias(names[-1])]
+    return df.select(_file_name(), *cols)
 
 
 def read_csv_folder_typed(spark: SparkSession, folder: str) -> DataFrame:
