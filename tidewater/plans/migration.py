@@ -78,27 +78,31 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             inc = next((c for c in src.columns if c.lower() == inc.lower()), inc)
             run.incremental_column = inc
             run.hwm_type = src.schema[inc].dataType.simpleString()
-        data = nan_to_null(rename_columns(extract(src, inc, mark), t.columns, t.only_mapped))
+        delta = extract(src, inc, mark)
+        # One pass over the source: the batch is frozen in the shared
+        # checkpoint folder, and its size and maximum mark are observed on the
+        # extract itself (before renames and transforms, as the mark describes
+        # what was read), so the load and the new mark cover the same rows.
+        read_obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
+        read_metrics = [F.count(F.lit(1)).alias("rows")]
+        if inc:
+            read_metrics.append(encode_mark(batch_max(delta, inc), src.schema[inc].dataType).alias("mx"))
+        data = nan_to_null(rename_columns(delta.observe(read_obs, *read_metrics), t.columns,
+                                          t.only_mapped))
         for fn in t.transforms:
             data = data.transform(fn)
         keys = list(t.keys or data.columns[:1])
-        order = [rename_name(t, inc)] if inc else []
+        inc_out = rename_name(t, inc) if inc else None
+        order = [inc_out] if inc_out in data.columns else []
         # Versions of one key are applied in incremental-column order; the
         # remaining columns break ties deterministically.
         order += [c for c in data.columns if c not in keys and c not in order]
-        # One pass over the source: freeze the batch in the shared checkpoint
-        # folder and observe its size, NULL keys and maximum mark on the way,
-        # so the load and the new mark are computed from the same rows.
-        obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
-        metrics = [F.count(F.lit(1)).alias("rows"),
-                   F.count_if(reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys]))
-                   .alias("null_keys")]
-        if inc:
-            dtype = src.schema[inc].dataType
-            metrics.append(encode_mark(batch_max(data, order[0]), dtype).alias("mx"))
+        load_obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
         checkpoint_root(spark)
-        frozen = data.observe(obs, *metrics).checkpoint(eager=True)
-        m = obs.get
+        frozen = data.observe(load_obs, F.count_if(
+            reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).alias("null_keys")) \
+            .checkpoint(eager=True)
+        m = {**read_obs.get, **load_obs.get}
         run.rows = int(m["rows"])
         if inc:
             # rows above the old mark only: their maximum, when any, is the larger
