@@ -32,11 +32,28 @@ class IngestResult:
     quarantine: DataFrame     # rejected at load: bad_timestamp
 
 
-def decode_messages(messages: DataFrame) -> DataFrame:
+def spread(messages: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Rebalance a batch read as fewer partitions than the cluster has cores.
+
+    Parsing is the CPU-heavy step; a source with few splits (one large
+    file, a topic with few partitions) would parse in a handful of tasks.
+    Inputs that already have enough partitions are left alone, so large
+    batches never pay the extra exchange.
+    """
+    want = min_partitions or messages.sparkSession.sparkContext.defaultParallelism
+    if messages.rdd.getNumPartitions() < want:
+        return messages.repartition(want, *ORDER)
+    return messages
+
+
+def decode_messages(messages: DataFrame, rebalance: bool = True) -> DataFrame:
     """``partition, offset, v, kind`` for every message; ``v`` NULL when undecodable.
 
-    The JSON text is parsed once per message (see ``evaluate_once``).
+    The JSON text is parsed once per message (see ``evaluate_once``); a
+    batch read as too few partitions is first spread over the cluster.
     """
+    if rebalance:
+        messages = spread(messages)
     dtype = messages.schema["value"].dataType
     v = decode_json(F.col("value"), dtype)
     kind = text_kind(message_text(F.col("value"), dtype))
@@ -64,23 +81,9 @@ def dedup_stats(validated: DataFrame, key: str = "event_id") -> DataFrame:
         "input_rows", "unique_rows", (F.col("input_rows") - F.col("unique_rows")).alias("duplicates"))
 
 
-def spread(messages: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Rebalance a batch read as fewer partitions than the cluster has cores.
-
-    Parsing is the CPU-heavy step; a source with few splits (one large
-    file, a topic with few partitions) would parse in a handful of tasks.
-    Inputs that already have enough partitions are left alone, so large
-    batches never pay the extra exchange.
-    """
-    want = min_partitions or messages.sparkSession.sparkContext.defaultParallelism
-    if messages.rdd.getNumPartitions() < want:
-        return messages.repartition(want, *ORDER)
-    return messages
-
-
 def ingest_batch(messages: DataFrame, lookup: DataFrame, spec: IngestSpec = IngestSpec(),
                  lookup_broadcast: bool | None = None) -> IngestResult:
-    decoded = decode_messages(spread(messages))
+    decoded = decode_messages(messages)
     ok = decoded
     if spec.max_messages:
         ok = bounded_batch(ok, spec.max_messages, ORDER)
