@@ -25,7 +25,7 @@ from tidewater.sinks.versioned import read_current
 from tidewater.sources.files import (export_csv, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_whole)
 from tidewater.sources.messages import bounded_batch, messages_from_events
-from tidewater.sources.tables import chunk_stats, extract
+from tidewater.sources.tables import chunk_stats, extract, read_table
 from tidewater.spec import MigrationSpec, TableSpec
 from tidewater.streaming.ingest_stream import ingest_stream, read_message_stream
 from tidewater.operators.validate import validate_messages
@@ -352,7 +352,7 @@ def q_enrich_stats(spark, sf):
 
 def enrich_lookup_down(spark, sf):
     missing = f"{sf.rstrip('/')}/user_profiles_unreachable.parquet"
-    dim, ok = load_lookup(spark, lambda: spark.read.parquet(missing), "user_id",
+    dim, ok = load_lookup(spark, lambda: read_table(spark, missing), "user_id",
                           ["user_name", "user_location"])
     e = _enriched(spark, sf, dim)
     return e.select(F.col("offset").alias("seq"), "event_id", "user_id", "user_name", "user_location",

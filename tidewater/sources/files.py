@@ -15,6 +15,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from tidewater.sources.tables import path_exists
+
 # The file-name filter of the folder jobs.
 CSV_GLOB = "*.csv"
 
@@ -138,10 +140,14 @@ def read_text_whole(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
     An absent file (or folder) is reported as ``found = false``, not raised.
     """
-    try:
-        text = (spark.read.option("pathGlobFilter", name)
-                .text(folder, wholetext=True).select(_file_name(), F.col("value").alias("content")))
-    except AnalysisException:
+    text = None
+    if path_exists(spark, folder):
+        try:
+            text = (spark.read.option("pathGlobFilter", name)
+                    .text(folder, wholetext=True).select(_file_name(), F.col("value").alias("content")))
+        except AnalysisException:
+            text = None
+    if text is None:
         text = spark.createDataFrame([], "file_name string, content string")
     want = spark.createDataFrame([(name,)], "file_name string")
     return (want.join(text, "file_name", "left")

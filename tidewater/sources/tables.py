@@ -16,15 +16,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tidewater.functions.marks import Mark
 
 
+def path_exists(spark: SparkSession, location: str) -> bool:
+    """Whether a file path (or glob) matches anything, checked on the file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(location)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(p)
+    return found is not None and len(found) > 0
+
+
 def read_table(spark: SparkSession, location: str, fmt: str = "parquet",
                options: Mapping[str, str] | None = None) -> DataFrame:
-    """A source table: a parquet/ORC/... path, a catalog table, or JDBC."""
+    """A source table: a parquet/ORC/... path, a catalog table, or JDBC.
+
+    A file source whose path matches nothing raises ``FileNotFoundError``.
+    """
     opts = dict(options or {})
     if fmt == "table":
         return spark.read.table(location)
     if fmt == "jdbc":
         opts.setdefault("dbtable", location)
         return spark.read.format("jdbc").options(**opts).load()
+    if not path_exists(spark, location):
+        raise FileNotFoundError(location)
     return spark.read.format(fmt).options(**opts).load(location)
 
 
