@@ -89,3 +89,25 @@ def test_jdbc_range_options_from_chunk_size():
     o = jdbc_range_options("jdbc:x", "id", 1, 25000, 10000, dbtable="t")
     assert (o["partitionColumn"], o["numPartitions"], o["lowerBound"], o["upperBound"]) == ("id", "3", "1", "25001")
     assert "partitionColumn" not in jdbc_range_options("jdbc:x", "id", 1, 25000, None, dbtable="t")
+
+
+def test_control_table_empty_folder_and_nested_save(spark, scratch):
+    import os
+    empty = f"{scratch}/empty"
+    os.makedirs(empty.replace("file:", ""), exist_ok=True)
+    assert read_control(spark, empty).count() == 0
+    nested = f"{scratch}/a/b/c/state"
+    rows = spark.createDataFrame([("t", "5", "bigint")], "table_name string, hwm_value string, hwm_type string")
+    append_control(rows, nested, "r1")
+    assert [tuple(r) for r in read_control(spark, nested).collect()] == [("t", "5", "bigint")]
+
+
+def test_mark_round_trip_types(spark):
+    from pyspark.sql.types import DateType, DoubleType, LongType, TimestampNTZType
+    from tidewater.functions.marks import encode_mark
+    df = spark.createDataFrame([(dt.datetime(2024, 1, 2, 3, 4, 5, 6), dt.date(2024, 1, 2), 7, 2.5)],
+                               "a timestamp_ntz, b date, c long, d double")
+    for col, t in (("a", TimestampNTZType()), ("b", DateType()), ("c", LongType()), ("d", DoubleType())):
+        text = df.select(encode_mark(F.col(col), t)).first()[0]
+        back = df.select(Mark(text, t.simpleString()).literal().alias("x")).first()[0]
+        assert back == df.first()[col]

@@ -34,7 +34,8 @@ def _single_file(spark: SparkSession, tmp_dir: str, dest: str, suffix: str) -> N
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file in {tmp_dir}, found {len(parts)}")
     jvm = spark.sparkContext._jvm
-    fs.rename(parts[0], jvm.org.apache.hadoop.fs.Path(dest))
+    if not fs.rename(parts[0], jvm.org.apache.hadoop.fs.Path(dest)):
+        raise RuntimeError(f"could not move {parts[0]} to {dest}")
     fs.delete(tmp, True)
 
 
