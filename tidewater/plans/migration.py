@@ -21,7 +21,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewater.functions.coerce import nan_to_null
 from tidewater.functions.marks import Mark, encode_mark
-from tidewater.operators.marks import batch_max, commit_gate
+from tidewater.operators.marks import batch_max, commit_gate, fold_mark
 from tidewater.operators.rename import rename_columns
 from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, upsert
 from tidewater.session import checkpoint_root
@@ -78,7 +78,7 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             inc = next((c for c in src.columns if c.lower() == inc.lower()), inc)
             run.incremental_column = inc
             run.hwm_type = src.schema[inc].dataType.simpleString()
-        delta = extract(src, inc, mark)
+        delta = extract(src, inc, mark, lookback=t.lookback)
         # One pass over the source: the batch is frozen in the shared
         # checkpoint folder, and its size and maximum mark are observed on the
         # extract itself (before renames and transforms, as the mark describes
@@ -86,7 +86,10 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         read_obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
         read_metrics = [F.count(F.lit(1)).alias("rows")]
         if inc:
-            read_metrics.append(encode_mark(batch_max(delta, inc), src.schema[inc].dataType).alias("mx"))
+            dtype = src.schema[inc].dataType
+            old = mark.literal().cast(dtype) if mark else F.lit(None).cast(dtype)
+            # new mark = larger of the old mark and this batch's maximum
+            read_metrics.append(encode_mark(fold_mark(old, batch_max(delta, inc)), dtype).alias("mx"))
         data = nan_to_null(rename_columns(delta.observe(read_obs, *read_metrics), t.columns,
                                           t.only_mapped))
         for fn in t.transforms:
@@ -105,8 +108,7 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         m = {**read_obs.get, **load_obs.get}
         run.rows = int(m["rows"])
         if inc:
-            # rows above the old mark only: their maximum, when any, is the larger
-            run.new_mark = m["mx"] if m["mx"] is not None else run.old_mark
+            run.new_mark = m["mx"]
         if run.rows == 0 or not frozen.columns:
             run.status = EMPTY
             return run

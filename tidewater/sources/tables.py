@@ -80,7 +80,8 @@ def jdbc_range_options(url: str, column: str, lower_bound: int, upper_bound: int
 
 
 def extract(df: DataFrame, incremental_column: str | None = None,
-            mark: Mark | object | None = None, upper: Mark | object | None = None) -> DataFrame:
+            mark: Mark | object | None = None, upper: Mark | object | None = None,
+            lookback: str | int | float | None = None) -> DataFrame:
     """Rows to move in this run.
 
     * no incremental column -> every row (a supplied mark is ignored);
@@ -89,6 +90,10 @@ def extract(df: DataFrame, incremental_column: str | None = None,
 
     ``upper`` closes the range (``col <= upper``) so that a load and the
     mark computed for it see the same rows while the source keeps changing.
+    ``lookback`` widens the lower bound to ``mark - lookback`` (an interval
+    such as ``"1 hour"`` for temporal columns, a number otherwise) to pick up
+    late rows; re-reading rows is safe because the upsert is idempotent.
+    The bound stays a constant, so it is still pushed into the scan.
     """
     if not incremental_column:
         return df
@@ -97,7 +102,11 @@ def extract(df: DataFrame, incremental_column: str | None = None,
     cond = None
     m = Mark.of(mark, dtype) if mark is not None and not isinstance(mark, Mark) else mark
     if m is not None:
-        cond = c > m.literal().cast(dtype)
+        low = m.literal().cast(dtype)
+        if lookback is not None:
+            low = (low - F.expr(f"INTERVAL {lookback}") if isinstance(lookback, str)
+                   else low - F.lit(lookback)).cast(dtype)
+        cond = c > low
     u = Mark.of(upper, dtype) if upper is not None and not isinstance(upper, Mark) else upper
     if u is not None:
         bound = c <= u.literal().cast(dtype)

@@ -47,6 +47,7 @@ class TableSpec:
     source_options: Mapping[str, str] = field(default_factory=dict)
     max_broadcast_rows: int = 2_000_000           # change sets up to this size are broadcast
     buckets: int | None = None                    # target partitioned by key bucket; None -> versioned
+    lookback: str | int | float | None = None     # re-read window below the mark for late rows
 
 
 @dataclass(frozen=True)
