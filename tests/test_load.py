@@ -87,14 +87,15 @@ def _events(spark, n=40):
     return spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, value double")
 
 
-def test_two_incremental_runs_equal_one_full_run(spark, scratch):
+@pytest.mark.parametrize("freeze", [True, False])
+def test_two_incremental_runs_equal_one_full_run(spark, scratch, freeze):
     ev = _events(spark)
     ev.where("event_id < 25").write.parquet(f"{scratch}/snap")
     ev.write.parquet(f"{scratch}/full")
 
     def spec(path, root):
         t = TableSpec(source="ev", target="ev_t", incremental_column="ts", keys=["user_id"],
-                      source_options={"path": path})
+                      source_options={"path": path}, freeze=freeze)
         return MigrationSpec([t], source_root=scratch, target_root=f"{scratch}/{root}",
                              state_path=f"{scratch}/{root}_ctl")
 
@@ -111,13 +112,14 @@ def test_two_incremental_runs_equal_one_full_run(spark, scratch):
     assert r3.rows == 0 and not r3.advanced and r3.mark == r2.mark
 
 
-def test_failed_table_is_isolated(spark, scratch):
+@pytest.mark.parametrize("freeze", [True, False])
+def test_failed_table_is_isolated(spark, scratch, freeze):
     ev = _events(spark)
     ev.write.parquet(f"{scratch}/full")
     tables = [TableSpec(source="missing", target="m_t", incremental_column="ts",
                         source_options={"path": f"{scratch}/nope"}),
               TableSpec(source="nulls", target="n_t", incremental_column="ts",
-                        source_options={"path": f"{scratch}/full"},
+                        source_options={"path": f"{scratch}/full"}, freeze=freeze,
                         transforms=(lambda d: d.withColumn("event_id", F.lit(None).cast("long")),)),
               TableSpec(source="ev", target="ev_t", incremental_column="ts",
                         source_options={"path": f"{scratch}/full"})]

@@ -79,33 +79,48 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             run.incremental_column = inc
             run.hwm_type = src.schema[inc].dataType.simpleString()
         delta = extract(src, inc, mark, lookback=t.lookback)
-        # One pass over the source: the batch is frozen in the shared
-        # checkpoint folder, and its size and maximum mark are observed on the
-        # extract itself (before renames and transforms, as the mark describes
-        # what was read), so the load and the new mark cover the same rows.
-        read_obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
-        read_metrics = [F.count(F.lit(1)).alias("rows")]
-        if inc:
-            dtype = src.schema[inc].dataType
-            old = mark.literal().cast(dtype) if mark else F.lit(None).cast(dtype)
-            # new mark = larger of the old mark and this batch's maximum
-            read_metrics.append(encode_mark(fold_mark(old, batch_max(delta, inc)), dtype).alias("mx"))
-        data = nan_to_null(rename_columns(delta.observe(read_obs, *read_metrics), t.columns,
-                                          t.only_mapped))
-        for fn in t.transforms:
-            data = data.transform(fn)
+
+        def prepared(df: DataFrame) -> DataFrame:
+            out = nan_to_null(rename_columns(df, t.columns, t.only_mapped))
+            for fn in t.transforms:
+                out = out.transform(fn)
+            return out
+
+        data = prepared(delta)
         keys = list(t.keys or data.columns[:1])
         inc_out = rename_name(t, inc) if inc else None
         order = [inc_out] if inc_out in data.columns else []
         # Versions of one key are applied in incremental-column order; the
         # remaining columns break ties deterministically.
         order += [c for c in data.columns if c not in keys and c not in order]
-        load_obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
-        checkpoint_root(spark)
-        frozen = data.observe(load_obs, F.count_if(
-            reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])).alias("null_keys")) \
-            .checkpoint(eager=True)
-        m = {**read_obs.get, **load_obs.get}
+        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        read_metrics = [F.count(F.lit(1)).alias("rows")]
+        if inc:
+            dtype = src.schema[inc].dataType
+            old = mark.literal().cast(dtype) if mark else F.lit(None).cast(dtype)
+            raw_max = batch_max(delta, inc)
+            # new mark = larger of the old mark and this batch's maximum
+            read_metrics += [encode_mark(fold_mark(old, raw_max), dtype).alias("mx"),
+                             encode_mark(raw_max, dtype).alias("batch_max")]
+        if should_freeze(t):
+            # Mutable source: read it once, freeze the batch in the shared
+            # checkpoint folder and observe size, maximum mark (on the extract,
+            # before renames and transforms) and NULL keys on that same pass.
+            read_obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
+            load_obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+            checkpoint_root(spark)
+            frozen = prepared(delta.observe(read_obs, *read_metrics)) \
+                .observe(load_obs, F.count_if(null_key).alias("null_keys")).checkpoint(eager=True)
+            m = {**read_obs.get, **load_obs.get}
+        else:
+            # Immutable files: one column-pruned aggregate gives the size and the
+            # maximum mark; the batch is then read bounded above by that maximum,
+            # so rows landing meanwhile wait for the next run.
+            m = delta.agg(*read_metrics).first().asDict()
+            bounded = extract(src, inc, mark, upper=Mark(m["batch_max"], run.hwm_type),
+                              lookback=t.lookback) if inc and m["batch_max"] is not None else delta
+            frozen = prepared(bounded)
+            m["null_keys"] = frozen.where(null_key).limit(1).count() if m["rows"] else 0
         run.rows = int(m["rows"])
         if inc:
             run.new_mark = m["mx"]
@@ -138,6 +153,13 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
     return run
 
 
+def should_freeze(t: TableSpec) -> bool:
+    """Freeze the batch (reliable checkpoint) unless the source is immutable files."""
+    if t.freeze is not None:
+        return t.freeze
+    return t.source_format in ("jdbc", "table")
+
+
 def rename_name(t: TableSpec, col: str) -> str:
     lower = {k.lower(): v for k, v in t.columns.items()}
     return lower.get(col.lower(), col)

@@ -48,6 +48,7 @@ class TableSpec:
     max_broadcast_rows: int = 2_000_000           # change sets up to this size are broadcast
     buckets: int | None = None                    # target partitioned by key bucket; None -> versioned
     lookback: str | int | float | None = None     # re-read window below the mark for late rows
+    freeze: bool | None = None                    # checkpoint the batch; None -> only mutable sources
 
 
 @dataclass(frozen=True)
