@@ -26,7 +26,7 @@ from tidewater.operators.rename import rename_columns
 from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, upsert
 from tidewater.session import checkpoint_root
 from tidewater.sinks.bucketed import read_bucketed, touched_buckets, upsert_bucketed
-from tidewater.sinks.control import append_control, read_control
+from tidewater.sinks.control import append_control, read_state
 from tidewater.sinks.versioned import publish, read_current
 from tidewater.sources.tables import extract, read_table
 from tidewater.spec import MigrationSpec, TableSpec
@@ -113,14 +113,25 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
                 .observe(load_obs, F.count_if(null_key).alias("null_keys")).checkpoint(eager=True)
             m = {**read_obs.get, **load_obs.get}
         else:
-            # Immutable files: one column-pruned aggregate gives the size and the
-            # maximum mark; the batch is then read bounded above by that maximum,
-            # so rows landing meanwhile wait for the next run.
-            m = delta.agg(*read_metrics).first().asDict()
+            # Immutable files: one column-pruned aggregate gives the size, the
+            # maximum mark and (without user transforms) the NULL keys; the
+            # batch is then read bounded above by that maximum, so rows landing
+            # meanwhile wait for the next run.
+            one_pass = not t.transforms and (not inc or inc_out in data.columns)
+            if one_pass:
+                probe = [F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("null_keys")]
+                if inc:
+                    top = batch_max(data, inc_out)
+                    probe += [encode_mark(fold_mark(old, top), dtype).alias("mx"),
+                              encode_mark(top, dtype).alias("batch_max")]
+                m = data.agg(*probe).first().asDict()
+            else:
+                m = delta.agg(*read_metrics).first().asDict()
             bounded = extract(src, inc, mark, upper=Mark(m["batch_max"], run.hwm_type),
                               lookback=t.lookback) if inc and m["batch_max"] is not None else delta
             frozen = prepared(bounded)
-            m["null_keys"] = frozen.where(null_key).limit(1).count() if m["rows"] else 0
+            if "null_keys" not in m:
+                m["null_keys"] = frozen.where(null_key).limit(1).count() if m["rows"] else 0
         run.rows = int(m["rows"])
         if inc:
             run.new_mark = m["mx"]
@@ -132,17 +143,27 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         root = f"{spec.target_root.rstrip('/')}/{t.target}"
         touched = touched_buckets(frozen, keys, t.buckets) if t.buckets else None
         current = read_bucketed(spark, root, touched) if t.buckets else read_current(spark, root)
-        if count_affected:
+
+        def count() -> int:
             # small batches (checked count) take the one-window plan
             skew_safe = run.rows > DEFAULT_SEQUENTIAL_ROWS
-            run.affected = int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe)
-                               .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
+            return int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe)
+                       .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
+
         strategy = "broadcast" if run.rows <= t.max_broadcast_rows else "shuffle"
-        if t.buckets:
-            upsert_bucketed(frozen, root, keys, t.buckets, order_by=order, strategy=strategy,
-                            touched=touched)
-        else:
-            publish(upsert(current, frozen, keys, order_by=order, strategy=strategy), root)
+
+        def write() -> None:
+            if t.buckets:
+                upsert_bucketed(frozen, root, keys, t.buckets, order_by=order, strategy=strategy,
+                                touched=touched)
+            else:
+                publish(upsert(current, frozen, keys, order_by=order, strategy=strategy), root)
+
+        # accounting and the load read the same frozen inputs: run them together
+        with ThreadPoolExecutor(max_workers=2) as pool:
+            counted = pool.submit(count) if count_affected else None
+            pool.submit(write).result()
+            run.affected = counted.result() if counted else 0
         run.status = OK
     except Exception as e:  # noqa: BLE001 - a failed table must not stop the others
         log.warning("table %s failed: %s", t.source, e)
@@ -179,8 +200,8 @@ def migrate_all(spark: SparkSession, spec: MigrationSpec, run_id: str | None = N
     Returns the per-table run summary with the gated ``mark``.
     """
     run_id = run_id or uuid.uuid4().hex
-    state = {r["table_name"]: Mark(r["hwm_value"], r["hwm_type"])
-             for r in read_control(spark, spec.state_path).collect()}
+    control = read_state(spark, spec.state_path)
+    state = {name: Mark(row[1], row[2]) for name, row in control.items()}
 
     def one(t: TableSpec) -> TableRun:
         return migrate_table(spark, spec, t, state.get(t.source), count_affected)
@@ -195,5 +216,5 @@ def migrate_all(spark: SparkSession, spec: MigrationSpec, run_id: str | None = N
     advanced = [(r["table_name"], r["mark"], r["hwm_type"]) for r in rows if r["advanced"]]
     if advanced:
         append_control(spark.createDataFrame(advanced, "table_name string, hwm_value string, hwm_type string"),
-                       spec.state_path, run_id)
+                       spec.state_path, run_id, base=control)
     return spark.createDataFrame(rows, gated.schema)

@@ -28,6 +28,11 @@ CONTROL_SCHEMA = StructType([
 STATE_COLUMNS = ("table_name", "hwm_value", "hwm_type")
 
 
+def read_state(spark: SparkSession, path: str) -> dict[str, tuple]:
+    """The current state as ``{table_name: row}`` (one row per table)."""
+    return _state(spark, path)
+
+
 def _state(spark: SparkSession, path: str) -> dict[str, tuple]:
     try:
         rows = read_current(spark, path)
@@ -45,11 +50,16 @@ def read_control(spark: SparkSession, path: str) -> DataFrame:
     return spark.createDataFrame(rows, StructType(CONTROL_SCHEMA.fields[:3])).coalesce(1)
 
 
-def append_control(marks: DataFrame, path: str, run_id: str) -> None:
-    """Save advanced marks ``(table_name, hwm_value, hwm_type)`` as a new state version."""
+def append_control(marks: DataFrame, path: str, run_id: str,
+                   base: dict[str, tuple] | None = None) -> None:
+    """Save advanced marks ``(table_name, hwm_value, hwm_type)`` as a new state version.
+
+    ``base`` is the state read at the start of the run (the run saves that
+    state plus its changes, as a whole document); None reads it now.
+    """
     spark = marks.sparkSession
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    state = _state(spark, path)
+    state = dict(base) if base is not None else _state(spark, path)
     for r in marks.select(*STATE_COLUMNS).collect():  # one row per advanced table
         state[r["table_name"]] = (r["table_name"], r["hwm_value"], r["hwm_type"], run_id, now)
     publish(spark.createDataFrame(sorted(state.values()), CONTROL_SCHEMA).coalesce(1), path)
