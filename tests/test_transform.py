@@ -1,4 +1,4 @@
-"""Rename / select / coercions (carried over from the reference's unit cases)."""
+"""Rename / select / coercions (the original unit cases, as result checks)."""
 
 import pytest
 
