@@ -195,3 +195,16 @@ def test_root_kind_reads_past_any_leading_blanks(spark):
     vals = [" " * 200 + json.dumps(GOOD), "\n\t[1]", ' "s"', "12", " null"]
     got = [r.kind for r in decode_messages(_msgs(spark, vals)).orderBy("offset").collect()]
     assert got == ["object", "array", "string", "number", "null"]
+
+
+def test_two_streams_into_one_sink_do_not_collide(spark, scratch):
+    from tidewater.catalog.queries import _lookup as lookup, _messages as messages
+    sf = "/root/testdata/sf0.001"
+    msgs = messages(spark, sf)
+    msgs.where("offset % 2 = 0").write.parquet(f"{scratch}/s1/part=a")
+    msgs.where("offset % 2 = 1").write.parquet(f"{scratch}/s2/part=a")
+    for src, ck in (("s1", "ck1"), ("s2", "ck2")):
+        ingest_stream(read_message_stream(spark, "parquet", f"{scratch}/{src}"), lookup(spark, sf),
+                      f"{scratch}/sink", f"{scratch}/{ck}")
+    sink = spark.read.parquet(f"{scratch}/sink")
+    assert sink.select("ingest_batch").distinct().count() == 2

@@ -12,6 +12,8 @@ dedup across batches.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, StructField,
@@ -68,9 +70,13 @@ def ingest_stream(stream: DataFrame, lookup: DataFrame, sink_path: str, checkpoi
                                 f"$.{spec.dedup_key}", "string")
         stream = cross_batch_dedup(stream, key, spec.cross_batch_delay)
 
+    # Replays of a micro-batch (same checkpoint) overwrite their own
+    # partitions; another checkpoint is another stream and never collides.
+    stream_id = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
+
     def each(batch: DataFrame, batch_id: int) -> None:
         result = ingest_batch(batch, lookup, spec, lookup_broadcast=fits)
-        append_daily(result.rows, sink_path, batch_id=batch_id)
+        append_daily(result.rows, sink_path, batch_id=f"{stream_id}-{batch_id:012d}")
 
     q = (stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())
