@@ -67,7 +67,7 @@ def test_control_table_missing_empty_and_latest(spark, scratch):
 
 
 def test_control_table_corrupt_reads_empty(spark, scratch):
-    spark.createDataFrame([("{invalid json format",)], "value string").write.text(f"{scratch}/v=00000001")
+    spark.createDataFrame([("{invalid json format",)], "value string").write.text(f"{scratch}/v=00000001.x")
     assert read_control(spark, scratch).count() == 0
 
 

@@ -1,13 +1,17 @@
 """Atomic table publish by version folder.
 
-Each load writes a complete new version ``root/v=<n>``; readers take the
-highest version whose ``_SUCCESS`` marker exists. A failed or lost job
+Each load writes a complete new version ``root/v=<n>.<tag>``; readers take
+the highest version whose ``_SUCCESS`` marker exists. A failed or lost job
 leaves no marker, so nothing half-written is ever read, and the version
-being read is never the one being written.
+being read is never the one being written. The random tag keeps two
+writers that pick the same number from writing into one folder; a table is
+still meant to have one writer at a time (the later publish wins).
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,7 +21,8 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
+    """Committed versions as sorted ``(number, folder name)``."""
     fs, p, jvm = _fs(spark, root)
     if not fs.exists(p):
         return []
@@ -27,7 +32,7 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
         if st.isDirectory() and name.startswith("v="):
             if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
                 try:
-                    out.append(int(name[2:]))
+                    out.append((int(name[2:].split(".")[0]), name))
                 except ValueError:
                     pass
     return sorted(out)
@@ -35,7 +40,7 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
 
 def current_version(spark: SparkSession, root: str) -> str | None:
     v = _versions(spark, root)
-    return f"{root.rstrip('/')}/v={v[-1]:08d}" if v else None
+    return f"{root.rstrip('/')}/{v[-1][1]}" if v else None
 
 
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
@@ -47,8 +52,8 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None) ->
     """Write ``df`` as the next version of the table at ``root``; returns its path."""
     spark = df.sparkSession
     v = _versions(spark, root)
-    nxt = (v[-1] + 1) if v else 1
-    path = f"{root.rstrip('/')}/v={nxt:08d}"
+    nxt = (v[-1][0] + 1) if v else 1
+    path = f"{root.rstrip('/')}/v={nxt:08d}.{uuid.uuid4().hex[:8]}"
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
