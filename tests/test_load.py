@@ -221,3 +221,13 @@ def test_lookback_rereads_late_rows_without_moving_mark_back(spark, scratch):
     assert 99 in {r.event_id for r in read_current(spark, f"{scratch}/t/ev_t").collect()}
     plain = extract(spark.read.parquet(f"{scratch}/src2"), "ts", r1.mark).count()
     assert plain == 0
+
+
+def test_publish_keeps_a_bounded_number_of_versions(spark, scratch):
+    import os
+    df = spark.createDataFrame([(1, "a", 1)], SCHEMA)
+    for _ in range(5):
+        publish(df, scratch, keep=2)
+    local = scratch.replace("file:", "")
+    assert len([n for n in os.listdir(local) if n.startswith("v=")]) == 2
+    assert read_current(spark, scratch).count() == 1

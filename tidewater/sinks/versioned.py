@@ -48,8 +48,17 @@ def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     return spark.read.parquet(path) if path else None
 
 
-def publish(df: DataFrame, root: str, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as the next version of the table at ``root``; returns its path."""
+DEFAULT_KEEP = 3
+
+
+def publish(df: DataFrame, root: str, partition_by: list[str] | None = None,
+            keep: int = DEFAULT_KEEP) -> str:
+    """Write ``df`` as the next version of the table at ``root``; returns its path.
+
+    After the new version is committed, versions older than the newest
+    ``keep`` are removed, so storage holds a bounded number of copies while
+    readers that started on the previous version can still finish.
+    """
     spark = df.sparkSession
     v = _versions(spark, root)
     nxt = (v[-1][0] + 1) if v else 1
@@ -58,4 +67,16 @@ def publish(df: DataFrame, root: str, partition_by: list[str] | None = None) ->
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
+    expire(spark, root, keep)
     return path
+
+
+def expire(spark: SparkSession, root: str, keep: int = DEFAULT_KEEP) -> list[str]:
+    """Remove committed versions older than the newest ``keep``; returns their names."""
+    if keep < 1:
+        raise ValueError("keep at least the current version")
+    fs, p, jvm = _fs(spark, root)
+    old = [name for _, name in _versions(spark, root)[:-keep]]
+    for name in old:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(p, name), True)
+    return old
