@@ -71,3 +71,28 @@ def test_raw_read_never_truncates(spark, scratch):
         read_csv_folder_raw(spark, d).collect()
     rows = sorted(tuple(r) for r in read_csv_folder_raw(spark, d, width=4).collect())
     assert ("w.csv", "1", "2", "3", "4") in rows and ("w.csv", "1", "x,y", None, None) in rows
+
+
+def test_lines_numbered_across_many_splits(spark, scratch):
+    """A file read as several splits keeps its line order and dense numbers."""
+    lines = [f"line {i:05d} " + "x" * (i % 50) for i in range(20000)]
+    d = f"{scratch}/big"
+    local = d.replace("file:", "")
+    import os
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, "big.txt"), "w") as f:
+        f.write("\n".join(lines) + "\n")
+    with open(os.path.join(local, "small.txt"), "w") as f:
+        f.write("a\n\nb")
+    prev = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = read_text_lines(spark, d)
+        assert df.rdd.getNumPartitions() > 4
+        got = {}
+        for r in df.collect():
+            got.setdefault(r.file_name, {})[r.line_no] = r.line
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
+    assert [got["big.txt"][i] for i in range(len(lines))] == lines
+    assert got["small.txt"] == {0: "a", 1: "", 2: "b"}

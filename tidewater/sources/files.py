@@ -12,7 +12,7 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tidewater.sources.tables import path_exists
@@ -155,20 +155,39 @@ def read_text_whole(spark: SparkSession, folder: str, name: str) -> DataFrame:
             .select("file_name", F.col("content").isNotNull().alias("found"), "content"))
 
 
-def read_text_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """``(file_name, line_no, line)`` with line numbers from 0, order kept.
+# Split tables up to this many rows are broadcast into the line numbering.
+MAX_BROADCAST_SPLITS = 1_000_000
+
 
-    Each file is one task (its lines need their position); the empty piece
-    after a final newline is not a line.
+def read_text_lines(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
+    """``(file_name, line_no, line)`` with line numbers from 0 in file order.
+
+    Files are read in splits by many tasks, never whole. Within a split the
+    rows keep file order, so a line's number is its position in the split
+    (from ``monotonically_increasing_id``, which counts rows within a
+    partition) plus the lines of the earlier splits of the same file (from a
+    table with one row per split). That table is broadcast when its size
+    bound (files + partitions) allows.
     """
     reader = spark.read
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    whole = reader.text(path, wholetext=True).select(_file_name(), "value")
-    parts = whole.select("file_name", F.posexplode(F.split("value", "\n")).alias("line_no", "line"),
-                         F.size(F.split("value", "\n")).alias("_n"))
-    return (parts.where(~((F.col("line_no") == F.col("_n") - 1) & (F.col("line") == "")))
-            .select("file_name", F.col("line_no").cast("bigint").alias("line_no"), "line"))
+    text = reader.text(path)
+    raw = text.select(F.col("_metadata.file_path").alias("_path"),
+                      F.col("_metadata.file_name").alias("file_name"),
+                      F.col("_metadata.file_block_start").alias("_block"),
+                      F.monotonically_increasing_id().alias("_id"),
+                      F.col("value").alias("line"))
+    splits = raw.groupBy("_path", "_block").agg(F.min("_id").alias("_first"),
+                                                F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_path").orderBy("_block")) - F.col("_n")
+    splits = splits.select("_path", "_block", "_first", before.alias("_before"))
+    bound = len(text.inputFiles()) + text.rdd.getNumPartitions()
+    if bound <= MAX_BROADCAST_SPLITS:
+        splits = F.broadcast(splits)
+    lines = raw.join(splits, ["_path", "_block"])
+    return lines.select("file_name", (F.col("_id") - F.col("_first") + F.col("_before"))
+                        .cast("bigint").alias("line_no"), "line")
 
 
 def base_name(path: str) -> str:
