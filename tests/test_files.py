@@ -96,3 +96,16 @@ def test_lines_numbered_across_many_splits(spark, scratch):
         spark.conf.set("spark.sql.files.maxPartitionBytes", prev)
     assert [got["big.txt"][i] for i in range(len(lines))] == lines
     assert got["small.txt"] == {0: "a", 1: "", 2: "b"}
+
+
+def test_export_csv_split_writes_one_sorted_file_per_residue(spark, scratch):
+    from tidewater.sources.files import export_csv_split
+    df = spark.createDataFrame([(i, f"n{i}") for i in range(100)], "k long, name string")
+    files = export_csv_split(df, scratch, "part", "k", 30)
+    assert [f.rsplit("/", 1)[1] for f in files] == ["part_0.csv", "part_1.csv", "part_2.csv", "part_3.csv"]
+    lines = read_text_lines(spark, scratch, "part_*.csv").collect()
+    by_file = {}
+    for r in sorted(lines, key=lambda r: (r.file_name, r.line_no)):
+        by_file.setdefault(r.file_name, []).append(r.line)
+    assert by_file["part_1.csv"][0] == "k,name"
+    assert [int(x.split(",")[0]) for x in by_file["part_1.csv"][1:]] == list(range(1, 100, 4))

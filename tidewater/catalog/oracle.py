@@ -186,22 +186,24 @@ UNION ALL SELECT 'TOTAL', NULL, CAST(sum(rows_processed) AS BIGINT), CAST(sum(ro
 """
 
 _CSV_RAW = """
+WITH """ + "{SPLIT}" + """
 SELECT 'nation.csv' AS file_name, 'n_nationkey' AS _c0, 'n_name' AS _c1, 'n_regionkey' AS _c2
 UNION ALL SELECT 'nation.csv', CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR) FROM nation
 UNION ALL SELECT 'region.csv', 'r_regionkey', 'r_name', NULL
 UNION ALL SELECT 'region.csv', CAST(r_regionkey AS VARCHAR), r_name, NULL FROM region
-UNION ALL SELECT 'supplier.csv', 's_suppkey', 's_name', 's_nationkey'
-UNION ALL SELECT 'supplier.csv', CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier
+UNION ALL SELECT file_name, 's_suppkey', 's_name', 's_nationkey' FROM supplier_files
+UNION ALL SELECT file_name, CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier_split
 """
 
 _CSV_TYPED = """
+WITH """ + "{SPLIT}" + """
 SELECT 'nation.csv' AS file_name, n_nationkey, n_name, n_regionkey,
        CAST(NULL AS INTEGER) AS r_regionkey, CAST(NULL AS VARCHAR) AS r_name,
        CAST(NULL AS INTEGER) AS s_suppkey, CAST(NULL AS VARCHAR) AS s_name,
        CAST(NULL AS INTEGER) AS s_nationkey FROM nation
 UNION ALL SELECT 'region.csv', NULL, NULL, NULL, r_regionkey, r_name, NULL, NULL, NULL FROM region
-UNION ALL SELECT 'supplier.csv', NULL, NULL, NULL, NULL, NULL, CAST(s_suppkey AS INTEGER), s_name,
-                 CAST(s_nationkey AS INTEGER) FROM supplier
+UNION ALL SELECT file_name, NULL, NULL, NULL, NULL, NULL, CAST(s_suppkey AS INTEGER), s_name,
+                 CAST(s_nationkey AS INTEGER) FROM supplier_split
 """
 
 _TEXT_WHOLE = """
@@ -213,7 +215,9 @@ UNION ALL SELECT 'missing.txt', false, NULL
 """
 
 _COMBINE_ORDER = """
-WITH files AS (SELECT * FROM (VALUES ('nation.csv'), ('region.csv'), ('supplier.csv')) f(file_name)),
+WITH """ + "{SPLIT}" + """,
+files AS (SELECT * FROM (VALUES ('nation.csv'), ('region.csv')) f(file_name)
+          UNION ALL SELECT file_name FROM supplier_files),
 csv AS (
   SELECT 'nation.csv' AS file_name, CAST(0 AS BIGINT) AS line_no, 'n_nationkey,n_name,n_regionkey' AS line
   UNION ALL SELECT 'nation.csv', row_number() OVER (ORDER BY n_nationkey),
@@ -221,15 +225,26 @@ csv AS (
   UNION ALL SELECT 'region.csv', 0, 'r_regionkey,r_name'
   UNION ALL SELECT 'region.csv', row_number() OVER (ORDER BY r_regionkey),
          CAST(r_regionkey AS VARCHAR) || ',' || r_name FROM region
-  UNION ALL SELECT 'supplier.csv', 0, 's_suppkey,s_name,s_nationkey'
-  UNION ALL SELECT 'supplier.csv', row_number() OVER (ORDER BY s_suppkey),
-         CAST(s_suppkey AS VARCHAR) || ',' || s_name || ',' || CAST(s_nationkey AS VARCHAR) FROM supplier),
+  UNION ALL SELECT file_name, 0, 's_suppkey,s_name,s_nationkey' FROM supplier_files
+  UNION ALL SELECT file_name, row_number() OVER (PARTITION BY file_name ORDER BY s_suppkey),
+         CAST(s_suppkey AS VARCHAR) || ',' || s_name || ',' || CAST(s_nationkey AS VARCHAR) FROM supplier_split),
 txt AS (SELECT row_number() OVER (ORDER BY s_suppkey) - 1 AS line_no, s_name AS line FROM supplier)
 SELECT 'combined_' || file_name AS out_name, 0 AS section, line_no, line FROM csv
 UNION ALL
 SELECT 'combined_' || f.file_name, 1, t.line_no, t.line FROM files f, txt t
 """
 
+# supplier is exported as supplier_<r>.csv, r = s_suppkey mod n, n = ceil(rows / 50000)
+_SPLIT = """
+split_n AS (SELECT greatest(1, CAST(ceil(count(*) / 50000.0) AS BIGINT)) AS n FROM supplier),
+supplier_split AS (
+  SELECT 'supplier_' || CAST(s_suppkey % n AS VARCHAR) || '.csv' AS file_name, s_suppkey, s_name, s_nationkey
+  FROM supplier, split_n),
+supplier_files AS (SELECT DISTINCT file_name FROM supplier_split)"""
+_CSV_RAW = _CSV_RAW.replace("{SPLIT}", _SPLIT)
+_CSV_TYPED = _CSV_TYPED.replace("{SPLIT}", _SPLIT)
+_COMBINE_ORDER = _COMBINE_ORDER.replace("{SPLIT}", _SPLIT)
+
 ORACLE_SQL: dict[str, str] = {
     "full_extract": "SELECT * FROM nation",
     "incremental_extract": "SELECT * FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00'",

@@ -22,7 +22,7 @@ from tidewater.sinks.control import append_control, read_control
 from tidewater.sinks.events import SINK_COLUMNS, append_daily
 from tidewater.sinks.bucketed import read_bucketed
 from tidewater.sinks.versioned import read_current
-from tidewater.sources.files import (export_csv, export_text, read_csv_folder_raw,
+from tidewater.sources.files import (export_csv, export_csv_split, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_whole)
 from tidewater.sources.messages import bounded_batch, messages_from_events
 from tidewater.sources.tables import chunk_stats, extract, read_table
@@ -38,6 +38,7 @@ FUTURE_MARK = "2100-01-01T00:00:00.000000"
 EVENTS_SPLIT = "2024-01-15T00:00:00"
 CHUNK_SIZE = 10000
 MAX_MESSAGES = 1000
+SUPPLIER_ROWS_PER_FILE = 50000
 RENAME_MAP = {"C_CUSTKEY": "customer_id", "c_name": "customer_name", "c_acctbal": "balance",
               "c_missing": "never_used"}
 
@@ -400,7 +401,7 @@ def _file_fixture(spark, sf) -> tuple[str, str]:
     supplier = _t(spark, sf, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     export_csv(_t(spark, sf, "nation"), csv_dir, "nation.csv", ["n_nationkey"])
     export_csv(_t(spark, sf, "region"), csv_dir, "region.csv", ["r_regionkey"])
-    export_csv(supplier, csv_dir, "supplier.csv", ["s_suppkey"])
+    export_csv_split(supplier, csv_dir, "supplier", "s_suppkey", SUPPLIER_ROWS_PER_FILE)
     export_csv(_t(spark, sf, "region"), csv_dir, "ignored.CSV", ["r_regionkey"])
     export_text(_t(spark, sf, "region").select("r_name", "r_regionkey"), txt_dir, "regions.txt",
                 ["r_regionkey"])

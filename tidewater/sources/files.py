@@ -67,6 +67,32 @@ def export_text(df: DataFrame, folder: str, name: str, order_by: list[str] | Non
     return dest
 
 
+def export_csv_split(df: DataFrame, folder: str, stem: str, key: str,
+                     rows_per_file: int) -> list[str]:
+    """Write ``df`` as ``stem_<r>.csv`` files, r = key mod n, n growing with the rows.
+
+    Each file is written by its own task (rows sorted by ``key``), so the
+    export runs in parallel however large the table is.
+    """
+    spark = df.sparkSession
+    n = max(1, -(-df.count() // rows_per_file))
+    tmp = f"{folder.rstrip('/')}/_tmp_{stem}"
+    (df.withColumn("_f", F.pmod(F.col(key), F.lit(n))).repartition(n, "_f")
+     .sortWithinPartitions("_f", key).write.mode("overwrite").option("header", True)
+     .partitionBy("_f").csv(tmp))
+    fs, root = _fs(spark, tmp)
+    jvm = spark.sparkContext._jvm
+    out = []
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if st.isDirectory() and name.startswith("_f="):
+            dest = f"{folder.rstrip('/')}/{stem}_{name[3:]}.csv"
+            _single_file(spark, st.getPath().toString(), dest, ".csv")
+            out.append(dest)
+    fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
+    return sorted(out)
+
+
 def csv_files(spark: SparkSession, folder: str) -> list[str]:
     """The ``*.csv`` files directly inside ``folder`` (a driver-side listing)."""
     return sorted(spark.read.option("pathGlobFilter", CSV_GLOB).text(folder).inputFiles())
