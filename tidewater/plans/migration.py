@@ -1,11 +1,13 @@
 """Incremental table migration, one table or many.
 
-Per table: read the rows above the mark -> freeze them once (reliable
-checkpoint in the shared checkpoint folder; the batch count and maximum
-mark are observed on that same pass, so the load and the new mark see the
-same rows) -> rename -> NaN to NULL -> count affected rows -> upsert into
-the current target version -> publish a new version. Any failure leaves
-the target and the mark of that table untouched; other tables go on.
+Per table: select the rows above the mark (pushed into the scan) -> rename
+-> NaN to NULL -> user transforms -> pin the batch so the load and the new
+mark cover the same rows (a mutable source is frozen once in the shared
+checkpoint folder with its metrics observed on that pass; immutable files
+are read bounded above by the observed maximum) -> count affected rows and
+upsert into the current target, concurrently -> publish a new version (or
+rewrite the touched key buckets). Any failure leaves the target and the
+mark of that table untouched; other tables go on.
 """
 
 from __future__ import annotations
@@ -13,8 +15,8 @@ from __future__ import annotations
 import logging
 import uuid
 from concurrent.futures import ThreadPoolExecutor
-from functools import reduce
 from dataclasses import asdict, dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
