@@ -158,7 +158,11 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     cur = F.struct(*[_q(c) for c in upd])
     kstruct = F.struct(*[_q(k) for k in keys])
     if skew_safe:
-        n = partitions or int(source.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        # an explicit range count keeps partition ids identical in both uses of
+        # ``ranged`` below; sized from the input, capped by the shuffle setting
+        spark = source.sparkSession
+        n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              max(source.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
         ranged = (source.repartitionByRange(n, *[_q(c) for c in (*keys, *order_by)])
                   .withColumn("_p", F.spark_partition_id()))
         w = Window.partitionBy("_p", *[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])

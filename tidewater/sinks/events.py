@@ -64,8 +64,7 @@ def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
     out = enforce_required(rows.select(*SINK_COLUMNS, "event_date")) \
         .observe(obs, F.count(F.lit(1)).alias("rows"))
     if cluster_by:
-        n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, "event_date", *cluster_by) \
+        out = out.repartitionByRange("event_date", *cluster_by) \
             .sortWithinPartitions("event_date", *cluster_by)
     if batch_id is None:
         out.write.mode("append").partitionBy("event_date").parquet(path)

@@ -15,7 +15,7 @@ def write_per_file_text(lines: DataFrame, path: str, name_col: str = "out_name",
     files of a folder, taken in name order, hold the lines in order.
     """
     key = [name_col, *order]
-    n = lines.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    (lines.repartitionByRange(int(n), *key).sortWithinPartitions(*key)
+    # no explicit count: AQE may merge adjacent ranges, which keeps the order
+    (lines.repartitionByRange(*key).sortWithinPartitions(*key)
      .select(F.col(value_col).alias("value"), name_col)
      .write.mode("overwrite").partitionBy(name_col).text(path))
