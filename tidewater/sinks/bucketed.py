@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidewater import paths
 from tidewater.operators.dedup import keep_last
 from tidewater.operators.upsert import upsert
 
@@ -27,13 +28,8 @@ def bucket_of(keys: Sequence[str], buckets: int) -> Column:
 
 
 def _exists(spark: SparkSession, root: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return False
-    return any(st.isDirectory() and st.getPath().getName().startswith(f"{BUCKET_COL}=")
-               for st in fs.listStatus(p))
+    return any(is_dir and name.startswith(f"{BUCKET_COL}=")
+               for name, _, is_dir in paths.list_dir(spark, root))
 
 
 def read_bucketed(spark: SparkSession, root: str, buckets: Sequence[int] | None = None) -> DataFrame | None:

@@ -14,27 +14,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
+from tidewater import paths
 
 
 def _versions(spark: SparkSession, root: str) -> list[tuple[int, str]]:
     """Committed versions as sorted ``(number, folder name)``."""
-    fs, p, jvm = _fs(spark, root)
-    if not fs.exists(p):
-        return []
     out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("v="):
-            if fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                try:
-                    out.append((int(name[2:].split(".")[0]), name))
-                except ValueError:
-                    pass
+    for name, full, is_dir in paths.list_dir(spark, root):
+        if is_dir and name.startswith("v=") and paths.exists(spark, f"{full}/_SUCCESS"):
+            try:
+                out.append((int(name[2:].split(".")[0]), name))
+            except ValueError:
+                pass
     return sorted(out)
 
 
@@ -75,8 +66,7 @@ def expire(spark: SparkSession, root: str, keep: int = DEFAULT_KEEP) -> list[str
     """Remove committed versions older than the newest ``keep``; returns their names."""
     if keep < 1:
         raise ValueError("keep at least the current version")
-    fs, p, jvm = _fs(spark, root)
     old = [name for _, name in _versions(spark, root)[:-keep]]
     for name in old:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(p, name), True)
+        paths.remove(spark, f"{root.rstrip('/')}/{name}")
     return old

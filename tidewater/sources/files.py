@@ -15,28 +15,20 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
+from tidewater import paths
 from tidewater.sources.tables import path_exists
 
 # The file-name filter of the folder jobs.
 CSV_GLOB = "*.csv"
 
 
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
 def _single_file(spark: SparkSession, tmp_dir: str, dest: str, suffix: str) -> None:
-    fs, tmp = _fs(spark, tmp_dir)
-    parts = [s.getPath() for s in fs.listStatus(tmp)
-             if s.getPath().getName().startswith("part-") and s.getPath().getName().endswith(suffix)]
+    parts = [full for name, full, _ in paths.list_dir(spark, tmp_dir)
+             if name.startswith("part-") and name.endswith(suffix)]
     if len(parts) != 1:
         raise RuntimeError(f"expected one part file in {tmp_dir}, found {len(parts)}")
-    jvm = spark.sparkContext._jvm
-    if not fs.rename(parts[0], jvm.org.apache.hadoop.fs.Path(dest)):
-        raise RuntimeError(f"could not move {parts[0]} to {dest}")
-    fs.delete(tmp, True)
+    paths.move(spark, parts[0], dest)
+    paths.remove(spark, tmp_dir)
 
 
 def export_csv(df: DataFrame, folder: str, name: str, order_by: list[str] | None = None,
@@ -80,16 +72,13 @@ def export_csv_split(df: DataFrame, folder: str, stem: str, key: str,
     (df.withColumn("_f", F.pmod(F.col(key), F.lit(n))).repartition(n, "_f")
      .sortWithinPartitions("_f", key).write.mode("overwrite").option("header", True)
      .partitionBy("_f").csv(tmp))
-    fs, root = _fs(spark, tmp)
-    jvm = spark.sparkContext._jvm
     out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("_f="):
+    for name, full, is_dir in paths.list_dir(spark, tmp):
+        if is_dir and name.startswith("_f="):
             dest = f"{folder.rstrip('/')}/{stem}_{name[3:]}.csv"
-            _single_file(spark, st.getPath().toString(), dest, ".csv")
+            _single_file(spark, full, dest, ".csv")
             out.append(dest)
-    fs.delete(jvm.org.apache.hadoop.fs.Path(tmp), True)
+    paths.remove(spark, tmp)
     return sorted(out)
 
 

@@ -13,16 +13,13 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tidewater import paths
 from tidewater.functions.marks import Mark
 
 
 def path_exists(spark: SparkSession, location: str) -> bool:
     """Whether a file path (or glob) matches anything, checked on the file system."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(location)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(p)
-    return found is not None and len(found) > 0
+    return paths.matches(spark, location)
 
 
 def read_table(spark: SparkSession, location: str, fmt: str = "parquet",
