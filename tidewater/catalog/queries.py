@@ -13,14 +13,14 @@ from tidewater.operators.enrich import enrich_left, enrich_stats, load_lookup
 from tidewater.operators.marks import batch_max, commit_gate, fold_mark
 from tidewater.operators.rename import rename_columns, select_mapped
 from tidewater.operators.upsert import affected_rows, insert_only_stats, upsert
-from tidewater.operators.validate import validation_stats
+from tidewater.operators.validate import validate_messages, validation_stats
 from tidewater.plans.combine import combine_folder
-from tidewater.plans.ingest import (dedup_stats, dedup_valid, decode_messages, ingest_batch)
+from tidewater.plans.ingest import dedup_stats, dedup_valid, decode_messages, ingest_batch
 from tidewater.plans.migration import migrate_all
 from tidewater.session import apply_defaults, scratch_path
 from tidewater.sinks.control import append_control, read_control
-from tidewater.sinks.events import SINK_COLUMNS, append_daily
 from tidewater.sinks.bucketed import read_bucketed
+from tidewater.sinks.events import SINK_COLUMNS, append_daily
 from tidewater.sinks.versioned import read_current
 from tidewater.sources.files import (export_csv, export_csv_split, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_whole)
@@ -28,7 +28,6 @@ from tidewater.sources.messages import bounded_batch, messages_from_events
 from tidewater.sources.tables import chunk_stats, extract, read_table
 from tidewater.spec import MigrationSpec, TableSpec
 from tidewater.streaming.ingest_stream import ingest_stream, read_message_stream
-from tidewater.operators.validate import validate_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +62,7 @@ def incremental_extract(spark, sf):
 
 
 def initial_extract(spark, sf):
+    # incremental column but no mark yet: every row, NULL marks included
     return extract(_t(spark, sf, "orders"), "o_orderdate", None)
 
 
