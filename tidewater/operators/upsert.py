@@ -17,6 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tidewater.operators.dedup import keep_last
+from tidewater.session import checkpoint_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
@@ -94,10 +95,6 @@ def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str] | None
     return new_rows, conflicts
 
 
-def cur_type(df: DataFrame, cols: Sequence[str]):
-    return df.select(F.struct(*[_q(c) for c in cols]).alias("s")).schema["s"].dataType
-
-
 def insert_only_stats(target: DataFrame, source: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """One row: ``source_rows, new_keys, conflict_keys, failed_rows, inserted_rows``.
 
@@ -137,17 +134,18 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     """Classify each source row applied in ``order_by`` order within its key.
 
     Adds ``change`` (insert / update / same) and ``affected`` (1 / 2 / 0):
-    a row is compared with the previous source row of its key, or with the
-    target row for the first one. Order columns absent from the target only
-    order the versions and are not compared.
-
-    With ``skew_safe`` (the default) versions are range-partitioned on
-    (key, order), so a key with many versions is spread over several tasks.
-    ``lag`` runs inside each (range, key) group; the first row of a group
-    takes its previous version from the last row of the preceding range (a
-    table with one row per range, broadcast) when that row has the same key,
-    else from the target. Only those first rows meet the target, so the
-    target join sees at most one row per key and range. Without
+    a row is compared with the previous version of its key: the previous
+    source row, or the target row for the first one. Order columns absent
+    from the target only order the versions and are not compared.
+
+    The target rows of the batch's keys join the source rows as each key's
+    version zero, so one ``lag`` over the versions gives every comparison.
+    With ``skew_safe`` (the default) the versions are range-partitioned on
+    (key, version order) and frozen once in the shared checkpoint folder; a
+    key with many versions is then spread over several ranges. ``lag`` runs
+    inside each (range, key) group, and the first row of a group takes its
+    previous version from the last row of the preceding range (a table with
+    one row per range, broadcast) when that row has the same key. Without
     ``skew_safe`` (for batches of a checked, small size) one window
     partitioned by key is used.
     """
@@ -157,40 +155,39 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
         upd = _check(target, source.drop(*[c for c in order_by if c not in target.columns]), keys)
     cur = F.struct(*[_q(c) for c in upd])
     kstruct = F.struct(*[_q(k) for k in keys])
+    versions = source.select(*[_q(c) for c in source.columns], F.lit(1).alias("_rank"))
+    if target is not None:
+        in_batch = source.select(*keys).distinct()
+        zero = target.join(in_batch, keys, "left_semi").select(
+            *[_q(c) if c in keys or c in upd else F.lit(None).cast(source.schema[c].dataType).alias(c)
+              for c in source.columns], F.lit(0).alias("_rank"))
+        versions = zero.unionByName(versions)
+    sequence = [F.col("_rank"), *[_q(c) for c in order_by]]
     if skew_safe:
-        # an explicit range count keeps partition ids identical in both uses of
-        # ``ranged`` below; sized from the input, capped by the shuffle setting
         spark = source.sparkSession
         n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
                               max(source.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
-        ranged = (source.repartitionByRange(n, *[_q(c) for c in (*keys, *order_by)])
-                  .withColumn("_p", F.spark_partition_id()))
-        w = Window.partitionBy("_p", *[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])
+        checkpoint_root(spark)
+        ranged = (versions.repartitionByRange(n, *[_q(k) for k in keys], *sequence)
+                  .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))
+        w = Window.partitionBy("_p", *[_q(k) for k in keys]).orderBy(*sequence)
         local = ranged.select("*", F.lag(cur).over(w).alias("_prev"),
                               F.lag(F.lit(1)).over(w).isNull().alias("_first"))
         # last row of every non-empty range; each range gets the one before it
+        # (the table has one row per range)
         last = ranged.groupBy("_p").agg(F.max_by(F.struct(kstruct.alias("k"), cur.alias("v")),
-                                                 F.struct(kstruct, *[_q(c) for c in order_by]))
-                                        .alias("_last"))
+                                                 F.struct(kstruct, *sequence)).alias("_last"))
         carry = last.select("_p", F.lag("_last").over(Window.orderBy("_p")).alias("_carry"))
         j = local.join(F.broadcast(carry), "_p", "left")
-        carried = F.when(F.col("_carry.k") == kstruct, F.col("_carry.v"))
-        j = j.select(*source.columns, F.when(~F.col("_first"), F.col("_prev"))
-                     .otherwise(carried).alias("_before"),
-                     (F.col("_first") & carried.isNull()).alias("_needs_target"))
+        before = F.when(~F.col("_first"), F.col("_prev")) \
+            .otherwise(F.when(F.col("_carry.k") == kstruct, F.col("_carry.v")))
     else:
-        w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*[_q(c) for c in order_by])
-        first = F.lag(F.lit(1)).over(w).isNull()
-        j = source.select("*", F.lag(cur).over(w).alias("_before"), first.alias("_needs_target"))
-    if target is not None:
-        tgt = (target.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_t"))
-               .join(source.select(*keys).distinct(), keys, "left_semi"))
-        firsts = j.where("_needs_target").join(tgt, keys, "left") \
-            .withColumn("_before", F.col("_t")).drop("_t")
-        j = j.where(~F.col("_needs_target")).unionByName(firsts)
-    before = F.col("_before")
-    change = (F.when(before.isNull(), F.lit("insert"))
-              .when(~cur.eqNullSafe(before), F.lit("update"))
+        w = Window.partitionBy(*[_q(k) for k in keys]).orderBy(*sequence)
+        j = versions
+        before = F.lag(cur).over(w)
+    j = j.select(*source.columns, "_rank", before.alias("_before")).where(F.col("_rank") == 1)
+    change = (F.when(F.col("_before").isNull(), F.lit("insert"))
+              .when(~cur.eqNullSafe(F.col("_before")), F.lit("update"))
               .otherwise(F.lit("same")))
     affected = (F.when(change == "insert", AFFECTED_INSERT)
                 .when(change == "update", AFFECTED_UPDATE).otherwise(AFFECTED_SAME))
