@@ -34,3 +34,16 @@ def test_upsert_and_affected_match_sequential_model(spark, target, source):
     for skew_safe in (True, False):
         a = affected_rows(tgt, src, ["id"], ["ver"], partitions=3, skew_safe=skew_safe)
         assert [r.affected for r in a.orderBy("ver").collect()] == counts
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(ROW, max_size=6, unique_by=lambda r: r[0]), st.lists(ROW, min_size=1, max_size=8,
+                                                                      unique_by=lambda r: r[0]))
+def test_unique_key_accounting_matches_model(spark, target, source):
+    tgt = spark.createDataFrame(target, SCHEMA)
+    src = spark.createDataFrame([(*r, i) for i, r in enumerate(source)], SCHEMA + ", ver long")
+    _, counts = _model(target, source)
+    a = affected_rows(tgt, src, ["id"], ["ver"], unique_keys=True)
+    assert [r.affected for r in a.orderBy("ver").collect()] == counts
+    b = affected_rows(None, src, ["id"], ["ver"], unique_keys=True)
+    assert [r.affected for r in b.collect()] == [1] * len(source)

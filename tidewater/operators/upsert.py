@@ -130,7 +130,7 @@ DEFAULT_SEQUENTIAL_ROWS = 1_000_000
 
 def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                   order_by: Sequence[str], partitions: int | None = None,
-                  skew_safe: bool = True) -> DataFrame:
+                  skew_safe: bool = True, unique_keys: bool = False) -> DataFrame:
     """Classify each source row applied in ``order_by`` order within its key.
 
     Adds ``change`` (insert / update / same) and ``affected`` (1 / 2 / 0):
@@ -147,7 +147,9 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     previous version from the last row of the preceding range (a table with
     one row per range, broadcast) when that row has the same key. Without
     ``skew_safe`` (for batches of a checked, small size) one window
-    partitioned by key is used.
+    partitioned by key is used. With ``unique_keys`` (checked by the caller:
+    each key at most once in the batch) the previous version is the target
+    row, and one join on the key replaces the ordering.
     """
     if target is None:  # first load: no target rows to compare with
         upd = [c for c in source.columns if c not in keys and c not in order_by]
@@ -155,6 +157,14 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
         upd = _check(target, source.drop(*[c for c in order_by if c not in target.columns]), keys)
     cur = F.struct(*[_q(c) for c in upd])
     kstruct = F.struct(*[_q(k) for k in keys])
+    if unique_keys:
+        j = source
+        if target is None:
+            j = j.withColumn("_before", F.lit(None).cast(source.select(cur.alias("c")).schema["c"].dataType))
+        else:
+            tgt = target.join(source.select(*keys), keys, "left_semi")
+            j = j.join(tgt.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_before")), keys, "left")
+        return _classify(j, source.columns, cur)
     versions = source.select(*[_q(c) for c in source.columns], F.lit(1).alias("_rank"))
     if target is not None:
         in_batch = source.select(*keys).distinct()
@@ -186,9 +196,14 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
         j = versions
         before = F.lag(cur).over(w)
     j = j.select(*source.columns, "_rank", before.alias("_before")).where(F.col("_rank") == 1)
+    return _classify(j, source.columns, cur)
+
+
+def _classify(j: DataFrame, columns: Sequence[str], cur: Column) -> DataFrame:
+    """Source columns plus change / affected from ``_before`` (the previous version)."""
     change = (F.when(F.col("_before").isNull(), F.lit("insert"))
               .when(~cur.eqNullSafe(F.col("_before")), F.lit("update"))
               .otherwise(F.lit("same")))
     affected = (F.when(change == "insert", AFFECTED_INSERT)
                 .when(change == "update", AFFECTED_UPDATE).otherwise(AFFECTED_SAME))
-    return j.select(*source.columns, change.alias("change"), affected.alias("affected"))
+    return j.select(*[_q(c) for c in columns], change.alias("change"), affected.alias("affected"))

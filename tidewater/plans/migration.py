@@ -121,7 +121,8 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             # meanwhile wait for the next run.
             one_pass = not t.transforms and (not inc or inc_out in data.columns)
             if one_pass:
-                probe = [F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("null_keys")]
+                probe = [F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("null_keys"),
+                         F.count_distinct(*[F.col(k) for k in keys]).alias("keys")]
                 if inc:
                     top = batch_max(data, inc_out)
                     probe += [encode_mark(fold_mark(old, top), dtype).alias("mx"),
@@ -147,9 +148,14 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         current = read_bucketed(spark, root, touched) if t.buckets else read_current(spark, root)
 
         def count() -> int:
-            # small batches (checked count) take the one-window plan
+            # one version per key (checked): a join with the target is enough;
+            # otherwise small batches (checked count) take the one-window plan
+            distinct = m.get("keys")
+            if distinct is None:
+                distinct = frozen.agg(F.count_distinct(*[F.col(k) for k in keys])).first()[0]
             skew_safe = run.rows > DEFAULT_SEQUENTIAL_ROWS
-            return int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe)
+            return int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe,
+                                     unique_keys=distinct == run.rows)
                        .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
 
         strategy = "broadcast" if run.rows <= t.max_broadcast_rows else "shuffle"
