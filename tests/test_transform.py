@@ -95,3 +95,10 @@ def test_settings_from_ini(tmp_path):
     assert spec.tables[0].chunk_size == 5000 and dict(spec.tables[0].columns) == {"emp_id": "staff_id"}
     with pytest.raises(FileNotFoundError):
         settings_from_ini(str(tmp_path / "missing.ini"))
+
+
+def test_measure_rows_and_bytes(spark):
+    from tidewater.functions.size import fits_broadcast, measure
+    df = spark.createDataFrame([(1, "abc"), (2, None), (3, "é")], "id long, s string")
+    assert measure(df) == (3, 3 * 8 + 3 + 0 + 2)
+    assert fits_broadcast(df, 3) and not fits_broadcast(df, 2) and not fits_broadcast(df, 3, max_bytes=10)

@@ -3,9 +3,9 @@
 A message whose key is found gets the lookup's columns (a NULL in the
 lookup overwrites); a message not found, or with an empty / absent key,
 is kept unchanged. The lookup is de-duplicated on its key first so the
-join never multiplies rows. It is broadcast only after its row count is
-checked against a limit; above it the join is a shuffle join (AQE still
-splits skewed message keys).
+join never multiplies rows. It is broadcast only after its row count and
+byte size are measured and found under their limits; above them the join
+is a shuffle join (AQE still splits skewed message keys).
 """
 
 from __future__ import annotations
@@ -15,6 +15,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tidewater.functions.size import fits_broadcast
+
 DEFAULT_MAX_BROADCAST_ROWS = 5_000_000
 
 
@@ -51,8 +53,8 @@ def load_lookup(spark: SparkSession, loader: Callable[[], DataFrame], key: str,
 
 def lookup_fits_broadcast(dim: DataFrame, key: str, columns: Sequence[str],
                           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> bool:
-    """Whether the de-duplicated lookup is small enough to broadcast (counts it)."""
-    return prepare_lookup(dim, key, columns).count() <= max_broadcast_rows
+    """Whether the de-duplicated lookup is small enough to broadcast (rows and bytes)."""
+    return fits_broadcast(prepare_lookup(dim, key, columns), max_broadcast_rows)
 
 
 def enrich_left(messages: DataFrame, dim: DataFrame, key: str = "user_id",
@@ -66,7 +68,7 @@ def enrich_left(messages: DataFrame, dim: DataFrame, key: str = "user_id",
     """
     lk = prepare_lookup(dim, key, columns)
     if broadcast is None:
-        broadcast = lk.count() <= max_broadcast_rows
+        broadcast = fits_broadcast(lk, max_broadcast_rows)
     if broadcast:
         lk = F.broadcast(lk)
     k = F.col(key)

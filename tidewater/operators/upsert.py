@@ -4,7 +4,7 @@
 existing keys (NULL overwrites too); target columns absent from the source
 are left as they are. Two physical plans:
 
-* small change set (row count checked against ``max_broadcast_rows``):
+* small change set (rows and bytes measured and under their limits):
   the change set is broadcast, the target is streamed once in full and
   once for its key columns only, and is never shuffled;
 * otherwise one full outer sort-merge join on the key.
@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewater.functions.size import fits_broadcast
 from tidewater.operators.dedup import keep_last
 from tidewater.session import checkpoint_root
 
@@ -52,7 +53,7 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str] | No
     upd = _check(target, source, keys)
     tcols = target.columns
     if strategy == "auto":
-        strategy = "broadcast" if source.count() <= max_broadcast_rows else "shuffle"
+        strategy = "broadcast" if fits_broadcast(source, max_broadcast_rows) else "shuffle"
     s = source.select(*[_q(k) for k in keys], *[_q(c).alias(f"_s_{c}") for c in upd],
                       F.lit(True).alias("_s"))
 

@@ -23,6 +23,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewater.functions.coerce import nan_to_null
 from tidewater.functions.marks import Mark, encode_mark
+from tidewater.functions.size import measure, size_metrics
 from tidewater.operators.marks import batch_max, commit_gate, fold_mark
 from tidewater.operators.rename import rename_columns
 from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, upsert
@@ -121,7 +122,7 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             # meanwhile wait for the next run.
             one_pass = not t.transforms and (not inc or inc_out in data.columns)
             if one_pass:
-                probe = [F.count(F.lit(1)).alias("rows"), F.count_if(null_key).alias("null_keys"),
+                probe = [*size_metrics(data), F.count_if(null_key).alias("null_keys"),
                          F.count_distinct(*[F.col(k) for k in keys]).alias("keys")]
                 if inc:
                     top = batch_max(data, inc_out)
@@ -158,7 +159,11 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
                                      unique_keys=distinct == run.rows)
                        .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
 
-        strategy = "broadcast" if run.rows <= t.max_broadcast_rows else "shuffle"
+        size = m.get("bytes")
+        if size is None:
+            size = measure(frozen)[1]
+        strategy = ("broadcast" if run.rows <= t.max_broadcast_rows and size <= t.max_broadcast_bytes
+                    else "shuffle")
 
         def write() -> None:
             if t.buckets:

@@ -20,6 +20,7 @@ from pyspark.sql.types import (BinaryType, IntegerType, LongType, StringType, St
                                StructType, TimestampType)
 
 from tidewater.functions.json import decode_json
+from tidewater.functions.size import fits_broadcast
 from tidewater.operators.enrich import prepare_lookup
 from tidewater.plans.ingest import ingest_batch
 from tidewater.session import checkpoint_root
@@ -62,7 +63,7 @@ def ingest_stream(stream: DataFrame, lookup: DataFrame, sink_path: str, checkpoi
     """
     checkpoint_root(lookup.sparkSession)
     frozen = prepare_lookup(lookup, spec.lookup_key, spec.lookup_columns).checkpoint(eager=True)
-    fits = frozen.count() <= spec.max_broadcast_rows
+    fits = fits_broadcast(frozen, spec.max_broadcast_rows)
     lookup = frozen
 
     if spec.cross_batch_delay:
