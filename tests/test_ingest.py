@@ -208,3 +208,15 @@ def test_two_streams_into_one_sink_do_not_collide(spark, scratch):
                       f"{scratch}/sink", f"{scratch}/{ck}")
     sink = spark.read.parquet(f"{scratch}/sink")
     assert sink.select("ingest_batch").distinct().count() == 2
+
+
+def test_event_date_is_the_utc_day_in_any_session_zone(spark):
+    vals = [json.dumps({**GOOD, "timestamp": "2024-03-10T02:00:00Z"}),
+            json.dumps({**GOOD, "event_id": "e2", "timestamp": "2024-03-10T23:30:00-05:00"})]
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        got = {r.event_id: str(r.event_date) for r in ingest_batch(_msgs(spark, vals), _lookup(spark)).rows.collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert got == {"e1": "2024-03-10", "e2": "2024-03-11"}

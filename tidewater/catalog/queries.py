@@ -366,7 +366,9 @@ def q_bounded_batch(spark, sf):
 
 
 def _sink_view(rows: DataFrame) -> DataFrame:
-    return rows.select("event_id", "user_id", _ntz(F.col("timestamp")).alias("timestamp"), "payload",
+    # the instant as its UTC wall-clock time, whatever the session time zone
+    utc = F.to_utc_timestamp(F.col("timestamp"), F.current_timezone())
+    return rows.select("event_id", "user_id", _ntz(utc).alias("timestamp"), "payload",
                        "user_name", "user_location", "event_date")
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidewater.functions.coerce import try_timestamp
 from tidewater.operators.validate import BAD_TIMESTAMP
@@ -18,6 +18,11 @@ SINK_COLUMNS = ("event_id", "user_id", "timestamp", "payload", "user_name", "use
 REQUIRED = ("event_id", "user_id", "timestamp")
 
 
+def utc_date(ts: Column) -> Column:
+    """The UTC calendar day of an instant, whatever the session time zone."""
+    return F.to_date(F.to_utc_timestamp(ts, F.current_timezone()))
+
+
 def to_sink_rows(enriched: DataFrame, strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """``(rows, quarantine)``: sink-shaped rows and messages whose timestamp
     text is not a date-time (reason ``bad_timestamp``).
@@ -30,7 +35,7 @@ def to_sink_rows(enriched: DataFrame, strict: bool = False) -> tuple[DataFrame,
     parsed = enriched.withColumn("timestamp", ts)
     extras = [c for c in enriched.columns if c not in SINK_COLUMNS and c != "ts_text"]
     rows = parsed.where(F.col("timestamp").isNotNull()).select(
-        *SINK_COLUMNS, F.to_date("timestamp").alias("event_date"), *extras)
+        *SINK_COLUMNS, utc_date(F.col("timestamp")).alias("event_date"), *extras)
     bad = parsed.where(F.col("timestamp").isNull()).select(
         *[c for c in enriched.columns], F.lit(BAD_TIMESTAMP).alias("reason_load"))
     return rows, bad
