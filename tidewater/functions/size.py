@@ -15,7 +15,7 @@ from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DataType, Date
                                TimestampNTZType, TimestampType)
 
 # Broadcast limits used unless a caller passes its own.
-DEFAULT_MAX_BROADCAST_BYTES = 512 * 1024 * 1024
+DEFAULT_MAX_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def _fixed_width(t: DataType) -> int | None:

@@ -46,7 +46,7 @@ class TableSpec:
     source_format: str = "parquet"
     source_options: Mapping[str, str] = field(default_factory=dict)
     max_broadcast_rows: int = 2_000_000           # change sets up to this size are broadcast
-    max_broadcast_bytes: int = 512 * 1024 * 1024  # ... and up to this many data bytes
+    max_broadcast_bytes: int = 256 * 1024 * 1024  # ... and up to this many data bytes
     buckets: int | None = None                    # target partitioned by key bucket; None -> versioned
     lookback: str | int | float | None = None     # re-read window below the mark for late rows
     freeze: bool | None = None                    # checkpoint the batch; None -> only mutable sources
