@@ -32,6 +32,8 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
+               # remove checkpoint files once their DataFrames are gone
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in SQL_DEFAULTS.items():
         builder = builder.config(k, v)
