@@ -315,6 +315,7 @@ ORACLE_SQL: dict[str, str] = {
     "event_ingest_e2e": "WITH " + MSG + SINK_SELECT,
     "event_ingest_stream": "WITH " + MSG + SINK_SELECT,
     "csv_folder_raw": _CSV_RAW,
+    "csv_file_counts": "SELECT file_name, count(*) AS records FROM (" + _CSV_RAW + ") GROUP BY file_name",
     "csv_folder_typed": _CSV_TYPED,
     "text_whole": _TEXT_WHOLE,
     "csv_text_combine": "SELECT out_name, line FROM (" + _COMBINE_ORDER + ")",

@@ -416,6 +416,13 @@ def csv_folder_raw(spark, sf):
     return read_csv_folder_raw(spark, csv_dir)
 
 
+def csv_file_counts(spark, sf):
+    """Records per CSV file (header lines included, as the raw reader yields them)."""
+    csv_dir, _ = _file_fixture(spark, sf)
+    return read_csv_folder_raw(spark, csv_dir).groupBy("file_name").agg(
+        F.count(F.lit(1)).alias("records"))
+
+
 def csv_folder_typed(spark, sf):
     csv_dir, _ = _file_fixture(spark, sf)
     return read_csv_folder_typed(spark, csv_dir)
@@ -476,6 +483,7 @@ _ALL: dict[str, Query] = {
     "event_ingest_e2e": event_ingest_e2e,
     "event_ingest_stream": event_ingest_stream,
     "csv_folder_raw": csv_folder_raw,
+    "csv_file_counts": csv_file_counts,
     "csv_folder_typed": csv_folder_typed,
     "text_whole": text_whole,
     "csv_text_combine": csv_text_combine,
