@@ -299,6 +299,10 @@ ORACLE_SQL: dict[str, str] = {
     "migrate_all": _MIGRATE_ALL,
     "run_summary": _RUN_SUMMARY,
     "json_decode_skip": "WITH " + MSG + "SELECT seq, lower(json_type(j)) AS kind FROM dec",
+    "decode_stats": "WITH " + MSG + """SELECT count(*) AS messages,
+                                       count(*) FILTER (WHERE json_valid(text)) AS decoded,
+                                       count(*) FILTER (WHERE text IS NULL OR NOT json_valid(text)) AS skipped
+                                       FROM msg""",
     "schema_validate": "WITH " + MSG + "SELECT seq, reason, event_id, user_id FROM val",
     "validation_stats": "WITH " + MSG + "SELECT coalesce(reason, 'valid') AS reason, count(*) AS messages FROM val GROUP BY 1",
     "dedup_first": "WITH " + MSG + "SELECT seq, event_id, user_id, ts_text, payload, user_name FROM uniq",

@@ -15,7 +15,8 @@ from tidewater.operators.rename import rename_columns, select_mapped
 from tidewater.operators.upsert import affected_rows, insert_only_stats, upsert
 from tidewater.operators.validate import validate_messages, validation_stats
 from tidewater.plans.combine import combine_folder
-from tidewater.plans.ingest import dedup_stats, dedup_valid, decode_messages, ingest_batch
+from tidewater.plans.ingest import (decode_messages, decode_stats, dedup_stats, dedup_valid,
+                                   ingest_batch)
 from tidewater.plans.migration import migrate_all
 from tidewater.session import apply_defaults, scratch_path
 from tidewater.sinks.control import append_control, read_control
@@ -320,6 +321,10 @@ def json_decode_skip(spark, sf):
     return d.where(F.col("v").isNotNull()).select(F.col("offset").alias("seq"), "kind")
 
 
+def q_decode_stats(spark, sf):
+    return decode_stats(decode_messages(_messages(spark, sf)))
+
+
 def schema_validate(spark, sf):
     return _validated(spark, sf).select(F.col("offset").alias("seq"), "reason", "event_id", "user_id")
 
@@ -471,6 +476,7 @@ _ALL: dict[str, Query] = {
     "migrate_all": q_migrate_all,
     "run_summary": run_summary,
     "json_decode_skip": json_decode_skip,
+    "decode_stats": q_decode_stats,
     "schema_validate": schema_validate,
     "validation_stats": q_validation_stats,
     "dedup_first": dedup_first,
