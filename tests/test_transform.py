@@ -84,6 +84,11 @@ def test_settings_without_tables():
     assert spec.tables == () and spec.state_path == "/t/_control"
 
 
+def test_settings_without_chunk_size_read_one_range():
+    spec = MigrationSpec.from_settings({"a": "b"}, source_root="/s", target_root="/t")
+    assert spec.tables[0].chunk_size is None
+
+
 def test_settings_from_ini(tmp_path):
     from tidewater.spec import settings_from_ini
     ini = tmp_path / "db.ini"

@@ -68,7 +68,8 @@ class MigrationSpec:
         """
         items = {str(k).strip().lower(): str(v).strip() for k, v in settings.items()}
         chunk = items.get("chunk_size")
-        chunk_size = int(chunk) if chunk not in (None, "") else DEFAULT_CHUNK_SIZE
+        # an absent chunk_size means no chunking: one read range
+        chunk_size = int(chunk) if chunk not in (None, "") and int(chunk) > 0 else None
         tables = []
         for key, target in items.items():
             if "." in key or key in NON_TABLE_OPTIONS:
