@@ -13,6 +13,7 @@ mark of that table untouched; other tables go on.
 from __future__ import annotations
 
 import logging
+import re
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
@@ -179,7 +180,7 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             run.affected = counted.result() if counted else 0
         run.status = OK
     except Exception as e:  # noqa: BLE001 - a failed table must not stop the others
-        log.warning("table %s failed: %s", t.source, e)
+        log.warning("table %s failed: %s: %s", t.source, type(e).__name__, _masked(str(e)))
         run.status = FAILED
         run.failed = run.rows
         run.affected = 0
@@ -187,6 +188,14 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
     return run
 
 
+_SECRET = re.compile(r"(password|pwd|secret|token)=[^;&\s]*", re.IGNORECASE)
+
+
+def _masked(text: str) -> str:
+    """An error text with credential values hidden (they can appear in JDBC URLs)."""
+    return _SECRET.sub(lambda m: f"{m.group(1)}=***", text)
+
+
 def should_freeze(t: TableSpec) -> bool:
     """Freeze the batch (reliable checkpoint) unless the source is immutable files."""
     if t.freeze is not None:
