@@ -1,8 +1,11 @@
-from tidewater.sources.tables import chunk_stats, extract, jdbc_options, read_table
-from tidewater.sources.files import (export_csv, export_text, read_csv_folder_raw,
+from tidewater.sources.files import (export_csv, export_csv_split, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_lines, read_text_whole)
-from tidewater.sources.messages import bounded_batch, kafka_options, messages_from_events
+from tidewater.sources.messages import (bounded_batch, kafka_options, messages_from_events,
+                                        read_messages)
+from tidewater.sources.tables import (chunk_stats, extract, jdbc_options, jdbc_range_options,
+                                      read_table)
 
-__all__ = ["chunk_stats", "extract", "jdbc_options", "read_table", "export_csv", "export_text",
-           "read_csv_folder_raw", "read_csv_folder_typed", "read_text_lines", "read_text_whole",
-           "bounded_batch", "kafka_options", "messages_from_events"]
+__all__ = ["export_csv", "export_csv_split", "export_text", "read_csv_folder_raw",
+           "read_csv_folder_typed", "read_text_lines", "read_text_whole", "bounded_batch",
+           "kafka_options", "messages_from_events", "read_messages", "chunk_stats", "extract",
+           "jdbc_options", "jdbc_range_options", "read_table"]
