@@ -20,6 +20,7 @@ from tidewater.sources.messages import bounded_batch
 from tidewater.spec import IngestSpec
 
 ORDER = ("partition", "offset")
+SPREAD_FACTOR = 8
 
 
 @dataclass(frozen=True)
@@ -40,8 +41,12 @@ def spread(messages: DataFrame, min_partitions: int | None = None) -> DataFrame:
     Inputs that already have enough partitions are left alone, so large
     batches never pay the extra exchange.
     """
-    want = min_partitions or messages.sparkSession.sparkContext.defaultParallelism
-    if messages.rdd.getNumPartitions() < want:
+    have = messages.rdd.getNumPartitions()
+    # each input partition is spread over at most this many tasks, so a tiny
+    # batch on a large cluster does not fan out to every core
+    want = min(min_partitions or messages.sparkSession.sparkContext.defaultParallelism,
+               have * SPREAD_FACTOR)
+    if have < want:
         return messages.repartition(want, *ORDER)
     return messages
 
