@@ -131,7 +131,8 @@ DEFAULT_SEQUENTIAL_ROWS = 1_000_000
 
 def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                   order_by: Sequence[str], partitions: int | None = None,
-                  skew_safe: bool = True, unique_keys: bool = False) -> DataFrame:
+                  skew_safe: bool = True, unique_keys: bool = False,
+                  small_batch: bool = False) -> DataFrame:
     """Classify each source row applied in ``order_by`` order within its key.
 
     Adds ``change`` (insert / update / same) and ``affected`` (1 / 2 / 0):
@@ -150,7 +151,9 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     ``skew_safe`` (for batches of a checked, small size) one window
     partitioned by key is used. With ``unique_keys`` (checked by the caller:
     each key at most once in the batch) the previous version is the target
-    row, and one join on the key replaces the ordering.
+    row, and one join on the key replaces the ordering. ``small_batch``
+    (size checked by the caller) broadcasts the batch's keys into the target
+    scan, so the target is never shuffled.
     """
     if target is None:  # first load: no target rows to compare with
         upd = [c for c in source.columns if c not in keys and c not in order_by]
@@ -163,13 +166,16 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
         if target is None:
             j = j.withColumn("_before", F.lit(None).cast(source.select(cur.alias("c")).schema["c"].dataType))
         else:
-            tgt = target.join(source.select(*keys), keys, "left_semi")
-            j = j.join(tgt.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_before")), keys, "left")
+            batch_keys = source.select(*keys)
+            tgt = target.join(F.broadcast(batch_keys) if small_batch else batch_keys, keys, "left_semi")
+            # at most one target row per batch key; AQE may broadcast it at run time
+            prev = tgt.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_before"))
+            j = j.join(prev, keys, "left")
         return _classify(j, source.columns, cur)
     versions = source.select(*[_q(c) for c in source.columns], F.lit(1).alias("_rank"))
     if target is not None:
         in_batch = source.select(*keys).distinct()
-        zero = target.join(in_batch, keys, "left_semi").select(
+        zero = target.join(F.broadcast(in_batch) if small_batch else in_batch, keys, "left_semi").select(
             *[_q(c) if c in keys or c in upd else F.lit(None).cast(source.schema[c].dataType).alias(c)
               for c in source.columns], F.lit(0).alias("_rank"))
         versions = zero.unionByName(versions)

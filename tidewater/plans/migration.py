@@ -149,6 +149,12 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         touched = touched_buckets(frozen, keys, t.buckets) if t.buckets else None
         current = read_bucketed(spark, root, touched) if t.buckets else read_current(spark, root)
 
+        size = m.get("bytes")
+        if size is None:
+            size = measure(frozen)[1]
+        small = run.rows <= t.max_broadcast_rows and size <= t.max_broadcast_bytes
+        strategy = "broadcast" if small else "shuffle"
+
         def count() -> int:
             # one version per key (checked): a join with the target is enough;
             # otherwise small batches (checked count) take the one-window plan
@@ -157,15 +163,9 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
                 distinct = frozen.agg(F.count_distinct(*[F.col(k) for k in keys])).first()[0]
             skew_safe = run.rows > DEFAULT_SEQUENTIAL_ROWS
             return int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe,
-                                     unique_keys=distinct == run.rows)
+                                     unique_keys=distinct == run.rows, small_batch=small)
                        .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
 
-        size = m.get("bytes")
-        if size is None:
-            size = measure(frozen)[1]
-        strategy = ("broadcast" if run.rows <= t.max_broadcast_rows and size <= t.max_broadcast_bytes
-                    else "shuffle")
-
         def write() -> None:
             if t.buckets:
                 upsert_bucketed(frozen, root, keys, t.buckets, order_by=order, strategy=strategy,
