@@ -42,3 +42,15 @@ def test_event_chain_shuffles(spark):
 def test_no_python_evaluation(spark, name):
     plan = _plan(spark, name)
     assert not re.search(r"(ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF)", plan)
+
+
+def test_small_batch_accounting_does_not_shuffle_the_target(spark):
+    from tidewater.operators.upsert import affected_rows
+    target = spark.read.parquet(f"{SF}/customer.parquet")
+    batch = target.where("c_custkey < 20").select("c_custkey", "c_name", "c_acctbal")
+    df = affected_rows(target.select("c_custkey", "c_name", "c_acctbal"), batch, ["c_custkey"], [],
+                       unique_keys=True, small_batch=True)
+    df.write.format("noop").mode("overwrite").save()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi, BuildRight" in plan
+    assert _shuffles(plan) == 0 or "BroadcastHashJoin" in plan
