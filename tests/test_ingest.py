@@ -220,3 +220,10 @@ def test_event_date_is_the_utc_day_in_any_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert got == {"e1": "2024-03-10", "e2": "2024-03-11"}
+
+
+def test_rejected_messages_are_kept_with_their_reason(spark):
+    vals = [json.dumps(GOOD), json.dumps([1]), json.dumps({**GOOD, "user_id": 7})]
+    r = ingest_batch(_msgs(spark, vals), _lookup(spark))
+    assert sorted(x.reason for x in r.rejected.collect()) == ["bad_user_id", "not_object"]
+    assert r.rows.count() == 1

@@ -27,6 +27,7 @@ SPREAD_FACTOR = 8
 class IngestResult:
     decoded: DataFrame        # partition, offset, v (VARIANT; NULL = undecodable)
     validated: DataFrame      # decoded messages with reason + fields
+    rejected: DataFrame       # decoded messages that break the contract (reason set)
     unique: DataFrame         # valid, keep-first per event_id
     enriched: DataFrame       # unique + lookup columns + matched
     rows: DataFrame           # sink rows (with event_date)
@@ -97,4 +98,5 @@ def ingest_batch(messages: DataFrame, lookup: DataFrame, spec: IngestSpec = Inge
     enriched = enrich_left(unique, lookup, spec.lookup_key, spec.lookup_columns,
                            max_broadcast_rows=spec.max_broadcast_rows, broadcast=lookup_broadcast)
     rows, quarantine = to_sink_rows(enriched, strict=spec.strict_load)
-    return IngestResult(decoded, validated, unique, enriched, rows, quarantine)
+    rejected = validated.where(F.col("reason").isNotNull())
+    return IngestResult(decoded, validated, rejected, unique, enriched, rows, quarantine)

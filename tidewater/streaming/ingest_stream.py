@@ -3,8 +3,8 @@
 The stream source (Kafka, or a folder of message files) is drained with
 ``trigger(availableNow=True)``; each micro-batch runs the batch chain in
 ``foreachBatch`` and appends to the day-partitioned sink keyed by the
-batch id, so a replayed batch overwrites its own partitions instead of
-duplicating rows. Source positions live in the checkpoint and advance
+stream's identity and the batch id, so a replayed batch overwrites its own
+partitions instead of duplicating rows. Source positions live in the checkpoint and advance
 only after the sink write commits. Keep-first dedup is per micro-batch,
 as in the batch job; ``cross_batch_dedup`` adds a watermark-bounded
 dedup across batches.
