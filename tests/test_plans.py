@@ -54,3 +54,18 @@ def test_small_batch_accounting_does_not_shuffle_the_target(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "LeftSemi, BuildRight" in plan
     assert _shuffles(plan) == 0 or "BroadcastHashJoin" in plan
+
+
+def test_keep_first_aggregates_before_the_shuffle(spark):
+    """A key holding a third of the rows is reduced map-side (partial min_by)."""
+    from pyspark.sql import functions as F
+    from tidewater.operators.dedup import keep_first
+    df = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"),
+        F.col("id").alias("seq"), (F.col("id") * 2).alias("v"))
+    out = keep_first(df, ["k"], ["seq"])
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan
+    hot = out.where("k = -1").first()
+    assert (hot.seq, hot.v) == (0, 0) and out.count() == 20001
