@@ -43,7 +43,8 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str] | No
     """The target table after applying ``source``.
 
     ``keys`` default to the first source column. With ``order_by``, source
-    rows sharing a key are first collapsed to the last one (last write wins).
+    rows sharing a key are first collapsed to the last one (last write wins);
+    without it the source must hold each key once.
     """
     keys = list(keys or source.columns[:1])
     if order_by:
