@@ -111,3 +111,11 @@ def test_mark_round_trip_types(spark):
         text = df.select(encode_mark(F.col(col), t)).first()[0]
         back = df.select(Mark(text, t.simpleString()).literal().alias("x")).first()[0]
         assert back == df.first()[col]
+
+
+def test_connection_options_from_settings_sections():
+    from tidewater.sources.tables import connection_options
+    o = connection_options({"user": "u", "password": "p", "dsn": "h:1521/svc"}, "oracle", dbtable="emp")
+    assert o["url"] == "jdbc:oracle:thin:@//h:1521/svc" and o["user"] == "u" and o["dbtable"] == "emp"
+    m = connection_options({"user": "u", "password": "p", "host": "db", "database": "tgt"}, "mysql")
+    assert m["url"] == "jdbc:mysql://db:3306/tgt" and m["driver"] == "com.mysql.cj.jdbc.Driver"

@@ -60,6 +60,34 @@ def jdbc_options(url: str, *, partition_column: str | None = None,
     return opts
 
 
+# JDBC URL layouts and drivers for the two database kinds of the
+# settings file ([oracle]: user, password, dsn; [mysql]: user, password, host,
+# port, database).
+JDBC_KINDS = {
+    "oracle": ("jdbc:oracle:thin:@//{dsn}", "oracle.jdbc.OracleDriver"),
+    "mysql": ("jdbc:mysql://{host}:{port}/{database}", "com.mysql.cj.jdbc.Driver"),
+}
+
+
+def connection_options(section: Mapping[str, str], kind: str, **extra: str) -> dict[str, str]:
+    """Spark JDBC options from a ``[oracle]`` or ``[mysql]`` settings section.
+
+    The driver jar must be on the cluster's classpath; credentials are passed
+    through as options and never logged.
+    """
+    if kind not in JDBC_KINDS:
+        raise ValueError(f"unknown database kind {kind!r}")
+    url, driver = JDBC_KINDS[kind]
+    values = {k.lower(): str(v) for k, v in section.items()}
+    values.setdefault("port", "3306")
+    opts = {"url": url.format(**values), "driver": driver}
+    for key in ("user", "password"):
+        if key in values:
+            opts[key] = values[key]
+    opts.update({k: str(v) for k, v in extra.items()})
+    return opts
+
+
 def jdbc_range_options(url: str, column: str, lower_bound: int, upper_bound: int,
                        chunk_size: int | None, **extra: str) -> dict[str, str]:
     """Partitioned JDBC read with about ``chunk_size`` key values per range.
