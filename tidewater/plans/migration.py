@@ -65,7 +65,8 @@ class TableRun:
 
 def source_frame(spark: SparkSession, spec: MigrationSpec, t: TableSpec) -> DataFrame:
     opts = dict(t.source_options)
-    location = opts.pop("path", None) or f"{spec.source_root.rstrip('/')}/{t.source}"
+    named = t.source_format in ("jdbc", "table")   # a table name, not a path
+    location = opts.pop("path", None) or (t.source if named else f"{spec.source_root.rstrip('/')}/{t.source}")
     return read_table(spark, location, t.source_format, opts)
 
 

@@ -61,7 +61,8 @@ class MigrationSpec:
 
     @staticmethod
     def from_settings(settings: Mapping[str, str], *, source_root: str, target_root: str,
-                      state_path: str | None = None, source_format: str = "parquet") -> MigrationSpec:
+                      state_path: str | None = None, source_format: str = "parquet",
+                      source_options: Mapping[str, str] | None = None) -> MigrationSpec:
         """Build a spec from a flat ``[migration]`` section.
 
         Names are matched case-insensitively, as Spark resolves columns.
@@ -86,7 +87,8 @@ class MigrationSpec:
                     columns[col] = v2.split(".")[-1]
             tables.append(TableSpec(source=key, target=target or None, columns=columns,
                                     incremental_column=inc, chunk_size=chunk_size,
-                                    source_format=source_format))
+                                    source_format=source_format,
+                                    source_options=dict(source_options or {})))
         return MigrationSpec(tables=tuple(tables), source_root=source_root,
                              target_root=target_root,
                              state_path=state_path or items.get("state_file_path")
