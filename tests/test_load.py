@@ -243,3 +243,19 @@ def test_bucketed_upsert_with_shuffle_strategy(spark, scratch):
     rows = read_bucketed(spark, root).collect()
     got = {r.id: r.name for r in rows}
     assert len(rows) == 51 and got[60] == "z" and got[7] == "x" and got[8] == "n8"
+
+
+def test_command_line_migration(spark, scratch, capsys):
+    from tidewater.__main__ import main
+    import os
+    local = scratch.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    ini = os.path.join(local, "db.ini")
+    with open(ini, "w") as f:
+        f.write("[migration]\nnation = nation_t\nnation.n_name = nation_t.name\n"
+                "region = region_t\nchunk_size = 5000\n")
+    code = main(["migrate", "--settings", ini, "--source-root", "/root/testdata/sf0.001",
+                 "--target-root", f"{scratch}/t"])
+    out = capsys.readouterr().out
+    assert code == 0 and "nation\tok\trows=25" in out and "region\tok\trows=5" in out
+    assert "name" in read_current(spark, f"{scratch}/t/nation_t").columns

@@ -32,7 +32,7 @@ from tidewater.session import checkpoint_root
 from tidewater.sinks.bucketed import read_bucketed, touched_buckets, upsert_bucketed
 from tidewater.sinks.control import append_control, read_state
 from tidewater.sinks.versioned import publish, read_current
-from tidewater.sources.tables import extract, read_table
+from tidewater.sources.tables import extract, path_exists, read_table
 from tidewater.spec import MigrationSpec, TableSpec
 
 log = logging.getLogger(__name__)
@@ -65,8 +65,14 @@ class TableRun:
 
 def source_frame(spark: SparkSession, spec: MigrationSpec, t: TableSpec) -> DataFrame:
     opts = dict(t.source_options)
-    named = t.source_format in ("jdbc", "table")   # a table name, not a path
-    location = opts.pop("path", None) or (t.source if named else f"{spec.source_root.rstrip('/')}/{t.source}")
+    location = opts.pop("path", None)
+    if location is None and t.source_format in ("jdbc", "table"):
+        location = t.source                       # a table name, not a path
+    if location is None:
+        # <root>/<name>, or <root>/<name>.<format> when only that exists
+        base = f"{spec.source_root.rstrip('/')}/{t.source}"
+        with_suffix = f"{base}.{t.source_format}"
+        location = with_suffix if not path_exists(spark, base) and path_exists(spark, with_suffix) else base
     return read_table(spark, location, t.source_format, opts)
 
 
