@@ -259,3 +259,14 @@ def test_command_line_migration(spark, scratch, capsys):
     out = capsys.readouterr().out
     assert code == 0 and "nation\tok\trows=25" in out and "region\tok\trows=5" in out
     assert "name" in read_current(spark, f"{scratch}/t/nation_t").columns
+
+
+def test_mark_advances_when_only_mapped_drops_the_incremental_column(spark, scratch):
+    ev = _events(spark, 12)
+    ev.write.parquet(f"{scratch}/src")
+    t = TableSpec(source="ev", target="ev_t", incremental_column="ts", only_mapped=True,
+                  columns={"event_id": "id", "value": "amount"}, source_options={"path": f"{scratch}/src"})
+    spec = MigrationSpec([t], source_root=scratch, target_root=f"{scratch}/t", state_path=f"{scratch}/c")
+    r = migrate_all(spark, spec).first()
+    assert r.status == "ok" and r.rows == 12 and r.mark == "2024-01-01T11:00:00.000000"
+    assert read_current(spark, f"{scratch}/t/ev_t").columns == ["id", "amount"]
