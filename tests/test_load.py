@@ -270,3 +270,13 @@ def test_mark_advances_when_only_mapped_drops_the_incremental_column(spark, scra
     r = migrate_all(spark, spec).first()
     assert r.status == "ok" and r.rows == 12 and r.mark == "2024-01-01T11:00:00.000000"
     assert read_current(spark, f"{scratch}/t/ev_t").columns == ["id", "amount"]
+
+
+@pytest.mark.parametrize("skew_safe", [True, False])
+def test_first_load_counts_changes_between_versions(spark, skew_safe):
+    src = spark.createDataFrame([(1, "a", 1, 1), (1, "a", 1, 2), (1, "b", 1, 3), (2, "x", 5, 1)],
+                                SCHEMA + ", ver long")
+    got = {(r.id, r.ver): r.affected for r in
+           affected_rows(None, src, ["id"], ["ver", "name", "value"], skew_safe=skew_safe).collect()}
+    # first version inserts; ver 2 differs from ver 1 only in ver itself, which is row data here
+    assert got == {(1, 1): 1, (1, 2): 2, (1, 3): 2, (2, 1): 1}

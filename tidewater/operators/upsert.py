@@ -156,8 +156,8 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     (size checked by the caller) broadcasts the batch's keys into the target
     scan, so the target is never shuffled.
     """
-    if target is None:  # first load: no target rows to compare with
-        upd = [c for c in source.columns if c not in keys and c not in order_by]
+    if target is None:  # first load: every non-key column is row data, compare them all
+        upd = [c for c in source.columns if c not in keys]
     else:
         upd = _check(target, source.drop(*[c for c in order_by if c not in target.columns]), keys)
     cur = F.struct(*[_q(c) for c in upd])
