@@ -139,7 +139,8 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
     Adds ``change`` (insert / update / same) and ``affected`` (1 / 2 / 0):
     a row is compared with the previous version of its key: the previous
     source row, or the target row for the first one. Order columns absent
-    from the target only order the versions and are not compared.
+    from the target only order the versions and are not compared; with no
+    target yet (first load) every non-key column is row data and compared.
 
     The target rows of the batch's keys join the source rows as each key's
     version zero, so one ``lag`` over the versions gives every comparison.
