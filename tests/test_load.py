@@ -280,3 +280,17 @@ def test_first_load_counts_changes_between_versions(spark, skew_safe):
            affected_rows(None, src, ["id"], ["ver", "name", "value"], skew_safe=skew_safe).collect()}
     # first version inserts; ver 2 differs from ver 1 only in ver itself, which is row data here
     assert got == {(1, 1): 1, (1, 2): 2, (1, 3): 2, (2, 1): 1}
+
+
+def test_command_line_reports_failure(spark, scratch, capsys):
+    from tidewater.__main__ import main
+    import os
+    local = scratch.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    ini = os.path.join(local, "db.ini")
+    with open(ini, "w") as f:
+        f.write("[migration]\nnation = nation_t\nno_such_table = x_t\n")
+    code = main(["migrate", "--settings", ini, "--source-root", "/root/testdata/sf0.001",
+                 "--target-root", f"{scratch}/t"])
+    out = capsys.readouterr().out
+    assert code == 1 and "no_such_table\tfailed" in out and "nation\tok" in out
