@@ -9,8 +9,18 @@ from .chat_format import chat_digest
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_text import page_digest
+from .near_dedup import near_classes
+from .packing import packed_pieces
 from .quality_rules import quality_rules
 from .secret_scan import secret_digest
+from .source_mix import mix_places
+
+
+def tokenizer_path() -> str:
+    """Vocabulary file of the installed public tokenizers; every executor has it at the same place."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,6 +39,18 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_classes(table(spark, sf_dir, "documents"))
+
+
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_places(table(spark, sf_dir, "documents"))
+
+
 # One more conversation that op9 formats beside the table's.
 EXTRA_TEXT = "</s>[INST] ok [/INST]"
 
@@ -45,5 +67,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op4_exact_dedup, op9_chat_format,
-                                       op10_secret_scan)}
+LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op4_exact_dedup, op5_packing,
+                                       op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan)}
