@@ -50,3 +50,13 @@ def struct_udf(fn, schema: str):
     """
     fields = ",".join(f.replace(" ", ":", 1) for f in schema.split(", "))
     return F.arrow_udf(fn, f"struct<{fields}>").asNondeterministic()
+
+
+def spread(aggregated: DataFrame, key: str) -> DataFrame:
+    """``aggregated``, its long ``key`` recomputed so that a join on it deals both sides anew.
+
+    A join takes an aggregate's partitions as they are, and then a hot key of
+    the other side cannot be split over tasks; adaptive execution splits
+    it where both sides come from the join's own shuffles.
+    """
+    return aggregated.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))

@@ -12,6 +12,7 @@ from .html_text import page_digest
 from .near_dedup import near_classes
 from .packing import packed_pieces
 from .quality_rules import quality_rules
+from .repeats import repeat_digest
 from .secret_scan import secret_digest
 from .source_mix import mix_places
 
@@ -35,6 +36,10 @@ def op2_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_digest(table(spark, sf_dir, "pages"))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digest(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -67,5 +72,5 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
-LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op4_exact_dedup, op5_packing,
+LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op3_substring_dedup, op4_exact_dedup, op5_packing,
                                        op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan)}
