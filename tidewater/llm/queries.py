@@ -9,6 +9,7 @@ from .chat_format import chat_digest
 from .common import table
 from .exact_dedup import exact_dedup
 from .html_text import page_digest
+from .language_id import language_digest
 from .near_dedup import near_classes
 from .packing import packed_pieces
 from .quality_rules import quality_rules
@@ -48,6 +49,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_digest(table(spark, sf_dir, "documents"))
+
+
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_classes(table(spark, sf_dir, "documents"))
 
@@ -73,4 +78,4 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op3_substring_dedup, op4_exact_dedup, op5_packing,
-                                       op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan)}
+                                       op6_language_id, op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan)}
