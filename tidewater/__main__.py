@@ -12,7 +12,7 @@ import argparse
 import sys
 
 from tidewater.plans.migration import migrate_all
-from tidewater.session import apply_defaults, build_session
+from tidewater.session import build_session
 from tidewater.sources.tables import connection_options
 from tidewater.spec import MigrationSpec, settings_from_ini
 
@@ -30,7 +30,7 @@ def main(argv: list[str] | None = None) -> int:
     m.add_argument("--master", default=None, help="Spark master when no session exists yet")
     args = parser.parse_args(argv)
 
-    spark = build_session(args.master) if args.master else apply_defaults(build_session())
+    spark = build_session(args.master)  # without --master the submitter's choice stands
     options = (connection_options(settings_from_ini(args.settings, args.connection), args.connection)
                if args.connection else {})
     spec = MigrationSpec.from_settings(settings_from_ini(args.settings), source_root=args.source_root,

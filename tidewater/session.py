@@ -3,12 +3,14 @@
 Nothing here starts a server: the Spark UI stays off. Scratch output
 (exported fixtures, table versions, stream checkpoints) always goes under
 the folder the cluster names in ``spark.checkpoint.dir``; a private
-folder is created only when the session leaves that setting unset
-(local tests).
+folder is created only when that setting is unset and the master is
+``local`` (tests), since other machines cannot see it. Master and number of
+shuffle partitions are the cluster's to set and are touched only on request.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -27,39 +29,43 @@ SQL_DEFAULTS = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
+def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "tidewater") -> SparkSession:
-    builder = (SparkSession.builder.master(master).appName(app_name)
+    builder = (SparkSession.builder.appName(app_name)
                .config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false")
                # remove checkpoint files once their DataFrames are gone
-               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-               .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true"))
+    if master:
+        builder = builder.master(master)
+    if shuffle_partitions:
+        builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in SQL_DEFAULTS.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    apply_defaults(spark)
-    return spark
+    return apply_defaults(spark)
 
 
 def apply_defaults(spark: SparkSession) -> SparkSession:
     for k, v in SQL_DEFAULTS.items():
         spark.conf.set(k, v)
-    checkpoint_root(spark)
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
-    Read from ``spark.checkpoint.dir``; only when that is unset (tests on a
-    laptop) is a private temporary folder made and registered.
+    Read from ``spark.checkpoint.dir``. Only where that is unset and everything
+    runs in this process (a ``local`` master) is a private temporary folder made
+    and registered; on a cluster a missing setting is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext

@@ -5,14 +5,16 @@ configured table. Each save writes the whole state as a new version
 (``sinks.versioned``): a read touches one small version however many runs
 came before, and a failed save leaves the previous state in place. The
 state has one row per table, so it is handled as a small local list on
-the driver. A missing or unreadable control table reads as empty state
-rather than failing the run.
+the driver. A missing, empty or corrupt control table reads as empty state;
+any other failure (storage that cannot be reached, no permission) fails the
+run, since saving over a state that was not read would lose its marks.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
@@ -33,15 +35,29 @@ def read_state(spark: SparkSession, path: str) -> dict[str, tuple]:
     return _state(spark, path)
 
 
+# Spark's error conditions for files that are there but cannot be understood.
+_CORRUPT = ("CANNOT_READ_FILE_FOOTER", "FAILED_READ_FILE.CANNOT_READ_FILE_FOOTER", "UNABLE_TO_INFER_SCHEMA",
+            "UNRESOLVED_COLUMN.WITH_SUGGESTION", "UNRESOLVED_COLUMN.WITHOUT_SUGGESTION")
+_CORRUPT_TEXT = ("is not a Parquet file", "Could not read footer", "CANNOT_READ_FILE_FOOTER")
+
+
+def _is_corrupt(e: Exception) -> bool:
+    condition = e.getCondition() if isinstance(e, PySparkException) else None
+    return condition in _CORRUPT or any(t in str(e) for t in _CORRUPT_TEXT)
+
+
 def _state(spark: SparkSession, path: str) -> dict[str, tuple]:
+    rows = None
     try:
         rows = read_current(spark, path)
         if rows is None:
             return {}
         return {r["table_name"]: tuple(r[f.name] for f in CONTROL_SCHEMA.fields)
                 for r in rows.select(*CONTROL_SCHEMA.fieldNames()).collect()}
-    except Exception:  # noqa: BLE001 - missing / empty / corrupt state -> empty state
-        return {}
+    except Exception as e:  # noqa: BLE001 - told apart below
+        if _is_corrupt(e):
+            return {}
+        raise
 
 
 def read_control(spark: SparkSession, path: str) -> DataFrame:
