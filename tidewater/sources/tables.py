@@ -110,8 +110,9 @@ def extract(df: DataFrame, incremental_column: str | None = None,
     """Rows to move in this run.
 
     * no incremental column -> every row (a supplied mark is ignored);
-    * incremental column, no mark -> every row, NULL marks included (initial load);
-    * incremental column and mark -> rows with ``col > mark`` (ties and NULLs excluded).
+    * incremental column, no mark -> every row, NULL and NaN marks included (initial load);
+    * incremental column and mark -> rows with ``col > mark`` (ties, NULLs and NaNs excluded:
+      neither ever becomes a mark, so they would be read again by every run).
 
     ``upper`` closes the range (``col <= upper``) so that a load and the
     mark computed for it see the same rows while the source keeps changing.
@@ -125,6 +126,7 @@ def extract(df: DataFrame, incremental_column: str | None = None,
     c = F.col(incremental_column)
     dtype = df.schema[incremental_column].dataType.simpleString()
     cond = None
+    nan = F.isnan(c) if dtype in ("double", "float") else None
     m = Mark.of(mark, dtype) if mark is not None and not isinstance(mark, Mark) else mark
     if m is not None:
         low = m.literal().cast(dtype)
@@ -132,11 +134,15 @@ def extract(df: DataFrame, incremental_column: str | None = None,
             low = (low - F.expr(f"INTERVAL {lookback}") if isinstance(lookback, str)
                    else low - F.lit(lookback)).cast(dtype)
         cond = c > low
+        if nan is not None:
+            cond = cond & ~nan
     u = Mark.of(upper, dtype) if upper is not None and not isinstance(upper, Mark) else upper
     if u is not None:
         bound = c <= u.literal().cast(dtype)
         if m is None:
             bound = bound | c.isNull()
+            if nan is not None:
+                bound = bound | nan
         cond = bound if cond is None else cond & bound
     return df if cond is None else df.where(cond)
 
