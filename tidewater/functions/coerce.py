@@ -15,10 +15,19 @@ def try_number(c: Column | str) -> Column:
     return F.when(~F.isnan(d), d)
 
 
+# A full ISO 8601 date-time: day and time of day, with or without seconds, fraction and offset.
+ISO_DATE_TIME = r"^\d{4}-\d{2}-\d{2}[Tt ]\d{2}:\d{2}(:\d{2}([.]\d{1,9})?)?([Zz]|[+-]\d{2}:?\d{2})?$"
+
+
 def try_timestamp(c: Column | str, fmt: str | None = None) -> Column:
-    """Text -> TIMESTAMP; unparsable -> NULL."""
+    """Text -> TIMESTAMP; anything else than a full ISO date-time -> NULL.
+
+    Spark's own cast takes more: a time alone becomes today, a year alone its first day.
+    """
     c = F.col(c) if isinstance(c, str) else c
-    return F.try_to_timestamp(c, F.lit(fmt)) if fmt else F.try_to_timestamp(c)
+    if fmt:
+        return F.try_to_timestamp(c, F.lit(fmt))
+    return F.when(c.rlike(ISO_DATE_TIME), F.try_to_timestamp(F.upper(c)))
 
 
 def nan_to_null(df: DataFrame, columns: Iterable[str] | None = None) -> DataFrame:

@@ -12,13 +12,15 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidewater.functions.order import sort_key
+
 
 def _pick(df: DataFrame, keys: Sequence[str], order: Sequence[str], first: bool) -> DataFrame:
     if not order:
         raise ValueError("an explicit order is needed to choose the surviving row")
     rest = [c for c in df.columns]
     row = F.struct(*[F.col(f"`{c}`") for c in rest])
-    ordk = F.struct(*[F.col(f"`{c}`") for c in order])
+    ordk = F.struct(*[sort_key(df, c) for c in order])
     agg = F.min_by(row, ordk) if first else F.max_by(row, ordk)
     picked = df.groupBy(*[F.col(f"`{k}`") for k in keys]).agg(agg.alias("_row"))
     return picked.select(*[F.col(f"_row.`{c}`").alias(c) for c in rest])

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tidewater.functions.order import sort_key
 from tidewater.functions.size import fits_broadcast
 from tidewater.operators.dedup import keep_last
 from tidewater.session import checkpoint_root
@@ -39,16 +40,18 @@ def _check(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> list[st
 
 def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str] | None = None, *,
            order_by: Sequence[str] | None = None, strategy: str = "auto",
-           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+           max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS, unique_keys: bool = False) -> DataFrame:
     """The target table after applying ``source``.
 
-    ``keys`` default to the first source column. With ``order_by``, source
-    rows sharing a key are first collapsed to the last one (last write wins);
-    without it the source must hold each key once.
+    ``keys`` default to the first source column. Source rows sharing a key are
+    first collapsed to the last one in ``order_by`` (last write wins), without it
+    in the order of the non-key columns, so no key is ever applied twice;
+    ``unique_keys`` (known to the caller) saves that step.
     """
     keys = list(keys or source.columns[:1])
-    if order_by:
-        source = keep_last(source, keys, order_by)
+    if not unique_keys:
+        order_by = order_by or [c for c in source.columns if c not in keys]
+        source = keep_last(source, keys, order_by) if order_by else source.dropDuplicates(keys)
     if target is None:  # first load
         return source
     upd = _check(target, source, keys)
@@ -161,7 +164,7 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
         upd = [c for c in source.columns if c not in keys]
     else:
         upd = _check(target, source.drop(*[c for c in order_by if c not in target.columns]), keys)
-    cur = F.struct(*[_q(c) for c in upd])
+    cur = F.struct(*[sort_key(source, c).alias(c) for c in upd])
     kstruct = F.struct(*[_q(k) for k in keys])
     if unique_keys:
         j = source
@@ -171,7 +174,7 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
             batch_keys = source.select(*keys)
             tgt = target.join(F.broadcast(batch_keys) if small_batch else batch_keys, keys, "left_semi")
             # at most one target row per batch key; AQE may broadcast it at run time
-            prev = tgt.select(*keys, F.struct(*[_q(c) for c in upd]).alias("_before"))
+            prev = tgt.select(*keys, F.struct(*[sort_key(target, c).alias(c) for c in upd]).alias("_before"))
             j = j.join(prev, keys, "left")
         return _classify(j, source.columns, cur)
     versions = source.select(*[_q(c) for c in source.columns], F.lit(1).alias("_rank"))
@@ -181,11 +184,11 @@ def affected_rows(target: DataFrame | None, source: DataFrame, keys: Sequence[st
             *[_q(c) if c in keys or c in upd else F.lit(None).cast(source.schema[c].dataType).alias(c)
               for c in source.columns], F.lit(0).alias("_rank"))
         versions = zero.unionByName(versions)
-    sequence = [F.col("_rank"), *[_q(c) for c in order_by]]
+    sequence = [F.col("_rank"), *[sort_key(source, c) for c in order_by]]
     if skew_safe:
         spark = source.sparkSession
-        n = partitions or min(int(spark.conf.get("spark.sql.shuffle.partitions")),
-                              max(source.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism))
+        n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")),
+                              spark.sparkContext.defaultParallelism)
         checkpoint_root(spark)
         ranged = (versions.repartitionByRange(n, *[_q(k) for k in keys], *sequence)
                   .withColumn("_p", F.spark_partition_id()).checkpoint(eager=True))

@@ -6,8 +6,9 @@ mark cover the same rows (a mutable source is frozen once in the shared
 checkpoint folder with its metrics observed on that pass; immutable files
 are read bounded above by the observed maximum) -> count affected rows and
 upsert into the current target, concurrently -> publish a new version (or
-rewrite the touched key buckets). Any failure leaves the target and the
-mark of that table untouched; other tables go on.
+new folders of the touched key buckets, published by one manifest). Any failure leaves the target and the
+mark of that table untouched; other tables go on. A batch of nothing but keys is a
+plain insert: any key that exists or repeats fails it as a whole.
 """
 
 from __future__ import annotations
@@ -27,9 +28,9 @@ from tidewater.functions.marks import Mark, encode_mark
 from tidewater.functions.size import measure, size_metrics
 from tidewater.operators.marks import batch_max, commit_gate, fold_mark
 from tidewater.operators.rename import rename_columns
-from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, upsert
+from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, insert_only, upsert
 from tidewater.session import checkpoint_root
-from tidewater.sinks.bucketed import read_bucketed, touched_buckets, upsert_bucketed
+from tidewater.sinks.bucketed import fit_layout, read_bucketed, touched_buckets, upsert_bucketed
 from tidewater.sinks.control import append_control, read_state
 from tidewater.sinks.versioned import publish, read_current
 from tidewater.sources.tables import extract, path_exists, read_table
@@ -153,6 +154,24 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
         if m["null_keys"]:
             raise ValueError(f"{m['null_keys']} rows with a NULL key in {t.source}")
         root = f"{spec.target_root.rstrip('/')}/{t.target}"
+        if t.buckets:
+            frozen = fit_layout(frozen, root, keys, t.buckets)
+        if set(keys) >= set(frozen.columns):
+            # nothing but keys: a plain insert, where any key that is there already or
+            # comes twice fails the batch as a whole
+            current = read_bucketed(spark, root) if t.buckets else read_current(spark, root)
+            base = current if current is not None else frozen.limit(0)
+            new_rows, conflicts = insert_only(base, frozen, keys)
+            repeated = conflicts.limit(1).count()
+            if repeated:
+                raise ValueError(f"duplicate keys in {t.source}")
+            if t.buckets:
+                upsert_bucketed(new_rows, root, keys, t.buckets, unique_keys=True)
+            else:
+                publish(base.unionByName(new_rows), root)
+            run.affected = run.rows
+            run.status = OK
+            return run
         touched = touched_buckets(frozen, keys, t.buckets) if t.buckets else None
         current = read_bucketed(spark, root, touched) if t.buckets else read_current(spark, root)
 

@@ -1,45 +1,79 @@
-"""Targets partitioned by key bucket: an upsert rewrites only touched buckets.
-
-Rows live under ``root/_bucket=<b>/`` with ``b = pmod(xxhash64(keys), n)``.
-A change set touches a bounded set of buckets (at most ``n``, a number the
-driver can hold); only those partitions are read (partition pruning),
-merged and written back with dynamic partition overwrite. The merged
-buckets are first checkpointed into the shared checkpoint folder so the
-write never overwrites files its own plan is still reading. A job that
-fails before commit changes nothing; the upsert is idempotent, so a rerun
-after a failure during commit converges to the same table.
+"""Targets in key buckets with a manifest: an upsert writes only the buckets it touches.
+
+Rows live in ``root/data/<run>/_bucket=<b>/`` with ``b = pmod(xxhash64(keys), n)``.
+The manifest (a small versioned table, one row per bucket) names the folder of
+every bucket, and holds the layout: the number of buckets, the key columns with
+their types and the table's schema. A load reads the touched buckets, writes
+their merged rows under a folder of its own and publishes them with one new
+manifest version, so readers see all of a load or nothing of it, no file is
+ever overwritten, and untouched buckets are used as they are. Folders that none of
+the kept manifest versions names are removed.
+
+Buckets and keys are fixed when a table is first written; a load that names others
+is refused, and key values are cast to the stored types before they are hashed.
 """
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from tidewater import paths
 from tidewater.operators.dedup import keep_last
 from tidewater.operators.upsert import upsert
+from tidewater.sinks.versioned import publish, read_current, version_paths
 
 BUCKET_COL = "_bucket"
+LAYOUT_ROW = -1  # the manifest row that only carries the layout
+MANIFEST = "bucket int, path string, layout string"
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
 
 
-def _exists(spark: SparkSession, root: str) -> bool:
-    return any(is_dir and name.startswith(f"{BUCKET_COL}=")
-               for name, _, is_dir in paths.list_dir(spark, root))
+def _manifest(spark: SparkSession, root: str) -> tuple[dict, dict[int, str]] | None:
+    """(layout, bucket -> folder) of the current version; None if there is no table."""
+    table = read_current(spark, f"{root.rstrip('/')}/_manifest")
+    if table is None:
+        return None
+    rows = table.collect()  # one row per bucket
+    layout = next(json.loads(r["layout"]) for r in rows if r["bucket"] == LAYOUT_ROW)
+    return layout, {r["bucket"]: r["path"] for r in rows if r["bucket"] != LAYOUT_ROW}
+
+
+def _read(spark: SparkSession, root: str, layout: dict, folders: Sequence[str]) -> DataFrame:
+    schema = StructType.fromJson(layout["schema"])
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{root.rstrip('/')}/{f}" for f in folders])
 
 
 def read_bucketed(spark: SparkSession, root: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
-    """The table (or only the given buckets), without the bucket column; None if absent."""
-    if not _exists(spark, root):
+    """The table (or only the given buckets); None if absent."""
+    found = _manifest(spark, root)
+    if found is None:
         return None
-    df = spark.read.parquet(root)
-    if buckets is not None:
-        df = df.where(F.col(BUCKET_COL).isin(list(buckets)))
-    return df.drop(BUCKET_COL)
+    layout, folders = found
+    wanted = sorted(folders) if buckets is None else [b for b in sorted(set(buckets)) if b in folders]
+    return _read(spark, root, layout, [folders[b] for b in wanted])
+
+
+def fit_layout(source: DataFrame, root: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """``source`` with its keys in the stored types; raises if the table has another layout."""
+    found = _manifest(source.sparkSession, root)
+    if found is None:
+        return source
+    layout = found[0]
+    if (layout["buckets"], layout["keys"]) != (buckets, list(keys)):
+        raise ValueError(f"{root} has {layout['buckets']} buckets on {layout['keys']}, not {buckets} on {list(keys)}")
+    types = {f["name"]: StructType.fromJson({"type": "struct", "fields": [f]})[0].dataType
+             for f in layout["schema"]["fields"]}
+    return source.withColumns({k: F.col(f"`{k}`").cast(types[k]) for k in keys if source.schema[k].dataType != types[k]})
 
 
 def touched_buckets(source: DataFrame, keys: Sequence[str], buckets: int) -> list[int]:
@@ -49,16 +83,42 @@ def touched_buckets(source: DataFrame, keys: Sequence[str], buckets: int) -> lis
 
 def upsert_bucketed(source: DataFrame, root: str, keys: Sequence[str], buckets: int, *,
                     order_by: Sequence[str] | None = None, strategy: str = "auto",
-                    touched: Sequence[int] | None = None) -> list[int]:
+                    touched: Sequence[int] | None = None, unique_keys: bool = False) -> list[int]:
     """Apply ``source`` to the bucketed table at ``root``; returns the rewritten buckets."""
     spark = source.sparkSession
-    keys = list(keys)
-    src = keep_last(source, keys, order_by) if order_by else source
+    keys, root = list(keys), root.rstrip("/")
+    src = fit_layout(source, root, keys, buckets)
+    if not unique_keys:
+        order_by = order_by or [c for c in src.columns if c not in keys]
+        src = keep_last(src, keys, order_by) if order_by else src.dropDuplicates(keys)
+    found = _manifest(spark, root)
+    folders = dict(found[1]) if found else {}
     touched = list(touched) if touched is not None else touched_buckets(src, keys, buckets)
-    current = read_bucketed(spark, root, touched)
-    merged = upsert(current, src, keys, strategy=strategy).withColumn(BUCKET_COL, bucket_of(keys, buckets))
-    if current is not None:
-        merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET_COL).parquet(root))
+    current = _read(spark, root, found[0], [folders[b] for b in touched if b in folders]) if found else None
+    merged = upsert(current, src, keys, strategy=strategy, unique_keys=True)
+    layout = {"buckets": buckets, "keys": keys, "schema": json.loads(merged.schema.json())}
+    run = f"data/{uuid.uuid4().hex}"
+    # one bucket's rows meet in few tasks; adaptive execution splits large ones
+    (merged.withColumn(BUCKET_COL, bucket_of(keys, buckets)).hint("rebalance", F.col(BUCKET_COL))
+     .write.partitionBy(BUCKET_COL).parquet(f"{root}/{run}"))
+    written = [name for name, _, is_dir in paths.list_dir(spark, f"{root}/{run}") if is_dir and name.startswith(f"{BUCKET_COL}=")]
+    folders = {b: f for b, f in folders.items() if b not in set(touched)}
+    folders |= {int(name.split("=")[1]): f"{run}/{name}" for name in written}
+    rows = [(LAYOUT_ROW, None, json.dumps(layout)), *((b, f, None) for b, f in sorted(folders.items()))]
+    publish(spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{root}/_manifest")
+    _remove_unused(spark, root)
     return touched
+
+
+def _remove_unused(spark: SparkSession, root: str) -> None:
+    """Remove bucket folders that no kept manifest version names."""
+    kept = version_paths(spark, f"{root}/_manifest")
+    used = {r["path"] for r in spark.read.schema(MANIFEST).parquet(*kept).filter("path is not null").collect()}
+    for run, full, is_dir in paths.list_dir(spark, f"{root}/data"):
+        names = [name for name, _, _ in paths.list_dir(spark, full) if name.startswith(f"{BUCKET_COL}=")] if is_dir else []
+        unused = [name for name in names if f"data/{run}/{name}" not in used]
+        if len(unused) == len(names):
+            paths.remove(spark, full)
+        else:
+            for name in unused:
+                paths.remove(spark, f"{full}/{name}")

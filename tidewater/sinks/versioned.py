@@ -34,6 +34,11 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return f"{root.rstrip('/')}/{v[-1][1]}" if v else None
 
 
+def version_paths(spark: SparkSession, root: str) -> list[str]:
+    """Folders of all committed versions, oldest first."""
+    return [f"{root.rstrip('/')}/{name}" for _, name in _versions(spark, root)]
+
+
 def read_current(spark: SparkSession, root: str) -> DataFrame | None:
     path = current_version(spark, root)
     return spark.read.parquet(path) if path else None
