@@ -68,7 +68,8 @@ def test_raw_read_never_truncates(spark, scratch):
     from tidewater.sources.files import _single_file
     _single_file(spark, d + "/tmp", d + "/w.csv", ".txt")
     with pytest.raises(Exception):
-        read_csv_folder_raw(spark, d).collect()
+        read_csv_folder_raw(spark, d, width=2).collect()
+    assert read_csv_folder_raw(spark, d).columns == ["file_name", "_c0", "_c1", "_c2", "_c3"]
     rows = sorted(tuple(r) for r in read_csv_folder_raw(spark, d, width=4).collect())
     assert ("w.csv", "1", "2", "3", "4") in rows and ("w.csv", "1", "x,y", None, None) in rows
 

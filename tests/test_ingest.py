@@ -227,3 +227,48 @@ def test_rejected_messages_are_kept_with_their_reason(spark):
     r = ingest_batch(_msgs(spark, vals), _lookup(spark))
     assert sorted(x.reason for x in r.rejected.collect()) == ["bad_user_id", "not_object"]
     assert r.rows.count() == 1
+
+
+def test_a_stream_refuses_to_cut_its_batches(spark, scratch):
+    import pytest
+    from tidewater.spec import IngestSpec
+    _msgs(spark, [json.dumps(GOOD)]).write.parquet(f"{scratch}/src")
+    with pytest.raises(ValueError):
+        ingest_stream(read_message_stream(spark, "parquet", f"{scratch}/src"), _lookup(spark), f"{scratch}/sink",
+                      f"{scratch}/ckpt", IngestSpec(max_messages=4))
+
+
+def test_invalid_copy_does_not_remove_a_later_valid_one(spark, scratch):
+    from tidewater.spec import IngestSpec
+    vals = [json.dumps({**GOOD, "user_id": 7}), json.dumps({**GOOD, "event_id": 1}), json.dumps(GOOD),
+            json.dumps({**GOOD, "payload": {"again": 1}}), "{bad"]
+    base = _msgs(spark, vals).withColumn("timestamp", F.current_timestamp())
+    for n in range(len(vals)):
+        base.where(f"offset = {n}").write.parquet(f"{scratch}/src/part={n}")
+        ingest_stream(read_message_stream(spark, "parquet", f"{scratch}/src"), _lookup(spark), f"{scratch}/sink",
+                      f"{scratch}/ckpt", IngestSpec(cross_batch_delay="1 hour"), rejects_path=f"{scratch}/rejects",
+                      summary_path=f"{scratch}/summary")
+    sink = spark.read.parquet(f"{scratch}/sink").collect()
+    assert [json.loads(r.payload) for r in sink] == [GOOD["payload"]]
+    assert sorted(r.reason for r in spark.read.parquet(f"{scratch}/rejects").collect()) == ["bad_event_id", "bad_user_id"]
+    total = spark.read.parquet(f"{scratch}/summary").agg(F.sum("messages"), F.sum("skipped"), F.sum("invalid"),
+                                                         F.sum("duplicates"), F.sum("loaded")).first()
+    assert tuple(total) == (5, 1, 2, 1, 1)
+
+
+def test_ingest_goes_on_without_a_lookup_that_fails_while_it_is_read(spark, scratch):
+    from tidewater.plans.ingest import load_batch, prepare_for_run
+    from tidewater.spec import IngestSpec
+    broken = lambda: _lookup(spark).withColumn("user_name", F.raise_error(F.lit("down")).cast("string"))
+    lookup = prepare_for_run(spark, broken, IngestSpec())
+    assert not lookup.available
+    counts = load_batch(_msgs(spark, [json.dumps(GOOD)]), lookup, f"{scratch}/sink")
+    assert (counts["missed"], counts["loaded"], counts["lookup_available"]) == (1, 1, False)
+
+
+def test_only_full_date_times_are_loaded(spark):
+    texts = ["12:30:00", "2024", "2024-03-10", "2024-03", "not a time", "2024-03-10T12:00:00Z", "2024-03-10 12:00",
+             "2024-03-10T12:00:00.5+02:00", "2024-13-10T12:00:00Z"]
+    vals = [json.dumps({**GOOD, "event_id": f"e{i}", "timestamp": t}) for i, t in enumerate(texts)]
+    rows = ingest_batch(_msgs(spark, vals), _lookup(spark)).rows.collect()
+    assert sorted(r.event_id for r in rows) == ["e5", "e6", "e7"]

@@ -294,3 +294,72 @@ def test_command_line_reports_failure(spark, scratch, capsys):
                  "--target-root", f"{scratch}/t"])
     out = capsys.readouterr().out
     assert code == 1 and "no_such_table\tfailed" in out and "nation\tok" in out
+
+
+def test_bucketed_layout_is_kept(spark, scratch):
+    import pytest
+    from tidewater.sinks.bucketed import read_bucketed, upsert_bucketed
+    root = f"{scratch}/b"
+    rows = spark.range(100).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    upsert_bucketed(rows, root, ["k"], 4)
+    with pytest.raises(ValueError):
+        upsert_bucketed(rows.limit(1), root, ["k"], 7)
+    # a key of another type is cast to the stored one before it is hashed
+    upsert_bucketed(spark.sql("select 5 as k, 'b' as v"), root, ["k"], 4)
+    got = {r.k: r.v for r in read_bucketed(spark, root).collect()}
+    assert len(got) == 100 == read_bucketed(spark, root).count() and got[5] == "b"
+
+
+def test_a_failed_bucketed_load_leaves_the_old_table(spark, scratch, monkeypatch):
+    import pytest
+    from tidewater.sinks import bucketed
+    root = f"{scratch}/b"
+    rows = spark.range(50).select(F.col("id").alias("k"), F.lit("a").alias("v"))
+    bucketed.upsert_bucketed(rows, root, ["k"], 4)
+    before = bucketed.read_bucketed(spark, root)
+    def broken(*a, **b):
+        raise RuntimeError("lost")
+    with monkeypatch.context() as m:
+        m.setattr(bucketed, "publish", broken)  # the bucket files are written, the manifest is not
+        with pytest.raises(RuntimeError):
+            bucketed.upsert_bucketed(rows.withColumn("v", F.lit("b")), root, ["k"], 4)
+    assert {r.v for r in bucketed.read_bucketed(spark, root).collect()} == {"a"} == {r.v for r in before.collect()}
+    bucketed.upsert_bucketed(rows.limit(1).withColumn("v", F.lit("c")), root, ["k"], 4)
+    assert bucketed.read_bucketed(spark, root).filter("v = 'c'").count() == 1
+    assert bucketed.read_bucketed(spark, root).count() == 50
+
+
+def test_maps_can_be_loaded(spark, scratch):
+    from tidewater.operators.upsert import affected_rows, upsert
+    old = spark.sql("select 1 as k, map('a', 1) as m, 1 as ver")
+    new = spark.sql("select 1 as k, map('a', 2) as m, 2 as ver union all select 2, map('b', 1), 1")
+    assert upsert(old, new, ["k"], order_by=["ver", "m"]).count() == 2
+    got = {r.k: r.change for r in affected_rows(old, new, ["k"], ["ver", "m"]).collect()}
+    assert got == {1: "update", 2: "insert"}
+
+
+def test_state_that_cannot_be_read_fails_the_run(spark, scratch, monkeypatch):
+    import pytest
+    from tidewater.sinks import control
+    assert control.read_state(spark, f"{scratch}/none") == {}
+    def denied(*a):
+        raise PermissionError("denied")
+    monkeypatch.setattr(control, "read_current", denied)
+    with pytest.raises(PermissionError):
+        control.read_state(spark, f"{scratch}/none")
+
+
+def test_no_local_scratch_folder_on_a_cluster():
+    import pytest
+    from tidewater.session import checkpoint_root
+    class Conf:
+        def get(self, *a):
+            return None
+    class Context:
+        master = "spark://host:7077"
+        def getCheckpointDir(self):
+            return None
+    class Session:
+        conf, sparkContext = Conf(), Context()
+    with pytest.raises(ValueError):
+        checkpoint_root(Session())

@@ -18,6 +18,7 @@ base AS (
          'e' || CAST(event_id // 3 AS VARCHAR) AS k,
          'u' || CAST(user_id AS VARCHAR) AS u,
          strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS t,
+         strftime(ts + INTERVAL 2 HOUR, '%Y-%m-%dT%H:%M:%S.%f+02:00') AS t2,
          props AS p
   FROM events),
 msg AS (
@@ -33,6 +34,9 @@ msg AS (
     WHEN 8 THEN '{"event_id":"' || k || '","user_id":"","timestamp":"' || t || '","payload":' || p || '}'
     WHEN 9 THEN '{"event_id":"' || k || '","user_id":"' || u || '","timestamp":"' || t || '","payload":' || p || ',"x":1}'
     WHEN 10 THEN '{"event_id":"' || k || '","user_id":"' || u || '","timestamp":"' || t || '","payload":' || p || ',"user_name":"preset"}'
+    WHEN 11 THEN '{"event_id":"' || k || '","user_id":"' || u || '","timestamp":"12:30:00","payload":' || p || '}'
+    WHEN 12 THEN '{"event_id":"' || k || '","user_id":"' || u || '","timestamp":"2024","payload":' || p || '}'
+    WHEN 13 THEN '{"event_id":"' || k || '","user_id":"' || u || '","timestamp":"' || t2 || '","payload":' || p || '}'
     ELSE '{"event_id":"' || k || '","user_id":"' || u || '","timestamp":"' || t || '","payload":' || p || '}'
   END AS text FROM base),
 dec AS (SELECT seq, CAST(text AS JSON) AS j FROM msg WHERE json_valid(text)),
@@ -50,7 +54,7 @@ val AS (
   FROM dec),
 uniq AS (
   SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY seq) AS rn
+    SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY seq % 4, seq) AS rn
     FROM val WHERE reason IS NULL AND event_id IS NOT NULL) WHERE rn = 1),
 dim AS (
   SELECT 'u' || CAST(c_custkey AS VARCHAR) AS user_id, c_name AS user_name, n_name AS user_location
@@ -61,10 +65,12 @@ enr AS (
     CASE WHEN d.user_id IS NOT NULL THEN d.user_location ELSE u.user_location END AS user_location,
     d.user_id IS NOT NULL AS matched
   FROM uniq u LEFT JOIN dim d ON u.user_id = d.user_id AND u.user_id <> ''),
+parsed AS (
+  SELECT *, coalesce(try_strptime(ts_text, '%Y-%m-%dT%H:%M:%S.%fZ'),
+                     try_strptime(replace(ts_text, '+02:00', ''), '%Y-%m-%dT%H:%M:%S.%f') - INTERVAL 2 HOUR) AS "timestamp"
+  FROM enr),
 sink AS (
-  SELECT event_id, user_id, try_strptime(ts_text, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp", payload,
-         user_name, user_location
-  FROM enr WHERE try_strptime(ts_text, '%Y-%m-%dT%H:%M:%S.%fZ') IS NOT NULL)
+  SELECT event_id, user_id, "timestamp", payload, user_name, user_location FROM parsed WHERE "timestamp" IS NOT NULL)
 """
 
 SINK_SELECT = """SELECT event_id, user_id, "timestamp", payload, user_name, user_location,
@@ -313,14 +319,37 @@ ORACLE_SQL: dict[str, str] = {
                                        count(*) FILTER (WHERE NOT matched) AS missed FROM enr""",
     "enrich_lookup_down": "WITH " + MSG + """SELECT seq, event_id, user_id, user_name, user_location,
                                              false AS matched, false AS lookup_available FROM uniq""",
-    "bounded_batch": "WITH " + MSG + "SELECT seq, lower(json_type(j)) AS kind FROM dec ORDER BY seq LIMIT 1000",
+    "bounded_batch": "WITH " + MSG + "SELECT seq, lower(json_type(j)) AS kind FROM dec ORDER BY seq % 4, seq LIMIT 1000",
     "daily_partition_append": "WITH " + MSG + """SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS rows
                                                  FROM sink GROUP BY 1""",
     "event_ingest_e2e": "WITH " + MSG + SINK_SELECT,
     "event_ingest_stream": "WITH " + MSG + SINK_SELECT,
+    "event_ingest_stream_bounded": "WITH " + MSG + SINK_SELECT,
+    "event_ingest_stream_dedup": "WITH " + MSG + SINK_SELECT,
+    "ingest_summary": "WITH " + MSG + """
+        SELECT count(*) AS messages, count(*) FILTER (WHERE NOT json_valid(text)) AS skipped,
+               (SELECT count(*) FROM val WHERE reason IS NOT NULL) AS invalid,
+               (SELECT count(*) FROM val WHERE reason IS NULL) - (SELECT count(*) FROM uniq) AS duplicates,
+               (SELECT count(*) FROM enr WHERE matched) AS enriched, (SELECT count(*) FROM enr WHERE NOT matched) AS missed,
+               (SELECT count(*) FROM parsed WHERE "timestamp" IS NULL) AS quarantined,
+               (SELECT count(*) FROM sink) AS loaded, true AS lookup_available FROM msg""",
+    "ingest_rejects": "WITH " + MSG + """SELECT seq, reason FROM val WHERE reason IS NOT NULL
+                                         UNION ALL SELECT seq, 'bad_timestamp' FROM parsed WHERE "timestamp" IS NULL""",
+    "initial_extract_nan": """SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN NULL
+                              ELSE p_retailprice END AS mark FROM part""",
+    "migrate_key_only": """SELECT 1 AS run, 'ok' AS status, count(*) AS rows, CAST(0 AS BIGINT) AS failed, count(*) AS target_rows FROM part
+                           UNION ALL SELECT 2, 'failed', count(*), count(*), count(*) FROM part
+                           UNION ALL SELECT 3, 'failed', count(*), count(*), count(*) FROM part
+                           UNION ALL SELECT 4, 'failed', 2 * count(*), 2 * count(*), 0 FROM part""",
     "csv_folder_raw": _CSV_RAW,
     "csv_file_counts": "SELECT file_name, count(*) AS records FROM (" + _CSV_RAW + ") GROUP BY file_name",
     "csv_folder_typed": _CSV_TYPED,
+    "csv_raw_quoting": """SELECT 'odd.csv' AS file_name, CAST(n_nationkey AS VARCHAR) AS _c0, n_name || ' "q", x' AS _c1,
+                          '' AS _c2, 'a' || chr(10) || 'b' AS _c3, CASE WHEN n_nationkey % 3 = 0 THEN 'tail' END AS _c4
+                          FROM nation""",
+    "csv_typed_conflict": """SELECT 'a.csv' AS file_name, CAST(n_nationkey AS VARCHAR) AS id, n_name AS v, CAST(NULL AS DOUBLE) AS w
+                             FROM nation UNION ALL SELECT 'b.csv', 'n' || CAST(n_nationkey AS VARCHAR), NULL, n_regionkey + 0.5
+                             FROM nation""",
     "text_whole": _TEXT_WHOLE,
     "csv_text_combine": "SELECT out_name, line FROM (" + _COMBINE_ORDER + ")",
     "csv_text_combine_order": _COMBINE_ORDER,

@@ -15,8 +15,8 @@ from tidewater.operators.rename import rename_columns, select_mapped
 from tidewater.operators.upsert import affected_rows, insert_only_stats, upsert
 from tidewater.operators.validate import validate_messages, validation_stats
 from tidewater.plans.combine import combine_folder
-from tidewater.plans.ingest import (decode_messages, decode_stats, dedup_stats, dedup_valid,
-                                   ingest_batch)
+from tidewater.plans.ingest import (SUMMARY, decode_messages, decode_stats, dedup_stats, dedup_valid,
+                                   ingest_batch, load_batch, prepare_for_run)
 from tidewater.plans.migration import migrate_all
 from tidewater.session import apply_defaults, scratch_path
 from tidewater.sinks.control import append_control, read_control
@@ -27,7 +27,7 @@ from tidewater.sources.files import (export_csv, export_csv_split, export_text,
                                      read_csv_folder_typed, read_text_whole)
 from tidewater.sources.messages import bounded_batch, messages_from_events
 from tidewater.sources.tables import chunk_stats, extract, read_table
-from tidewater.spec import MigrationSpec, TableSpec
+from tidewater.spec import IngestSpec, MigrationSpec, TableSpec
 from tidewater.streaming.ingest_stream import ingest_stream, read_message_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -255,6 +255,36 @@ def incremental_two_runs_bucketed(spark, sf):
     return incremental_two_runs(spark, sf, buckets=16)
 
 
+def initial_extract_nan(spark, sf):
+    """First load of a table whose mark column holds NaN and NULL."""
+    work = scratch_path(spark, "nan_marks")
+    k = F.col("p_partkey")
+    mark = F.when(k % 4 == 0, F.lit(float("nan"))).when(k % 4 == 1, F.lit(None)).otherwise(F.col("p_retailprice"))
+    _t(spark, sf, "part").select("p_partkey", mark.alias("mark")).write.parquet(f"{work}/part")
+    t = TableSpec(source="part", target="part_t", incremental_column="mark", source_options={"path": f"{work}/part"})
+    runs = migrate_all(spark, MigrationSpec(tables=[t], source_root=sf, target_root=f"{work}/target",
+                                            state_path=f"{work}/control")).collect()
+    if runs[0]["status"] != "ok":
+        raise RuntimeError(f"migration failed: {runs}")
+    return read_current(spark, f"{work}/target/part_t")
+
+
+def migrate_key_only(spark, sf):
+    """A table of nothing but its key: the first run inserts, reruns and repeats fail as a whole."""
+    work = scratch_path(spark, "key_only")
+    keys = _t(spark, sf, "part").select("p_partkey")
+    keys.write.parquet(f"{work}/once")
+    keys.union(keys).write.parquet(f"{work}/twice")
+    out = []
+    for run, source in enumerate(("once", "once", "once", "twice"), 1):
+        t = TableSpec(source="part", target=f"{source}_t", source_options={"path": f"{work}/{source}"})
+        r = migrate_all(spark, MigrationSpec(tables=[t], source_root=sf, target_root=f"{work}/target",
+                                             state_path=f"{work}/control")).first()
+        target = read_current(spark, f"{work}/target/{source}_t")
+        out.append((run, r["status"], r["rows"], r["failed"], 0 if target is None else target.count()))
+    return spark.createDataFrame(out, "run int, status string, rows long, failed long, target_rows long")
+
+
 def _routing(sf: str, work: str, extra: tuple = ()) -> MigrationSpec:
     root = sf.rstrip("/")
     tables = [
@@ -399,6 +429,46 @@ def event_ingest_stream(spark, sf):
     return _sink_view(back.select(*SINK_COLUMNS, "event_date"))
 
 
+def event_ingest_stream_bounded(spark, sf):
+    """Several micro-batches, each bounded at the source; messages of one event lie in one file."""
+    work = scratch_path(spark, "stream_bounded")
+    _messages(spark, sf).repartition(8, F.expr("offset div 3")).write.mode("overwrite").parquet(f"{work}/source")
+    stream = read_message_stream(spark, "parquet", f"{work}/source", {"maxFilesPerTrigger": "3"})
+    ingest_stream(stream, _lookup(spark, sf), f"{work}/sink", f"{work}/checkpoint")
+    back = spark.read.parquet(f"{work}/sink")
+    return _sink_view(back.select(*SINK_COLUMNS, "event_date"))
+
+
+def event_ingest_stream_dedup(spark, sf):
+    """Copies of an event come in different micro-batches, invalid ones first for some."""
+    work = scratch_path(spark, "stream_dedup")
+    messages, lookup = _messages(spark, sf), _lookup(spark, sf)
+    spec = IngestSpec(cross_batch_delay="3650 days")
+    for part in (0, 1):  # partitions 0 and 1, then 2 and 3
+        messages.where(F.expr("partition div 2") == part).write.mode("append").parquet(f"{work}/source")
+        ingest_stream(read_message_stream(spark, "parquet", f"{work}/source"), lookup, f"{work}/sink",
+                      f"{work}/checkpoint", spec)
+    back = spark.read.parquet(f"{work}/sink")
+    return _sink_view(back.select(*SINK_COLUMNS, "event_date"))
+
+
+def _ingest_job(spark, sf):
+    work = scratch_path(spark, "ingest_job")
+    spec = IngestSpec()
+    counts = load_batch(_messages(spark, sf), prepare_for_run(spark, lambda: _lookup(spark, sf), spec), f"{work}/sink",
+                        spec, rejects_path=f"{work}/rejects")
+    return work, counts
+
+
+def ingest_summary(spark, sf):
+    return spark.createDataFrame([tuple(_ingest_job(spark, sf)[1].values())], SUMMARY)
+
+
+def ingest_rejects(spark, sf):
+    work, _ = _ingest_job(spark, sf)
+    return spark.read.parquet(f"{work}/rejects").select(F.col("offset").alias("seq"), "reason")
+
+
 # ---------------------------------------------------------------- files
 
 def _file_fixture(spark, sf) -> tuple[str, str]:
@@ -433,6 +503,26 @@ def csv_folder_typed(spark, sf):
     return read_csv_folder_typed(spark, csv_dir)
 
 
+def csv_raw_quoting(spark, sf):
+    """Quoted commas, doubled quotes, line ends inside fields, empty fields, rows of different width."""
+    work = scratch_path(spark, "csv_odd")
+    k = F.col("n_nationkey").cast("string")
+    line = F.concat(k, F.lit(',"'), F.col("n_name"), F.lit(' ""q"", x",,"a\nb"'),
+                    F.when(F.col("n_nationkey") % 3 == 0, ",tail").otherwise(""))
+    export_text(_t(spark, sf, "nation").select(line.alias("line"), "n_nationkey"), work, "odd.csv", ["n_nationkey"])
+    return read_csv_folder_raw(spark, work)
+
+
+def csv_typed_conflict(spark, sf):
+    """Two files that disagree on the type of a column."""
+    work = scratch_path(spark, "csv_types")
+    nation = _t(spark, sf, "nation")
+    export_csv(nation.select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("v")), work, "a.csv", ["id"])
+    export_csv(nation.select(F.concat(F.lit("n"), F.col("n_nationkey").cast("string")).alias("id"),
+                             (F.col("n_regionkey") + 0.5).alias("w")), work, "b.csv", ["id"])
+    return read_csv_folder_typed(spark, work)
+
+
 def text_whole(spark, sf):
     _, txt_dir = _file_fixture(spark, sf)
     return read_text_whole(spark, txt_dir, "regions.txt").unionByName(
@@ -488,9 +578,17 @@ _ALL: dict[str, Query] = {
     "daily_partition_append": daily_partition_append,
     "event_ingest_e2e": event_ingest_e2e,
     "event_ingest_stream": event_ingest_stream,
+    "event_ingest_stream_bounded": event_ingest_stream_bounded,
+    "event_ingest_stream_dedup": event_ingest_stream_dedup,
+    "ingest_summary": ingest_summary,
+    "ingest_rejects": ingest_rejects,
+    "initial_extract_nan": initial_extract_nan,
+    "migrate_key_only": migrate_key_only,
     "csv_folder_raw": csv_folder_raw,
     "csv_file_counts": csv_file_counts,
     "csv_folder_typed": csv_folder_typed,
+    "csv_raw_quoting": csv_raw_quoting,
+    "csv_typed_conflict": csv_typed_conflict,
     "text_whole": text_whole,
     "csv_text_combine": csv_text_combine,
     "csv_text_combine_order": csv_text_combine_order,

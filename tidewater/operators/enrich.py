@@ -47,8 +47,11 @@ def load_lookup(spark: SparkSession, loader: Callable[[], DataFrame], key: str,
         dim.schema  # resolve now, so a missing table or column fails here
         return dim, True
     except Exception:  # noqa: BLE001 - any failure of the lookup source degrades the same way
-        schema = StructType([StructField(c, StringType()) for c in (key, *columns)])
-        return spark.createDataFrame([], schema), False
+        return empty_lookup(spark, key, columns), False
+
+
+def empty_lookup(spark: SparkSession, key: str, columns: Sequence[str]) -> DataFrame:
+    return spark.createDataFrame([], StructType([StructField(c, StringType()) for c in (key, *columns)]))
 
 
 def lookup_fits_broadcast(dim: DataFrame, key: str, columns: Sequence[str],

@@ -46,3 +46,14 @@ def move(spark: SparkSession, src: str, dest: str) -> None:
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)
+
+
+def sizes(spark: SparkSession, path: str) -> list[int]:
+    """Bytes of the files at ``path``: itself, or the files directly inside it."""
+    fs, p = _fs(spark, path)
+    found = fs.globStatus(p) or []
+    out = []
+    for st in found:
+        inside = fs.listStatus(st.getPath()) if st.isDirectory() else [st]
+        out += [int(x.getLen()) for x in inside if not x.isDirectory()]
+    return out

@@ -2,12 +2,15 @@
 
 Output ``combined_<file>`` holds the CSV's lines, then the text's lines.
 The text is read once and fanned out to each CSV name with ``explode``
-over the file list (the folder listing the driver already holds), so no
-join is planned and a large text is not funnelled through one task.
+over the file list (the folder listing the driver already holds,
+that every task gets as one literal), so a large text is not funnelled through one task and
+the plan does not grow with the number of files.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidewater.sinks.files import write_per_file_text
@@ -25,9 +28,10 @@ def combine_folder(spark: SparkSession, csv_folder: str, text_path: str,
     csv_lines = read_text_lines(spark, csv_folder, CSV_GLOB).select(
         "file_name", F.lit(CSV_SECTION).alias("section"), "line_no", "line")
     if names:
+        # all names are one literal, whatever their number; every line is repeated for each
+        files = F.from_json(F.lit(json.dumps(names)), "array<string>")
         text = read_text_lines(spark, text_path).select(
-            F.explode(F.array(*[F.lit(n) for n in names])).alias("file_name"),
-            F.lit(TEXT_SECTION).alias("section"), "line_no", "line")
+            F.explode(files).alias("file_name"), F.lit(TEXT_SECTION).alias("section"), "line_no", "line")
         lines = csv_lines.unionByName(text)
     else:
         lines = csv_lines

@@ -8,12 +8,13 @@ are taken, without descending into sub-folders.
 from __future__ import annotations
 
 import posixpath
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import BooleanType, StringType, StructField, StructType
+from pyspark.sql.types import (BooleanType, DataType, DoubleType, IntegerType, LongType, StringType, StructField,
+                               StructType)
 
 from tidewater import paths
 from tidewater.sources.tables import path_exists
@@ -84,65 +85,102 @@ def export_csv_split(df: DataFrame, folder: str, stem: str, key: str,
 
 def csv_files(spark: SparkSession, folder: str) -> list[str]:
     """The ``*.csv`` files directly inside ``folder`` (a driver-side listing)."""
-    return sorted(spark.read.option("pathGlobFilter", CSV_GLOB).text(folder).inputFiles())
+    return sorted(full for name, full, is_dir in paths.list_dir(spark, folder)
+                  if not is_dir and name.endswith(".csv") and name[0] not in "_.")
 
 
-# Concurrent per-file schema inferences submitted from the driver.
-INFER_THREADS = 16
+# Options of standard CSV: a quote inside a quoted field is doubled, fields may hold line ends.
+# A file is then one task: where its records start is known only from its beginning.
+CSV_OPTIONS = {"escape": '"', "multiLine": "true", "pathGlobFilter": CSV_GLOB}
+# One field: quoted (possibly with doubled quotes), or anything up to the next comma.
+_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
+_FIELD = rf'(?:^|,)({_QUOTED}[^,]*+|[^,]*+)'
 
 
-def _per_file(files: list[str], fn):
-    """``fn`` over every file; the small inference jobs run concurrently."""
-    if len(files) <= 1:
-        return [fn(f) for f in files]
-    with ThreadPoolExecutor(max_workers=min(INFER_THREADS, len(files))) as pool:
-        return list(pool.map(fn, files))
+def _file_name() -> Column:
+    # the metadata column is percent-encoded; a plus sign in it is a plus sign
+    return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_name")
 
 
-def _file_name() -> Column:
-    return F.col("_metadata.file_name").alias("file_name")
+def csv_fields(record: Column) -> Column:
+    """The fields of one CSV record as an array of strings; an empty field is the empty string."""
+    fields = F.regexp_extract_all(record, F.lit(_FIELD), F.lit(1))
+    unquoted = lambda x: F.regexp_replace(F.regexp_replace(x, r'(?s)^"(.*)"$', "$1"), '""', '"')
+    return F.transform(fields, lambda x: F.when(x.startswith('"') & (F.length(x) > 1), unquoted(x)).otherwise(x))
+
+
+def read_csv_records(spark: SparkSession, folder: str) -> DataFrame:
+    """``(file_name, fields)``: every record of every CSV file, ragged, header treated as data.
+
+    Empty fields are empty strings. Blank lines are no records.
+    """
+    # Read against a schema of one column, every record with more fields arrives whole as
+    # the malformed record; one with a single field arrives parsed.
+    schema = StructType([StructField("_c0", StringType()), StructField("_record", StringType())])
+    df = (spark.read.schema(schema).options(**CSV_OPTIONS).option("header", False).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", "_record").csv(folder))
+    fields = F.when(F.col("_record").isNotNull(), csv_fields(F.col("_record"))).otherwise(
+        F.array(F.coalesce("_c0", F.lit(""))))
+    return df.select(_file_name(), fields.alias("fields"))
 
 
 def read_csv_folder_raw(spark: SparkSession, folder: str, width: int | None = None) -> DataFrame:
     """Every record of every CSV file as strings, header treated as data.
 
     Columns are ``file_name, _c0 .. _c{width-1}``; short rows are padded
-    with NULL. ``width`` defaults to the widest first line among the files.
-    A later row wider than ``width`` fails the read (pass a larger
-    ``width``) rather than losing its extra fields.
+    with NULL, an empty field stays an empty string. ``width`` defaults to the
+    widest record of all files (one distributed pass over the rows). With a
+    given ``width`` a wider record fails the read rather than losing its extra
+    fields.
     """
+    if not csv_files(spark, folder):
+        return spark.createDataFrame([], "file_name string")
+    records = read_csv_records(spark, folder)
     if width is None:
-        widths = _per_file(csv_files(spark, folder),
-                           lambda f: len(spark.read.option("header", False).csv(f).columns))
-        width = max(widths, default=0)
+        width = records.agg(F.max(F.size("fields"))).first()[0] or 0
     names = [f"_c{i}" for i in range(width)]
-    schema = StructType([StructField(n, StringType()) for n in names]
-                        + [StructField("_bad_row", StringType())])
-    df = (spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_bad_row")
-          .option("pathGlobFilter", CSV_GLOB).csv(folder))
     if not names:
-        return df.select(_file_name())
-    # A row whose shape differs from the schema is kept in _bad_row; count its
-    # fields (commas outside quoted sections) to tell a short row from a wide one.
-    fields = F.size(F.split(F.regexp_replace("_bad_row", r'"(?:[^"]|"")*"', "q"), ","))
-    wider = F.col("_bad_row").isNotNull() & (fields > width)
-    last = F.when(wider, F.raise_error(F.lit(f"CSV row wider than {width} fields; pass width=")))
-    cols = [F.col(n) for n in names[:-1]] + [last.otherwise(F.col(names[-1])).alias(names[-1])]
-    return df.select(_file_name(), *cols)
+        return records.select("file_name")
+    cols = [F.get("fields", F.lit(i)).alias(n) for i, n in enumerate(names)]
+    wider = F.when(F.size("fields") > width, F.raise_error(F.lit(f"CSV row wider than {width} fields; pass width=")))
+    return records.select("file_name", *cols[:-1], F.coalesce(wider, cols[-1]).alias(names[-1]))
+
+
+def _common_type(types: Iterable[DataType]) -> DataType:
+    """The type that holds all: the wider of two whole numbers, double for mixed numbers, else text."""
+    kinds = set(types)
+    if len(kinds) == 1:
+        return kinds.pop()
+    whole = (IntegerType(), LongType())
+    if kinds <= set(whole):
+        return LongType()
+    return DoubleType() if all(k in whole or k == DoubleType() for k in kinds) else StringType()
 
 
 def read_csv_folder_typed(spark: SparkSession, folder: str) -> DataFrame:
     """Each CSV with its own header and inferred types, aligned by column name.
 
-    One read per file: a folder-wide header read would silently take the
-    first file's names for every file.
+    The headers of all files are found in one distributed pass; files with the same
+    header are one read with one inference. Where files disagree on the type of
+    a column, it takes the common type (text if there is none).
     """
-    parts = _per_file(csv_files(spark, folder),
-                      lambda f: spark.read.option("header", True).option("inferSchema", True).csv(f)
-                      .select(_file_name(), "*"))
-    if not parts:
+    first = read_csv_records(spark, folder).select(
+        F.col("file_name"), "fields", F.monotonically_increasing_id().alias("_id")) if csv_files(spark, folder) else None
+    if first is None:
         return spark.createDataFrame([], "file_name string")
+    headers: dict[tuple, list[str]] = {}
+    for r in first.groupBy("file_name").agg(F.min_by("fields", "_id").alias("header")).collect():  # one row per file
+        headers.setdefault(tuple(r["header"]), []).append(r["file_name"])
+    files = {base_name(f): f for f in csv_files(spark, folder)}
+    parts = []
+    for names in headers.values():
+        parts.append(spark.read.options(**CSV_OPTIONS).option("header", True).option("inferSchema", True)
+                     .csv([files[n] for n in sorted(names)]).select(_file_name(), "*"))
+    types: dict[str, DataType] = {}
+    for p in parts:
+        for f in p.schema.fields:
+            types[f.name] = _common_type((types.get(f.name, f.dataType), f.dataType))
+    parts = [p.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in p.columns]) for p in parts]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -189,7 +227,7 @@ def read_text_lines(spark: SparkSession, path: str, glob: str | None = None) ->
         reader = reader.option("pathGlobFilter", glob)
     text = reader.text(path)
     raw = text.select(F.col("_metadata.file_path").alias("_path"),
-                      F.col("_metadata.file_name").alias("file_name"),
+                      _file_name(),
                       F.col("_metadata.file_block_start").alias("_block"),
                       F.monotonically_increasing_id().alias("_id"),
                       F.col("value").alias("line"))
@@ -197,7 +235,8 @@ def read_text_lines(spark: SparkSession, path: str, glob: str | None = None) ->
                                                 F.count(F.lit(1)).alias("_n"))
     before = F.sum("_n").over(Window.partitionBy("_path").orderBy("_block")) - F.col("_n")
     splits = splits.select("_path", "_block", "_first", before.alias("_before"))
-    bound = len(text.inputFiles()) + text.rdd.getNumPartitions()
+    # a split is no smaller than the file's share of the split size, and a file has one at least
+    bound = splits_bound(spark, path, glob)
     if bound <= MAX_BROADCAST_SPLITS:
         splits = F.broadcast(splits)
     lines = raw.join(splits, ["_path", "_block"])
@@ -205,5 +244,13 @@ def read_text_lines(spark: SparkSession, path: str, glob: str | None = None) ->
                         .cast("bigint").alias("line_no"), "line")
 
 
+def splits_bound(spark: SparkSession, path: str, glob: str | None = None) -> int:
+    """An upper bound on the splits that reading ``path`` makes, from file sizes alone."""
+    size = paths.sizes(spark, path)
+    conf = spark._jsparkSession.sessionState().conf()
+    least = max(1, min(conf.filesMaxPartitionBytes(), conf.filesOpenCostInBytes()))  # no split but a file's last is smaller
+    return sum(1 + n // least for n in size)
+
+
 def base_name(path: str) -> str:
     return posixpath.basename(path.rstrip("/"))

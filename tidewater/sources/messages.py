@@ -18,6 +18,10 @@ ISO_UTC_MICROS = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 MESSAGE_KINDS = 20
 BAD_TIMESTAMP_TEXT = "not a time"
 PRESET_USER_NAME = "preset"
+TIME_ONLY_TEXT = "12:30:00"
+YEAR_ONLY_TEXT = "2024"
+ISO_PLUS_TWO = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'"
+PARTITIONS = 4
 
 
 def kafka_options(bootstrap_servers: str, topic: str, *, starting_offsets: str = "earliest",
@@ -79,19 +83,23 @@ def message_text(events: DataFrame) -> DataFrame:
             .when(m == 8, obj(full[0], ("user_id", F.lit('""')), full[2], full[3]))
             .when(m == 9, obj(*full, ("x", F.lit("1"))))
             .when(m == 10, obj(*full, ("user_name", q(F.lit(PRESET_USER_NAME)))))
+            .when(m == 11, obj(full[0], full[1], ("timestamp", q(F.lit(TIME_ONLY_TEXT))), full[3]))
+            .when(m == 12, obj(full[0], full[1], ("timestamp", q(F.lit(YEAR_ONLY_TEXT))), full[3]))
+            .when(m == 13, obj(full[0], full[1], ("timestamp", q(F.date_format(
+                F.col("ts") + F.expr("INTERVAL 2 HOURS"), ISO_PLUS_TWO))), full[3]))
             .otherwise(obj(*full)))
     return events.select(eid.alias("seq"), text.alias("text"), u.alias("user_key"),
                          F.col("ts").alias("event_ts"))
 
 
 def messages_from_events(events: DataFrame, topic: str = "events") -> DataFrame:
-    """Kafka-shaped messages derived from ``events`` (arrival order = event_id)."""
+    """Kafka-shaped messages derived from ``events``, spread over partitions; offset = event_id."""
     msg = message_text(events.select("event_id", "user_id", "ts", "props"))
     return msg.select(
         F.col("user_key").cast("binary").alias("key"),
         F.col("text").cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        F.lit(0).alias("partition"),
+        (F.col("seq") % PARTITIONS).cast("int").alias("partition"),
         F.col("seq").alias("offset"),
         F.col("event_ts").cast("timestamp").alias("timestamp"))
 
@@ -101,6 +109,6 @@ def bounded_batch(decoded: DataFrame, limit: int, order: tuple[str, ...] = ("par
     """At most ``limit`` successfully decoded messages, earliest first.
 
     Planned as a top-k (``TakeOrderedAndProject``): each task keeps only its
-    first ``limit`` rows, so no task or driver ever holds the whole batch.
+    first ``limit`` rows; the rows kept meet in one task, which holds ``limit`` of them.
     """
     return decoded.where(F.col(decoded_col).isNotNull()).orderBy(*order).limit(limit)

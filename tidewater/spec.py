@@ -100,8 +100,8 @@ class IngestSpec:
     lookup_key: str = "user_id"
     lookup_columns: Sequence[str] = ("user_name", "user_location")
     dedup_key: str = "event_id"
-    max_messages: int | None = None               # None -> whole batch
+    max_messages: int | None = None               # batch job only; None -> whole batch
     max_broadcast_rows: int = 5_000_000           # lookup broadcast only below this
     strict_load: bool = False                     # True -> unparsable timestamp fails the batch
-    cross_batch_delay: str | None = None          # stream only: also drop keys seen in earlier
-                                                  # micro-batches within this event-time delay
+    cross_batch_delay: str | None = None          # stream only: also drop keys loaded by earlier
+                                                  # micro-batches within this span of message time
