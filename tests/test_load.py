@@ -363,3 +363,65 @@ def test_no_local_scratch_folder_on_a_cluster():
         conf, sparkContext = Conf(), Context()
     with pytest.raises(ValueError):
         checkpoint_root(Session())
+
+
+def _fake_database(monkeypatch, fail=False):
+    """Records what the JDBC sink would write and run; there is no database here."""
+    from tidewater.sinks import jdbc
+    log = []
+    def execute(df, url, statements, properties=None):
+        log.extend(statements)
+        if fail and statements[0].startswith("INSERT"):
+            raise RuntimeError("duplicate entry")
+        return [7] * len(statements)
+    monkeypatch.setattr(jdbc, "execute", execute)
+    monkeypatch.setattr(jdbc, "_write_staging", lambda rows, url, staging, props: log.append((staging, rows.count())))
+    return log
+
+
+def test_migration_into_a_relational_target(spark, scratch, monkeypatch):
+    from tidewater.plans.migration import migrate_all
+    from tidewater.spec import MigrationSpec, TableSpec
+    spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "id int, v string, ts int").write.parquet(f"{scratch}/t")
+    def run(target):
+        t = TableSpec(source="t", target=target, incremental_column="ts", source_options={"path": f"{scratch}/t"},
+                      sink="jdbc", sink_options={"url": "jdbc:mysql://db/x", "user": "u"})
+        return migrate_all(spark, MigrationSpec([t], scratch, f"{scratch}/out", f"{scratch}/state-{target}")).first()
+    log = _fake_database(monkeypatch)
+    r = run("people")
+    assert (r["status"], r["rows"], r["affected"], r["mark"]) == ("ok", 3, 7, "2")
+    (staging, written), merge, drop = log
+    assert written == 2 and staging.startswith("people_stg_") and staging in merge and "ON DUPLICATE KEY UPDATE" in merge
+    assert drop == f"DROP TABLE `{staging}`"
+    log = _fake_database(monkeypatch, fail=True)
+    r = run("broken")
+    assert (r["status"], r["failed"], r["mark"]) == ("failed", 3, None)
+    assert log[-1].startswith("DROP TABLE")  # nothing stays behind
+
+
+def test_relational_sink_guards(spark, monkeypatch):
+    import pytest
+    from tidewater.sinks.jdbc import upsert_jdbc
+    log = _fake_database(monkeypatch)
+    rows = spark.createDataFrame([(1, "a"), (None, "b")], "id int, v string")
+    assert upsert_jdbc(rows.limit(0), "jdbc:x", "t") == 0 and not log
+    with pytest.raises(ValueError):
+        upsert_jdbc(rows, "jdbc:x", "t")
+    assert not log
+    upsert_jdbc(spark.createDataFrame([(1,), (1,)], "id int"), "jdbc:x", "t")
+    assert log[0][1] == 2 and "DUPLICATE" not in log[1]  # the server refuses the repeated key
+    assert len({upsert_jdbc(rows.filter("id = 1"), "jdbc:x", "t") and log[-1] for _ in range(3)}) == 3
+
+
+def test_chunk_size_becomes_read_ranges(spark, monkeypatch):
+    from tidewater.sources import tables
+    monkeypatch.setattr(tables, "jdbc_bounds", lambda *a: (1, 95_000))
+    base = {"url": "jdbc:mysql://db/x", "dbtable": "emp", "user": "u"}
+    got = tables.chunked_options(spark, base, "emp_id", 10_000)
+    assert (got["partitionColumn"], got["lowerBound"], got["upperBound"], got["numPartitions"]) == ("emp_id", "1", "95001", "10")
+    assert got["dbtable"] == "emp" and got["user"] == "u" and got["fetchsize"] == "10000"
+    assert tables.chunked_options(spark, base, "emp_id", None) == base == tables.chunked_options(spark, base, None, 10)
+    monkeypatch.setattr(tables, "jdbc_bounds", lambda *a: (0, 10 ** 15))
+    assert tables.chunked_options(spark, base, "emp_id", 10)["numPartitions"] == str(tables.MAX_RANGES)
+    monkeypatch.setattr(tables, "jdbc_bounds", lambda *a: None)
+    assert tables.chunked_options(spark, base, "emp_id", 10) == base

@@ -32,8 +32,9 @@ from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, i
 from tidewater.session import checkpoint_root
 from tidewater.sinks.bucketed import fit_layout, read_bucketed, touched_buckets, upsert_bucketed
 from tidewater.sinks.control import append_control, read_state
+from tidewater.sinks.jdbc import upsert_jdbc
 from tidewater.sinks.versioned import publish, read_current
-from tidewater.sources.tables import extract, path_exists, read_table
+from tidewater.sources.tables import chunked_options, extract, path_exists, read_table
 from tidewater.spec import MigrationSpec, TableSpec
 
 log = logging.getLogger(__name__)
@@ -74,6 +75,9 @@ def source_frame(spark: SparkSession, spec: MigrationSpec, t: TableSpec) -> Data
         base = f"{spec.source_root.rstrip('/')}/{t.source}"
         with_suffix = f"{base}.{t.source_format}"
         location = with_suffix if not path_exists(spark, base) and path_exists(spark, with_suffix) else base
+    if t.source_format == "jdbc":
+        # chunk_size rows per range of the chunk column, each range a task of its own
+        opts = chunked_options(spark, {"dbtable": location, **opts}, t.chunk_column, t.chunk_size)
     return read_table(spark, location, t.source_format, opts)
 
 
@@ -153,6 +157,12 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             return run
         if m["null_keys"]:
             raise ValueError(f"{m['null_keys']} rows with a NULL key in {t.source}")
+        if t.sink == "jdbc":
+            opts = dict(t.sink_options)
+            run.affected = upsert_jdbc(frozen, opts.pop("url"), t.target, keys, order_by=order,
+                                       dialect=opts.pop("dialect", "mysql"), properties=opts)
+            run.status = OK
+            return run
         root = f"{spec.target_root.rstrip('/')}/{t.target}"
         if t.buckets:
             frozen = fit_layout(frozen, root, keys, t.buckets)

@@ -12,12 +12,16 @@ is applied. Credentials travel in ``properties`` and are never logged.
 
 from __future__ import annotations
 
+import logging
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from tidewater.operators.dedup import keep_last
 
+log = logging.getLogger(__name__)
+
 # Identifier quoting per dialect.
 QUOTES = {"mysql": ("`", "`"), "ansi": ('"', '"')}
 
@@ -77,16 +81,44 @@ def execute(df_or_spark, url: str, statements: Sequence[str],
         conn.close()
 
 
+def _write_staging(rows: DataFrame, url: str, staging: str, properties: Mapping[str, str]) -> None:
+    rows.write.mode("overwrite").jdbc(url, staging, properties=dict(properties))
+
+
 def upsert_jdbc(source: DataFrame, url: str, target: str, keys: Sequence[str] | None = None, *,
                 order_by: Sequence[str] | None = None, staging: str | None = None,
                 dialect: str = "mysql", properties: Mapping[str, str] | None = None,
                 batchsize: int = 10000) -> int:
-    """Apply ``source`` to the JDBC table ``target``; returns the server's affected-row count."""
+    """Apply ``source`` to the JDBC table ``target``; returns the server's affected-row count.
+
+    A batch without rows touches nothing; a NULL key fails before anything is written. The
+    staging table has a name of its own for every call and goes whether the merge works or not.
+    """
     keys = list(keys or source.columns[:1])
-    rows = keep_last(source, keys, order_by) if order_by else source
-    staging = staging or f"{target}_staging"
-    props = {**(properties or {}), "batchsize": str(batchsize)}
-    rows.write.mode("overwrite").jdbc(url, staging, properties=props)
-    counts = execute(source, url, [merge_statement(target, staging, rows.columns, keys, dialect),
-                                   f"DROP TABLE {_q(staging, dialect)}"], properties)
-    return counts[0]
+    key_only = set(keys) >= set(source.columns)
+    checks = source.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(_col(k).isNull()).alias(f"null_{i}")
+                                                            for i, k in enumerate(keys)]).first()
+    if not checks["rows"]:
+        return 0
+    nulls = sum(checks[f"null_{i}"] for i in range(len(keys)))
+    if nulls:
+        raise ValueError(f"{nulls} NULL key values for {target}")
+    # rows of nothing but keys go as they are: a repeated key must fail the insert
+    rows = source if key_only else keep_last(source, keys, order_by or [c for c in source.columns if c not in keys])
+    staging = staging or f"{target}_stg_{uuid.uuid4().hex[:12]}"
+    drop = f"DROP TABLE {_q(staging, dialect)}"
+    try:
+        _write_staging(rows, url, staging, {**(properties or {}), "batchsize": str(batchsize)})
+        count = execute(source, url, [merge_statement(target, staging, rows.columns, keys, dialect)], properties)[0]
+    except Exception:
+        try:
+            execute(source, url, [drop], properties)
+        except Exception as e:  # noqa: BLE001 - the first error is the one to report
+            log.warning("staging table %s is left behind: %s", staging, type(e).__name__)
+        raise
+    execute(source, url, [drop], properties)
+    return count
+
+
+def _col(name: str):
+    return F.col(f"`{name}`")

@@ -96,7 +96,8 @@ def jdbc_range_options(url: str, column: str, lower_bound: int, upper_bound: int
     a ``SELECT min(col), max(col)`` read through the same connection.
     """
     span = max(int(upper_bound) - int(lower_bound) + 1, 1)
-    parts = max(1, -(-span // chunk_size)) if chunk_size else 1
+    # sparse keys make few rows per range: beyond MAX_RANGES the ranges get wider instead
+    parts = min(MAX_RANGES, max(1, -(-span // chunk_size))) if chunk_size else 1
     if parts == 1:
         return jdbc_options(url, **extra)
     return jdbc_options(url, partition_column=column, lower_bound=lower_bound,
@@ -104,6 +105,32 @@ def jdbc_range_options(url: str, column: str, lower_bound: int, upper_bound: int
                         fetchsize=min(chunk_size, 10000), **extra)
 
 
+# Read ranges of one JDBC scan at most; more would each cost a connection.
+MAX_RANGES = 10_000
+
+
+def jdbc_bounds(spark: SparkSession, options: Mapping[str, str], column: str) -> tuple[int, int] | None:
+    """Smallest and largest value of ``column``, by one query through the same connection."""
+    opts = {k: v for k, v in options.items() if k not in ("dbtable", "query")}
+    table = options.get("dbtable") or f"({options['query']}) q"
+    query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
+    r = spark.read.format("jdbc").options(**opts, query=query).load().first()
+    return None if r is None or r[0] is None else (int(r[0]), int(r[1]))
+
+
+def chunked_options(spark: SparkSession, options: Mapping[str, str], column: str | None,
+                    chunk_size: int | None) -> dict[str, str]:
+    """Reader options with key ranges of ``chunk_size``; as given when there is nothing to cut by."""
+    opts = dict(options)
+    if not column or not chunk_size or "partitionColumn" in opts:
+        return opts
+    bounds = jdbc_bounds(spark, opts, column)
+    if bounds is None:
+        return opts
+    url = opts.pop("url")
+    return jdbc_range_options(url, column, *bounds, chunk_size, **opts)
+
+
 def extract(df: DataFrame, incremental_column: str | None = None,
             mark: Mark | object | None = None, upper: Mark | object | None = None,
             lookback: str | int | float | None = None) -> DataFrame:

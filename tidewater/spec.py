@@ -49,6 +49,9 @@ class TableSpec:
     max_broadcast_bytes: int = 256 * 1024 * 1024  # ... and up to this many data bytes
     buckets: int | None = None                    # target partitioned by key bucket; None -> versioned
     lookback: str | int | float | None = None     # re-read window below the mark for late rows
+    chunk_column: str | None = None               # numeric column of the read ranges; default: first key
+    sink: str = "files"                           # "files" (versioned / bucketed) or "jdbc"
+    sink_options: Mapping[str, str] = field(default_factory=dict)  # jdbc: url, dialect, user, password, ...
     freeze: bool | None = None                    # checkpoint the batch; None -> only mutable sources
 
 
