@@ -5,6 +5,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from tidewater.catalog import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -38,7 +39,7 @@ def test_event_chain_shuffles(spark):
     assert plan.count("parseJson") == 1          # each message parsed once
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_no_python_evaluation(spark, name):
     plan = _plan(spark, name)
     assert not re.search(r"(ArrowEvalPython|BatchEvalPython|MapInPandas|FlatMapGroupsInPandas|PythonUDF)", plan)

@@ -204,7 +204,7 @@ def _upsert_inputs(spark, sf):
 
 def upsert_merge(spark, sf):
     target, source = _upsert_inputs(spark, sf)
-    return upsert(target, source, ["c_custkey"])
+    return upsert(target, source, ["c_custkey"], unique_keys=True)
 
 
 def upsert_last_wins(spark, sf):
