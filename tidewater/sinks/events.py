@@ -62,7 +62,8 @@ def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
     so replaying a batch replaces exactly its own partitions.
     ``cluster_by`` (e.g. ``("user_id",)``) range-partitions and sorts rows on
     (event_date, cluster columns) so files carry tight min/max statistics; a
-    busy day is split over several tasks rather than written by one.
+    busy day is split over several tasks rather than written by one. Without it rows are
+    only rebalanced on the day.
     Returns the number of rows loaded, observed during the write itself.
     """
     obs = Observation(f"loaded_{uuid.uuid4().hex[:8]}")
@@ -71,6 +72,10 @@ def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
     if cluster_by:
         out = out.repartitionByRange("event_date", *cluster_by) \
             .sortWithinPartitions("event_date", *cluster_by)
+    else:
+        # rows of a day meet in few tasks, so files do not multiply by tasks x days;
+        # adaptive execution splits a busy day and joins small ones
+        out = out.hint("rebalance", F.col("event_date"))
     if batch_id is None:
         out.write.mode("append").partitionBy("event_date").parquet(path)
     else:
