@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+import types
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -60,3 +62,14 @@ def spread(aggregated: DataFrame, key: str) -> DataFrame:
     it where both sides come from the join's own shuffles.
     """
     return aggregated.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
+def kept_by_worker(key: object, make: Callable[[], object]) -> object:
+    """An object that a Python worker makes once and keeps between its tasks.
+
+    Functions that travel by value have no lasting globals, so it hangs on a module of its own.
+    """
+    state = sys.modules.setdefault("_tidewater_worker_state", types.ModuleType("_tidewater_worker_state")).__dict__
+    if key not in state:
+        state[key] = make()
+    return state[key]

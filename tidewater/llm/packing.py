@@ -21,7 +21,9 @@ text's length; a long text goes out window by window.
 
 from __future__ import annotations
 
+import os
 import re
+from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
 
@@ -31,7 +33,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_list
+from .common import kept_by_worker, slices, text_list
 
 TIERS = (128, 256, 512, 1024, 2048)
 END_ID = 1
@@ -39,7 +41,7 @@ STEP_IDS = 16_384
 # Ids that may wait in a partition's pool before windows are closed; bounds memory only.
 POOL_IDS = 1 << 20
 # Words whose ids are remembered; bounds memory only.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 1_000_000
 
 # Cuts between pre-tokens of the byte-level BPE: a letter run before a blank or simple
 # punctuation, any other non-blank run, and the blanks that the next word does not take.
@@ -55,6 +57,7 @@ class Encoder:
     """Little-endian uint32 ids of texts, by a ``tokenizers`` file; ids of word pieces are remembered."""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -62,7 +65,7 @@ class Encoder:
         self.pieces: dict[str, bytes] = {}  # ids of a piece as it is
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in
+        return [array("I", e.ids).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, known: dict[str, bytes], lists: list, before: str = "") -> None:
@@ -197,7 +200,7 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = kept_by_worker(("encoder", tokenizer_path), lambda: Encoder(tokenizer_path))
         packer = Packer(TaskContext.get().partitionId(), tiers)
         end = np.array([END_ID], "<u4").tobytes()
         id_type = pa.int64()
