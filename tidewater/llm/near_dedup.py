@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_list
+from .common import slices, spread, text_list
 from .graph import components, stored
 from .words import batch_hashes, combine, mix, window_hashes
 
@@ -196,13 +196,13 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     full = sketch.filter("n_shingles > 0")
     # one representative of each distinct set
     sets = full.groupBy("print1", "print2").agg(F.min("doc_id").alias("rep"))
-    member = stored(full.select("doc_id", "n_shingles", "print1", "print2").join(sets, ["print1", "print2"])
+    member = stored(full.select("doc_id", "n_shingles", "print1", "print2").join(spread(sets, "print1"), ["print1", "print2"])
                     .select("doc_id", "rep", "n_shingles"), "near-member")
     reps = member.filter("doc_id = rep").select("rep").distinct()
     keys = full.join(reps, full.doc_id == reps.rep, "left_semi").select(
         "doc_id", "n_shingles", F.explode("bands").alias("key")).dropDuplicates(["doc_id", "key"])
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("doc_id").alias("pivot")).filter("size > 1")
-    bucket = stored(keys.join(shared, "key"), "near-buckets")          # doc_id, n_shingles, key, size, pivot
+    bucket = stored(keys.join(spread(shared, "key"), "key"), "near-buckets")          # doc_id, n_shingles, key, size, pivot
     in_bucket = bucket.select("doc_id").distinct()
     lists = stored(texts.join(in_bucket, "doc_id", "left_semi").mapInArrow(
         _shingle_lists(weights), f"doc_id {kind}, sh array<long>").dropDuplicates(["doc_id"]), "near-shingles")
@@ -229,6 +229,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         mixed = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"),
                                           F.min(F.struct(F.xxhash64("doc_id", "key"), "doc_id", "label", "n_shingles")
                                                 ).alias("p")).filter("lo < hi")
+        mixed = spread(mixed, "key")
         if turn == 2:  # another pivot, by hash, for whoever is in another component
             pairs = (placed.join(mixed, "key").filter((F.col("label") != F.col("p.label")) &
                                                       could("n_shingles", "p.n_shingles"))
@@ -243,7 +244,7 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     labels = components(links, "near-components")
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
         F.count(F.lit(1)).alias("n"))
-    classes = labels.join(degree, "node")
+    classes = stored(labels.join(degree, "node"), "near-classes")
     placed = member.join(classes, member.rep == classes.node, "left").select(
         "doc_id", F.coalesce("label", "rep").alias("class_id"), F.coalesce("n", F.lit(0)).cast("long").alias("n_links"))
     bare = sketch.filter("n_shingles = 0").select("doc_id", F.col("doc_id").alias("class_id"),
