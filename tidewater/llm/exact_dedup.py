@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import shuffle_partitions
+from .graph import stored
 
 BLANKS = r"[\x20\x09-\x0D]+"
 SPLITTER_CHARS = 16  # leading characters that the splitters compare; the rest of the order is by hash
@@ -55,8 +56,12 @@ def _groups(runs: DataFrame) -> DataFrame:
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: the identifier, keep_id, group_size, kept, text_sha256."""
     rows = docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_norm"))
-    runs = _runs(rows).select("_id", "_sha", "_place")
-    return (runs.join(_groups(runs), "_sha")
+    # the texts are sorted once; what follows works on the digests
+    runs = stored(_runs(rows).select("_id", "_sha", "_place"), "exact-runs")
+    # the key is recomputed so that the join deals both sides anew: adaptive execution can split a
+    # hot text then, which it cannot where the aggregate's own partitions are used
+    groups = _groups(runs).withColumn("_sha", F.lower("_sha"))
+    return (runs.join(groups, "_sha")
             .select(F.col("_id").alias(id_col), F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"),
                     (F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("_place") == 1)).alias("kept"),
                     F.col("_sha").alias("text_sha256")))
@@ -64,12 +69,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, all their columns unchanged."""
-    packed = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"),
-                         normalised(F.col(text_col)).alias("_norm"))
-    heads = _runs(packed).filter("_place = 1").select("_row", "_id", "_sha")
-    # only the heads of runs can stay, and one head of each group does
-    keep = _runs(docs.select(F.col(id_col).alias("_id"), normalised(F.col(text_col)).alias("_norm"))
-                 ).select("_id", "_sha")
-    keep = _groups(keep).select("_sha", F.col("_keep").alias("_id"))
-    same = heads["_sha"].eqNullSafe(keep["_sha"]) & heads["_id"].eqNullSafe(keep["_id"])
-    return heads.join(keep, same, "left_semi").select("_row.*")
+    kept = exact_dedup(docs.select(id_col, text_col), id_col, text_col).filter("kept").select(
+        F.col(id_col).alias("_keep"), F.xxhash64(id_col).alias("_key"), F.col("text_sha256").alias("_own"))
+    rows = docs.select(F.struct("*").alias("_row"), F.col(id_col).alias("_id"), F.xxhash64(id_col).alias("_key"),
+                       F.sha2(F.encode(normalised(F.col(text_col)), "UTF-8"), 256).alias("_own"))
+    same = ((rows["_key"] == kept["_key"]) & (rows["_own"] == kept["_own"]) & rows["_id"].eqNullSafe(kept["_keep"]))
+    stays = rows.join(kept, same, "left_semi")
+    # repeated rows meet in the partitions that the join has made
+    repeat = Window.partitionBy("_key", "_own", "_id").orderBy(F.lit(0))
+    return stays.withColumn("_place", F.row_number().over(repeat)).filter("_place = 1").select("_row.*")
