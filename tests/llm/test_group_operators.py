@@ -138,6 +138,30 @@ def test_near_classes_match_brute_force(spark):
     assert got == plain_classes(enumerate(texts))
 
 
+def test_near_links_inside_large_template_families_are_found(spark):
+    texts, want = [], {}
+    for f in range(4):  # 0.70 to each other, but two of them 0.806
+        passage = [f"f{f}p{i}" for i in range(1004)]
+        for n in range(400):
+            doc = len(texts)
+            own = 120 if n in (250, 333) else 214
+            texts.append(" ".join(passage + [f"d{doc}w{k}" for k in range(own)]))
+            want[doc] = doc - 83 if n == 333 else doc
+    got = {r.doc_id: r.class_id for r in N.near_classes(docs_frame(spark, texts).repartition(8)).collect()}
+    assert got == want
+
+
+def test_prefix_pairs_hold_every_pair_at_the_threshold(spark):
+    rng = random.Random(5)
+    sets = [frozenset(rng.sample(range(60), 60 - rng.choice((4, 5, 6, 7, 8, 20)))) for _ in range(120)]
+    label = [i if i % 4 else 0 for i in range(len(sets))]
+    rest = spark.createDataFrame([(i, label[i], sorted(s)) for i, s in enumerate(sets)], "doc_id long, label long, sh array<long>")
+    got = {(r.a, r.b) for r in N.prefix_pairs(rest, 0.8).collect()}
+    near = {(a, b) for b, a in itertools.combinations(range(len(sets)), 2)
+            if label[a] != label[b] and len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])}
+    assert near and near <= got and all(label[a] != label[b] for a, b in got)
+
+
 def test_near_classes_of_the_table_match_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.class_id for r in N.near_classes(docs).collect()}

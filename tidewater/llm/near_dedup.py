@@ -15,10 +15,10 @@ class before banding, so exact copies are never paired. In a bucket everyone is
 compared with a pivot, never all with all; compared pairs are verified on
 their whole shingle sets. Members that are in another component than their pivot meet a
 second pivot, different in every bucket, and in buckets of at most ``SMALL_BUCKET``
-representatives the members of different components then meet pairwise, so only a
-link between two components all of whose common buckets are larger than that, and
-whose members missed both pivots, could be lost; the tests measure recall against
-brute force. Verified links give components.
+representatives the members of different components then meet pairwise. Larger buckets
+that still hold several components get an exact join on shingle prefixes
+(``prefix_pairs``), so no link between two members of a bucket is lost; what remains is
+the chance that a pair shares no bucket. Verified links give components.
 
 Defined results: null and empty texts, and texts of blanks, have no shingle and
 are classes of their own, never copies. Rows with a null identifier are left out
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, spread, text_list
@@ -43,7 +43,7 @@ from .words import batch_hashes, combine, mix, window_hashes
 SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 56, 8   # a pair at 0.8 shares a bucket with probability 0.99997
-SMALL_BUCKET = 64
+SMALL_BUCKET = 64     # up to here all pairs of a bucket meet, above the prefix join finds them
 _U = np.uint64
 
 
@@ -179,6 +179,40 @@ def _shingle_lists(weights: str):
     return run
 
 
+def prefix_pairs(rest: DataFrame, threshold: float) -> DataFrame:
+    """(a, b), a > b: every pair of ``rest`` (doc_id, label, sh) of different labels that can reach the threshold.
+
+    Exact: shingles are put in one order for all documents, those that only one label
+    has first, then rare before frequent. A pair's overlap is at most what either
+    document holds from their first common shingle on, so the pair meets at a shingle whose
+    position leaves both enough. For the shorter of two that is the first ninth of its shingles,
+    for the longer one the first fifth (at 0.8). In a shingle's rows the label with most of them
+    does not meet itself, so rows met grow with the pairs of different labels.
+    """
+    share, eps = threshold / (1 + threshold), 1e-6
+    flat = rest.select("doc_id", "label", F.size("sh").alias("n"), F.explode("sh").alias("token"))
+    common = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")
+                                       ).filter("lo < hi").select("token", "df")
+    own = Window.partitionBy("doc_id")
+    placed = flat.join(spread(common, "token"), "token").withColumn(
+        "left", F.count(F.lit(1)).over(own) + 1 - F.row_number().over(own.orderBy("df", "token")))
+    # left: shingles from this one on
+    heads = stored(placed.filter(F.col("left") >= F.lit(threshold) * F.col("n") - F.lit(eps))
+                   .select("token", "doc_id", "label", "n", "left"), "near-heads")
+    top = (heads.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
+           .groupBy("token").agg(F.max(F.struct("c", "label")).alias("t"), F.count(F.lit(1)).alias("labels"))
+           .filter("labels > 1").select("token", F.col("t.label").alias("top")))
+    rows = heads.join(spread(top, "token"), "token")
+    long_ = rows.select("token", *(F.col(c).alias(f"{c}_x") for c in ("doc_id", "label", "n", "left", "top")))
+    short = rows.filter(F.col("left") >= F.lit(2 * share) * F.col("n") - F.lit(eps))
+    least = F.lit(share) * (F.col("n") + F.col("n_x")) - F.lit(eps)
+    meet = ((F.col("label") != F.col("label_x")) & (F.col("left") >= least) & (F.col("left_x") >= least) &
+            ((F.col("n") < F.col("n_x")) | ((F.col("n") == F.col("n_x")) & (F.col("doc_id") < F.col("doc_id_x")))))
+    met = (short.filter("label <> top").join(long_, "token").filter(meet).select("doc_id", "doc_id_x").union(
+        short.filter("label = top").join(long_.filter("label_x <> top_x"), "token").filter(meet).select("doc_id", "doc_id_x")))
+    return met.select(F.greatest("doc_id", "doc_id_x").alias("a"), F.least("doc_id", "doc_id_x").alias("b")).distinct()
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
                  bands: int = BANDS, rows: int = ROWS, weights: str = "set") -> DataFrame:
     """One row per row of ``docs`` with an identifier: it, class_id (smallest identifier), n_links.
@@ -242,6 +276,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                                                 could("na", "nb")).select("a", "b")
         links = links.union(verified(pairs, f"near-links-{turn}")).distinct()
     labels = components(links, "near-components")
+    # large buckets that still hold several components: the exact rest
+    large = bucket.filter(F.col("size") > SMALL_BUCKET).select("key", "doc_id").join(
+        labels, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", F.coalesce("label", "doc_id").alias("label"))
+    split = large.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("key")
+    open_ = stored(large.join(spread(split, "key"), "key", "left_semi").select("doc_id", "label").distinct(), "near-open")
+    if not open_.isEmpty():
+        links = links.union(verified(prefix_pairs(lists.join(open_, "doc_id"), threshold), "near-links-4")).distinct()
+        labels = components(links, "near-components-5")
     degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(
         F.count(F.lit(1)).alias("n"))
     classes = stored(labels.join(degree, "node"), "near-classes")
