@@ -282,6 +282,19 @@ def test_mix_timetable_stays_within_one_block(seed):
             assert all(abs(sent[s] - (t - a + 1) * q / p) < 1 for s, (q, p) in quota.items())
 
 
+@pytest.mark.parametrize("weights", [{"a": 130_000 ** 0.5, "b": 50_000 ** 0.5, "c": 20_000 ** 0.5},
+                                     {"a": 1.0, "b": 0.0001, "c": 0.3}, {"a": 3.0, "b": 1.0, "c": 1.0}])
+def test_mix_keeps_to_the_target_weights_on_every_prefix(weights):
+    plan = M.phases({"a": 130_000, "b": 50_000, "c": 20_000}, weights)
+    order = sorted((t, r["source"]) for r in plan if r["slot0"] == 0 for t in r["slots"])
+    total = sum(weights.values())
+    assert len(order) > 20_000 and [t for t, _ in order] == list(range(len(order)))
+    sent = dict.fromkeys(weights, 0)
+    for t, s in order:
+        sent[s] += 1
+        assert all(abs(sent[x] - (t + 1) * w / total) < 1.001 for x, w in weights.items())
+
+
 def test_mix_places_every_row_in_its_window(spark):
     docs = spark.range(5000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "hot").otherwise(
         F.concat(F.lit("s"), F.col("id") % 7)).alias("source"), F.lit("t").alias("text"))
