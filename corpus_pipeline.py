@@ -13,7 +13,7 @@ from tidewater.llm.common import table
 from tidewater.llm.exact_dedup import drop_copies
 from tidewater.llm.graph import stored
 from tidewater.llm.near_dedup import near_dedup
-from tidewater.llm.packing import packed_pieces
+from tidewater.llm.packing import ORDERED_IDS, packed_pieces
 from tidewater.llm.quality_rules import clean_documents
 from tidewater.llm.queries import tokenizer_path
 from tidewater.llm.source_mix import mix_sources
@@ -37,7 +37,12 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed_pieces(docs, tokenizer_path())
+    """Sequences by number follow the mix.
+
+    Rows lose their order when they are written and read again, so they are put in
+    it anew; the mix drops nothing, so its positions come out the same.
+    """
+    return packed_pieces(mix_sources(docs), tokenizer_path(), pool_ids=ORDERED_IDS)
 
 
 STAGES = [("quality rules", quality), ("exact dedup", exact), ("near dedup", near), ("source mix", mix),

@@ -494,6 +494,22 @@ def test_pipeline_matches_a_plain_one(spark):
     assert dict(totals) == {i: len(plain_ids(t)) for i, t in stays.items()}
 
 
+def test_pipeline_sequences_follow_the_mix(spark):
+    docs = spark.range(6000).select(F.col("id").alias("doc_id"), F.when(F.col("id") < 3000, "long").otherwise("short").alias("source"),
+                                    F.expr("repeat('some words ', if(id < 3000, 120, 10))").alias("text"))
+    docs = corpus_pipeline.stored(corpus_pipeline.mix(spark, docs, SF), "test-mix")
+    first = defaultdict(lambda: 1 << 62)
+    for p in corpus_pipeline.packing(spark, docs, SF).collect():
+        first[p.doc_id] = min(first[p.doc_id], p.sequence_id)
+    assert len(first) == 6000
+    place = {r.doc_id: r.position for r in M.mix_places(docs).collect()}
+    order = sorted(first, key=lambda d: (first[d], place[d]))
+    for cut in range(750, 6000, 750):  # the shares are equal; a partition's pool may come out of turn
+        assert abs(sum(d < 3000 for d in order[:cut]) / cut - 0.5) < 0.1
+    drift = [abs(k - place[d]) for k, d in enumerate(order)]
+    assert max(drift) < 1500
+
+
 def test_pipeline_stages_take_odd_rows(spark):
     for docs in (odd_documents(spark), no_documents(spark)):
         for name, stage in corpus_pipeline.STAGES:

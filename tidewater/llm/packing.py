@@ -11,7 +11,9 @@ cut into powers of two. Sequences of one tier form step groups of ``STEP_IDS`` i
 each, so all training steps weigh the same.
 
 Each partition packs its own rows as they come, with a bounded pool of waiting
-documents and no shuffle; sequence numbers hold the partition's number.
+documents and no shuffle; sequence numbers hold the partition's number. Where rows come in
+an order that matters (range partitions, sorted), a small pool keeps it: sequences by
+number then follow the rows, and no more than the pool and one slice of text come out of turn.
 
 Defined results: a null text counts as empty, and an empty text is the end id alone.
 Repeated rows and equal identifiers are packed like any others. Only the two
@@ -40,6 +42,8 @@ END_ID = 1
 STEP_IDS = 16_384
 # Ids that may wait in a partition's pool before windows are closed; bounds memory only.
 POOL_IDS = 1 << 20
+# The same where sequences have to follow the order of the rows.
+ORDERED_IDS = 1 << 16
 # Words whose ids are remembered; bounds memory only.
 CACHE_WORDS = 1_000_000
 
@@ -191,11 +195,12 @@ PIECES = ("doc_id {id}, start long, length long, doc_tokens long, sequence_id lo
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         tiers: tuple[int, ...] = TIERS) -> DataFrame:
+         tiers: tuple[int, ...] = TIERS, pool_ids: int | None = None) -> DataFrame:
     """One row per piece of a document; ``ids`` holds its ids as little-endian uint32.
 
-    ``tokenizer_path`` must be readable by every executor. No shuffle.
+    ``tokenizer_path`` must be readable by every executor. ``pool_ids``: ids that may wait. No shuffle.
     """
+    most = POOL_IDS if pool_ids is None else pool_ids
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString())
 
@@ -216,11 +221,11 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             id_type = ids.type
-            for a, b in slices(texts, 1 << 20):
+            for a, b in slices(texts, min(1 << 20, most)):
                 for doc, raw in zip(ids.slice(a, b - a).to_pylist(), encoder(text_list(texts, a, b)), strict=True):
                     packer.add(doc, np.frombuffer(raw + end, "<u4"))
-                if packer.pool.ids > POOL_IDS:
-                    packer.close(POOL_IDS // 2)
+                if packer.pool.ids > most:
+                    packer.close(most // 2)
                 yield from out()
         packer.close(0)
         yield from out()
@@ -228,6 +233,6 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
     return rows.mapInArrow(run, schema)
 
 
-def packed_pieces(docs: DataFrame, tokenizer_path: str) -> DataFrame:
+def packed_pieces(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:
     """The pieces with a checksum of their ids instead of the ids."""
-    return pack(docs, tokenizer_path).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(docs, tokenizer_path, **options).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
