@@ -76,6 +76,25 @@ def test_html_main_text():
     assert H.main_text(f"<article><p>{long}</p></article>", tree) == long
 
 
+@pytest.mark.parametrize("before", ['<svg viewBox="0 0 1 1"/>', '<svg class="a/b"><path d="M0"/></svg>', "<button>Press", "<select><option>One<option>Two",
+                                    "<svg><path>", '<object data="x">', "<button>A<p>%s</p><button>B</button>", "<iframe src='x'>"])
+def test_html_text_after_open_and_empty_elements_stays(before):
+    long = " ".join(["plain words of the article go on here"] * 6)
+    page = f"<html><body><article><p>{long}</p>{before.replace('%s', long)}<p>End {long}</p></article></body></html>"
+    want = [long] + [long] * before.count("%s") + ["End " + long]
+    assert [x for x in H.main_text(page, H.train()).split("\n") if long in x] == want
+    assert "Press" not in H.main_text(page, H.train())
+
+
+def test_html_head_without_end_and_formulas():
+    long = " ".join(["plain words of the article go on here"] * 6)
+    for page in (f"<html><head><title>T</title><style>p{{}}</style><body><article><p>{long}</p></article>",
+                 f"<head><title>T</title><meta name=a><article><p>{long}</p></article>"):
+        assert H.main_text(page, H.train()) == long
+    assert H.main_text(f"<article><p>{long} <math><mi>x</mi><mo>=</mo><mn>2</mn></math></p></article>", H.train()) == long + " x=2"
+    assert H.main_text(f"<article><button-row>{long}</button-row></article>", H.train()) == long
+
+
 def test_html_text_of_table_pages_is_their_article(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.main_text for r in H.html_text(pages).collect()}

@@ -12,7 +12,9 @@ decoded after the markup is gone; ``<br>`` is white space.
 
 Defined results: a null or empty page, or one without an article block, gives
 the empty string. Tags left open or cut off at the end of the page are taken
-as they stand; an unended comment, script or style runs to the end of the page.
+as they stand; an unended comment, script or style runs to the end of the page, an
+unended element of ``UNREAD`` (button, svg and the like) to the next block tag. The
+head needs no end tag, and the text of formulas stays.
 Pages are read one by one and whole, so ties, repeated rows and extra columns
 need no care; an empty table gives an empty one.
 """
@@ -29,8 +31,9 @@ from pyspark.sql import functions as F
 
 from .common import slices, text_list
 
-RAW = ("script", "style", "noscript", "template", "svg", "iframe", "object", "textarea", "select", "button",
-       "canvas", "math", "head", "title")
+RAW = ("script", "style")
+# No text of the page either; one left open ends at the next block tag.
+UNREAD = ("noscript", "template", "svg", "iframe", "object", "textarea", "select", "button", "canvas", "title")
 BLOCK = frozenset("""address article aside blockquote body caption center dd details dialog div dl dt fieldset
     figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option
     p pre section summary table tbody tfoot thead tr ul""".split())
@@ -48,8 +51,12 @@ FURNITURE_WORDS = frozenset("""ad ads adbox advert adverts advertisement adverti
     widget""".split())
 ARTICLE_WORDS = frozenset(("article", "main", "post", "story", "entry", "content"))
 
+_attrs = r"(?![a-z0-9:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _markup = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*(?:/>|>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    r"<!--.*?(?:-->|\Z)|<(?P<raw>" + "|".join(RAW) + ")" + _attrs + r"(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
+    r"|<svg(?![a-z0-9:-])(?:[^>\"'/]|/(?!>)|\"[^\"]*\"|'[^']*')*+/>"
+    r"|<(?P<unread>" + "|".join(UNREAD) + ")" + _attrs + r"(?:>(?:(?:[^<]+|<(?!/?(?P=unread)(?![a-z0-9:-])))*+</(?P=unread)\s*>"
+    r"|(?:[^<]+|<(?!/?(?:" + "|".join(sorted(BLOCK - {"option", "optgroup", "hr", "legend"})) + r")(?![a-z0-9:-])))*+)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I)
 _named = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
