@@ -1,19 +1,19 @@
-"""Exact dedup by content sort, in DataFrame operations only.
+"""Exact dedup by SHA-256 groups after a content sort, in DataFrame operations only.
 
 Texts are normalised (each run of ASCII white space becomes one space).
 Sampled splitters range-partition the rows by their normalised bytes: the leading
 bytes, then a hash and a salt of the identifier, so that the splitters stay small,
 rows that share a long beginning still divide, and a text that a third of
 all rows repeat spreads over many partitions. An external sort inside each
-partition places equal texts next to each other; comparing whole neighbouring
-texts ends a run, and the smallest identifier of a run is retained. Runs of one text
-with different salts then meet by SHA-256, as small rows that are aggregated
-before they are shuffled.
+partition places equal texts next to each other and numbers the rows of a run; that
+number only breaks ties between rows of the same identifier and text. Which texts are
+copies, the smallest identifier and the size of a group come from grouping all
+rows' SHA-256 digests, aggregated before they are shuffled.
 
 Defined results: a null text counts as empty, and empty texts are copies of
 each other. Null identifiers come last: such a row stays only if no equal text has an
 identifier. Of repeated rows (same identifier, same text) one stays. Extra
-columns do not matter; an empty table gives an empty one. Texts are compared
+columns do not matter; an empty table gives an empty one. Texts are digested
 whole, however long.
 """
 
