@@ -333,6 +333,17 @@ ORACLE_SQL: dict[str, str] = {
                (SELECT count(*) FROM enr WHERE matched) AS enriched, (SELECT count(*) FROM enr WHERE NOT matched) AS missed,
                (SELECT count(*) FROM parsed WHERE "timestamp" IS NULL) AS quarantined,
                (SELECT count(*) FROM sink) AS loaded, true AS lookup_available FROM msg""",
+    "event_ingest_stream_invalid_first": "WITH " + MSG + SINK_SELECT,
+    "ingest_no_rows": "WITH " + MSG + """
+        SELECT 'none' AS batch, CAST(0 AS BIGINT) AS messages, CAST(0 AS BIGINT) AS skipped, CAST(0 AS BIGINT) AS invalid,
+               CAST(0 AS BIGINT) AS duplicates, CAST(0 AS BIGINT) AS enriched, CAST(0 AS BIGINT) AS missed,
+               CAST(0 AS BIGINT) AS quarantined, CAST(0 AS BIGINT) AS loaded, true AS lookup_available
+        UNION ALL
+        SELECT 'invalid', count(*), count(*) FILTER (WHERE NOT json_valid(text)), count(*) FILTER (WHERE json_valid(text)),
+               0, 0, 0, 0, 0, true FROM msg WHERE seq % 20 <= 5
+        UNION ALL
+        SELECT 'bad_timestamp', count(*), 0, 0, 0, count(d.user_id), count(*) - count(d.user_id), count(*), 0, true
+        FROM val v LEFT JOIN dim d ON v.user_id = d.user_id WHERE seq % 20 = 6""",
     "ingest_rejects": "WITH " + MSG + """SELECT seq, reason FROM val WHERE reason IS NOT NULL
                                          UNION ALL SELECT seq, 'bad_timestamp' FROM parsed WHERE "timestamp" IS NULL""",
     "initial_extract_nan": """SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN NULL

@@ -452,6 +452,30 @@ def event_ingest_stream_dedup(spark, sf):
     return _sink_view(back.select(*SINK_COLUMNS, "event_date"))
 
 
+def event_ingest_stream_invalid_first(spark, sf):
+    """The first micro-batch holds nothing that can be loaded; the stream goes on after it."""
+    work = scratch_path(spark, "stream_invalid")
+    messages, lookup = _messages(spark, sf), _lookup(spark, sf)
+    for part in (F.col("offset") % 20 <= 5, F.col("offset") % 20 > 5):
+        messages.where(part).write.mode("append").parquet(f"{work}/source")
+        ingest_stream(read_message_stream(spark, "parquet", f"{work}/source"), lookup, f"{work}/sink",
+                      f"{work}/checkpoint")
+    back = spark.read.parquet(f"{work}/sink")
+    return _sink_view(back.select(*SINK_COLUMNS, "event_date"))
+
+
+def ingest_no_rows(spark, sf):
+    """Batches that load nothing: no message, invalid ones only, bad timestamps only."""
+    work, spec = scratch_path(spark, "no_rows"), IngestSpec()
+    messages, lookup = _messages(spark, sf), prepare_for_run(spark, lambda: _lookup(spark, sf), spec)
+    kind = F.col("offset") % 20
+    out = []
+    for name, part in (("none", F.lit(False)), ("invalid", kind <= 5), ("bad_timestamp", kind == 6)):
+        counts = load_batch(messages.where(part), lookup, f"{work}/{name}", spec)
+        out.append((name, *counts.values()))
+    return spark.createDataFrame(out, f"batch string, {SUMMARY}")
+
+
 def _ingest_job(spark, sf):
     work = scratch_path(spark, "ingest_job")
     spec = IngestSpec()
@@ -580,7 +604,9 @@ _ALL: dict[str, Query] = {
     "event_ingest_stream": event_ingest_stream,
     "event_ingest_stream_bounded": event_ingest_stream_bounded,
     "event_ingest_stream_dedup": event_ingest_stream_dedup,
+    "event_ingest_stream_invalid_first": event_ingest_stream_invalid_first,
     "ingest_summary": ingest_summary,
+    "ingest_no_rows": ingest_no_rows,
     "ingest_rejects": ingest_rejects,
     "initial_extract_nan": initial_extract_nan,
     "migrate_key_only": migrate_key_only,

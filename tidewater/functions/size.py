@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 from pyspark.sql.types import (BinaryType, BooleanType, ByteType, DataType, DateType, DecimalType,
                                DoubleType, FloatType, IntegerType, LongType, ShortType, StringType,
                                TimestampNTZType, TimestampType)
@@ -62,3 +62,16 @@ def measure(df: DataFrame) -> tuple[int, int]:
 def fits_broadcast(df: DataFrame, max_rows: int, max_bytes: int = DEFAULT_MAX_BROADCAST_BYTES) -> bool:
     rows, size = measure(df)
     return rows <= max_rows and size <= max_bytes
+
+
+def observed(obs: Observation, *names: str) -> dict[str, int]:
+    """The named counts of a finished write.
+
+    Adaptive execution drops a stage whose rows turn out not to matter (it feeds an exchange that
+    came out empty), and its observation with it; such counts are given as 0.
+    """
+    try:
+        found = obs.get
+    except AssertionError:  # the observed node was dropped from the plan that ran
+        found = {}
+    return {n: int(found.get(n) or 0) for n in names}

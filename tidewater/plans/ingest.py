@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tidewater.functions.json import decode_json, evaluate_once, message_text, text_kind
 from tidewater.operators.dedup import keep_first
-from tidewater.functions.size import fits_broadcast
+from tidewater.functions.size import fits_broadcast, observed
 from tidewater.operators.enrich import empty_lookup, enrich_left, load_lookup, prepare_lookup
 from tidewater.operators.validate import validate_messages
 from tidewater.session import checkpoint_root
@@ -188,7 +188,8 @@ def load_batch(messages: DataFrame, lookup: PreparedLookup, sink_path: str, spec
     if loaded_keys is not None:
         loaded_keys(result.unique)
     loaded = append_daily(result.rows, sink_path, batch_id=batch_id)
-    counts = {k: v for o in seen.values() for k, v in o.get.items()}
+    counts = {**observed(seen["decoded"], "messages", "skipped"), **observed(seen["validated"], "invalid", "valid"),
+              **observed(seen["enriched"], "enriched", "missed")}
     unique = counts["enriched"] + counts["missed"]
     if rejects_path:
         plain = ingest_batch(messages, lookup.frame, spec, lookup.fits, fresh)

@@ -12,6 +12,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidewater.functions.coerce import try_timestamp
+from tidewater.functions.size import observed
 from tidewater.operators.validate import BAD_TIMESTAMP
 
 SINK_COLUMNS = ("event_id", "user_id", "timestamp", "payload", "user_name", "user_location")
@@ -66,9 +67,7 @@ def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
     only rebalanced on the day.
     Returns the number of rows loaded, observed during the write itself.
     """
-    obs = Observation(f"loaded_{uuid.uuid4().hex[:8]}")
-    out = enforce_required(rows.select(*SINK_COLUMNS, "event_date")) \
-        .observe(obs, F.count(F.lit(1)).alias("rows"))
+    out = enforce_required(rows.select(*SINK_COLUMNS, "event_date"))
     if cluster_by:
         out = out.repartitionByRange("event_date", *cluster_by) \
             .sortWithinPartitions("event_date", *cluster_by)
@@ -76,10 +75,13 @@ def append_daily(rows: DataFrame, path: str, batch_id: str | int | None = None,
         # rows of a day meet in few tasks, so files do not multiply by tasks x days;
         # adaptive execution splits a busy day and joins small ones
         out = out.hint("rebalance", F.col("event_date"))
+    # counted above the exchange: adaptive execution drops what lies below an empty one
+    obs = Observation(f"loaded_{uuid.uuid4().hex[:8]}")
+    out = out.observe(obs, F.count(F.lit(1)).alias("rows"))
     if batch_id is None:
         out.write.mode("append").partitionBy("event_date").parquet(path)
     else:
         (out.withColumn("ingest_batch", F.lit(str(batch_id)))
          .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("event_date", "ingest_batch").parquet(path))
-    return int(obs.get["rows"])
+    return observed(obs, "rows")["rows"]
