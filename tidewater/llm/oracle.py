@@ -76,4 +76,29 @@ SELECT CAST(conv_id AS BIGINT) AS conv_id, count(*) AS n_turns,
        CAST(sum(length('<|' || r2 || '|>' || chr(10) || t2 || '<|end|>' || chr(10))) AS BIGINT) AS formatted_chars
 FROM marks GROUP BY conv_id"""
 
-LLM_ORACLE = {"op1_quality_rules": OP1, "op4_exact_dedup": OP4, "op9_chat_format": OP9}
+# Every kept term against every group and every pair of groups, one by one.
+OP12 = r"""WITH d AS (SELECT row_number() OVER () AS doc, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS t
+           FROM documents),
+w AS (SELECT doc, lang, source, unnest(regexp_extract_all(translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                          '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS l FROM w GROUP BY 1, 2 HAVING count(DISTINCT doc) >= 3),
+groups AS (SELECT DISTINCT lang, source FROM d),
+v AS (SELECT lang, count(*) AS v, sum(l) AS ln FROM kept GROUP BY 1),
+found AS (SELECT lang, source, term, count(*) AS g FROM w JOIN kept USING (lang, term) GROUP BY 1, 2, 3),
+n AS (SELECT lang, source, sum(g) AS n FROM found GROUP BY 1, 2),
+shares AS (SELECT g.lang, g.source, k.term, coalesce(f.g, 0) AS g,
+                  1 + 1000000000 * (CAST(coalesce(f.g, 0) AS HUGEINT) + 1) // (coalesce(n.n, 0) + v.v) AS p,
+                  1 + 1000000000 * (CAST(k.l AS HUGEINT) + 1) // (v.ln + v.v) AS q
+           FROM groups g JOIN kept k USING (lang) JOIN v USING (lang) LEFT JOIN n USING (lang, source)
+           LEFT JOIN found f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term),
+pairs AS (SELECT a.lang, a.source, b.source AS item FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source),
+sums AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+         FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+pair_rows AS (SELECT lang, source, 'pair' AS part, item, coalesce(value, 0) AS value FROM pairs LEFT JOIN sums USING (lang, source, item)),
+term_rows AS (SELECT lang, source, 'term' AS part, term AS item, (p - q) * (p - q) // q AS value FROM shares WHERE g > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank
+           FROM (SELECT * FROM pair_rows UNION ALL SELECT * FROM term_rows))
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 200"""
+
+LLM_ORACLE = {"op1_quality_rules": OP1, "op4_exact_dedup": OP4, "op9_chat_format": OP9, "op12_source_divergence": OP12}

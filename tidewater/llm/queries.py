@@ -15,6 +15,7 @@ from .packing import packed_pieces
 from .quality_rules import quality_rules
 from .repeats import repeat_digest
 from .secret_scan import secret_digest
+from .source_divergence import source_divergence
 from .source_mix import mix_places
 
 
@@ -77,5 +78,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op3_substring_dedup, op4_exact_dedup, op5_packing,
-                                       op6_language_id, op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan)}
+                                       op6_language_id, op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan,
+                                       op12_source_divergence)}
