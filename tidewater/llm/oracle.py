@@ -101,4 +101,53 @@ ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY
 SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
 FROM ranked WHERE part = 'pair' OR rank <= 200"""
 
-LLM_ORACLE = {"op1_quality_rules": OP1, "op4_exact_dedup": OP4, "op9_chat_format": OP9, "op12_source_divergence": OP12}
+# Row by row, the cheapest way into every state: no grammar, no matrices.
+OP13 = r"""WITH RECURSIVE raw AS (
+    SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+           coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS k FROM conversations),
+hit AS (SELECT *, xor(CAST(4294967295 AS UBIGINT), list_reduce(
+            list_prepend(CAST(4294967295 AS UBIGINT), list_transform(string_split(k, ''), lambda c: CAST(ascii(c) AS UBIGINT))),
+            lambda crc, b: list_reduce(list_prepend(xor(crc, b), [CAST(0 AS UBIGINT) FOR z IN range(8)]),
+                lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS UBIGINT)) ELSE x >> 1 END))) % 20 AS kind
+        FROM raw),
+hurt AS (SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+                CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+         FROM (SELECT *, unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM hit)),
+numbered AS (SELECT *, substr(role, 1, 1) AS c, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS trimmed,
+                    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(length(role) || ':' || role || text)) AS i FROM hurt),
+rows_ AS (SELECT *, CASE WHEN trimmed = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate'
+                         WHEN trimmed[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault,
+                 lag(c) OVER (PARTITION BY conv_id ORDER BY i) || c AS pair FROM numbered),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+                  count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+                  count(*) FILTER (fault = 'truncated') AS truncated,
+                  count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM rows_ GROUP BY conv_id),
+ins(s0, s1, n, lines) AS (VALUES ('0', '0', 0, []::VARCHAR[]), ('0', 'u', 1, ['user:']), ('0', 'a', 2, ['user:', 'assistant:']),
+    ('s', 's', 0, []), ('s', 'u', 1, ['user:']), ('s', 'a', 2, ['user:', 'assistant:']), ('u', 'u', 0, []), ('u', 'a', 1, ['assistant:']),
+    ('a', 'a', 0, []), ('a', 'u', 1, ['user:'])),
+dp AS (
+    SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, '0' AS s, CAST(0 AS BIGINT) AS cost, '' AS audit, []::VARCHAR[] AS lines FROM raw
+    UNION ALL
+    SELECT conv_id, i, s, cost, audit, lines FROM (
+        SELECT d.conv_id, r.i, CASE e.op WHEN 'D' THEN t.s1 WHEN 'K' THEN r.c ELSE CASE t.s1 WHEN 'u' THEN 'a' ELSE 'u' END END AS s,
+               d.cost + 2 * t.n + e.cost + CASE WHEN e.op <> 'D' AND r.fault = 'truncated' THEN 1 ELSE 0 END AS cost,
+               d.audit || repeat('I', t.n) || e.op AS audit,
+               d.lines || t.lines || CASE e.op WHEN 'D' THEN []::VARCHAR[] WHEN 'K' THEN [r.role || ':' || r.text]
+                   ELSE [CASE t.s1 WHEN 'u' THEN 'assistant:' ELSE 'user:' END || r.text] END AS lines
+        FROM dp d JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM d.conv_id AND r.i = d.i + 1 JOIN ins t ON t.s0 = d.s
+        JOIN (VALUES ('D', 3), ('K', 0), ('R', 2)) e(op, cost)
+          ON e.op = 'D' OR (r.fault NOT IN ('blank', 'duplicate') AND (e.op = 'R' OR (r.c = 's' AND t.s1 = '0')
+             OR r.c = CASE t.s1 WHEN 'u' THEN 'a' ELSE 'u' END)))
+    QUALIFY row_number() OVER (PARTITION BY conv_id, s ORDER BY cost, audit) = 1),
+ends AS (SELECT conv_id, i, cost + CASE s WHEN 's' THEN 4 WHEN 'u' THEN 2 ELSE 0 END AS cost,
+                audit || CASE s WHEN 's' THEN 'II' WHEN 'u' THEN 'I' ELSE '' END AS audit,
+                lines || CASE s WHEN 's' THEN ['user:', 'assistant:'] WHEN 'u' THEN ['assistant:'] ELSE []::VARCHAR[] END AS lines FROM dp),
+best AS (SELECT e.* FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id WHERE e.i = coalesce(c.n, 0)
+         QUALIFY row_number() OVER (PARTITION BY e.conv_id ORDER BY e.cost, e.audit) = 1)
+SELECT b.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, CAST(b.cost AS BIGINT) AS cost, b.audit,
+       sha256(array_to_string(b.lines, chr(10))) AS repaired_sha256
+FROM best b LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM b.conv_id"""
+
+LLM_ORACLE = {"op1_quality_rules": OP1, "op4_exact_dedup": OP4, "op9_chat_format": OP9, "op12_source_divergence": OP12,
+              "op13_conversation_repair": OP13}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .chat_format import chat_digest
 from .common import table
+from .conversation_repair import repair_conversations
 from .exact_dedup import exact_dedup
 from .html_text import page_digest
 from .language_id import language_digest
@@ -82,6 +83,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(table(spark, sf_dir, "conversations"), damage=True)
+
+
 LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op3_substring_dedup, op4_exact_dedup, op5_packing,
                                        op6_language_id, op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan,
-                                       op12_source_divergence)}
+                                       op12_source_divergence, op13_conversation_repair)}
