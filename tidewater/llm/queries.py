@@ -13,6 +13,7 @@ from .html_text import page_digest
 from .language_id import language_digest
 from .near_dedup import near_classes
 from .packing import packed_pieces
+from .pattern_packing import pack_patterns
 from .quality_rules import quality_rules
 from .repeats import repeat_digest
 from .secret_scan import secret_digest
@@ -20,11 +21,11 @@ from .source_divergence import source_divergence
 from .source_mix import mix_places
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     """Vocabulary file of the installed public tokenizers; every executor has it at the same place."""
     import public_tokenizers
 
-    return str(public_tokenizers.path("byte_bpe_50k.json"))
+    return str(public_tokenizers.path(name))
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,6 +80,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_digest(table(spark, sf_dir, "documents"))
 
 
+def op11_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_patterns(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), ids=False)
+
+
 def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(table(spark, sf_dir, "documents"))
 
@@ -89,4 +94,4 @@ def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op3_substring_dedup, op4_exact_dedup, op5_packing,
                                        op6_language_id, op7_near_dedup, op8_source_mix, op9_chat_format, op10_secret_scan,
-                                       op12_source_divergence, op13_conversation_repair)}
+                                       op11_pattern_packing, op12_source_divergence, op13_conversation_repair)}
