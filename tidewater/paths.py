@@ -7,6 +7,9 @@ version folders, checking a path, moving a single exported file.
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -48,6 +51,56 @@ def remove(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file as text."""
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def create_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Create a small file with its content in one step; False when it is there already.
+
+    Written beside its place first, then put there by an operation that fails if the name is taken: a rename
+    (HDFS), a hard link (local files), or an exclusive create on stores without either.
+    """
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    scheme = fs.getUri().getScheme()
+    if scheme in ("file", "hdfs", "viewfs"):
+        # dot names are skipped by listings of numbers and by readers
+        other = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.{uuid.uuid4().hex}")
+        out = fs.create(other, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        try:
+            if scheme != "file":
+                return bool(fs.rename(other, p))
+            nio = jvm.java.nio.file
+            name = lambda q: nio.Path.of(fs.makeQualified(q).toUri())
+            try:
+                nio.Files.createLink(name(p), name(other))
+                return True
+            except Py4JJavaError as e:
+                if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
+                    return False
+                raise
+        finally:
+            fs.delete(other, False)
+    try:
+        out = fs.create(p, False)
+        out.write(bytearray(text.encode()))
+        out.close()
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName() or fs.exists(p):
+            return False
+        raise
+
+
 def sizes(spark: SparkSession, path: str) -> list[int]:
     """Bytes of the files at ``path``: itself, or the files directly inside it."""
     fs, p = _fs(spark, path)

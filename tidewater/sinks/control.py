@@ -18,7 +18,8 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StringType, StructField, StructType, TimestampType
 
-from tidewater.sinks.versioned import publish, read_current
+from tidewater.functions.marks import Mark
+from tidewater.sinks.versioned import MAX_ATTEMPTS, CommitConflict, current_version, publish, read_current
 
 CONTROL_SCHEMA = StructType([
     StructField("table_name", StringType(), False),
@@ -70,12 +71,34 @@ def append_control(marks: DataFrame, path: str, run_id: str,
                    base: dict[str, tuple] | None = None) -> None:
     """Save advanced marks ``(table_name, hwm_value, hwm_type)`` as a new state version.
 
-    ``base`` is the state read at the start of the run (the run saves that
-    state plus its changes, as a whole document); None reads it now.
+    ``base`` is the state read at the start of the run; None reads it now. The marks are put into
+    the state as it is at the commit, so runs that overlap keep each other's marks: a commit that another run
+    has overtaken is made again from the state that run left. Where both have advanced the same table, the
+    larger mark stays.
     """
     spark = marks.sparkSession
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    state = dict(base) if base is not None else _state(spark, path)
-    for r in marks.select(*STATE_COLUMNS).collect():  # one row per advanced table
-        state[r["table_name"]] = (r["table_name"], r["hwm_value"], r["hwm_type"], run_id, now)
-    publish(spark.createDataFrame(sorted(state.values()), CONTROL_SCHEMA).coalesce(1), path)
+    mine = [(r["table_name"], r["hwm_value"], r["hwm_type"], run_id, now)
+            for r in marks.select(*STATE_COLUMNS).collect()]  # one row per advanced table
+    for left in reversed(range(MAX_ATTEMPTS)):
+        version = current_version(spark, path)
+        state = _state(spark, path)
+        known = state if base is None else base
+        for row in mine:
+            there = state.get(row[0])
+            moved = there is not None and there[1:3] != (known.get(row[0]) or (None,) * 3)[1:3]
+            state[row[0]] = _larger(spark, there, row) if moved else row
+        try:
+            publish(spark.createDataFrame(sorted(state.values()), CONTROL_SCHEMA).coalesce(1), path, base=version)
+            return
+        except CommitConflict:
+            if not left:
+                raise
+
+
+def _larger(spark: SparkSession, a: tuple, b: tuple) -> tuple:
+    """The row with the larger mark; marks of different types cannot be compared, and ``b`` is newer."""
+    if a[2] != b[2] or a[1] is None:
+        return b
+    first = spark.range(1).select(Mark(a[1], a[2]).literal() > Mark(b[1], b[2]).literal()).first()[0]
+    return a if first else b
