@@ -237,9 +237,9 @@ def test_bucketed_upsert_with_shuffle_strategy(spark, scratch):
     from tidewater.sinks.bucketed import read_bucketed, upsert_bucketed
     base = spark.createDataFrame([(i, f"n{i}", i) for i in range(50)], SCHEMA)
     root = f"{scratch}/b"
-    upsert_bucketed(base, root, ["id"], 4, strategy="shuffle")
+    upsert_bucketed(base, root, ["id"], 4)
     change = spark.createDataFrame([(7, "x", 1), (60, "z", 3)], SCHEMA)
-    upsert_bucketed(change, root, ["id"], 4, strategy="shuffle")
+    upsert_bucketed(change, root, ["id"], 4)
     rows = read_bucketed(spark, root).collect()
     got = {r.id: r.name for r in rows}
     assert len(rows) == 51 and got[60] == "z" and got[7] == "x" and got[8] == "n8"

@@ -8,11 +8,15 @@ are left as they are. Two physical plans:
   the change set is broadcast, the target is streamed once in full and
   once for its key columns only, and is never shuffled;
 * otherwise one full outer sort-merge join on the key.
+
+``collapse_versions`` and ``merge_counted`` do the upsert and its accounting in one plan: the batch and the
+target are each read and shuffled once, one full outer join gives the merged rows and what became of them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,6 +27,9 @@ from tidewater.session import checkpoint_root
 
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
+# Rows affected by INSERT ... ON DUPLICATE KEY UPDATE.
+AFFECTED_INSERT, AFFECTED_UPDATE, AFFECTED_SAME = 1, 2, 0
+
 
 def _q(c: str) -> Column:
     return F.col(f"`{c}`")
@@ -85,6 +92,79 @@ def upsert(target: DataFrame | None, source: DataFrame, keys: Sequence[str] | No
     return kept.unionByName(new_rows)
 
 
+# Columns that ``merge_counted`` adds to the merged rows, for ``LOAD_METRICS``.
+AFFECTED, NULL_ROWS = "_affected", "_null_rows"
+
+
+def collapse_versions(source: DataFrame, keys: Sequence[str], order_by: Sequence[str], compared: Sequence[str], *,
+                      skew_safe: bool = False, partitions: int | None = None) -> DataFrame:
+    """One row per key of a batch: what an ordered upsert needs to know of the key's versions.
+
+    The columns of the last version, ``_n`` (versions), ``_first`` (the first version's
+    ``compared`` columns) and ``_steps`` (how often a version differs from the one before it). Versions meet by
+    key in one shuffle, which the join of ``merge_counted`` then uses as it is. With ``skew_safe`` they are
+    range-partitioned on (key, order) and frozen first: a key with very many versions lies in several
+    ranges, each range comes down to one row per key, and the ranges of a key are put together in order.
+    """
+    cur = F.struct(*[sort_key(source, c).alias(c) for c in compared])
+    order = [sort_key(source, c) for c in order_by]
+    rank = F.struct(*order)
+    row = F.struct(*[_q(c) for c in source.columns])
+    by_key = [_q(k) for k in keys]
+    parts = [] if not skew_safe else [F.col("_p")]
+    rows = source
+    if skew_safe:
+        spark = source.sparkSession
+        n = partitions or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+        checkpoint_root(spark)
+        rows = source.repartitionByRange(n, *by_key, *order).withColumn("_p", F.spark_partition_id()).checkpoint(eager=True)
+    before = F.lag(cur).over(Window.partitionBy(*parts, *by_key).orderBy(*order))
+    stepped = rows.withColumn("_step", before.isNotNull() & ~cur.eqNullSafe(before))
+    local = stepped.groupBy(*parts, *by_key).agg(
+        F.count(F.lit(1)).alias("_n"), F.count_if("_step").alias("_steps"), F.min_by(cur, rank).alias("_first"),
+        F.max_by(F.struct(row.alias("row"), cur.alias("cur")), rank).alias("_last"))
+    if skew_safe:
+        # at most one part per range and key
+        local = (local.groupBy(*by_key)
+                 .agg(F.collect_list(F.struct("_p", "_n", "_steps", "_first", "_last")).alias("_parts"))
+                 .withColumn("_parts", F.expr("array_sort(_parts, (a, b) -> a._p - b._p)"))
+                 .select(*by_key, F.expr("aggregate(_parts, 0L, (x, p) -> x + p._n)").alias("_n"),
+                         F.expr("""aggregate(_parts, 0L, (x, p) -> x + p._steps) + size(filter(_parts, (p, i) ->
+                                   i > 0 and not (p._first <=> _parts[greatest(i - 1, 0)]._last.cur)))""").alias("_steps"),
+                         F.expr("_parts[0]._first").alias("_first"), F.expr("_parts[size(_parts) - 1]._last").alias("_last")))
+    return local.select(*[F.col(f"_last.row.`{c}`").alias(c) if c not in keys else _q(c) for c in source.columns],
+                        "_n", "_steps", "_first")
+
+
+def merge_counted(target: DataFrame | None, changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The target after ``changes`` (of ``collapse_versions``), with the accounting, from one join.
+
+    Adds ``_affected`` (of a key's versions one after the other: 1 per insert, 2 per change, 0 for the same again; null for
+    rows that the batch does not name) and ``_null_rows`` (source rows without a key), to be counted by
+    ``LOAD_METRICS`` while the rows are written.
+    """
+    source = [c for c in changes.columns if c not in ("_n", "_steps", "_first")]
+    null_key = reduce(lambda a, b: a | b, [_q(k).isNull() for k in keys])
+    if target is None:
+        return changes.select(*[_q(c) for c in source], (1 + 2 * F.col("_steps")).alias(AFFECTED),
+                              F.when(null_key, F.col("_n")).alias(NULL_ROWS))
+    upd = _check(target, changes.select(*[_q(c) for c in source]), keys)
+    s = changes.select(*[_q(k) for k in keys], *[_q(c).alias(f"_s_{c}") for c in upd], "_n", "_steps", "_first",
+                       F.lit(True).alias("_s"))
+    j = target.withColumn("_t", F.lit(True)).join(s, list(keys), "full_outer")
+    same = reduce(lambda a, b: a & b, [F.col(f"_first.`{c}`").eqNullSafe(sort_key(target, c)) for c in upd], F.lit(True))
+    first = F.when(F.col("_t").isNull(), AFFECTED_INSERT).when(same, AFFECTED_SAME).otherwise(AFFECTED_UPDATE)
+    merged = [F.when(F.col("_s"), F.col(f"`_s_{c}`")).otherwise(_q(c)).alias(c) if c in upd else _q(c) for c in target.columns]
+    return j.select(*merged, F.when(F.col("_s"), first + 2 * F.col("_steps")).alias(AFFECTED),
+                    F.when(F.col("_s") & null_key, F.col("_n")).alias(NULL_ROWS))
+
+
+def load_metrics() -> list[Column]:
+    """``affected`` and ``null_keys`` of rows from ``merge_counted``, for ``observe``."""
+    zero = F.lit(0).cast("long")
+    return [F.coalesce(F.sum(AFFECTED), zero).alias("affected"), F.coalesce(F.sum(NULL_ROWS), zero).alias("null_keys")]
+
+
 def insert_only(target: DataFrame, source: DataFrame, keys: Sequence[str] | None = None):
     """Plain INSERT of a key-only batch: ``(new_rows, conflicts)``.
 
@@ -126,10 +206,6 @@ def insert_only_stats(target: DataFrame, source: DataFrame, keys: Sequence[str]
         F.when(failed, F.lit(0).cast("bigint")).otherwise(F.col("new_keys")).alias("inserted_rows"))
 
 
-# Rows affected by INSERT ... ON DUPLICATE KEY UPDATE.
-AFFECTED_INSERT, AFFECTED_UPDATE, AFFECTED_SAME = 1, 2, 0
-
-
 DEFAULT_SEQUENTIAL_ROWS = 1_000_000
 
 

@@ -4,9 +4,9 @@ Per table: select the rows above the mark (pushed into the scan) -> rename
 -> NaN to NULL -> user transforms -> pin the batch so the load and the new
 mark cover the same rows (a mutable source is frozen once in the shared
 checkpoint folder with its metrics observed on that pass; immutable files
-are read bounded above by the observed maximum) -> count affected rows and
-upsert into the current target, concurrently -> publish a new version (or
-new folders of the touched key buckets, published by one manifest). Any failure leaves the target and the
+are read bounded above by the observed maximum) -> upsert into the current target and count the
+affected rows in one join -> commit a new version (or a manifest with the new files of a
+bucketed table), again from the newer version if another writer came first. Any failure leaves the target and the
 mark of that table untouched; other tables go on. A batch of nothing but keys is a
 plain insert: any key that exists or repeats fails it as a whole.
 """
@@ -25,15 +25,17 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tidewater.functions.coerce import nan_to_null
 from tidewater.functions.marks import Mark, encode_mark
-from tidewater.functions.size import measure, size_metrics
+from tidewater.functions.size import observed
 from tidewater.operators.marks import batch_max, commit_gate, fold_mark
 from tidewater.operators.rename import rename_columns
-from tidewater.operators.upsert import DEFAULT_SEQUENTIAL_ROWS, affected_rows, insert_only, upsert
+from tidewater import paths
+from tidewater.operators.upsert import (AFFECTED, DEFAULT_SEQUENTIAL_ROWS, NULL_ROWS, collapse_versions, insert_only,
+                                        load_metrics, merge_counted)
 from tidewater.session import checkpoint_root
-from tidewater.sinks.bucketed import fit_layout, read_bucketed, touched_buckets, upsert_bucketed
+from tidewater.sinks.bucketed import fit_layout, merge_bucketed, read_bucketed, upsert_bucketed, with_new_columns
 from tidewater.sinks.control import append_control, read_state
 from tidewater.sinks.jdbc import upsert_jdbc
-from tidewater.sinks.versioned import publish, read_current
+from tidewater.sinks.versioned import MAX_ATTEMPTS, CommitConflict, commit, current_version, publish, stage
 from tidewater.sources.tables import chunked_options, extract, path_exists, read_table
 from tidewater.spec import MigrationSpec, TableSpec
 
@@ -102,118 +104,50 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
                 out = out.transform(fn)
             return out
 
-        data = prepared(delta)
-        keys = list(t.keys or data.columns[:1])
-        inc_out = rename_name(t, inc) if inc else None
-        order = [inc_out] if inc_out in data.columns else []
-        # Versions of one key are applied in incremental-column order; the
-        # remaining columns break ties deterministically.
-        order += [c for c in data.columns if c not in keys and c not in order]
-        null_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+        # Size and new mark (the larger of the old mark and this batch's maximum) are those of the extract,
+        # before renames and transforms.
         read_metrics = [F.count(F.lit(1)).alias("rows")]
         if inc:
             dtype = src.schema[inc].dataType
             old = mark.literal().cast(dtype) if mark else F.lit(None).cast(dtype)
             raw_max = batch_max(delta, inc)
-            # new mark = larger of the old mark and this batch's maximum
             read_metrics += [encode_mark(fold_mark(old, raw_max), dtype).alias("mx"),
                              encode_mark(raw_max, dtype).alias("batch_max")]
         if should_freeze(t):
             # Mutable source: read it once, freeze the batch in the shared
-            # checkpoint folder and observe size, maximum mark (on the extract,
-            # before renames and transforms) and NULL keys on that same pass.
+            # checkpoint folder and observe size and maximum mark on that same pass.
             read_obs = Observation(f"extract_{uuid.uuid4().hex[:8]}")
-            load_obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
             checkpoint_root(spark)
-            frozen = prepared(delta.observe(read_obs, *read_metrics)) \
-                .observe(load_obs, F.count_if(null_key).alias("null_keys")).checkpoint(eager=True)
-            m = {**read_obs.get, **load_obs.get}
+            batch = prepared(delta.observe(read_obs, *read_metrics)).checkpoint(eager=True)
+            m = read_obs.get
         else:
-            # Immutable files: one column-pruned aggregate gives the size, the
-            # maximum mark and (without user transforms) the NULL keys; the
-            # batch is then read bounded above by that maximum, so rows landing
-            # meanwhile wait for the next run.
-            one_pass = not t.transforms and (not inc or inc_out in data.columns)
-            if one_pass:
-                probe = [*size_metrics(data), F.count_if(null_key).alias("null_keys"),
-                         F.count_distinct(*[F.col(k) for k in keys]).alias("keys")]
-                if inc:
-                    top = batch_max(data, inc_out)
-                    probe += [encode_mark(fold_mark(old, top), dtype).alias("mx"),
-                              encode_mark(top, dtype).alias("batch_max")]
-                m = data.agg(*probe).first().asDict()
-            else:
-                m = delta.agg(*read_metrics).first().asDict()
+            # Immutable files: an aggregate over the mark column alone; the batch is then read bounded
+            # above by that maximum, so rows landing meanwhile wait for the next run.
+            m = delta.agg(*read_metrics).first().asDict()
             bounded = extract(src, inc, mark, upper=Mark(m["batch_max"], run.hwm_type),
                               lookback=t.lookback) if inc and m["batch_max"] is not None else delta
-            frozen = prepared(bounded)
-            if "null_keys" not in m:
-                m["null_keys"] = frozen.where(null_key).limit(1).count() if m["rows"] else 0
+            batch = prepared(bounded)
         run.rows = int(m["rows"])
         if inc:
             run.new_mark = m["mx"]
-        if run.rows == 0 or not frozen.columns:
+        if run.rows == 0 or not batch.columns:
             run.status = EMPTY
             return run
-        if m["null_keys"]:
-            raise ValueError(f"{m['null_keys']} rows with a NULL key in {t.source}")
+        keys = list(t.keys or batch.columns[:1])
+        inc_out = rename_name(t, inc) if inc else None
+        order = [inc_out] if inc_out in batch.columns else []
+        # Versions of one key are applied in incremental-column order; the
+        # remaining columns break ties deterministically.
+        order += [c for c in batch.columns if c not in keys and c not in order]
         if t.sink == "jdbc":
             opts = dict(t.sink_options)
-            run.affected = upsert_jdbc(frozen, opts.pop("url"), t.target, keys, order_by=order,
+            run.affected = upsert_jdbc(batch, opts.pop("url"), t.target, keys, order_by=order,
                                        dialect=opts.pop("dialect", "mysql"), properties=opts)
-            run.status = OK
-            return run
-        root = f"{spec.target_root.rstrip('/')}/{t.target}"
-        if t.buckets:
-            frozen = fit_layout(frozen, root, keys, t.buckets)
-        if set(keys) >= set(frozen.columns):
-            # nothing but keys: a plain insert, where any key that is there already or
-            # comes twice fails the batch as a whole
-            current = read_bucketed(spark, root) if t.buckets else read_current(spark, root)
-            base = current if current is not None else frozen.limit(0)
-            new_rows, conflicts = insert_only(base, frozen, keys)
-            repeated = conflicts.limit(1).count()
-            if repeated:
-                raise ValueError(f"duplicate keys in {t.source}")
-            if t.buckets:
-                upsert_bucketed(new_rows, root, keys, t.buckets, unique_keys=True)
-            else:
-                publish(base.unionByName(new_rows), root)
-            run.affected = run.rows
-            run.status = OK
-            return run
-        touched = touched_buckets(frozen, keys, t.buckets) if t.buckets else None
-        current = read_bucketed(spark, root, touched) if t.buckets else read_current(spark, root)
-
-        size = m.get("bytes")
-        if size is None:
-            size = measure(frozen)[1]
-        small = run.rows <= t.max_broadcast_rows and size <= t.max_broadcast_bytes
-        strategy = "broadcast" if small else "shuffle"
-
-        def count() -> int:
-            # one version per key (checked): a join with the target is enough;
-            # otherwise small batches (checked count) take the one-window plan
-            distinct = m.get("keys")
-            if distinct is None:
-                distinct = frozen.agg(F.count_distinct(*[F.col(k) for k in keys])).first()[0]
-            skew_safe = run.rows > DEFAULT_SEQUENTIAL_ROWS
-            return int(affected_rows(current, frozen, keys, order, skew_safe=skew_safe,
-                                     unique_keys=distinct == run.rows, small_batch=small)
-                       .agg(F.coalesce(F.sum("affected"), F.lit(0))).first()[0])
-
-        def write() -> None:
-            if t.buckets:
-                upsert_bucketed(frozen, root, keys, t.buckets, order_by=order, strategy=strategy,
-                                touched=touched)
-            else:
-                publish(upsert(current, frozen, keys, order_by=order, strategy=strategy), root)
-
-        # accounting and the load read the same frozen inputs: run them together
-        with ThreadPoolExecutor(max_workers=2) as pool:
-            counted = pool.submit(count) if count_affected else None
-            pool.submit(write).result()
-            run.affected = counted.result() if counted else 0
+        elif set(keys) >= set(batch.columns):
+            run.affected = _insert_keys(spark, spec, t, batch, keys, run.rows)
+        else:
+            affected = _merge(spark, spec, t, batch, keys, order, run.rows)
+            run.affected = affected if count_affected else 0
         run.status = OK
     except Exception as e:  # noqa: BLE001 - a failed table must not stop the others
         log.warning("table %s failed: %s: %s", t.source, type(e).__name__, _masked(str(e)))
@@ -224,6 +158,75 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
     return run
 
 
+def _target_root(spec: MigrationSpec, t: TableSpec) -> str:
+    return f"{spec.target_root.rstrip('/')}/{t.target}"
+
+
+def _merge(spark: SparkSession, spec: MigrationSpec, t: TableSpec, batch: DataFrame, keys: list[str],
+           order: list[str], rows: int) -> int:
+    """Upsert a batch and count what it did, in one plan: batch and target are each read once and joined once.
+
+    The counts are observed above the last shuffle of the job that writes, and nothing is published when a
+    key is NULL. A load that another writer overtakes is made again from the version that writer left.
+    """
+    root = _target_root(spec, t)
+    skew_safe = rows > DEFAULT_SEQUENTIAL_ROWS
+    if t.buckets:
+        batch = fit_layout(batch, root, keys, t.buckets)
+        checkpoint_root(spark)
+        # read for the look-up of files and for the merge
+        changes = _collapsed(batch, None, keys, order, skew_safe).checkpoint(eager=True)
+        return merge_bucketed(changes, root, keys, t.buckets, add_columns=t.add_columns).affected
+    for left in reversed(range(MAX_ATTEMPTS)):
+        base = current_version(spark, root)
+        target = spark.read.parquet(base) if base else None
+        if target is not None and t.add_columns:
+            target = with_new_columns(target, batch)
+        merged = merge_counted(target, _collapsed(batch, target, keys, order, skew_safe), keys)
+        obs = Observation(f"load_{uuid.uuid4().hex[:8]}")
+        path = stage(merged.observe(obs, *load_metrics()).drop(AFFECTED, NULL_ROWS), root, base)
+        counts = observed(obs, "affected", "null_keys")
+        if counts["null_keys"]:
+            paths.remove(spark, path)
+            raise ValueError(f"{counts['null_keys']} rows with a NULL key in {t.source}")
+        try:
+            commit(spark, path)
+            return counts["affected"]
+        except CommitConflict:
+            if not left:
+                raise
+    raise AssertionError("unreachable")
+
+
+def _collapsed(batch: DataFrame, target: DataFrame | None, keys: list[str], order: list[str], skew_safe: bool) -> DataFrame:
+    rest = [c for c in batch.columns if c not in keys]
+    missing = [c for c in rest if target is not None and c not in target.columns]
+    if missing:
+        raise ValueError(f"source columns not in target: {missing}")
+    return collapse_versions(batch, keys, order, rest, skew_safe=skew_safe)
+
+
+def _insert_keys(spark: SparkSession, spec: MigrationSpec, t: TableSpec, batch: DataFrame, keys: list[str], rows: int) -> int:
+    """Nothing but keys: a plain insert, where any key that is there already or comes twice fails the batch as a whole."""
+    root = _target_root(spec, t)
+    null_key = reduce(lambda a, b: a | b, [F.col(f"`{k}`").isNull() for k in keys])
+    if batch.where(null_key).limit(1).count():
+        raise ValueError(f"rows with a NULL key in {t.source}")
+    if t.buckets:
+        batch = fit_layout(batch, root, keys, t.buckets)
+    version = None if t.buckets else current_version(spark, root)
+    current = read_bucketed(spark, root) if t.buckets else spark.read.parquet(version) if version else None
+    base = current if current is not None else batch.limit(0)
+    new_rows, conflicts = insert_only(base, batch, keys)
+    if conflicts.limit(1).count():
+        raise ValueError(f"duplicate keys in {t.source}")
+    if t.buckets:
+        upsert_bucketed(new_rows, root, keys, t.buckets)
+    else:
+        publish(base.unionByName(new_rows), root, base=version)
+    return rows
+
+
 _SECRET = re.compile(r"(password|pwd|secret|token)=[^;&\s]*", re.IGNORECASE)
 
 

@@ -1,13 +1,19 @@
-"""Targets in key buckets with a manifest: an upsert writes only the buckets it touches.
+"""Targets in key buckets whose files carry key statistics: an upsert rewrites only files it has to.
 
-Rows live in ``root/data/<run>/_bucket=<b>/`` with ``b = pmod(xxhash64(keys), n)``.
-The manifest (a small versioned table, one row per bucket) names the folder of
-every bucket, and holds the layout: the number of buckets, the key columns with
-their types and the table's schema. A load reads the touched buckets, writes
-their merged rows under a folder of its own and publishes them with one new
-manifest version, so readers see all of a load or nothing of it, no file is
-ever overwritten, and untouched buckets are used as they are. Folders that none of
-the kept manifest versions names are removed.
+Rows live in files ``root/data/<run>/_bucket=<b>/...`` with ``b = pmod(xxhash64(keys), n)``, sorted by key
+inside a file. The manifest (a small versioned table) has one row per file: bucket, path, rows, smallest and
+largest key, and where its key filter lies; one more row holds the layout (number of buckets, keys with their types,
+the table's schema). The key filters are blocked Bloom filters in tables of their own (``root/index/<run>``):
+a file's keys are dealt by hash to pages of ``KEYS_A_PAGE`` keys, and a page has three bitmaps, one per hash.
+
+A load joins its keys with the files of their buckets, keeps the files whose key range holds a key and whose
+page says it may be there, and rewrites these; keys that no file can hold go to new files. So a batch of new keys rewrites nothing,
+and an update touches the files of its keys. A bucket that would keep more than
+``MAX_FILES`` files has its smallest ones rewritten along, so files do not pile up. The new files and the
+untouched ones are published by one manifest version, made from the version that was read: a load that another writer overtakes
+(``CommitConflict``) looks up its files again and tries once more. Readers see all of a load or nothing of
+it, no file is ever overwritten. Files that none of the kept manifest versions names are removed once
+they are older than ``GRACE_SECONDS``, as a load that is still to be published may have written them.
 
 Buckets and keys are fixed when a table is first written; a load that names others
 is refused, and key values are cast to the stored types before they are hashed.
@@ -16,41 +22,93 @@ is refused, and key values are cast to the stored types before they are hashed.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
+from pyspark.sql.window import Window
 
 from tidewater import paths
-from tidewater.operators.dedup import keep_last
-from tidewater.operators.upsert import upsert
-from tidewater.sinks.versioned import publish, read_current, version_paths
+from tidewater.functions.size import observed
+from tidewater.operators.upsert import AFFECTED, NULL_ROWS, collapse_versions, load_metrics, merge_counted
+from tidewater.session import checkpoint_root
+from tidewater.sinks.versioned import MAX_ATTEMPTS, CommitConflict, current_version, publish, version_paths
 
 BUCKET_COL = "_bucket"
 LAYOUT_ROW = -1  # the manifest row that only carries the layout
-MANIFEST = "bucket int, path string, layout string"
+KEYS_A_PAGE = 9000
+PAGE_BITS = 32768  # of bitmap_construct_agg
+MAX_FILES = 16
+FILE_ROWS = 1_000_000
+# Unpublished folders younger than this are left alone.
+GRACE_SECONDS = 24 * 3600
+
+
+@dataclass(frozen=True)
+class BucketedLoad:
+    """What a load did; ``rewritten`` files of ``files`` that were there."""
+
+    affected: int
+    files: int
+    rewritten: int
+    buckets: tuple[int, ...]
+
+
+def _keys(keys: Sequence[str]) -> list[Column]:
+    return [F.col(f"`{k}`") for k in keys]
 
 
 def bucket_of(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in keys]), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*_keys(keys)), F.lit(buckets)).cast("int")
+
+
+def _traits(keys: Sequence[str]) -> list[Column]:
+    """What the look-up of a key takes: the key, its hash for a page and its places in the page's three bitmaps."""
+    h = F.xxhash64(*_keys(keys), F.lit(2))
+    return [F.struct(*_keys(keys)).alias("key"), F.xxhash64(*_keys(keys), F.lit(1)).alias("page_hash"),
+            *[F.pmod(F.shiftright(h, 15 * i), F.lit(PAGE_BITS)).alias(f"at{i}") for i in range(3)]]
+
+
+def _page() -> Column:
+    return F.pmod("page_hash", "pages").cast("int").alias("page")
+
+
+def _has(bitmap: Column, position: Column) -> Column:
+    byte = F.conv(F.hex(F.substr(bitmap, (F.floor(position / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return F.floor(byte / F.pow(F.lit(2), F.pmod(position, F.lit(8)))).cast("int") % 2 == 1
 
 
-def _manifest(spark: SparkSession, root: str) -> tuple[dict, dict[int, str]] | None:
-    """(layout, bucket -> folder) of the current version; None if there is no table."""
-    table = read_current(spark, f"{root.rstrip('/')}/_manifest")
-    if table is None:
+def _manifest(spark: SparkSession, root: str) -> tuple[dict, DataFrame, str] | None:
+    """(layout, one row per file, version) of the current version; None if there is no table."""
+    version = current_version(spark, f"{root.rstrip('/')}/_manifest")
+    if version is None:
         return None
-    rows = table.collect()  # one row per bucket
-    layout = next(json.loads(r["layout"]) for r in rows if r["bucket"] == LAYOUT_ROW)
-    return layout, {r["bucket"]: r["path"] for r in rows if r["bucket"] != LAYOUT_ROW}
+    table = spark.read.parquet(version)
+    layout = json.loads(table.filter(F.col("bucket") == LAYOUT_ROW).first()["layout"])
+    files = table.filter("path is not null")
+    for name, kind in (("rows", "long"), ("lo", _key_type(layout).simpleString()), ("hi", _key_type(layout).simpleString()),
+                       ("pages", "int"), ("index", "string")):
+        if name not in files.columns:  # a manifest of whole bucket folders: no statistics
+            files = files.withColumn(name, F.lit(None).cast(kind))
+    return layout, files.select("bucket", "path", "rows", "lo", "hi", "pages", "index"), version
 
 
-def _read(spark: SparkSession, root: str, layout: dict, folders: Sequence[str]) -> DataFrame:
-    schema = StructType.fromJson(layout["schema"])
-    if not folders:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(*[f"{root.rstrip('/')}/{f}" for f in folders])
+def _schema(layout: dict) -> StructType:
+    return StructType.fromJson(layout["schema"])
+
+
+def _key_type(layout: dict) -> StructType:
+    schema = _schema(layout)
+    return StructType([StructField(k, schema[k].dataType) for k in layout["keys"]])
+
+
+def _read(spark: SparkSession, root: str, layout: dict, files: Sequence[str]) -> DataFrame:
+    if not files:
+        return spark.createDataFrame([], _schema(layout))
+    return spark.read.schema(_schema(layout)).parquet(*[f"{root.rstrip('/')}/{f}" for f in files])
 
 
 def read_bucketed(spark: SparkSession, root: str, buckets: Sequence[int] | None = None) -> DataFrame | None:
@@ -58,9 +116,9 @@ def read_bucketed(spark: SparkSession, root: str, buckets: Sequence[int] | None
     found = _manifest(spark, root)
     if found is None:
         return None
-    layout, folders = found
-    wanted = sorted(folders) if buckets is None else [b for b in sorted(set(buckets)) if b in folders]
-    return _read(spark, root, layout, [folders[b] for b in wanted])
+    layout, files, _ = found
+    wanted = files if buckets is None else files.filter(F.col("bucket").isin(sorted(set(buckets))))
+    return _read(spark, root, layout, sorted(r[0] for r in wanted.select("path").collect()))  # one row per file
 
 
 def fit_layout(source: DataFrame, root: str, keys: Sequence[str], buckets: int) -> DataFrame:
@@ -71,54 +129,133 @@ def fit_layout(source: DataFrame, root: str, keys: Sequence[str], buckets: int)
     layout = found[0]
     if (layout["buckets"], layout["keys"]) != (buckets, list(keys)):
         raise ValueError(f"{root} has {layout['buckets']} buckets on {layout['keys']}, not {buckets} on {list(keys)}")
-    types = {f["name"]: StructType.fromJson({"type": "struct", "fields": [f]})[0].dataType
-             for f in layout["schema"]["fields"]}
+    types = {f.name: f.dataType for f in _key_type(layout).fields}
     return source.withColumns({k: F.col(f"`{k}`").cast(types[k]) for k in keys if source.schema[k].dataType != types[k]})
 
 
-def touched_buckets(source: DataFrame, keys: Sequence[str], buckets: int) -> list[int]:
-    """Buckets holding the change set's keys (at most ``buckets`` values)."""
-    return sorted(r[0] for r in source.select(bucket_of(keys, buckets).alias("b")).distinct().collect())
+def files_of_keys(spark: SparkSession, root: str, files: DataFrame, changes: DataFrame, keys: Sequence[str], buckets: int) -> list[str]:
+    """Files that may hold a key of ``changes``, and the smallest ones of buckets that get too many."""
+    asked = changes.select(bucket_of(keys, buckets).alias("bucket"), *_traits(keys))
+    near = asked.join(files, "bucket").filter(F.col("lo").isNull() | ((F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi"))))
+    wanted = near.filter(F.col("pages").isNull()).select("path")
+    indexes = [r[0] for r in near.filter(F.col("pages").isNotNull()).select("index").distinct().collect()]  # one per load kept
+    if indexes:
+        filters = spark.read.parquet(*[f"{root}/{i}" for i in indexes])
+        tested = near.select("path", _page(), "at0", "at1", "at2").join(filters, ["path", "page"])
+        for i in range(3):
+            tested = tested.filter(_has(F.col(f"bits{i}"), F.col(f"at{i}")))
+        wanted = wanted.unionByName(tested.select("path"))
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("rows"), "path"))
+    crowded = (files.withColumn("place", place).filter(F.col("place") >= MAX_FILES)
+               .join(asked.select("bucket").distinct(), "bucket", "left_semi").select("path"))
+    return sorted(r[0] for r in wanted.unionByName(crowded).distinct().collect())  # at most one row per file
+
+
+def _statistics(spark: SparkSession, root: str, run: str, layout: dict) -> DataFrame:
+    """Manifest rows of the files of a run; writes their key filters."""
+    keys = layout["keys"]
+    name = F.concat(F.lit(f"{run}/"), F.substring_index(F.col("_metadata.file_path"), f"/{run}/", -1))
+    rows = spark.read.schema(StructType([*_key_type(layout).fields, StructField(BUCKET_COL, IntegerType())])) \
+        .parquet(f"{root}/{run}").select(name.alias("path"), F.col(BUCKET_COL).alias("bucket"), *_traits(keys))
+    index = f"index/{run.rsplit('/', 1)[1]}"
+    stats = rows.groupBy("bucket", "path").agg(F.count(F.lit(1)).alias("rows"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+    stats = stats.withColumn("pages", F.ceil(F.col("rows") / KEYS_A_PAGE).cast("int")).withColumn("index", F.lit(index))
+    checkpoint_root(spark)
+    stats = stats.checkpoint(eager=True)  # one row per new file
+    paged = rows.drop("key").join(stats.select("path", "pages"), "path")
+    (paged.groupBy("path", _page()).agg(*[F.bitmap_construct_agg(F.col(f"at{i}")).alias(f"bits{i}") for i in range(3)])
+     .write.parquet(f"{root}/{index}"))
+    return stats
+
+
+def merge_bucketed(changes: DataFrame, root: str, keys: Sequence[str], buckets: int, file_rows: int = FILE_ROWS,
+                   add_columns: bool = False) -> BucketedLoad:
+    """Apply ``changes`` (of ``collapse_versions``, keys in the stored types) to the table at ``root``."""
+    spark, root, keys = changes.sparkSession, root.rstrip("/"), list(keys)
+    touched = tuple(sorted(r[0] for r in changes.select(bucket_of(keys, buckets).alias("b")).distinct().collect()))
+    for left in reversed(range(MAX_ATTEMPTS)):
+        found = _manifest(spark, root)
+        files = found[1] if found else None
+        rewritten = files_of_keys(spark, root, files, changes, keys, buckets) if found else []
+        current = _read(spark, root, found[0], rewritten) if found else None
+        if add_columns and current is not None:
+            current = with_new_columns(current, changes)
+        merged = merge_counted(current, changes, keys)
+        if current is not None:  # untouched files keep their types, so the table does
+            merged = merged.withColumns({f.name: F.col(f"`{f.name}`").cast(f.dataType) for f in current.schema.fields
+                                         if merged.schema[f.name].dataType != f.dataType})
+        plain = merged.drop(AFFECTED, NULL_ROWS)
+        layout = {"buckets": buckets, "keys": keys, "schema": json.loads(plain.schema.json())}
+        run = f"data/{uuid.uuid4().hex}"
+        obs = Observation(f"bucketed_{uuid.uuid4().hex[:8]}")
+        (merged.withColumn(BUCKET_COL, bucket_of(keys, buckets)).repartition(F.col(BUCKET_COL))
+         .sortWithinPartitions(BUCKET_COL, *_keys(keys)).observe(obs, *load_metrics()).drop(AFFECTED, NULL_ROWS)
+         .write.option("maxRecordsPerFile", file_rows).partitionBy(BUCKET_COL).parquet(f"{root}/{run}"))
+        counts = observed(obs, "affected", "null_keys")
+        if counts["null_keys"]:
+            paths.remove(spark, f"{root}/{run}")
+            raise ValueError(f"{counts['null_keys']} rows with a NULL key")
+        rows = _statistics(spark, root, run, layout)
+        total = 0
+        if found:
+            total = files.count()
+            rows = files.filter(~F.col("path").isin(rewritten)).unionByName(rows) if rewritten else files.unionByName(rows)
+        head = spark.createDataFrame([(LAYOUT_ROW, json.dumps(layout))], "bucket int, layout string")
+        try:
+            publish(rows.unionByName(head, allowMissingColumns=True).coalesce(1), f"{root}/_manifest",
+                    base=found[2] if found else None)
+        except CommitConflict:
+            paths.remove(spark, f"{root}/{run}")
+            paths.remove(spark, f"{root}/index/{run.rsplit('/', 1)[1]}")
+            if not left:
+                raise
+            continue
+        _remove_unused(spark, root)
+        return BucketedLoad(counts["affected"], total, len(rewritten), touched)
+    raise AssertionError("unreachable")
+
+
+def with_new_columns(target: DataFrame, source: DataFrame) -> DataFrame:
+    """``target`` with the columns that only ``source`` has, empty."""
+    inner = ("_n", "_steps", "_first")
+    return target.withColumns({c: F.lit(None).cast(source.schema[c].dataType) for c in source.columns
+                               if c not in target.columns and c not in inner})
 
 
 def upsert_bucketed(source: DataFrame, root: str, keys: Sequence[str], buckets: int, *,
-                    order_by: Sequence[str] | None = None, strategy: str = "auto",
-                    touched: Sequence[int] | None = None, unique_keys: bool = False) -> list[int]:
-    """Apply ``source`` to the bucketed table at ``root``; returns the rewritten buckets."""
-    spark = source.sparkSession
-    keys, root = list(keys), root.rstrip("/")
+                    order_by: Sequence[str] | None = None, file_rows: int = FILE_ROWS) -> list[int]:
+    """Apply ``source`` to the bucketed table at ``root``; returns the buckets of its keys."""
+    spark, keys = source.sparkSession, list(keys)
     src = fit_layout(source, root, keys, buckets)
-    if not unique_keys:
-        order_by = order_by or [c for c in src.columns if c not in keys]
-        src = keep_last(src, keys, order_by) if order_by else src.dropDuplicates(keys)
-    found = _manifest(spark, root)
-    folders = dict(found[1]) if found else {}
-    touched = list(touched) if touched is not None else touched_buckets(src, keys, buckets)
-    current = _read(spark, root, found[0], [folders[b] for b in touched if b in folders]) if found else None
-    merged = upsert(current, src, keys, strategy=strategy, unique_keys=True)
-    layout = {"buckets": buckets, "keys": keys, "schema": json.loads(merged.schema.json())}
-    run = f"data/{uuid.uuid4().hex}"
-    # one bucket's rows meet in few tasks; adaptive execution splits large ones
-    (merged.withColumn(BUCKET_COL, bucket_of(keys, buckets)).hint("rebalance", F.col(BUCKET_COL))
-     .write.partitionBy(BUCKET_COL).parquet(f"{root}/{run}"))
-    written = [name for name, _, is_dir in paths.list_dir(spark, f"{root}/{run}") if is_dir and name.startswith(f"{BUCKET_COL}=")]
-    folders = {b: f for b, f in folders.items() if b not in set(touched)}
-    folders |= {int(name.split("=")[1]): f"{run}/{name}" for name in written}
-    rows = [(LAYOUT_ROW, None, json.dumps(layout)), *((b, f, None) for b, f in sorted(folders.items()))]
-    publish(spark.createDataFrame(rows, MANIFEST).coalesce(1), f"{root}/_manifest")
-    _remove_unused(spark, root)
-    return touched
+    rest = [c for c in src.columns if c not in keys]
+    checkpoint_root(spark)
+    if rest:
+        changes = collapse_versions(src, keys, order_by or rest, rest)
+    else:
+        changes = src.dropDuplicates(keys).select("*", F.lit(1).cast("long").alias("_n"), F.lit(0).cast("long").alias("_steps"),
+                                                  F.lit(None).cast("string").alias("_first"))
+    # read for the look-up of files and for the merge
+    return list(merge_bucketed(changes.checkpoint(eager=True), root, keys, buckets, file_rows).buckets)
 
 
 def _remove_unused(spark: SparkSession, root: str) -> None:
-    """Remove bucket folders that no kept manifest version names."""
-    kept = version_paths(spark, f"{root}/_manifest")
-    used = {r["path"] for r in spark.read.schema(MANIFEST).parquet(*kept).filter("path is not null").collect()}
-    for run, full, is_dir in paths.list_dir(spark, f"{root}/data"):
-        names = [name for name, _, _ in paths.list_dir(spark, full) if name.startswith(f"{BUCKET_COL}=")] if is_dir else []
-        unused = [name for name in names if f"data/{run}/{name}" not in used]
-        if len(unused) == len(names):
+    """Remove files and key filters that no kept manifest version names and that are old enough."""
+    used, indexes = set(), set()
+    for v in version_paths(spark, f"{root}/_manifest"):
+        table = spark.read.parquet(v)
+        named = table.filter("path is not null").select("path", F.col("index") if "index" in table.columns else F.lit(None))
+        for path, index in named.collect():  # one row per file
+            used.add(path)
+            indexes.add(index)
+    before = (time.time() - GRACE_SECONDS) * 1000
+    for run, full, _ in paths.list_dir(spark, f"{root}/data"):
+        inside = {f"data/{run}/{rel}" for rel in paths.files_below(spark, full)}
+        kept = {f for f in inside if f in used or f.rsplit("/", 1)[0] in used}
+        if kept or paths.modified(spark, full) <= before:
+            for f in inside - kept if kept else ():
+                paths.remove(spark, f"{root}/{f}")
+            if not kept:
+                paths.remove(spark, full)
+    for run, full, _ in paths.list_dir(spark, f"{root}/index"):
+        if f"index/{run}" not in indexes and paths.modified(spark, full) <= before:
             paths.remove(spark, full)
-        else:
-            for name in unused:
-                paths.remove(spark, f"{full}/{name}")

@@ -45,9 +45,8 @@ class TableSpec:
     transforms: Sequence[Callable[[DataFrame], DataFrame]] = ()
     source_format: str = "parquet"
     source_options: Mapping[str, str] = field(default_factory=dict)
-    max_broadcast_rows: int = 2_000_000           # change sets up to this size are broadcast
-    max_broadcast_bytes: int = 256 * 1024 * 1024  # ... and up to this many data bytes
-    buckets: int | None = None                    # target partitioned by key bucket; None -> versioned
+    buckets: int | None = None                    # target in key buckets with key statistics per file; None -> versioned
+    add_columns: bool = False                     # source columns that the target lacks extend it; False -> the load fails
     lookback: str | int | float | None = None     # re-read window below the mark for late rows
     chunk_column: str | None = None               # numeric column of the read ranges; default: first key
     sink: str = "files"                           # "files" (versioned / bucketed) or "jdbc"
