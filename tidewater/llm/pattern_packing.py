@@ -34,6 +34,7 @@ import zlib
 from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -52,44 +53,84 @@ FILLER_SHARE = 1 / 8
 ROUNDS, PATTERNS_A_ROUND, STEPS, LEAST_GAIN = 40, 600, 60, 1e-3
 # Words whose ids a worker remembers, and the longest word that is; they bound memory only.
 CACHE_WORDS, CACHE_WORD_CHARS = 1_000_000, 64
+# New parts that are encoded as one text.
+PARTS_A_TEXT = 500
 # Text that one step tokenises; bounds memory only.
 STEP_BYTES = 1 << 20
 
 # Texts where Python's and the tokeniser's blanks differ, or with its special tokens, are encoded in one go.
 _odd = re.compile(r"[\x1c-\x1f]|<\|(?:start|end)oftext\|>")
+_SPECIAL = "oftext|>"
+# Characters that a text in Latin letters does not have (those of other scripts, and numerals that are no digits).
+_other = re.compile("[^\t-\r -~\x85\xa0-±´-¸º»¿-ɏ‐-⁞]")
+# The tokeniser's parts of such a text, lower-cased.
+_part = re.compile(r"[a-zªµºß-öø-ɏ]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[^\sa-zªµºß-öø-ɏ0-9]+")
 
 
 # ---------------------------------------------------------------- tokens
 
 class WordEncoder:
-    """Ids (little-endian uint32) by a tokeniser that drops white space, so that words can be encoded one by one."""
+    """Ids (little-endian uint32) by a tokeniser that drops white space and case, and splits at it.
+
+    A text in Latin letters is cut into the tokeniser's own parts (runs of letters, single digits, runs of
+    marks, shortened forms), other texts into words; either are encoded by themselves once and remembered. New
+    parts go through the tokeniser many at a time and are told apart by the id that closes each.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a Spark task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _encode_parts(self, parts: list[str]) -> list[bytes]:
+        out = []
+        groups = [parts[k:k + PARTS_A_TEXT] for k in range(0, len(parts), PARTS_A_TEXT)]
+        for group, raw in zip(groups, self._encode([" ".join(g) for g in groups]), strict=True):
+            at = (4 * (np.flatnonzero(self.closes[np.frombuffer(raw, "<u4")]) + 1)).tolist()
+            whole = len(at) == len(group) and at[-1] == len(raw)
+            out += [raw[i:j] for i, j in zip([0, *at], at, strict=False)] if whole else self._encode(group)
+        return out
+
+    @staticmethod
+    def _look_up(known: dict[str, bytes], encode, pieces: list[str]) -> list[bytes]:
+        if len(known) > CACHE_WORDS:
+            known.clear()
+        ids = list(map(known.get, pieces))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            names = list({pieces[i] for i in missing})
+            new = dict(zip(names, encode(names), strict=True))
+            for i in missing:
+                ids[i] = new[pieces[i]]
+            known.update((w, x) for w, x in new.items() if len(w) <= CACHE_WORD_CHARS)
+        return ids
+
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cuts = [None if _odd.search(t) else t.split() for t in texts]
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        missing = list(set().union(*(c for c in cuts if c)).difference(self.words))
-        short = [w for w in missing if len(w) <= CACHE_WORD_CHARS]
-        long = [w for w in missing if len(w) > CACHE_WORD_CHARS]
-        for k in range(0, len(short), 20_000):
-            some = short[k:k + 20_000]
-            self.words.update(zip(some, self._encode(some), strict=True))
-        known = self.words
-        if long:
-            known = {**{w: known[w] for c in cuts if c for w in c if w in known}, **dict(zip(long, self._encode(long), strict=True))}
-        at = known.__getitem__
-        return [self._encode([t])[0] if c is None else b"".join(map(at, c)) for t, c in zip(texts, cuts, strict=True)]
+        out: list[bytes | None] = [None] * len(texts)
+        latin, others = [], []
+        for i, t in enumerate(texts):
+            if not _other.search(t) and _SPECIAL not in t:
+                latin.append((i, _part.findall(t.lower())))
+            elif _odd.search(t):
+                out[i] = self._encode([t])[0]
+            else:
+                others.append((i, t.split()))
+        for known, encode, cuts in ((self.parts, self._encode_parts, latin), (self.words, self._encode, others)):
+            ids, at = self._look_up(known, encode, list(chain.from_iterable(c for _, c in cuts))), 0
+            for i, c in cuts:
+                out[i] = b"".join(ids[at:at + len(c)])
+                at += len(c)
+        return out
 
 
 # ---------------------------------------------------------------- the plan
