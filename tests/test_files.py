@@ -110,3 +110,92 @@ def test_export_csv_split_writes_one_sorted_file_per_residue(spark, scratch):
         by_file.setdefault(r.file_name, []).append(r.line)
     assert by_file["part_1.csv"][0] == "k,name"
     assert [int(x.split(",")[0]) for x in by_file["part_1.csv"][1:]] == list(range(1, 100, 4))
+
+
+def _small_splits(spark):
+    """Splits of a few dozen bytes, so that quotes and records lie across their borders."""
+    import contextlib
+
+    @contextlib.contextmanager
+    def run(size):
+        names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+        before = [spark.conf.get(n) for n in names]
+        for n in names:
+            spark.conf.set(n, str(size))
+        try:
+            yield
+        finally:
+            for n, v in zip(names, before, strict=True):
+                spark.conf.set(n, v)
+    return run
+
+
+def _write_csv(folder, name, text):
+    import os
+    local = folder.replace("file:", "")
+    os.makedirs(local, exist_ok=True)
+    with open(os.path.join(local, name), "w", newline="") as f:
+        f.write(text)
+
+
+def test_quoted_records_are_cut_over_split_borders(spark, scratch):
+    import csv
+    import io
+    import random
+
+    from tidewater.sources.files import read_csv_records
+    rng = random.Random(4)
+    pieces = ["a", ",", '"', "\n", "\n\n", "x y", "é", '""', ",\n,", "0"]
+    want = []
+    for name in ("one.csv", "two.csv", "three.csv"):
+        out = io.StringIO()
+        writer = csv.writer(out, quoting=rng.choice([csv.QUOTE_MINIMAL, csv.QUOTE_ALL]), lineterminator=rng.choice(["\n", "\r\n"]))
+        for i in range(150):
+            row = [f"r{i}"] + ["".join(rng.choices(pieces, k=rng.randrange(6))) for _ in range(rng.randrange(4))]
+            writer.writerow(row)
+            want.append((name, row))
+        _write_csv(scratch, name, out.getvalue())
+    for size in (40, 700, 1 << 20):
+        with _small_splits(spark)(size):
+            records = read_csv_records(spark, scratch)
+            got = [(r.file_name, list(r.fields)) for r in records.collect()]
+            if size == 40:
+                assert spark.read.text(scratch).rdd.getNumPartitions() > 20
+        assert sorted(got) == sorted(want), size
+
+
+def test_quotes_inside_a_field_are_text(spark, scratch):
+    from tidewater.sources.files import read_csv_records
+    _write_csv(scratch, "odd.csv", 'a,5" pipe,c\n"x ""y"" z",1\n\n"two\nlines","b"tail\nlast,"q"\r\n,,\n"open to the\nend')
+    want = [["a", '5" pipe', "c"], ['x "y" z', "1"], ["two\nlines", '"b"tail'], ["last", "q"], ["", "", ""], ['"open to the\nend']]
+    for size in (8, 1 << 20):
+        with _small_splits(spark)(size):
+            assert sorted(list(r.fields) for r in read_csv_records(spark, scratch).collect()) == sorted(want)
+
+
+def test_types_are_the_narrowest_that_hold_all_values(spark, scratch):
+    import datetime as dt
+    import decimal
+    _write_csv(scratch, "a.csv", "i,l,d,when,day,b,t,none,dup,dup,\n1,5,1.5,2024-01-02,2024-01-02,true,x,,1,2,3\n"
+                                 '-2,6,7,2024-01-03 10:00:00,2024-02-29,FALSE,"",,,,\n')
+    _write_csv(scratch, "b.csv", "L,D,big,t,extra\n99999999999,1e3,123456789012345678901,2024-13-45,NaN\n,,7,1\n1,2,3,4,5,6\n")
+    df = read_csv_folder_typed(spark, scratch)
+    assert dict(df.dtypes) == {"file_name": "string", "i": "int", "l": "bigint", "d": "double", "when": "timestamp", "day": "date",
+                               "b": "boolean", "t": "string", "none": "string", "dup8": "int", "dup9": "int", "_c10": "int",
+                               "big": "decimal(38,0)", "extra": "double"}
+    assert df.columns[:4] == ["file_name", "i", "l", "d"] and df.columns[-2:] == ["big", "extra"]
+    rows = {(r.file_name, r.i, r.l): r for r in df.collect()}
+    assert rows["a.csv", -2, 6].t == "" and rows["a.csv", 1, 5].none is None
+    assert rows["a.csv", -2, 6].when == dt.datetime(2024, 1, 3, 10) and rows["a.csv", 1, 5].when == dt.datetime(2024, 1, 2)
+    assert rows["b.csv", None, 99999999999].big == decimal.Decimal("123456789012345678901")
+    assert rows["b.csv", None, None].t == "1" and rows["b.csv", None, None].extra is None and len(rows) == 5
+
+
+def test_headers_only_and_empty_files(spark, scratch):
+    _write_csv(scratch, "a.csv", "x,y\n")
+    _write_csv(scratch, "b.csv", "")
+    _write_csv(scratch, "c.csv", "\n\ny,z\n\n1,2\n")
+    df = read_csv_folder_typed(spark, scratch)
+    assert dict(df.dtypes) == {"file_name": "string", "x": "string", "y": "int", "z": "int"}
+    assert [tuple(r) for r in df.collect()] == [("c.csv", None, 1, 2)]
+    assert read_csv_folder_raw(spark, scratch).count() == 3

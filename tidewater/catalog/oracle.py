@@ -346,6 +346,18 @@ ORACLE_SQL: dict[str, str] = {
         FROM val v LEFT JOIN dim d ON v.user_id = d.user_id WHERE seq % 20 = 6""",
     "ingest_rejects": "WITH " + MSG + """SELECT seq, reason FROM val WHERE reason IS NOT NULL
                                          UNION ALL SELECT seq, 'bad_timestamp' FROM parsed WHERE "timestamp" IS NULL""",
+    "upsert_pruned": """SELECT o_orderkey, o_custkey, o_orderstatus,
+                               CASE WHEN o_orderkey % 97 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+                               o_orderdate, o_orderpriority FROM orders
+                        UNION ALL SELECT -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+                        FROM orders WHERE o_orderkey % 97 = 5""",
+    "upsert_pruned_stats": """SELECT 1 AS load, count(*) AS affected, true AS nothing_rewritten FROM orders
+                              UNION ALL SELECT 2, count(*), true FROM orders WHERE o_orderkey % 97 = 5
+                              UNION ALL SELECT 3, 2 * count(*), false FROM orders WHERE o_orderkey % 97 = 5""",
+    "control_interleaved": f"""SELECT 'orders' AS table_name, strftime(max(o_orderdate), '{ISO}') AS hwm_value,
+                               'timestamp_ntz' AS hwm_type FROM orders
+                               UNION ALL SELECT 'events', strftime(max(ts), '{ISO}'), 'timestamp_ntz' FROM events
+                               UNION ALL SELECT 'lineitem', strftime(max(l_shipdate), '{ISO}'), 'timestamp_ntz' FROM lineitem""",
     "initial_extract_nan": """SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN NULL WHEN p_partkey % 4 = 1 THEN NULL
                               ELSE p_retailprice END AS mark FROM part""",
     "migrate_key_only": """SELECT 1 AS run, 'ok' AS status, count(*) AS rows, CAST(0 AS BIGINT) AS failed, count(*) AS target_rows FROM part
@@ -361,6 +373,17 @@ ORACLE_SQL: dict[str, str] = {
     "csv_typed_conflict": """SELECT 'a.csv' AS file_name, CAST(n_nationkey AS VARCHAR) AS id, n_name AS v, CAST(NULL AS DOUBLE) AS w
                              FROM nation UNION ALL SELECT 'b.csv', 'n' || CAST(n_nationkey AS VARCHAR), NULL, n_regionkey + 0.5
                              FROM nation""",
+    "csv_quoted_texts": """SELECT CAST(doc_id AS VARCHAR) AS _c0,
+                           replace(replace(coalesce(text, ''), chr(13) || chr(10), chr(10)), chr(13), chr(10)) AS _c1 FROM documents""",
+    "csv_typed_lattice": """
+        SELECT o_orderkey AS id, date_trunc('day', o_orderdate) AS at, CAST(o_orderkey AS DOUBLE) AS n, true AS flag,
+               CAST(NULL AS VARCHAR) AS e, CAST(NULL AS VARCHAR) AS t, 'bigint' AS id_type, 'timestamp' AS at_type,
+               'double' AS n_type, 'boolean' AS flag_type, 'string' AS e_type, 'string' AS t_type
+        FROM orders WHERE o_orderkey % 2 = 0
+        UNION ALL
+        SELECT o_orderkey + 10000000000, date_trunc('day', o_orderdate) + INTERVAL 630 MINUTE, o_orderkey + 0.5,
+               CASE WHEN o_orderkey % 3 = 0 THEN false END, NULL, 'x,y', 'bigint', 'timestamp', 'double', 'boolean', 'string', 'string'
+        FROM orders WHERE o_orderkey % 2 = 1""",
     "text_whole": _TEXT_WHOLE,
     "csv_text_combine": "SELECT out_name, line FROM (" + _COMBINE_ORDER + ")",
     "csv_text_combine_order": _COMBINE_ORDER,

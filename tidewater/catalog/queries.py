@@ -12,18 +12,18 @@ from tidewater.operators.dedup import keep_last
 from tidewater.operators.enrich import enrich_left, enrich_stats, load_lookup
 from tidewater.operators.marks import batch_max, commit_gate, fold_mark
 from tidewater.operators.rename import rename_columns, select_mapped
-from tidewater.operators.upsert import affected_rows, insert_only_stats, upsert
+from tidewater.operators.upsert import affected_rows, collapse_versions, insert_only_stats, upsert
 from tidewater.operators.validate import validate_messages, validation_stats
 from tidewater.plans.combine import combine_folder
 from tidewater.plans.ingest import (SUMMARY, decode_messages, decode_stats, dedup_stats, dedup_valid,
                                    ingest_batch, load_batch, prepare_for_run)
 from tidewater.plans.migration import migrate_all
-from tidewater.session import apply_defaults, scratch_path
-from tidewater.sinks.control import append_control, read_control
-from tidewater.sinks.bucketed import read_bucketed
+from tidewater.session import apply_defaults, checkpoint_root, scratch_path
+from tidewater.sinks.control import append_control, read_control, read_state
+from tidewater.sinks.bucketed import merge_bucketed, read_bucketed
 from tidewater.sinks.events import SINK_COLUMNS, append_daily
 from tidewater.sinks.versioned import read_current
-from tidewater.sources.files import (export_csv, export_csv_split, export_text, read_csv_folder_raw,
+from tidewater.sources.files import (export_csv, export_csv_split, export_lines, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_whole)
 from tidewater.sources.messages import bounded_batch, messages_from_events
 from tidewater.sources.tables import chunk_stats, extract, read_table
@@ -327,6 +327,57 @@ def run_summary(spark, sf):
     return per.unionByName(total)
 
 
+def _orders_delta(spark, sf):
+    """All orders, then new keys, then changes; the latter two for one order in 97."""
+    o = _t(spark, sf, "orders")
+    hit = o.where(F.col("o_orderkey") % 97 == 5)
+    return o, hit.withColumn("o_orderkey", -1 - F.col("o_orderkey")), hit.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+
+
+PRUNED_BUCKETS, PRUNED_FILES = 2, 100
+
+
+def _pruned_loads(spark, sf):
+    """The whole table, then new keys only, then changed keys: (target root, what each load did)."""
+    root = scratch_path(spark, "pruned")
+    loads, batches = [], _orders_delta(spark, sf)
+    file_rows = batches[0].count() // PRUNED_FILES + 1
+    for batch in batches:
+        rest = [c for c in batch.columns if c != "o_orderkey"]
+        changes = collapse_versions(batch, ["o_orderkey"], rest, rest).checkpoint(eager=True)
+        loads.append(merge_bucketed(changes, root, ["o_orderkey"], PRUNED_BUCKETS, file_rows=file_rows))
+    return root, loads
+
+
+def upsert_pruned(spark, sf):
+    """A bucketed target after a load of new keys and one of changed keys that rewrite only the files they have to."""
+    checkpoint_root(spark)
+    return read_bucketed(spark, _pruned_loads(spark, sf)[0])
+
+
+def upsert_pruned_stats(spark, sf):
+    """Affected rows of the three loads, and whether the load of new keys rewrote no file at all."""
+    checkpoint_root(spark)
+    out = [(i, load.affected, load.rewritten == 0) for i, load in enumerate(_pruned_loads(spark, sf)[1], 1)]
+    return spark.createDataFrame(out, "load int, affected long, nothing_rewritten boolean")
+
+
+def control_interleaved(spark, sf):
+    """Two runs that both start from the same state: each keeps the other's marks, and the larger one of the same table."""
+    state = scratch_path(spark, "interleaved")
+    schema = "table_name string, hwm_value string, hwm_type string"
+    append_control(spark.createDataFrame([("orders", ORDERS_MARK, "timestamp_ntz")], schema), state, "seed")
+    start = read_state(spark, state)
+    mark = lambda table, col, top: (_t(spark, sf, table).agg(top(col).alias("m"))
+                                    .select(F.lit(table).alias("table_name"), F.date_format("m", TS_NTZ_FORMAT).alias("hwm_value"),
+                                            F.lit("timestamp_ntz").alias("hwm_type")))
+    first = mark("orders", "o_orderdate", F.max).unionByName(mark("events", "ts", F.max))
+    second = mark("lineitem", "l_shipdate", F.max).unionByName(mark("orders", "o_orderdate", F.min))
+    append_control(first, state, "run-1", base=start)
+    append_control(second, state, "run-2", base=start)
+    return read_control(spark, state)
+
+
 # ---------------------------------------------------------------- events
 
 def _messages(spark, sf):
@@ -537,6 +588,32 @@ def csv_raw_quoting(spark, sf):
     return read_csv_folder_raw(spark, work)
 
 
+def csv_quoted_texts(spark, sf):
+    """Documents as quoted CSV: commas, quotes and line ends inside the fields."""
+    work = scratch_path(spark, "csv_texts")
+    line = F.concat(F.col("doc_id").cast("string"), F.lit(',"'), F.replace(F.coalesce("text", F.lit("")), F.lit('"'), F.lit('""')),
+                    F.lit('"'))
+    export_lines(_t(spark, sf, "documents").select(line.alias("value")), work, "texts")
+    return read_csv_folder_raw(spark, work, width=2).select("_c0", "_c1")
+
+
+def csv_typed_lattice(spark, sf):
+    """Files whose columns need a wider type together than each alone."""
+    work = scratch_path(spark, "csv_lattice")
+    o, key = _t(spark, sf, "orders"), F.col("o_orderkey")
+    day = F.date_format("o_orderdate", "yyyy-MM-dd")
+    small = o.where(key % 2 == 0).select(key.cast("int").alias("id"), day.alias("at"), key.cast("int").alias("n"),
+                                         F.lit("true").alias("flag"), F.lit(None).cast("string").alias("e"))
+    large = o.where(key % 2 == 1).select(F.concat(day, F.lit(" 10:30:00")).alias("At"), (key + 10_000_000_000).alias("ID"),
+                                         (key + F.lit(0.5)).alias("n"), F.when(key % 3 == 0, "false").alias("flag"),
+                                         F.lit("x,y").alias("t"))
+    export_csv(small, work, "a.csv", ["id"])
+    export_csv(large, work, "b.csv", ["ID"])
+    back = read_csv_folder_typed(spark, work)
+    return back.select("id", F.col("at").cast("timestamp_ntz").alias("at"), "n", "flag", "e", "t",
+                       *[F.lit(t).alias(f"{c}_type") for c, t in back.dtypes if c != "file_name"])
+
+
 def csv_typed_conflict(spark, sf):
     """Two files that disagree on the type of a column."""
     work = scratch_path(spark, "csv_types")
@@ -608,6 +685,9 @@ _ALL: dict[str, Query] = {
     "ingest_summary": ingest_summary,
     "ingest_no_rows": ingest_no_rows,
     "ingest_rejects": ingest_rejects,
+    "upsert_pruned": upsert_pruned,
+    "upsert_pruned_stats": upsert_pruned_stats,
+    "control_interleaved": control_interleaved,
     "initial_extract_nan": initial_extract_nan,
     "migrate_key_only": migrate_key_only,
     "csv_folder_raw": csv_folder_raw,
@@ -615,6 +695,8 @@ _ALL: dict[str, Query] = {
     "csv_folder_typed": csv_folder_typed,
     "csv_raw_quoting": csv_raw_quoting,
     "csv_typed_conflict": csv_typed_conflict,
+    "csv_quoted_texts": csv_quoted_texts,
+    "csv_typed_lattice": csv_typed_lattice,
     "text_whole": text_whole,
     "csv_text_combine": csv_text_combine,
     "csv_text_combine_order": csv_text_combine_order,

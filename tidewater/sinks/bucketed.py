@@ -8,8 +8,8 @@ a file's keys are dealt by hash to pages of ``KEYS_A_PAGE`` keys, and a page has
 
 A load joins its keys with the files of their buckets, keeps the files whose key range holds a key and whose
 page says it may be there, and rewrites these; keys that no file can hold go to new files. So a batch of new keys rewrites nothing,
-and an update touches the files of its keys. A bucket that would keep more than
-``MAX_FILES`` files has its smallest ones rewritten along, so files do not pile up. The new files and the
+and an update touches the files of its keys. A bucket of the batch with ``MAX_SMALL_FILES`` files of less than a quarter of
+the full size has these rewritten along, so small files do not pile up. The new files and the
 untouched ones are published by one manifest version, made from the version that was read: a load that another writer overtakes
 (``CommitConflict``) looks up its files again and tries once more. Readers see all of a load or nothing of
 it, no file is ever overwritten. Files that none of the kept manifest versions names are removed once
@@ -41,7 +41,7 @@ BUCKET_COL = "_bucket"
 LAYOUT_ROW = -1  # the manifest row that only carries the layout
 KEYS_A_PAGE = 9000
 PAGE_BITS = 32768  # of bitmap_construct_agg
-MAX_FILES = 16
+MAX_SMALL_FILES = 16
 FILE_ROWS = 1_000_000
 # Unpublished folders younger than this are left alone.
 GRACE_SECONDS = 24 * 3600
@@ -133,8 +133,9 @@ def fit_layout(source: DataFrame, root: str, keys: Sequence[str], buckets: int)
     return source.withColumns({k: F.col(f"`{k}`").cast(types[k]) for k in keys if source.schema[k].dataType != types[k]})
 
 
-def files_of_keys(spark: SparkSession, root: str, files: DataFrame, changes: DataFrame, keys: Sequence[str], buckets: int) -> list[str]:
-    """Files that may hold a key of ``changes``, and the smallest ones of buckets that get too many."""
+def files_of_keys(spark: SparkSession, root: str, files: DataFrame, changes: DataFrame, keys: Sequence[str], buckets: int,
+                  file_rows: int = FILE_ROWS) -> list[str]:
+    """Files that may hold a key of ``changes``, and the small ones of buckets that get too many of them."""
     asked = changes.select(bucket_of(keys, buckets).alias("bucket"), *_traits(keys))
     near = asked.join(files, "bucket").filter(F.col("lo").isNull() | ((F.col("key") >= F.col("lo")) & (F.col("key") <= F.col("hi"))))
     wanted = near.filter(F.col("pages").isNull()).select("path")
@@ -145,8 +146,8 @@ def files_of_keys(spark: SparkSession, root: str, files: DataFrame, changes: Dat
         for i in range(3):
             tested = tested.filter(_has(F.col(f"bits{i}"), F.col(f"at{i}")))
         wanted = wanted.unionByName(tested.select("path"))
-    place = F.row_number().over(Window.partitionBy("bucket").orderBy(F.desc("rows"), "path"))
-    crowded = (files.withColumn("place", place).filter(F.col("place") >= MAX_FILES)
+    small = files.filter(F.col("rows") < file_rows / 4)
+    crowded = (small.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).filter(F.col("n") >= MAX_SMALL_FILES)
                .join(asked.select("bucket").distinct(), "bucket", "left_semi").select("path"))
     return sorted(r[0] for r in wanted.unionByName(crowded).distinct().collect())  # at most one row per file
 
@@ -176,7 +177,7 @@ def merge_bucketed(changes: DataFrame, root: str, keys: Sequence[str], buckets:
     for left in reversed(range(MAX_ATTEMPTS)):
         found = _manifest(spark, root)
         files = found[1] if found else None
-        rewritten = files_of_keys(spark, root, files, changes, keys, buckets) if found else []
+        rewritten = files_of_keys(spark, root, files, changes, keys, buckets, file_rows) if found else []
         current = _read(spark, root, found[0], rewritten) if found else None
         if add_columns and current is not None:
             current = with_new_columns(current, changes)

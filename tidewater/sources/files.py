@@ -8,15 +8,14 @@ are taken, without descending into sub-folders.
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Iterable
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import (BooleanType, DataType, DoubleType, IntegerType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import BooleanType, StringType, StructField, StructType
 
 from tidewater import paths
+from tidewater.sources.csv_records import csv_fields, csv_records
+from tidewater.sources.csv_types import kind_of, type_of
 from tidewater.sources.tables import path_exists
 
 # The file-name filter of the folder jobs.
@@ -60,6 +59,19 @@ def export_text(df: DataFrame, folder: str, name: str, order_by: list[str] | Non
     return dest
 
 
+def export_lines(df: DataFrame, folder: str, stem: str) -> list[str]:
+    """Write a one-string-column DataFrame as text files ``stem_<i>.csv``, one per partition."""
+    spark = df.sparkSession
+    tmp = f"{folder.rstrip('/')}/_tmp_{stem}"
+    df.write.mode("overwrite").text(tmp)
+    parts = sorted(full for name, full, _ in paths.list_dir(spark, tmp) if name.startswith("part-"))
+    out = [f"{folder.rstrip('/')}/{stem}_{i}.csv" for i in range(len(parts))]
+    for part, dest in zip(parts, out, strict=True):
+        paths.move(spark, part, dest)
+    paths.remove(spark, tmp)
+    return out
+
+
 def export_csv_split(df: DataFrame, folder: str, stem: str, key: str,
                      rows_per_file: int) -> list[str]:
     """Write ``df`` as ``stem_<r>.csv`` files, r = key mod n, n growing with the rows.
@@ -89,39 +101,18 @@ def csv_files(spark: SparkSession, folder: str) -> list[str]:
                   if not is_dir and name.endswith(".csv") and name[0] not in "_.")
 
 
-# Options of standard CSV: a quote inside a quoted field is doubled, fields may hold line ends.
-# A file is then one task: where its records start is known only from its beginning.
-CSV_OPTIONS = {"escape": '"', "multiLine": "true", "pathGlobFilter": CSV_GLOB}
-# One field: quoted (possibly with doubled quotes), or anything up to the next comma.
-_QUOTED = r'"[^"]*+(?:""[^"]*+)*+"'
-_FIELD = rf'(?:^|,)({_QUOTED}[^,]*+|[^,]*+)'
-
-
 def _file_name() -> Column:
     # the metadata column is percent-encoded; a plus sign in it is a plus sign
     return F.url_decode(F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))).alias("file_name")
 
 
-def csv_fields(record: Column) -> Column:
-    """The fields of one CSV record as an array of strings; an empty field is the empty string."""
-    fields = F.regexp_extract_all(record, F.lit(_FIELD), F.lit(1))
-    unquoted = lambda x: F.regexp_replace(F.regexp_replace(x, r'(?s)^"(.*)"$', "$1"), '""', '"')
-    return F.transform(fields, lambda x: F.when(x.startswith('"') & (F.length(x) > 1), unquoted(x)).otherwise(x))
-
-
 def read_csv_records(spark: SparkSession, folder: str) -> DataFrame:
     """``(file_name, fields)``: every record of every CSV file, ragged, header treated as data.
 
-    Empty fields are empty strings. Blank lines are no records.
+    Files are read in splits by many tasks, whatever their quoting (``csv_records``). Empty fields are empty
+    strings. Blank lines are no records.
     """
-    # Read against a schema of one column, every record with more fields arrives whole as
-    # the malformed record; one with a single field arrives parsed.
-    schema = StructType([StructField("_c0", StringType()), StructField("_record", StringType())])
-    df = (spark.read.schema(schema).options(**CSV_OPTIONS).option("header", False).option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", "_record").csv(folder))
-    fields = F.when(F.col("_record").isNotNull(), csv_fields(F.col("_record"))).otherwise(
-        F.array(F.coalesce("_c0", F.lit(""))))
-    return df.select(_file_name(), fields.alias("fields"))
+    return csv_records(spark, folder, CSV_GLOB, _file_name()).select("file_name", csv_fields(F.col("record")).alias("fields"))
 
 
 def read_csv_folder_raw(spark: SparkSession, folder: str, width: int | None = None) -> DataFrame:
@@ -146,42 +137,40 @@ def read_csv_folder_raw(spark: SparkSession, folder: str, width: int | None = No
     return records.select("file_name", *cols[:-1], F.coalesce(wider, cols[-1]).alias(names[-1]))
 
 
-def _common_type(types: Iterable[DataType]) -> DataType:
-    """The type that holds all: the wider of two whole numbers, double for mixed numbers, else text."""
-    kinds = set(types)
-    if len(kinds) == 1:
-        return kinds.pop()
-    whole = (IntegerType(), LongType())
-    if kinds <= set(whole):
-        return LongType()
-    return DoubleType() if all(k in whole or k == DoubleType() for k in kinds) else StringType()
+def _safe_names(header: Column) -> Column:
+    """Column names of a header: a missing one is ``_c<i>``, and ones that come twice get their place."""
+    lower = F.transform(header, lambda x: F.lower(F.coalesce(x, F.lit(""))))
+    twice = lambda x: F.size(F.filter(lower, lambda y: y == F.lower(x))) > 1
+    return F.transform(header, lambda x, i: F.when(F.coalesce(x, F.lit("")) == "", F.concat(F.lit("_c"), i))
+                       .when(twice(x), F.concat(x, i)).otherwise(x))
 
 
 def read_csv_folder_typed(spark: SparkSession, folder: str) -> DataFrame:
-    """Each CSV with its own header and inferred types, aligned by column name.
+    """Each CSV with its own header and inferred types, aligned by column name (in any case).
 
-    The headers of all files are found in one distributed pass; files with the same
-    header are one read with one inference. Where files disagree on the type of
-    a column, it takes the common type (text if there is none).
+    One job finds all column names and, of every column over all files, the narrowest type that holds its
+    values (``csv_types``). A field without any character is NULL, a quoted empty one is the empty string; missing
+    fields are NULL, and fields beyond the header are dropped. Columns come in the order of files and headers.
     """
-    first = read_csv_records(spark, folder).select(
-        F.col("file_name"), "fields", F.monotonically_increasing_id().alias("_id")) if csv_files(spark, folder) else None
-    if first is None:
+    if not csv_files(spark, folder):
         return spark.createDataFrame([], "file_name string")
-    headers: dict[tuple, list[str]] = {}
-    for r in first.groupBy("file_name").agg(F.min_by("fields", "_id").alias("header")).collect():  # one row per file
-        headers.setdefault(tuple(r["header"]), []).append(r["file_name"])
-    files = {base_name(f): f for f in csv_files(spark, folder)}
-    parts = []
-    for names in headers.values():
-        parts.append(spark.read.options(**CSV_OPTIONS).option("header", True).option("inferSchema", True)
-                     .csv([files[n] for n in sorted(names)]).select(_file_name(), "*"))
-    types: dict[str, DataType] = {}
-    for p in parts:
-        for f in p.schema.fields:
-            types[f.name] = _common_type((types.get(f.name, f.dataType), f.dataType))
-    parts = [p.select(*[F.col(f"`{c}`").cast(types[c]).alias(c) for c in p.columns]) for p in parts]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    records = csv_records(spark, folder, CSV_GLOB, _file_name()).select(
+        "file_name", "first", csv_fields(F.col("record"), F.lit(None).cast("string")).alias("_fields"))
+    heads = records.filter("first").select("file_name", _safe_names(F.col("_fields")).alias("_header"))
+    rows = records.filter("not first").select("file_name", "_fields").join(heads, "file_name")
+    kinds = F.transform("_header", lambda name, i: F.struct(
+        F.lower(name).alias("column"), kind_of(F.get("_fields", i)).alias("kind")))
+    seen = rows.select(F.inline(kinds)).groupBy("column").agg(F.bit_or("kind").alias("kinds"))
+    named = (heads.select("file_name", F.posexplode("_header").alias("at", "name"))
+             .groupBy(F.lower("name").alias("column")).agg(F.min(F.struct("file_name", "at", "name")).alias("at")))
+    found = named.join(seen, "column", "left").select("column", "at.*", "kinds").collect()  # one row per column
+    found.sort(key=lambda r: (r["file_name"], r["at"]))
+    columns = F.array(*[F.lit(r["column"]) for r in found])
+    lower = F.transform("_header", lambda x: F.lower(x))
+    # where each column of the result lies in a file's records, once per file; get() gives NULL outside a record
+    placed = heads.select("file_name", F.transform(columns, lambda c: (F.array_position(lower, c) - 1).cast("int")).alias("_places"))
+    return records.filter("not first").join(placed, "file_name").select("file_name", *[
+        F.get("_fields", F.get("_places", F.lit(i))).cast(type_of(r["kinds"] or 0)).alias(r["name"]) for i, r in enumerate(found)])
 
 
 _WHOLE_SCHEMA = StructType([StructField("file_name", StringType()),
