@@ -88,7 +88,7 @@ def test_an_update_rewrites_the_files_of_its_keys_only(spark, scratch):
     root = f"{scratch}/t"
     first = _load(_table(spark, 40_000), root, ["k"], file_rows=100)
     assert (first.affected, first.files, first.rewritten) == (40_000, 0, 0)
-    files = bucketed._manifest(spark, root)[1].count()
+    files = len(bucketed._manifest(spark, root).files)
     assert files >= 400
     keys = random.Random(3).sample(range(40_000), 40)
     update = spark.createDataFrame([(7 * i, "new") for i in keys], "k long, v string")
@@ -117,10 +117,25 @@ def test_small_files_are_rewritten_together(spark, scratch, monkeypatch):
     sizes = []
     for i in range(6):
         _load(spark.createDataFrame([(i, "x")], "k long, v string"), root, ["k"], buckets=1)
-        sizes.append(bucketed._manifest(spark, root)[1].count())
+        sizes.append(len(bucketed._manifest(spark, root).files))
     assert sizes == [1, 2, 3, 1, 2, 3] and read_bucketed(spark, root).count() == 6
 
 
+def test_files_of_expired_versions_go_and_leftovers_wait(spark, scratch):
+    from tidewater import paths
+    from tidewater.sinks.versioned import version_paths
+    root = f"{scratch}/t"
+    for i in range(6):
+        _load(spark.createDataFrame([(k, f"v{i}") for k in range(40)], "k long, v string"), root, ["k"], file_rows=10)
+    runs = {name for name, _, _ in paths.list_dir(spark, f"{root}/data")}
+    assert len(version_paths(spark, f"{root}/_manifest")) == versioned.DEFAULT_KEEP == len(runs)
+    assert len(paths.list_dir(spark, f"{root}/index")) == versioned.DEFAULT_KEEP
+    spark.range(3).write.parquet(f"{root}/data/lost")
+    assert bucketed.remove_leftovers(spark, root) == []
+    assert bucketed.remove_leftovers(spark, root, older_than=-5) == ["data/lost"]
+    assert {r.v for r in read_bucketed(spark, root).collect()} == {"v5"} and read_bucketed(spark, root).count() == 40
+
+
 def test_keys_of_several_columns_and_other_names(spark, scratch):
     root = f"{scratch}/t"
     batch = spark.range(300).select(F.concat(F.lit("p"), F.col("id") % 7).alias("path"), F.col("id").alias("key"),

@@ -101,18 +101,6 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
         raise
 
 
-def files_below(spark: SparkSession, path: str) -> list[str]:
-    """Paths of all files below a folder, relative to it; hidden ones are left out."""
-    fs, p = _fs(spark, path)
-    base, out = fs.makeQualified(p).toString().rstrip("/"), []
-    found = fs.listFiles(p, True)
-    while found.hasNext():
-        name = found.next().getPath()
-        if not name.getName().startswith((".", "_")):
-            out.append(name.toString()[len(base) + 1:])
-    return out
-
-
 def modified(spark: SparkSession, path: str) -> int:
     """Time of the last change of a file or folder, in milliseconds."""
     fs, p = _fs(spark, path)
