@@ -240,3 +240,42 @@ def test_a_load_that_is_overtaken_is_made_again(spark, scratch, monkeypatch, buc
     assert (run("s2").affected, raced) == (4, [1])
     back = read_bucketed(spark, f"{scratch}/out/t") if buckets else read_current(spark, f"{scratch}/out/t")
     assert _rows(back) == [(1, "other"), (2, "mine"), (3, "mine")]
+
+
+# ---------------------------------------------------------------- late rows
+
+def test_differing_ranges_by_number_and_by_day(spark):
+    import datetime as dt
+
+    from tidewater.operators.reconcile import differing_ranges, in_ranges
+    there = spark.range(100).select("id", (F.col("id") * 2).alias("v"))
+    now = there.where("id not in (15, 95)").union(spark.sql("select 15L, 31L")).union(spark.sql("select 105L, 1L"))
+    assert differing_ranges(now, there, "id", 10) == [(10, 20), (90, 110)]
+    assert differing_ranges(there, there, "id", 10) == [] == differing_ranges(there.limit(0), there, "id", 10)
+    # rows that come twice are told from rows that come once or not at all
+    assert differing_ranges(there.union(there.where("id = 7")).union(there.where("id = 7")), there, "id", 10) == [(0, 10)]
+    days = spark.createDataFrame([(dt.datetime(2024, 1, d), d) for d in (1, 2, 5)], "at timestamp_ntz, v int")
+    old = days.where("v <> 2")
+    assert differing_ranges(days, old, "at", "day") == [(dt.datetime(2024, 1, 2), dt.datetime(2024, 1, 3))]
+    got = there.where(in_ranges(F.col("id"), [(3, 5), (50, 51), (90, 200)]))
+    assert sorted(r.id for r in got.collect()) == [3, 4, 50, *range(90, 100)]
+    with pytest.raises(ValueError):
+        differing_ranges(days, old, "at", 10)
+
+
+@pytest.mark.parametrize("buckets", [None, 2])
+def test_late_rows_are_found_without_a_lookback(spark, scratch, buckets):
+    rows = spark.range(200).select("id", (F.col("id") * 10).alias("mark"), F.lit("a").alias("v"))
+    rows.where("id <= 150 and id <> 42").write.parquet(f"{scratch}/s1")
+    rows.withColumn("v", F.when(F.col("id") == 77, "b").otherwise(F.col("v"))).write.parquet(f"{scratch}/s2")
+
+    def run(path, reconcile):
+        t = TableSpec(source="s", target="t", incremental_column="mark", reconcile=reconcile, buckets=buckets,
+                      columns={"mark": "m"}, source_options={"path": f"{scratch}/{path}"})
+        return migrate_all(spark, MigrationSpec([t], scratch, f"{scratch}/out", f"{scratch}/ctl")).first()
+    run("s1", 100)
+    second = run("s2", 100)
+    assert (second.rows, second.affected, second.mark) == (49 + 10 + 10, 49 + 1 + 2, "1990")
+    assert run("s2", 100).status == "empty"
+    back = read_bucketed(spark, f"{scratch}/out/t") if buckets else read_current(spark, f"{scratch}/out/t")
+    assert back.count() == 200 and back.where("id = 77").first().v == "b"

@@ -346,6 +346,12 @@ ORACLE_SQL: dict[str, str] = {
         FROM val v LEFT JOIN dim d ON v.user_id = d.user_id WHERE seq % 20 = 6""",
     "ingest_rejects": "WITH " + MSG + """SELECT seq, reason FROM val WHERE reason IS NOT NULL
                                          UNION ALL SELECT seq, 'bad_timestamp' FROM parsed WHERE "timestamp" IS NULL""",
+    "late_rows_found": """SELECT *, (SELECT count(*) FROM orders WHERE o_orderdate > (SELECT max(o_orderdate) FROM orders
+                                       WHERE o_orderdate <= TIMESTAMP '2000-01-01 00:00:00')
+                                     OR strftime(o_orderdate, '%Y-%m') IN ('1997-03', '1998-07')) AS second_run_rows FROM orders""",
+    "migrate_transforms": """SELECT c_custkey AS id, c_acctbal AS balance, CAST(floor(c_acctbal / 1000) AS BIGINT) AS band
+                             FROM customer WHERE c_acctbal > 0""",
+    "event_ingest_clustered": "WITH " + MSG + SINK_SELECT,
     "upsert_pruned": """SELECT o_orderkey, o_custkey, o_orderstatus,
                                CASE WHEN o_orderkey % 97 = 5 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
                                o_orderdate, o_orderpriority FROM orders

@@ -255,6 +255,45 @@ def incremental_two_runs_bucketed(spark, sf):
     return incremental_two_runs(spark, sf, buckets=16)
 
 
+LATE_SPLIT = "2000-01-01T00:00:00"
+
+
+def late_rows_found(spark, sf):
+    """Rows that arrive or change below the mark after the first run are found by the digests of their month."""
+    work = scratch_path(spark, "late")
+    o = _t(spark, sf, "orders")
+    # first state of the source: one month is missing every tenth order, another has other prices
+    month = F.date_format("o_orderdate", "yyyy-MM")
+    first = o.where((F.col("o_orderdate") <= F.lit(LATE_SPLIT).cast("timestamp_ntz")) &
+                    ~((month == "1997-03") & (F.col("o_orderkey") % 10 == 0)))
+    first = first.withColumn("o_totalprice", F.when(month == "1998-07", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    first.write.parquet(f"{work}/first")
+
+    def run(path):
+        t = TableSpec(source="orders", target="orders_t", incremental_column="o_orderdate", reconcile="month",
+                      source_options={"path": path})
+        return migrate_all(spark, MigrationSpec(tables=[t], source_root=sf, target_root=f"{work}/target",
+                                                state_path=f"{work}/control")).first()
+    runs = [run(f"{work}/first"), run(f"{sf.rstrip('/')}/orders.parquet"), run(f"{sf.rstrip('/')}/orders.parquet")]
+    if [r["status"] for r in runs] != ["ok", "ok", "empty"]:
+        raise RuntimeError(f"migration failed: {runs}")
+    return read_current(spark, f"{work}/target/orders_t").withColumn("second_run_rows", F.lit(runs[1]["rows"]))
+
+
+def migrate_transforms(spark, sf):
+    """The transform hook: two functions of the caller between rename and load."""
+    work = scratch_path(spark, "transforms")
+    rich = lambda df: df.where(F.col("balance") > 0)
+    band = lambda df: df.withColumn("band", F.floor(F.col("balance") / 1000).cast("bigint"))
+    t = TableSpec(source="customer", target="customer_t", columns={"c_custkey": "id", "c_acctbal": "balance"}, only_mapped=True,
+                  transforms=(rich, band), source_options={"path": f"{sf.rstrip('/')}/customer.parquet"})
+    run = migrate_all(spark, MigrationSpec(tables=[t], source_root=sf, target_root=f"{work}/target",
+                                           state_path=f"{work}/control")).first()
+    if run["status"] != "ok":
+        raise RuntimeError(f"migration failed: {run}")
+    return read_current(spark, f"{work}/target/customer_t")
+
+
 def initial_extract_nan(spark, sf):
     """First load of a table whose mark column holds NaN and NULL."""
     work = scratch_path(spark, "nan_marks")
@@ -471,6 +510,13 @@ def daily_partition_append(spark, sf):
     return back.groupBy("event_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
+def event_ingest_clustered(spark, sf):
+    """The day-partitioned sink with rows clustered by user inside the day."""
+    out = scratch_path(spark, "clustered")
+    append_daily(ingest_batch(_messages(spark, sf), _lookup(spark, sf)).rows, out, cluster_by=("user_id",))
+    return _sink_view(spark.read.parquet(out).select(*SINK_COLUMNS, "event_date"))
+
+
 def event_ingest_stream(spark, sf):
     work = scratch_path(spark, "stream")
     _messages(spark, sf).repartition(4).write.mode("overwrite").parquet(f"{work}/source")
@@ -685,6 +731,9 @@ _ALL: dict[str, Query] = {
     "ingest_summary": ingest_summary,
     "ingest_no_rows": ingest_no_rows,
     "ingest_rejects": ingest_rejects,
+    "late_rows_found": late_rows_found,
+    "migrate_transforms": migrate_transforms,
+    "event_ingest_clustered": event_ingest_clustered,
     "upsert_pruned": upsert_pruned,
     "upsert_pruned_stats": upsert_pruned_stats,
     "control_interleaved": control_interleaved,

@@ -27,6 +27,7 @@ from tidewater.functions.coerce import nan_to_null
 from tidewater.functions.marks import Mark, encode_mark
 from tidewater.functions.size import observed
 from tidewater.operators.marks import batch_max, commit_gate, fold_mark
+from tidewater.operators.reconcile import differing_ranges, in_ranges
 from tidewater.operators.rename import rename_columns
 from tidewater import paths
 from tidewater.operators.upsert import (AFFECTED, DEFAULT_SEQUENTIAL_ROWS, NULL_ROWS, collapse_versions, insert_only,
@@ -35,7 +36,7 @@ from tidewater.session import checkpoint_root
 from tidewater.sinks.bucketed import fit_layout, merge_bucketed, read_bucketed, upsert_bucketed, with_new_columns
 from tidewater.sinks.control import append_control, read_state
 from tidewater.sinks.jdbc import upsert_jdbc
-from tidewater.sinks.versioned import MAX_ATTEMPTS, CommitConflict, commit, current_version, publish, stage
+from tidewater.sinks.versioned import MAX_ATTEMPTS, CommitConflict, commit, current_version, publish, read_current, stage
 from tidewater.sources.tables import chunked_options, extract, path_exists, read_table
 from tidewater.spec import MigrationSpec, TableSpec
 
@@ -96,7 +97,6 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             inc = next((c for c in src.columns if c.lower() == inc.lower()), inc)
             run.incremental_column = inc
             run.hwm_type = src.schema[inc].dataType.simpleString()
-        delta = extract(src, inc, mark, lookback=t.lookback)
 
         def prepared(df: DataFrame) -> DataFrame:
             out = nan_to_null(rename_columns(df, t.columns, t.only_mapped))
@@ -104,6 +104,9 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
                 out = out.transform(fn)
             return out
 
+        late = _late_ranges(spark, spec, t, src, inc, mark, prepared) if inc and mark and t.reconcile else []
+        delta = _picked(src, inc, mark, t, late)
+
         # Size and new mark (the larger of the old mark and this batch's maximum) are those of the extract,
         # before renames and transforms.
         read_metrics = [F.count(F.lit(1)).alias("rows")]
@@ -124,9 +127,8 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
             # Immutable files: an aggregate over the mark column alone; the batch is then read bounded
             # above by that maximum, so rows landing meanwhile wait for the next run.
             m = delta.agg(*read_metrics).first().asDict()
-            bounded = extract(src, inc, mark, upper=Mark(m["batch_max"], run.hwm_type),
-                              lookback=t.lookback) if inc and m["batch_max"] is not None else delta
-            batch = prepared(bounded)
+            batch = prepared(_picked(src, inc, mark, t, late, Mark(m["batch_max"], run.hwm_type))
+                             if inc and m["batch_max"] is not None else delta)
         run.rows = int(m["rows"])
         if inc:
             run.new_mark = m["mx"]
@@ -158,6 +160,30 @@ def migrate_table(spark: SparkSession, spec: MigrationSpec, t: TableSpec,
     return run
 
 
+def _picked(src: DataFrame, inc: str | None, mark: Mark | None, t: TableSpec, late: list, upper: Mark | None = None) -> DataFrame:
+    """The rows of this run: above the mark, and at or below it in the ranges ``late``."""
+    above = extract(src, inc, mark, upper=upper, lookback=t.lookback)
+    if not late:
+        return above
+    c = F.col(f"`{inc}`")
+    dtype = src.schema[inc].dataType
+    chosen = (c > mark.literal().cast(dtype)) | in_ranges(c, late)
+    return extract(src.where(chosen), inc, None, upper=upper).where(c.isNotNull())
+
+
+def _late_ranges(spark: SparkSession, spec: MigrationSpec, t: TableSpec, src: DataFrame, inc: str, mark: Mark, prepared) -> list:
+    """Mark ranges up to the mark in which source and target differ; none where there is nothing to compare."""
+    inc_out = rename_name(t, inc)
+    root = _target_root(spec, t)
+    if t.sink == "jdbc":
+        raise ValueError("reconcile needs a file target")
+    target = read_bucketed(spark, root) if t.buckets else read_current(spark, root)
+    below = prepared(src.where(F.col(f"`{inc}`") <= mark.literal().cast(src.schema[inc].dataType)))
+    if target is None or inc_out not in below.columns or not set(below.columns) <= set(target.columns):
+        return []
+    return differing_ranges(below, target, inc_out, t.reconcile)
+
+
 def _target_root(spec: MigrationSpec, t: TableSpec) -> str:
     return f"{spec.target_root.rstrip('/')}/{t.target}"
 

@@ -48,6 +48,7 @@ class TableSpec:
     buckets: int | None = None                    # target in key buckets with key statistics per file; None -> versioned
     add_columns: bool = False                     # source columns that the target lacks extend it; False -> the load fails
     lookback: str | int | float | None = None     # re-read window below the mark for late rows
+    reconcile: str | int | float | None = None    # find late rows by digests of mark ranges: a calendar unit or a width
     chunk_column: str | None = None               # numeric column of the read ranges; default: first key
     sink: str = "files"                           # "files" (versioned / bucketed) or "jdbc"
     sink_options: Mapping[str, str] = field(default_factory=dict)  # jdbc: url, dialect, user, password, ...
