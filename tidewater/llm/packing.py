@@ -25,9 +25,11 @@ from __future__ import annotations
 
 import os
 import re
+import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -46,13 +48,16 @@ POOL_IDS = 1 << 20
 ORDERED_IDS = 1 << 16
 # Words whose ids are remembered; bounds memory only.
 CACHE_WORDS = 1_000_000
+# New words that are encoded as one text.
+WORDS_A_TEXT = 500
+# Fixed value: how the byte-level vocabulary writes a space.
+SPACE = "Ġ"
 
 # Cuts between pre-tokens of the byte-level BPE: a letter run before a blank or simple
 # punctuation, any other non-blank run, and the blanks that the next word does not take.
 _piece = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n,.;:!?]|\Z)| ?\S+|\s+(?!\S)|\s")
 # Blanks beside a space, and blanks other than space and line end: such a text is cut by the pattern above.
-_uneven = ("  ", " \n", "\n ", *map(chr, (9, 11, 12, 13, 28, 29, 30, 31, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
-                                         0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
+_uneven = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]| [ \n]|\n ")
 # Texts where Python's and the tokeniser's blanks differ, or with its special token, are encoded in one go.
 _odd = re.compile(r"[\x1c-\x1f]|<\|endoftext\|>")
 
@@ -65,6 +70,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
         self.words: dict[str, bytes] = {}   # ids of a space and the word
         self.pieces: dict[str, bytes] = {}  # ids of a piece as it is
 
@@ -72,18 +80,35 @@ class Encoder:
         return [array("I", e.ids).tobytes() for e in
                 self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, known: dict[str, bytes], lists: list, before: str = "") -> None:
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        """Ids of a space and each word: many words as one text, told apart by the ids that start with a space."""
+        out = []
+        groups = [words[k:k + WORDS_A_TEXT] for k in range(0, len(words), WORDS_A_TEXT)]
+        for group, raw in zip(groups, self._encode([" " + " ".join(g) for g in groups]), strict=True):
+            at = (4 * np.flatnonzero(self.spaced[np.frombuffer(raw, "<u4")])).tolist()
+            whole = len(at) == len(group) and at[0] == 0
+            out += [raw[i:j] for i, j in zip(at, [*at[1:], len(raw)], strict=True)] if whole else \
+                self._encode([" " + w for w in group])
+        return out
+
+    @staticmethod
+    def _look_up(known: dict[str, bytes], encode, names: list[str]) -> list[bytes]:
         if len(known) > CACHE_WORDS:
             known.clear()
-        missing = list(set().union(*lists).difference(known))
-        for k in range(0, len(missing), 20_000):
-            some = missing[k:k + 20_000]
-            known.update(zip(some, self._encode([before + w for w in some]), strict=True))
+        ids = list(map(known.get, names))
+        missing = [i for i, x in enumerate(ids) if x is None]
+        if missing:
+            new = list({names[i] for i in missing})
+            for k in range(0, len(new), 20_000):
+                known.update(zip(new[k:k + 20_000], encode(new[k:k + 20_000]), strict=True))
+            for i in missing:
+                ids[i] = known[names[i]]
+        return ids
 
     @staticmethod
     def _cut(text: str) -> tuple[list[str], list[str]] | None:
         """Pieces of a text that encode alone as they do in it, then words that a space comes before; or None."""
-        if any(map(text.__contains__, _uneven)) or "<|endoftext|>" in text or text[:1].isspace() or text[-1:].isspace():
+        if _uneven.search(text) or "<|endoftext|>" in text or text[:1].isspace() or text[-1:].isspace():
             return None if _odd.search(text) else (_piece.findall(text), [])
         # a single space between other characters starts a pre-token; the space goes with the next word
         words = text.split(" ")
@@ -91,11 +116,16 @@ class Encoder:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         cuts = list(map(self._cut, texts))
-        self._learn(self.pieces, [c[0] for c in cuts if c])
-        self._learn(self.words, [c[1] for c in cuts if c], " ")
-        piece, word = self.pieces.__getitem__, self.words.__getitem__
-        return [self._encode([t])[0] if c is None else b"".join(map(piece, c[0])) + b"".join(map(word, c[1]))
-                for t, c in zip(texts, cuts, strict=True)]
+        pieces = self._look_up(self.pieces, self._encode, list(chain.from_iterable(c[0] for c in cuts if c)))
+        words = self._look_up(self.words, self._encode_words, list(chain.from_iterable(c[1] for c in cuts if c)))
+        out, p, w = [], 0, 0
+        for t, c in zip(texts, cuts, strict=True):
+            if c is None:
+                out.append(self._encode([t])[0])
+                continue
+            out.append(b"".join(pieces[p:p + len(c[0])]) + b"".join(words[w:w + len(c[1])]))
+            p, w = p + len(c[0]), w + len(c[1])
+        return out
 
 
 class Pool:
@@ -137,10 +167,10 @@ class Pool:
 
 
 class Packer:
-    """Packs the documents of one partition; ``rows`` collects one row per piece."""
+    """Packs the documents of one partition; ``rows`` collects one row per piece, ending with ``show`` of its ids."""
 
-    def __init__(self, partition: int, tiers: tuple[int, ...]):
-        self.base = partition << 36
+    def __init__(self, partition: int, tiers: tuple[int, ...], show=np.ndarray.tobytes):
+        self.base, self.show = partition << 36, show
         self.tiers = sorted(tiers)
         self.pool, self.rows, self.made = Pool(), [], 0
         self.tier_ids = dict.fromkeys(self.tiers, 0)
@@ -150,7 +180,7 @@ class Packer:
         group = self.base + (self.tiers.index(tier) << 30) + self.tier_ids[tier] // STEP_IDS
         self.tier_ids[tier] += tier
         for doc, start, ids, total in pieces:
-            self.rows.append((doc, start, len(ids), total, self.base + self.made, at, tier, group, ids.tobytes()))
+            self.rows.append((doc, start, len(ids), total, self.base + self.made, at, tier, group, self.show(ids)))
             at += len(ids)
         self.made += 1
 
@@ -191,22 +221,23 @@ class Packer:
 
 
 PIECES = ("doc_id {id}, start long, length long, doc_tokens long, sequence_id long, offset long, tier int, "
-          "step_group long, ids binary")
+          "step_group long, {ids}")
 
 
 def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
-         tiers: tuple[int, ...] = TIERS, pool_ids: int | None = None) -> DataFrame:
-    """One row per piece of a document; ``ids`` holds its ids as little-endian uint32.
+         tiers: tuple[int, ...] = TIERS, pool_ids: int | None = None, ids: bool = True) -> DataFrame:
+    """One row per piece of a document; ``ids`` holds its ids as little-endian uint32, or ``ids_crc32`` their checksum.
 
     ``tokenizer_path`` must be readable by every executor. ``pool_ids``: ids that may wait. No shuffle.
     """
     most = POOL_IDS if pool_ids is None else pool_ids
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString())
+    schema = PIECES.format(id=rows.schema["doc_id"].dataType.simpleString(), ids="ids binary" if ids else "ids_crc32 long")
+    show = np.ndarray.tobytes if ids else zlib.crc32
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = kept_by_worker(("encoder", tokenizer_path), lambda: Encoder(tokenizer_path))
-        packer = Packer(TaskContext.get().partitionId(), tiers)
+        packer = Packer(TaskContext.get().partitionId(), tiers, show)
         end = np.array([END_ID], "<u4").tobytes()
         id_type = pa.int64()
 
@@ -214,15 +245,16 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
             done, packer.rows = packer.rows, []
             if done:
                 columns = list(zip(*done, strict=True))
-                kinds = [id_type, *[pa.int64()] * 5, pa.int32(), pa.int64(), pa.binary()]
-                names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "tier", "step_group", "ids"]
+                kinds = [id_type, *[pa.int64()] * 5, pa.int32(), pa.int64(), pa.binary() if ids else pa.int64()]
+                names = ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "tier", "step_group",
+                         "ids" if ids else "ids_crc32"]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            id_type = ids.type
+            docs_, texts = batch.column(0), batch.column(1)
+            id_type = docs_.type
             for a, b in slices(texts, min(1 << 20, most)):
-                for doc, raw in zip(ids.slice(a, b - a).to_pylist(), encoder(text_list(texts, a, b)), strict=True):
+                for doc, raw in zip(docs_.slice(a, b - a).to_pylist(), encoder(text_list(texts, a, b)), strict=True):
                     packer.add(doc, np.frombuffer(raw + end, "<u4"))
                 if packer.pool.ids > most:
                     packer.close(most // 2)
@@ -235,4 +267,4 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
 
 def packed_pieces(docs: DataFrame, tokenizer_path: str, **options) -> DataFrame:
     """The pieces with a checksum of their ids instead of the ids."""
-    return pack(docs, tokenizer_path, **options).withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return pack(docs, tokenizer_path, ids=False, **options)
