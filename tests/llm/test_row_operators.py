@@ -95,6 +95,48 @@ def test_html_head_without_end_and_formulas():
     assert H.main_text(f"<article><button-row>{long}</button-row></article>", H.train()) == long
 
 
+LONG = "word " * 40
+
+
+@pytest.mark.parametrize("page", [
+    "<body><form id='aspnetForm'><div class='menu'><a href=#>m</a></div>%s</form></body>",
+    "<body><form><fieldset>%s</fieldset></form></body>",
+    "<body><div class='search-page'>%s</div></body>", "<body><div id='alert-page'>%s</div></body>",
+    "<body><div class='message-body'>%s</div></body>", "<body class='post has-sidebar'><div class='content with-nav'>%s</div></body>",
+    "<article><div title='the hidden truth' data-x=\"display:none\">%s</div></article>",
+    "<div id='page-wrap'><div class='entryContent'>%s</div></div>",
+])
+def test_html_wrappers_do_not_hide_the_text(page):
+    text = f"<p>First {LONG}</p><p>Second {LONG}</p>"
+    assert H.main_text(page % text, H.train()).split("\n") == [f"First {LONG}".strip(), f"Second {LONG}".strip()]
+
+
+@pytest.mark.parametrize("name", ["main-menu", "post-footer", "content-ad", "entry-share", "articleComments", "story-related",
+                                  "cookie-text", "main nav-list", "sidebar-content"])
+def test_html_names_are_what_their_last_word_says(name):
+    page = f"<article><p>Kept {LONG}</p><div class='{name}'><p>Gone {LONG}</p></div></article>"
+    assert H.main_text(page, H.train()) == f"Kept {LONG}".strip()
+
+
+@pytest.mark.parametrize("tag", ["hidden", "HIDDEN=''", "aria-hidden=true", "style='color:red; display : none'"])
+def test_html_hidden_elements_go(tag):
+    assert H.main_text(f"<article><p>Kept {LONG}</p><div {tag}><p>Gone {LONG}</p></div></article>", H.train()) == f"Kept {LONG}".strip()
+
+
+def test_html_headers_and_link_lists_of_an_article_stay():
+    page = (f"<header class='site'><h1>Site</h1></header><article><header class='entry-header'><h1>Title of it</h1></header><p>Kept {LONG}</p>"
+            "<ul><li><a href=#>one</a></li><li><a href=#>two more</a></li></ul><header class='share'><p>Share this</p></header></article>"
+            "<form class=login><p>Your name</p><input></form>")
+    assert H.main_text(page, H.train()).split("\n") == ["Title of it", f"Kept {LONG}".strip(), "one", "two more"]
+
+
+def test_html_takes_clashing_columns_ties_and_repeats(spark):
+    rows = [(1, "u", "<p>a</p>", "old", 1), (1, "u", "<p>a</p>", "old", 1), (None, None, None, None, None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string, n_chars int")
+    assert [tuple(r) for r in H.page_digest(pages).orderBy("page_id").collect()] == [(None, None, "", 0), (1, "u", "", 0), (1, "u", "", 0)]
+    assert H.page_digest(pages.limit(0)).count() == 0
+
+
 def test_html_text_of_table_pages_is_their_article(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     got = {r.page_id: r.main_text for r in H.html_text(pages).collect()}

@@ -42,14 +42,22 @@ HEADING = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
 CONTAINER = frozenset("""article aside body details dialog div dl fieldset figure footer form header main menu nav ol
     section table tr td ul p span li blockquote""".split())
 FURNITURE_TAGS = frozenset(("nav", "footer", "aside", "form", "header", "menu", "dialog", "fieldset"))
-# Words of class, id and role attributes that name page furniture.
+# Words of class, id and role attributes that name page furniture. In a name of several words the last one
+# says what it is ("main-menu" is a menu, "message-body" a body); the strong ones always count.
 FURNITURE_WORDS = frozenset("""ad ads adbox advert adverts advertisement advertising alert banner breadcrumb breadcrumbs
-    byline comment comments consent contentinfo cookie cookies copyright disclaimer discussion disqus footer form gdpr
-    header links login masthead menu message modal nav navbar navigation newsletter notice notification outbrain
+    byline comment comments complementary consent contentinfo cookie cookies copyright disclaimer discussion disqus footer form
+    gdpr header links login masthead menu message modal nav navbar navigation newsletter notice notification outbrain
     pagination pager popup promo promoted promotion recommend recommended related replies reply respond rail search share
     sharing sidebar signup site-footer skip social sponsor sponsored subscribe subscription taboola teaser toolbar topbar
     widget""".split())
+STRONG_WORDS = frozenset("""ad ads adbox advert adverts advertisement advertising comment comments cookie cookies disqus nav
+    navbar outbrain related replies reply respond sidebar sponsor sponsored taboola""".split())
 ARTICLE_WORDS = frozenset(("article", "main", "post", "story", "entry", "content"))
+LAYOUT_WORDS = frozenset("app body box column container grid inner layout outer page root row section site wrap wrapper".split())
+# "has-sidebar" says what a page has, not what an element is.
+MODIFIERS = frozenset("can has hide is no not show with without".split())
+# What makes a form more than a form: it wraps the page.
+_wraps = re.compile(r"<(?:article|main|h1)(?![a-z0-9:-])|<p(?![a-z0-9:-]).*<p(?![a-z0-9:-])", re.S | re.I)
 
 _attrs = r"(?![a-z0-9:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*"
 _markup = re.compile(
@@ -59,8 +67,9 @@ _markup = re.compile(
     r"|(?:[^<]+|<(?!/?(?:" + "|".join(sorted(BLOCK - {"option", "optgroup", "hr", "legend"})) + r")(?![a-z0-9:-])))*+)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][a-z0-9:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|\Z)|<[!?][^>]*(?:>|\Z)",
     re.S | re.I)
-_named = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_hidden = re.compile(r"(?:^|\s)hidden(?:\s|=|/|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
+_attribute = re.compile(r"([^\s=>\"'/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_unseen = re.compile(r"(?:^|;)\s*display\s*:\s*none", re.I)
+_ends = {tag: re.compile(rf"</{tag}(?![a-z0-9:-])", re.I) for tag in ("form", "fieldset")}
 _split = re.compile(r"[^a-z0-9]+")
 _camel = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -75,20 +84,43 @@ class Block(NamedTuple):
     density: float
 
 
-def _place(tag: str, attrs: str) -> int | None:
-    """What a container says about its content; None: nothing."""
+def _said(name: str, tag: str) -> int | None:
+    """What one class, id or role name says; -2 for furniture that nothing outweighs."""
+    words = [w for w in _split.split(_camel.sub(" ", name).lower()) if w and w != tag]
+    if not words or words[0] in MODIFIERS:
+        return None
+    known, last = set(words), words[-1]
+    if known & STRONG_WORDS or last in FURNITURE_WORDS:
+        return 2 * FURNITURE
+    if known & FURNITURE_WORDS:
+        return None if last in LAYOUT_WORDS else FURNITURE
+    return INSIDE if known & ARTICLE_WORDS else None
+
+
+def _place(tag: str, attrs: str, outer: int, rest) -> int | None:
+    """What a container says about its content; None: nothing. ``rest()`` is the page after the tag."""
+    said: set[int | None] = set()
     if attrs:
-        if _hidden.search(attrs):
-            return FURNITURE
-        names = {w for m in _named.findall(attrs) for w in _split.split(_camel.sub(" ", "".join(m)).lower())}
-        if tag not in ("body", "html") and names & FURNITURE_WORDS and not names & ARTICLE_WORDS:
-            return FURNITURE
-        if names & FURNITURE_WORDS and names & {"comment", "comments", "reply", "replies", "related", "sidebar"}:
+        values = {}
+        for m in _attribute.finditer(attrs):
+            values.setdefault(m[1].lower(), m[2] or m[3] or m[4] or "")
+        if "hidden" in values or values.get("aria-hidden", "").lower() == "true" or _unseen.search(values.get("style", "")):
             return FURNITURE
-        if tag not in FURNITURE_TAGS and names & ARTICLE_WORDS:
+        said = {_said(n, "form" if tag == "form" else "") for a in ("class", "id", "role") for n in values.get(a, "").split()}
+        if tag == "header" and outer == INSIDE:  # the header of an article, whatever it calls itself
+            names = " ".join(values.get(a, "") for a in ("class", "id", "role")).lower()
+            return FURNITURE if set(_split.split(names)) & (FURNITURE_WORDS - {"header"}) else None
+        if tag not in ("body", "html"):
+            if 2 * FURNITURE in said or (FURNITURE in said and INSIDE not in said):
+                return FURNITURE
+        if tag not in FURNITURE_TAGS and INSIDE in said:
             return INSIDE
     if tag in ("article", "main"):
         return INSIDE
+    if tag in ("form", "fieldset") and outer != FURNITURE and _wraps.search(rest()):
+        return None
+    if tag == "header" and outer == INSIDE:
+        return None
     return FURNITURE if tag in FURNITURE_TAGS else None
 
 
@@ -148,11 +180,12 @@ def blocks(page: str) -> list[Block]:
             if tag in ("p", "li") and open_tags and open_tags[-1][0] == tag:
                 open_tags.pop()
             outer = open_tags[-1][1] if open_tags else NEITHER
-            own = _place(tag, m["attrs"])
+            def rest(tag=tag, start=m.end()):
+                end = _ends[tag].search(page, start)
+                return page[start:end.start() if end else len(page)]
+            own = _place(tag, m["attrs"], outer, rest)
             if own == INSIDE and tag not in ("article", "main") and outer == FURNITURE:
                 own = None                      # the "content" of a sidebar is no article
-            if tag == "header" and own == FURNITURE and outer == INSIDE and not m["attrs"].strip():
-                own = None                      # the header of an article
             if tag not in ("p", "span", "li") or own is not None:
                 open_tags.append((tag, outer if own is None else own))
     add(page[at:])
@@ -177,9 +210,9 @@ LABELLED = (
     (1, 1, 3, 0.0, 2, 1.0, 2, 1.0, 1), (1, 0, 5, 0.2, 70, 0.0, 0, 0.0, 1), (1, 0, 8, 0.4, 6, 1.0, 3, 1.0, 1),
     (1, 0, 9, 0.5, 3, 1.0, 40, 0.0, 1), (1, 0, 10, 0.0, 4, 0.0, 0, 0.0, 1), (1, 0, 4, 0.5, 4, 0.5, 4, 0.5, 1),
     (1, 0, 6, 0.6, 20, 0.0, 2, 0.0, 1), (1, 0, 2, 0.5, 2, 0.0, 0, 0.0, 1), (1, 0, 7, 0.0, 6, 0.0, 4, 0.0, 1),
-    # inside an article: lists of links
-    (1, 0, 1, 1.0, 40, 0.0, 1, 1.0, 0), (1, 0, 2, 1.0, 1, 1.0, 2, 1.0, 0), (1, 0, 4, 1.0, 2, 1.0, 3, 1.0, 0),
-    (1, 0, 12, 0.95, 30, 0.0, 10, 0.9, 0), (1, 0, 8, 0.9, 4, 1.0, 0, 0.0, 0), (1, 0, 3, 1.0, 5, 0.0, 20, 0.0, 0),
+    # inside an article: lists of links belong to it
+    (1, 0, 1, 1.0, 40, 0.0, 1, 1.0, 1), (1, 0, 2, 1.0, 1, 1.0, 2, 1.0, 1), (1, 0, 4, 1.0, 2, 1.0, 3, 1.0, 1),
+    (1, 0, 12, 0.95, 30, 0.0, 10, 0.9, 1), (1, 0, 8, 0.9, 4, 1.0, 0, 0.0, 1), (1, 0, 3, 1.0, 5, 0.0, 20, 0.0, 1),
     # furniture: menus, headers, footers, sidebars, notices, adverts, forms, comments, long ones too
     (-1, 0, 1, 1.0, 1, 1.0, 1, 1.0, 0), (-1, 0, 2, 1.0, 0, 0.0, 1, 1.0, 0), (-1, 0, 7, 0.0, 1, 1.0, 9, 0.0, 0),
     (-1, 0, 14, 0.0, 1, 1.0, 12, 0.0, 0), (-1, 0, 45, 0.1, 3, 0.0, 60, 0.0, 0), (-1, 0, 80, 0.0, 45, 0.0, 50, 0.0, 0),
