@@ -320,6 +320,8 @@ ORACLE_SQL: dict[str, str] = {
     "enrich_lookup_down": "WITH " + MSG + """SELECT seq, event_id, user_id, user_name, user_location,
                                              false AS matched, false AS lookup_available FROM uniq""",
     "bounded_batch": "WITH " + MSG + "SELECT seq, lower(json_type(j)) AS kind FROM dec ORDER BY seq % 4, seq LIMIT 1000",
+    "bounded_read": "WITH " + MSG + "SELECT seq, lower(json_type(j)) AS kind FROM dec ORDER BY seq % 4, seq LIMIT 1000",
+    "range_balance": "SELECT count(*) AS rows, true AS many_ranges, true AS none_twice_too_large FROM orders",
     "daily_partition_append": "WITH " + MSG + """SELECT CAST("timestamp" AS DATE) AS event_date, count(*) AS rows
                                                  FROM sink GROUP BY 1""",
     "event_ingest_e2e": "WITH " + MSG + SINK_SELECT,

@@ -25,7 +25,8 @@ from tidewater.sinks.events import SINK_COLUMNS, append_daily
 from tidewater.sinks.versioned import read_current
 from tidewater.sources.files import (export_csv, export_csv_split, export_lines, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_whole)
-from tidewater.sources.messages import bounded_batch, messages_from_events
+from tidewater.sources.messages import bounded_batch, bounded_messages, messages_from_events
+from tidewater.sources.ranges import range_stats
 from tidewater.sources.tables import chunk_stats, extract, read_table
 from tidewater.spec import IngestSpec, MigrationSpec, TableSpec
 from tidewater.streaming.ingest_stream import ingest_stream, read_message_stream
@@ -71,6 +72,16 @@ def q_chunk_stats(spark, sf):
     return chunk_stats(_t(spark, sf, "orders"), "o_orderkey", CHUNK_SIZE)
 
 
+def range_balance(spark, sf):
+    """Equi-depth read ranges of a sparse, skewed key: every row in one range, none much larger than asked for."""
+    o = _t(spark, sf, "orders").withColumn("sparse", F.concat(F.lit("k"), F.lpad((F.col("o_orderkey") ** 3).cast("decimal(38,0)").cast(
+        "string"), 30, "0")))
+    per = o.count() // 12 + 1
+    stats = range_stats(o, "sparse", per)
+    return stats.agg(F.sum("rows").alias("rows"), (F.count(F.lit(1)) >= 10).alias("many_ranges"),
+                     (F.max("rows") <= 2 * per).alias("none_twice_too_large"))
+
+
 def table_rename(spark, sf):
     return rename_columns(_t(spark, sf, "customer"), RENAME_MAP)
 
@@ -490,6 +501,12 @@ def q_bounded_batch(spark, sf):
     return bounded_batch(d, MAX_MESSAGES).select(F.col("offset").alias("seq"), "kind")
 
 
+def bounded_read(spark, sf):
+    """The same messages, without decoding what lies behind the last of them."""
+    kept = bounded_messages(_messages(spark, sf), MAX_MESSAGES, block=500)
+    return decode_messages(kept).where(F.col("v").isNotNull()).select(F.col("offset").alias("seq"), "kind")
+
+
 def _sink_view(rows: DataFrame) -> DataFrame:
     # the instant as its UTC wall-clock time, whatever the session time zone
     utc = F.to_utc_timestamp(F.col("timestamp"), F.current_timezone())
@@ -722,6 +739,8 @@ _ALL: dict[str, Query] = {
     "enrich_stats": q_enrich_stats,
     "enrich_lookup_down": enrich_lookup_down,
     "bounded_batch": q_bounded_batch,
+    "bounded_read": bounded_read,
+    "range_balance": range_balance,
     "daily_partition_append": daily_partition_append,
     "event_ingest_e2e": event_ingest_e2e,
     "event_ingest_stream": event_ingest_stream,

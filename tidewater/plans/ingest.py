@@ -23,7 +23,7 @@ from tidewater.operators.enrich import empty_lookup, enrich_left, load_lookup, p
 from tidewater.operators.validate import validate_messages
 from tidewater.session import checkpoint_root
 from tidewater.sinks.events import append_daily, to_sink_rows
-from tidewater.sources.messages import bounded_batch
+from tidewater.sources.messages import bounded_messages
 from tidewater.spec import IngestSpec
 
 log = logging.getLogger(__name__)
@@ -116,14 +116,13 @@ def ingest_batch(messages: DataFrame, lookup: DataFrame, spec: IngestSpec = Inge
     """The batch chain. ``fresh`` (rows -> rows) takes out keys that earlier batches loaded; ``observe`` maps
     the steps decoded, validated and enriched to Observations that count on the pass that runs them."""
     seen = observe or {}
+    if spec.max_messages:
+        messages = bounded_messages(messages, spec.max_messages)
     decoded = decode_messages(messages)
     if "decoded" in seen:
         decoded = decoded.observe(seen["decoded"], F.count(F.lit(1)).alias("messages"),
                                   F.count_if(F.col("v").isNull()).alias("skipped"))
-    ok = decoded
-    if spec.max_messages:
-        ok = bounded_batch(ok, spec.max_messages, ORDER)
-    validated = validate_messages(ok)
+    validated = validate_messages(decoded)
     if "validated" in seen:
         validated = validated.observe(seen["validated"], F.count_if(F.col("reason").isNotNull()).alias("invalid"),
                                       F.count_if(F.col("reason").isNull()).alias("valid"))

@@ -37,7 +37,7 @@ from tidewater.sinks.bucketed import fit_layout, merge_bucketed, read_bucketed,
 from tidewater.sinks.control import append_control, read_state
 from tidewater.sinks.jdbc import upsert_jdbc
 from tidewater.sinks.versioned import MAX_ATTEMPTS, CommitConflict, commit, current_version, publish, read_current, stage
-from tidewater.sources.tables import chunked_options, extract, path_exists, read_table
+from tidewater.sources.tables import extract, path_exists, read_jdbc_chunks, read_table
 from tidewater.spec import MigrationSpec, TableSpec
 
 log = logging.getLogger(__name__)
@@ -80,7 +80,7 @@ def source_frame(spark: SparkSession, spec: MigrationSpec, t: TableSpec) -> Data
         location = with_suffix if not path_exists(spark, base) and path_exists(spark, with_suffix) else base
     if t.source_format == "jdbc":
         # chunk_size rows per range of the chunk column, each range a task of its own
-        opts = chunked_options(spark, {"dbtable": location, **opts}, t.chunk_column, t.chunk_size)
+        return read_jdbc_chunks(spark, {"dbtable": location, **opts}, t.chunk_column, t.chunk_size)
     return read_table(spark, location, t.source_format, opts)
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidewater.functions.json import decode_json
+
 # The layout of the derived message corpus. Message kind is
 # ``event_id % 20``; the event key is "e" || (event_id div 3) so keys repeat
 # up to three times; the user key is "u" || user_id.
@@ -112,3 +114,41 @@ def bounded_batch(decoded: DataFrame, limit: int, order: tuple[str, ...] = ("par
     first ``limit`` rows; the rows kept meet in one task, which holds ``limit`` of them.
     """
     return decoded.where(F.col(decoded_col).isNotNull()).orderBy(*order).limit(limit)
+
+
+# Messages of one block of offsets, the grain in which a bounded read looks for its end.
+BLOCK_OFFSETS = 10_000
+
+
+def bounded_messages(messages: DataFrame, limit: int, block: int = BLOCK_OFFSETS) -> DataFrame:
+    """The messages from the start up to the ``limit``-th that can be decoded, in order of (partition, offset).
+
+    Blocks of offsets are counted without their values; blocks are then decoded in order until they hold ``limit``
+    good messages, twice as many each time, and the place of the last one is looked up in its block. The result is a comparison on
+    partition and offset: nothing behind it is decoded, and as many tasks read it as the source has.
+    """
+    ok = decode_json(F.col("value"), messages.schema["value"].dataType).isNotNull()
+    number = F.floor(F.col("offset") / block).cast("long").alias("block")
+    blocks = sorted((r["partition"], r["block"], r["count"]) for r in
+                    messages.select("partition", number).groupBy("partition", "block").count().collect())  # one row per block
+    p, o = F.col("partition"), F.col("offset")
+    found = at = step = 0
+    while at < len(blocks):
+        need, stop, held = max(limit - found, 2 * step), at, 0
+        while stop < len(blocks) and held < need:
+            held += blocks[stop][2]
+            stop += 1
+        step = held
+        (p0, b0, _), (p1, b1, _) = blocks[at], blocks[stop - 1]
+        some = messages.where(((p > p0) | ((p == p0) & (o >= b0 * block))) & ((p < p1) | ((p == p1) & (o < (b1 + 1) * block))))
+        good = {(r["partition"], r["block"]): r["n"] for r in
+                some.select("partition", number, ok.alias("ok")).groupBy("partition", "block").agg(F.count_if("ok").alias("n")).collect()}
+        for part, b, _ in blocks[at:stop]:
+            n = good.get((part, b), 0)
+            if found + n >= limit:
+                inside = messages.where((p == part) & (o >= b * block) & (o < (b + 1) * block)).where(ok)
+                last = inside.select("offset").orderBy("offset").limit(limit - found).agg(F.max("offset")).first()[0]  # within a block
+                return messages.where((p < part) | ((p == part) & (o <= last)))
+            found += n
+        at = stop
+    return messages

@@ -9,12 +9,15 @@ is carried by the incremental column itself, never by a global sort.
 
 from __future__ import annotations
 
+import decimal
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import IntegralType
 
 from tidewater import paths
 from tidewater.functions.marks import Mark
+from tidewater.sources.ranges import equi_depth_borders, range_predicates
 
 
 def path_exists(spark: SparkSession, location: str) -> bool:
@@ -115,7 +118,11 @@ def jdbc_bounds(spark: SparkSession, options: Mapping[str, str], column: str) ->
     table = options.get("dbtable") or f"({options['query']}) q"
     query = f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
     r = spark.read.format("jdbc").options(**opts, query=query).load().first()
-    return None if r is None or r[0] is None else (int(r[0]), int(r[1]))
+    return None if r is None or r[0] is None else (r[0], r[1])
+
+
+def _whole(value: object) -> bool:
+    return not isinstance(value, bool) and (isinstance(value, int) or (isinstance(value, decimal.Decimal) and value == int(value)))
 
 
 def chunked_options(spark: SparkSession, options: Mapping[str, str], column: str | None,
@@ -125,10 +132,29 @@ def chunked_options(spark: SparkSession, options: Mapping[str, str], column: str
     if not column or not chunk_size or "partitionColumn" in opts:
         return opts
     bounds = jdbc_bounds(spark, opts, column)
-    if bounds is None:
+    if bounds is None or not all(map(_whole, bounds)):
         return opts
     url = opts.pop("url")
-    return jdbc_range_options(url, column, *bounds, chunk_size, **opts)
+    return jdbc_range_options(url, column, int(bounds[0]), int(bounds[1]), chunk_size, **opts)
+
+
+def read_jdbc_chunks(spark: SparkSession, options: Mapping[str, str], column: str | None, chunk_size: int | None) -> DataFrame:
+    """A JDBC table in read ranges of about ``chunk_size`` rows.
+
+    Whole-number keys are cut by width from their bounds; keys of any other type (text, time, fractions) by
+    the quantiles of a sample, given to the reader as one condition per range.
+    """
+    opts = chunked_options(spark, options, column, chunk_size)
+    plain = spark.read.format("jdbc").options(**opts).load()
+    if not column or not chunk_size or "partitionColumn" in opts or "dbtable" not in opts:
+        return plain
+    if isinstance(plain.schema[column].dataType, IntegralType):
+        return plain  # one range, or no rows
+    borders = equi_depth_borders(plain, column, chunk_size)
+    if not borders:
+        return plain
+    rest = {k: v for k, v in opts.items() if k not in ("url", "dbtable")}
+    return spark.read.jdbc(opts["url"], opts["dbtable"], predicates=range_predicates(column, borders), properties=rest)
 
 
 def extract(df: DataFrame, incremental_column: str | None = None,
