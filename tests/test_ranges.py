@@ -29,7 +29,7 @@ def test_ranges_are_even_and_hold_every_row_once(spark, key):
     conditions = range_predicates(key, borders)
     counts = df.agg(*[F.count_if(F.expr(c)).alias(f"c{i}") for i, c in enumerate(conditions)]).first()
     assert len(conditions) >= 8 and sum(counts) == 5000 and max(counts) <= 1000
-    assert sorted(r["rows"] for r in range_stats(df, key, 500).collect()) == sorted(c for c in counts if c)
+    assert sorted(r["rows"] for r in range_stats(df, key, 500, borders).collect()) == sorted(c for c in counts if c)
 
 
 def test_one_value_with_a_third_of_the_rows(spark):

@@ -2,7 +2,7 @@
 
 Equal widths of a key fit dense whole numbers only. Here the borders are quantiles of a sample: its
 size is bounded by the number of ranges, it is sorted by Spark's range partitioning, and one row per range (its
-smallest key) reaches the driver. So text, time, decimal and sparse keys do as well, and a skewed key gives narrow ranges
+smallest key) reaches the driver. Borders may differ a little from call to call. So text, time, decimal and sparse keys do as well, and a skewed key gives narrow ranges
 where it is dense. Only a single value with more rows than a range holds cannot be cut further.
 """
 
@@ -62,9 +62,9 @@ def range_of(key: Column, borders: list) -> Column:
     return F.coalesce(F.size(F.filter(F.array(*[F.lit(b) for b in borders]), lambda b: b <= key)), F.lit(0))
 
 
-def range_stats(df: DataFrame, key: str, rows_per_range: int) -> DataFrame:
-    """Rows, smallest and largest key of every equi-depth range."""
-    borders = equi_depth_borders(df, key, rows_per_range)
+def range_stats(df: DataFrame, key: str, rows_per_range: int, borders: list | None = None) -> DataFrame:
+    """Rows, smallest and largest key of every equi-depth range, or of the ranges given by ``borders``."""
+    borders = equi_depth_borders(df, key, rows_per_range) if borders is None else borders
     k = F.col(f"`{key}`")
     return df.groupBy(range_of(k, borders).alias("range_id")).agg(F.count(F.lit(1)).alias("rows"), F.min(k).alias("min_key"),
                                                                   F.max(k).alias("max_key"))
