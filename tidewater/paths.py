@@ -87,7 +87,7 @@ def create_new(spark: SparkSession, path: str, text: str) -> bool:
             except Py4JJavaError as e:
                 if "FileAlreadyExistsException" in e.java_exception.getClass().getName():
                     return False
-                raise
+                # a file system without links: the exclusive create below
         finally:
             fs.delete(other, False)
     try:
