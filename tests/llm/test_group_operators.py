@@ -162,6 +162,39 @@ def test_prefix_pairs_hold_every_pair_at_the_threshold(spark):
     assert near and near <= got and all(label[a] != label[b] for a, b in got)
 
 
+def near_pairs(docs, threshold):
+    return {(a, b) for b, a in itertools.combinations(sorted(docs), 2) if docs[a][0] != docs[b][0]
+            and len(docs[a][1] & docs[b][1]) >= threshold * len(docs[a][1] | docs[b][1])}
+
+
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_prefix_pairs_of_all_lengths_are_exact(spark, threshold):
+    rng = random.Random(11)
+    docs = {}
+    for i in range(160):
+        base = range(rng.choice((1, 4, 5, 20, 45, 90)))
+        kept = rng.sample(base, max(1, round(len(base) * rng.choice((1, 1, 0.9, 0.8, 0.6)))))
+        docs[i] = (rng.randrange(40), frozenset(kept) | {1000 * i + k for k in range(rng.choice((0, 0, 1, 4, 12)))})
+    rest = spark.createDataFrame([(i, l, sorted(s)) for i, (l, s) in docs.items()], "doc_id long, label long, sh array<long>")
+    got = {(r.a, r.b) for r in N.prefix_pairs(rest, threshold).collect()}
+    want = near_pairs(docs, threshold)
+    assert want and want <= got and all(docs[a][0] != docs[b][0] for a, b in got)
+
+
+def test_prefix_join_takes_no_document_out_of_reach(spark, monkeypatch):
+    # a component of near copies and documents with a fifth of shingles of their own: too many to reach a copy
+    rng = random.Random(3)
+    docs = {i: (0, frozenset(range(100)) - {rng.randrange(100)}) for i in range(60)}
+    docs |= {i: (i, frozenset(range(80)) | {1000 * i + k for k in range(20)}) for i in range(100, 220)}
+    docs |= {1000: (1000, frozenset(range(85)) | {7}), 2000: (2000, frozenset(range(30)) | {-1})}
+    rest = spark.createDataFrame([(i, l, sorted(s)) for i, (l, s) in docs.items()], "doc_id long, label long, sh array<long>")
+    made, stored = {}, N.stored
+    monkeypatch.setattr(N, "stored", lambda df, name: made.setdefault(name, stored(df, name)))
+    got = {(r.a, r.b) for r in N.prefix_pairs(rest, 0.8).collect()}
+    assert near_pairs(docs, 0.8) <= got and (1000, 5) in got
+    assert {r.doc_id for r in made["near-heads"].collect()} <= {*range(60), 1000}
+
+
 def test_near_classes_of_the_table_match_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.class_id for r in N.near_classes(docs).collect()}

@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices, spread, text_list
@@ -44,6 +44,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 56, 8   # a pair at 0.8 shares a bucket with probability 0.99997
 SMALL_BUCKET = 64     # up to here all pairs of a bucket meet, above the prefix join finds them
+EPS = 1e-6            # lengths are compared with this margin
 _U = np.uint64
 
 
@@ -179,6 +180,43 @@ def _shingle_lists(weights: str):
     return run
 
 
+def _length_bin(n: Column, threshold: float) -> Column:
+    """Number of a length's bin; a factor of the threshold spans six bins."""
+    return F.floor(F.log(n) / F.lit(max(-math.log(threshold) / 6, 1e-3))).cast("int")
+
+
+def _length_bins(low: Column, high: Column, threshold: float) -> Column:
+    """The bins of all lengths from ``low`` to ``high``; needs ``low`` <= ``high``."""
+    return F.sequence(_length_bin(low - F.lit(EPS), threshold), _length_bin(high + F.lit(EPS), threshold))
+
+
+def _longest(n: Column, left: Column, threshold: float) -> Column:
+    """Length above which no partner of a document of ``n`` shingles can be, if at most ``left`` of them are common."""
+    return (left + F.lit(EPS)) / F.lit(threshold / (1 + threshold)) - n
+
+
+def within_reach(rest: DataFrame, threshold: float) -> DataFrame:
+    """The rows of ``rest`` (doc_id, label, sh) that a row of another label may reach the threshold with, by their sizes.
+
+    A shingle that only one document has is in no overlap: of a document of n shingles, a of them its
+    own, partners have threshold * n to (n - a) / share - n shingles. A document stays if one of another label lies in its range
+    and it lies in that one's, both to the width of a length bin. Lengths are summed up by bins before they meet, so
+    the table that is joined grows with the bins, not with the documents.
+    """
+    alone = (rest.select("doc_id", F.explode("sh").alias("token")).groupBy("token")
+             .agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("doc_id")).filter("df = 1")
+             .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone")))
+    n = F.col("n")
+    sized = (rest.select("doc_id", "label", F.size("sh").alias("n")).join(alone, "doc_id", "left")
+             .withColumn("most", _longest(n, n - F.coalesce("alone", F.lit(0)), threshold)).filter(F.col("most") >= F.lit(threshold) * n))
+    spans = sized.select("doc_id", "label", _length_bin(n, threshold).alias("own"),
+                         F.explode(_length_bins(F.lit(threshold) * n, F.col("most"), threshold)).alias("other"))
+    offers = spans.groupBy(F.col("own").alias("other"), F.col("other").alias("own")).agg(
+        F.min("label").alias("lo"), F.max("label").alias("hi"))
+    found = spans.join(F.broadcast(offers), ["own", "other"]).filter("label <> lo or label <> hi").select("doc_id").distinct()
+    return rest.join(found, "doc_id", "left_semi")
+
+
 def prefix_pairs(rest: DataFrame, threshold: float) -> DataFrame:
     """(a, b), a > b: every pair of ``rest`` (doc_id, label, sh) of different labels that can reach the threshold.
 
@@ -186,10 +224,12 @@ def prefix_pairs(rest: DataFrame, threshold: float) -> DataFrame:
     has first, then rare before frequent. A pair's overlap is at most what either
     document holds from their first common shingle on, so the pair meets at a shingle whose
     position leaves both enough. For the shorter of two that is the first ninth of its shingles,
-    for the longer one the first fifth (at 0.8). In a shingle's rows the label with most of them
-    does not meet itself, so rows met grow with the pairs of different labels.
+    for the longer one the first fifth (at 0.8). Such a position also bounds the other's length: rows
+    meet by shingle and by both lengths' bins, each only in the bins that it can reach. In a shingle's rows
+    the label with most of them does not meet itself, so rows met grow with the pairs of different labels.
+    Documents out of reach of all others (``within_reach``) are left out before the shingles are ordered.
     """
-    share, eps = threshold / (1 + threshold), 1e-6
+    rest = stored(within_reach(rest, threshold), "near-reach")
     flat = rest.select("doc_id", "label", F.size("sh").alias("n"), F.explode("sh").alias("token"))
     common = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")
                                        ).filter("lo < hi").select("token", "df")
@@ -197,19 +237,21 @@ def prefix_pairs(rest: DataFrame, threshold: float) -> DataFrame:
     placed = flat.join(spread(common, "token"), "token").withColumn(
         "left", F.count(F.lit(1)).over(own) + 1 - F.row_number().over(own.orderBy("df", "token")))
     # left: shingles from this one on
-    heads = stored(placed.filter(F.col("left") >= F.lit(threshold) * F.col("n") - F.lit(eps))
-                   .select("token", "doc_id", "label", "n", "left"), "near-heads")
+    n, most = F.col("n"), F.col("most")
+    heads = stored(placed.withColumn("most", _longest(n, F.col("left"), threshold)).filter(most >= F.lit(threshold) * n)
+                   .select("token", "doc_id", "label", "n", "most"), "near-heads")
     top = (heads.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
            .groupBy("token").agg(F.max(F.struct("c", "label")).alias("t"), F.count(F.lit(1)).alias("labels"))
            .filter("labels > 1").select("token", F.col("t.label").alias("top")))
-    rows = heads.join(spread(top, "token"), "token")
-    long_ = rows.select("token", *(F.col(c).alias(f"{c}_x") for c in ("doc_id", "label", "n", "left", "top")))
-    short = rows.filter(F.col("left") >= F.lit(2 * share) * F.col("n") - F.lit(eps))
-    least = F.lit(share) * (F.col("n") + F.col("n_x")) - F.lit(eps)
-    meet = ((F.col("label") != F.col("label_x")) & (F.col("left") >= least) & (F.col("left_x") >= least) &
-            ((F.col("n") < F.col("n_x")) | ((F.col("n") == F.col("n_x")) & (F.col("doc_id") < F.col("doc_id_x")))))
-    met = (short.filter("label <> top").join(long_, "token").filter(meet).select("doc_id", "doc_id_x").union(
-        short.filter("label = top").join(long_.filter("label_x <> top_x"), "token").filter(meet).select("doc_id", "doc_id_x")))
+    rows = heads.join(spread(top, "token"), "token").withColumn("bin", _length_bin(n, threshold))
+    long_ = rows.select("token", *(F.col(c).alias(f"{c}_x") for c in ("doc_id", "label", "n", "most", "top", "bin")), F.explode(
+        _length_bins(F.lit(threshold) * n, F.least("n", "most"), threshold)).alias("bin"))
+    short = rows.filter(most >= n).withColumn("bin_x", F.explode(_length_bins(n, most, threshold)))
+    meet = ((F.col("label") != F.col("label_x")) & (F.col("n_x") <= most) & (n <= F.col("most_x")) &
+            ((n < F.col("n_x")) | ((n == F.col("n_x")) & (F.col("doc_id") < F.col("doc_id_x")))))
+    by = ["token", "bin", "bin_x"]
+    met = (short.filter("label <> top").join(long_, by).filter(meet).select("doc_id", "doc_id_x").union(
+        short.filter("label = top").join(long_.filter("label_x <> top_x"), by).filter(meet).select("doc_id", "doc_id_x")))
     return met.select(F.greatest("doc_id", "doc_id_x").alias("a"), F.least("doc_id", "doc_id_x").alias("b")).distinct()
 
 
