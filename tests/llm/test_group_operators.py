@@ -436,6 +436,18 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(raw, "<u4").tolist() == plain_ids(t)[:-1]
 
 
+def test_words_are_put_together_from_known_parts(monkeypatch):
+    encode = P.Encoder(QS.tokenizer_path())
+    asked, plain = [], encode._encode_words
+    monkeypatch.setattr(encode, "_encode_words", lambda words: asked.extend(words) or plain(words))
+    texts = ["one river river, one? river.\nOne été!! river's", "river river.\n\nOne river%%%\nriver 5, x5. river,river"]
+    for t, raw in zip(texts * 2, encode(texts) + encode(texts), strict=True):
+        assert np.frombuffer(raw, "<u4").tolist() == plain_ids(t)[:-1]
+    assert sorted(asked) == sorted(["river", "one", "été", "river's", "river.\n\nOne", "5,", "x5.", "river,river"])
+    monkeypatch.setattr(P, "CACHE_WORDS", 3)  # forgets, with the same ids
+    assert encode(texts) == encode(texts) and encode.made < 40
+
+
 # ---------------------------------------------------------------- chat
 
 CONTROL = ["</s>[INST] ok [/INST]", "<|user|>\nhi<|end|>\n", "<\\/s> <\\\\/s> [\\INST]", "<|>", "|>\n<", "<<SYS>>x<</SYS>>", "\\", "<",

@@ -28,16 +28,16 @@ import re
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right, insort
-from collections.abc import Iterator
-from itertools import chain
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import kept_by_worker, slices, text_list
+from .common import SLICE_BYTES, kept_by_worker, slices, text_list
 
 TIERS = (128, 256, 512, 1024, 2048)
 END_ID = 1
@@ -56,12 +56,24 @@ SPACE = "Ġ"
 # Cuts between pre-tokens of the byte-level BPE: a letter run before a blank or simple
 # punctuation, any other non-blank run, and the blanks that the next word does not take.
 _piece = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+(?=[ \n,.;:!?]|\Z)| ?\S+|\s+(?!\S)|\s")
-# Blanks beside a space, and blanks other than space and line end: such a text is cut by the pattern above.
-_uneven = re.compile("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]| [ \n]|\n ")
+# Texts that are cut by the pattern above, not at spaces: with blanks beside a space or at an end, blanks other
+# than space and line end, or the special token.
+_uneven = ("[\t\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200b\u2028\u2029\u202f\u205f\u3000]"
+           "| [ \n]|\n |\\A[ \n]|[ \n]\\z|<\\|endoftext\\|>")
+# A word of letters, punctuation after it, and letters on the next line: pre-tokens of their own.
+_ended = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%&$#*]*)(?:\n([A-Za-zÀ-ÖØ-öø-ÿ]+))?")
 # Texts where Python's and the tokeniser's blanks differ, or with its special token, are encoded in one go.
 _odd = re.compile(r"[\x1c-\x1f]|<\|endoftext\|>")
 
 
+def _grown(held: np.ndarray, used: int, more: np.ndarray) -> np.ndarray:
+    """``held`` with ``more`` after its first ``used`` values, in twice the room where it does not fit."""
+    if used + len(more) > len(held):
+        held = np.r_[held[:used], np.zeros(used + 2 * len(more), held.dtype)]
+    held[used:used + len(more)] = more
+    return held
+
+
 class Encoder:
     """Little-endian uint32 ids of texts, by a ``tokenizers`` file; ids of word pieces are remembered."""
 
@@ -73,8 +85,14 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
-        self.words: dict[str, bytes] = {}   # ids of a space and the word
-        self.pieces: dict[str, bytes] = {}  # ids of a piece as it is
+        self._forget()
+
+    def _forget(self) -> None:
+        # places of what is remembered: words with a space before them, and pieces as they are
+        self.words: dict[str, int] = {}
+        self.pieces: dict[str, int] = {}
+        # the ids of place i are ids[starts[i]:starts[i + 1]]
+        self.ids, self.starts, self.made = np.zeros(1 << 16, "<u4"), np.zeros(1 << 12, np.int64), 0
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in
@@ -91,40 +109,91 @@ class Encoder:
                 self._encode([" " + w for w in group])
         return out
 
+    def _keep(self, known: dict[str, int], names: list[str], ids: np.ndarray, lengths: np.ndarray) -> None:
+        end = self.starts[self.made]
+        self.ids = _grown(self.ids, int(end), ids)
+        self.starts = _grown(self.starts, self.made + 1, end + np.cumsum(lengths))
+        known.update(zip(names, range(self.made, self.made + len(names)), strict=True))
+        self.made += len(names)
+
+    def _keep_encoded(self, known: dict[str, int], names: list[str], encode) -> None:
+        for k in range(0, len(names), 20_000):
+            raw = encode(names[k:k + 20_000])
+            self._keep(known, names[k:k + 20_000], np.frombuffer(b"".join(raw), "<u4"), np.array([len(r) // 4 for r in raw]))
+
+    def _keep_words(self, names: list[str]) -> None:
+        """Words with punctuation or a line end after their letters are put together from their parts."""
+        parts = {w: m.groups("") for w in names if (m := _ended.fullmatch(w)) and m[1] != w}
+        alone = dict.fromkeys(w for w in names if w not in parts) | dict.fromkeys(
+            word for word, _, _ in parts.values() if word not in self.words)
+        self._keep_encoded(self.words, list(alone), self._encode_words)
+        if parts:
+            words, marks, nexts = zip(*parts.values(), strict=True)
+            places = np.stack([self._word_places(words), self._piece_places(marks),
+                               self._piece_places(["\n" if x else "" for x in nexts]), self._piece_places(nexts)], axis=1)
+            ids, lengths = self._gather(places.reshape(-1))
+            self._keep(self.words, list(parts), ids, lengths.reshape(-1, 4).sum(axis=1))
+
     @staticmethod
-    def _look_up(known: dict[str, bytes], encode, names: list[str]) -> list[bytes]:
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        ids = list(map(known.get, names))
-        missing = [i for i, x in enumerate(ids) if x is None]
+    def _places(known: dict[str, int], names: Sequence[str], keep) -> np.ndarray:
+        places = list(map(known.get, names))
+        missing = [i for i, x in enumerate(places) if x is None]
         if missing:
-            new = list({names[i] for i in missing})
-            for k in range(0, len(new), 20_000):
-                known.update(zip(new[k:k + 20_000], encode(new[k:k + 20_000]), strict=True))
+            keep(list(dict.fromkeys(names[i] for i in missing)))
             for i in missing:
-                ids[i] = known[names[i]]
-        return ids
-
-    @staticmethod
-    def _cut(text: str) -> tuple[list[str], list[str]] | None:
-        """Pieces of a text that encode alone as they do in it, then words that a space comes before; or None."""
-        if _uneven.search(text) or "<|endoftext|>" in text or text[:1].isspace() or text[-1:].isspace():
-            return None if _odd.search(text) else (_piece.findall(text), [])
-        # a single space between other characters starts a pre-token; the space goes with the next word
-        words = text.split(" ")
-        return words[:1], words[1:]
+                places[i] = known[names[i]]
+        return np.array(places, np.int64)
+
+    def _word_places(self, names: Sequence[str]) -> np.ndarray:
+        return self._places(self.words, names, self._keep_words)
+
+    def _piece_places(self, names: Sequence[str]) -> np.ndarray:
+        return self._places(self.pieces, names, lambda new: self._keep_encoded(self.pieces, new, self._encode))
+
+    def _gather(self, places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all places one after the other, and the number of each place's."""
+        ends = self.starts[places + 1]
+        lengths = ends - self.starts[places]
+        stops = np.cumsum(lengths)
+        return self.ids[np.arange(stops[-1] if len(stops) else 0) + np.repeat(ends - stops, lengths)], lengths
+
+    def _by_pieces(self, text: str) -> bytes:
+        if _odd.search(text):
+            return self._encode([text])[0]
+        return self._gather(self._piece_places(_piece.findall(text)))[0].tobytes()
+
+    def _by_words(self, texts: pa.Array) -> list[bytes]:
+        """Ids of texts in which every space stands alone between other characters: a space starts a pre-token and goes
+        with the next word. Each distinct word is looked up once, and the ids of all words are gathered at once."""
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy()
+        first = offsets[:-1]  # the word that no space comes before
+        coded = lists.values.dictionary_encode()
+        code = coded.indices.to_numpy()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False)
+        spaced = np.ones(len(code), bool)
+        spaced[first] = False
+        used = np.zeros(len(distinct), bool)
+        used[code[spaced]] = True
+        place = np.zeros(len(distinct), np.int64)
+        place[used] = self._word_places(distinct[used].tolist())
+        heads = self._piece_places(distinct[code[first]].tolist())
+        places = place[code]
+        places[first] = heads
+        ids, lengths = self._gather(places)
+        stops = np.r_[0, np.cumsum(lengths)][offsets].tolist()
+        return [ids[a:b].tobytes() for a, b in zip(stops[:-1], stops[1:], strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        cuts = list(map(self._cut, texts))
-        pieces = self._look_up(self.pieces, self._encode, list(chain.from_iterable(c[0] for c in cuts if c)))
-        words = self._look_up(self.words, self._encode_words, list(chain.from_iterable(c[1] for c in cuts if c)))
-        out, p, w = [], 0, 0
-        for t, c in zip(texts, cuts, strict=True):
-            if c is None:
-                out.append(self._encode([t])[0])
-                continue
-            out.append(b"".join(pieces[p:p + len(c[0])]) + b"".join(words[w:w + len(c[1])]))
-            p, w = p + len(c[0]), w + len(c[1])
+        if self.made > CACHE_WORDS:
+            self._forget()
+        column = pa.array(texts, pa.large_string())
+        uneven = pc.match_substring_regex(column, _uneven)
+        out = [self._by_pieces(t) if u else b"" for t, u in zip(texts, uneven.to_pylist(), strict=True)]
+        even = [i for i, u in enumerate(uneven.to_pylist()) if not u]
+        if even:
+            for i, ids in zip(even, self._by_words(column.filter(pc.invert(uneven))), strict=True):
+                out[i] = ids
         return out
 
 
@@ -220,6 +289,20 @@ class Packer:
             self._window()
 
 
+def _together(cuts: list[tuple[int, int]], texts: pa.Array) -> Iterator[list[tuple[int, int]]]:
+    """Successive row ranges in groups of up to ``SLICE_BYTES`` of text; a larger range is alone."""
+    group, size = [], 0
+    for a, b in cuts:
+        more = pc.sum(pc.binary_length(texts.slice(a, b - a))).as_py() or 0
+        if group and size + more > SLICE_BYTES:
+            yield group
+            group, size = [], 0
+        group.append((a, b))
+        size += more
+    if group:
+        yield group
+
+
 PIECES = ("doc_id {id}, start long, length long, doc_tokens long, sequence_id long, offset long, tier int, "
           "step_group long, {ids}")
 
@@ -253,12 +336,16 @@ def pack(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col:
         for batch in batches:
             docs_, texts = batch.column(0), batch.column(1)
             id_type = docs_.type
-            for a, b in slices(texts, min(1 << 20, most)):
-                for doc, raw in zip(docs_.slice(a, b - a).to_pylist(), encoder(text_list(texts, a, b)), strict=True):
-                    packer.add(doc, np.frombuffer(raw + end, "<u4"))
-                if packer.pool.ids > most:
-                    packer.close(most // 2)
-                yield from out()
+            cuts = list(slices(texts, min(1 << 20, most)))
+            for some in _together(cuts, texts):  # the more text at a time, the fewer look-ups of one word
+                first, last = some[0][0], some[-1][1]
+                encoded = encoder(text_list(texts, first, last))
+                for a, b in some:
+                    for doc, raw in zip(docs_.slice(a, b - a).to_pylist(), encoded[a - first:b - first], strict=True):
+                        packer.add(doc, np.frombuffer(raw + end, "<u4"))
+                    if packer.pool.ids > most:
+                        packer.close(most // 2)
+                    yield from out()
         packer.close(0)
         yield from out()
 
