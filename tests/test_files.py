@@ -1,5 +1,7 @@
 """CSV / text folder readers and the folder combine."""
 
+from pyspark.sql import functions as F
+
 from tidewater.plans.combine import combine_folder
 from tidewater.sources.files import (export_csv, export_text, read_csv_folder_raw,
                                      read_csv_folder_typed, read_text_lines, read_text_whole)
@@ -199,3 +201,15 @@ def test_headers_only_and_empty_files(spark, scratch):
     assert dict(df.dtypes) == {"file_name": "string", "x": "string", "y": "int", "z": "int"}
     assert [tuple(r) for r in df.collect()] == [("c.csv", None, 1, 2)]
     assert read_csv_folder_raw(spark, scratch).count() == 3
+
+
+def test_typed_read_brings_no_file_to_one_task(spark, scratch):
+    _write_csv(scratch, "a.csv", "x,y\n" + "".join(f"{i},{i}.5\n" for i in range(3000)))
+    _write_csv(scratch, "b.csv", "Y,z\n1,2024-01-02\n")
+    with _small_splits(spark)(4096):
+        df = read_csv_folder_typed(spark, scratch)
+        sizes = [r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect()]
+        plan = df._jdf.queryExecution().toString()
+        assert sum(sizes) == 3001 and len(sizes) > 4 and max(sizes) < 1500
+    assert "SortMergeJoin" not in plan
+    assert dict(df.dtypes) == {"file_name": "string", "x": "int", "y": "double", "z": "date"}

@@ -152,12 +152,15 @@ def read_csv_folder_typed(spark: SparkSession, folder: str) -> DataFrame:
     values (``csv_types``). A field without any character is NULL, a quoted empty one is the empty string; missing
     fields are NULL, and fields beyond the header are dropped. Columns come in the order of files and headers.
     """
-    if not csv_files(spark, folder):
+    files = csv_files(spark, folder)
+    if not files:
         return spark.createDataFrame([], "file_name string")
+    # headers go to the records: a join by file name would bring each file to one task
+    to_all = F.broadcast if len(files) <= MAX_BROADCAST_SPLITS else lambda df: df
     records = csv_records(spark, folder, CSV_GLOB, _file_name()).select(
         "file_name", "first", csv_fields(F.col("record"), F.lit(None).cast("string")).alias("_fields"))
     heads = records.filter("first").select("file_name", _safe_names(F.col("_fields")).alias("_header"))
-    rows = records.filter("not first").select("file_name", "_fields").join(heads, "file_name")
+    rows = records.filter("not first").select("file_name", "_fields").join(to_all(heads), "file_name")
     kinds = F.transform("_header", lambda name, i: F.struct(
         F.lower(name).alias("column"), kind_of(F.get("_fields", i)).alias("kind")))
     seen = rows.select(F.inline(kinds)).groupBy("column").agg(F.bit_or("kind").alias("kinds"))
@@ -169,7 +172,7 @@ def read_csv_folder_typed(spark: SparkSession, folder: str) -> DataFrame:
     lower = F.transform("_header", lambda x: F.lower(x))
     # where each column of the result lies in a file's records, once per file; get() gives NULL outside a record
     placed = heads.select("file_name", F.transform(columns, lambda c: (F.array_position(lower, c) - 1).cast("int")).alias("_places"))
-    return records.filter("not first").join(placed, "file_name").select("file_name", *[
+    return records.filter("not first").join(to_all(placed), "file_name").select("file_name", *[
         F.get("_fields", F.get("_places", F.lit(i))).cast(type_of(r["kinds"] or 0)).alias(r["name"]) for i, r in enumerate(found)])
 
 
