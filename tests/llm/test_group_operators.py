@@ -195,6 +195,23 @@ def test_prefix_join_takes_no_document_out_of_reach(spark, monkeypatch):
     assert {r.doc_id for r in made["near-heads"].collect()} <= {*range(60), 1000}
 
 
+def test_prefix_join_orders_no_shingles_of_the_largest_component(spark, monkeypatch):
+    # a hundred near copies and twelve documents of other components: the copies' shingles are only looked up
+    rng = random.Random(8)
+    docs = {i: (0, frozenset(range(200)) - set(rng.sample(range(200), rng.randrange(1, 9)))) for i in range(100)}
+    docs |= {i: (i, frozenset(rng.sample(range(200), 165)) | {1000 * i + k for k in range(20)}) for i in range(100, 110)}
+    docs |= {i: (i, frozenset(range(i - 500, 190)) | {-i}) for i in (510, 520)}
+    rest = spark.createDataFrame([(i, l, sorted(s)) for i, (l, s) in docs.items()], "doc_id long, label long, sh array<long>")
+    made, stored = {}, N.stored
+    monkeypatch.setattr(N, "stored", lambda df, name: made.setdefault(name, stored(df, name)))
+    got = {(r.a, r.b) for r in N.prefix_pairs(rest, 0.8).collect()}
+    want = near_pairs(docs, 0.8)
+    assert len(want) > 100 and want <= got
+    others, largest = made["near-heads"].collect(), made["near-heads-largest"].collect()
+    assert others and all(r.label for r in others) and not any(r.label for r in largest)
+    assert {r.token for r in largest} <= {r.token for r in others}
+
+
 def test_near_classes_of_the_table_match_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = {r.doc_id: r.class_id for r in N.near_classes(docs).collect()}

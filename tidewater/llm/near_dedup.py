@@ -201,20 +201,24 @@ def within_reach(rest: DataFrame, threshold: float) -> DataFrame:
     A shingle that only one document has is in no overlap: of a document of n shingles, a of them its
     own, partners have threshold * n to (n - a) / share - n shingles. A document stays if one of another label lies in its range
     and it lies in that one's, both to the width of a length bin. Lengths are summed up by bins before they meet, so
-    the table that is joined grows with the bins, not with the documents.
+    the table that is joined grows with the bins, not with the documents. Two columns come with the rows: alone, the number
+    of shingles that no other document has, and shortest, a length that no partner falls below.
     """
     alone = (rest.select("doc_id", F.explode("sh").alias("token")).groupBy("token")
              .agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("doc_id")).filter("df = 1")
              .groupBy("doc_id").agg(F.count(F.lit(1)).alias("alone")))
     n = F.col("n")
     sized = (rest.select("doc_id", "label", F.size("sh").alias("n")).join(alone, "doc_id", "left")
-             .withColumn("most", _longest(n, n - F.coalesce("alone", F.lit(0)), threshold)).filter(F.col("most") >= F.lit(threshold) * n))
-    spans = sized.select("doc_id", "label", _length_bin(n, threshold).alias("own"),
+             .withColumn("alone", F.coalesce("alone", F.lit(0)))
+             .withColumn("most", _longest(n, n - F.col("alone"), threshold)).filter(F.col("most") >= F.lit(threshold) * n))
+    spans = sized.select("doc_id", "label", "n", "most", "alone", _length_bin(n, threshold).alias("own"),
                          F.explode(_length_bins(F.lit(threshold) * n, F.col("most"), threshold)).alias("other"))
     offers = spans.groupBy(F.col("own").alias("other"), F.col("other").alias("own")).agg(
-        F.min("label").alias("lo"), F.max("label").alias("hi"))
-    found = spans.join(F.broadcast(offers), ["own", "other"]).filter("label <> lo or label <> hi").select("doc_id").distinct()
-    return rest.join(found, "doc_id", "left_semi")
+        F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("shortest"))
+    found = spans.join(F.broadcast(offers), ["own", "other"]).filter(
+        ((F.col("label") != F.col("lo")) | (F.col("label") != F.col("hi"))) & (F.col("shortest") <= F.col("most"))
+    ).groupBy("doc_id", "alone").agg(F.min("shortest").alias("shortest"))
+    return rest.select("doc_id", "label", "sh").join(found, "doc_id")
 
 
 def prefix_pairs(rest: DataFrame, threshold: float) -> DataFrame:
@@ -224,22 +228,33 @@ def prefix_pairs(rest: DataFrame, threshold: float) -> DataFrame:
     has first, then rare before frequent. A pair's overlap is at most what either
     document holds from their first common shingle on, so the pair meets at a shingle whose
     position leaves both enough. For the shorter of two that is the first ninth of its shingles,
-    for the longer one the first fifth (at 0.8). Such a position also bounds the other's length: rows
-    meet by shingle and by both lengths' bins, each only in the bins that it can reach. In a shingle's rows
-    the label with most of them does not meet itself, so rows met grow with the pairs of different labels.
+    for the longer one the first fifth (at 0.8), and less where no partner is that short. Such a position also bounds the
+    other's length: rows meet by shingle and by both lengths' bins, each only in the bins that it can reach. In a shingle's
+    rows the label with most of them does not meet itself, so rows met grow with the pairs of different labels.
+    The label with most documents never meets itself either: each of its pairs is found from the other document's first
+    shingles, so of its own shingles only those are looked up, and the ones that are not count as if they came later.
     Documents out of reach of all others (``within_reach``) are left out before the shingles are ordered.
     """
     rest = stored(within_reach(rest, threshold), "near-reach")
-    flat = rest.select("doc_id", "label", F.size("sh").alias("n"), F.explode("sh").alias("token"))
+    flat = rest.select("doc_id", "label", F.size("sh").alias("n"), "alone", "shortest", F.explode("sh").alias("token"))
     common = flat.groupBy("token").agg(F.count(F.lit(1)).alias("df"), F.min("label").alias("lo"), F.max("label").alias("hi")
                                        ).filter("lo < hi").select("token", "df")
+    largest = rest.groupBy("label").count().orderBy(F.desc("count"), "label").select("label").first()
+    in_largest = F.col("label") == F.lit(largest["label"] if largest else None)
     own = Window.partitionBy("doc_id")
-    placed = flat.join(spread(common, "token"), "token").withColumn(
-        "left", F.count(F.lit(1)).over(own) + 1 - F.row_number().over(own.orderBy("df", "token")))
-    # left: shingles from this one on
+    place = F.row_number().over(own.orderBy("df", "token"))
     n, most = F.col("n"), F.col("most")
-    heads = stored(placed.withColumn("most", _longest(n, F.col("left"), threshold)).filter(most >= F.lit(threshold) * n)
-                   .select("token", "doc_id", "label", "n", "most"), "near-heads")
+
+    def first_ones(placed: DataFrame, name: str) -> DataFrame:  # left: shingles from this one on
+        return stored(placed.withColumn("most", _longest(n, F.col("left"), threshold))
+                      .filter(most >= F.greatest(F.lit(threshold) * n, "shortest"))
+                      .select("token", "doc_id", "label", "n", "most", "df"), name)
+
+    others = first_ones(flat.filter(~in_largest).join(spread(common, "token"), "token")
+                        .withColumn("left", F.count(F.lit(1)).over(own) + 1 - place), "near-heads")
+    asked = others.groupBy("token").agg(F.min("df").alias("df"))
+    heads = others.union(first_ones(flat.filter(in_largest).join(spread(asked, "token"), "token")
+                                    .withColumn("left", n - F.col("alone") + 1 - place), "near-heads-largest")).drop("df")
     top = (heads.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
            .groupBy("token").agg(F.max(F.struct("c", "label")).alias("t"), F.count(F.lit(1)).alias("labels"))
            .filter("labels > 1").select("token", F.col("t.label").alias("top")))
