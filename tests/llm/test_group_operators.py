@@ -453,6 +453,19 @@ def test_encoder_equals_the_tokenizer():
         assert np.frombuffer(raw, "<u4").tolist() == plain_ids(t)[:-1]
 
 
+def test_words_met_once_are_forgotten_and_others_stay(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_WORDS", 120)
+    encode = P.Encoder(QS.tokenizer_path())
+    asked, plain = [], encode._encode_words
+    monkeypatch.setattr(encode, "_encode_words", lambda words: asked.extend(words) or plain(words))
+    often = " ".join(f"stone{chr(97 + i)}" for i in range(20))
+    for n in range(12):
+        text = f"the {often} " + " ".join(f"x{n}y{k}" for k in range(50))
+        assert np.frombuffer(encode([text])[0], "<u4").tolist() == plain_ids(text)[:-1]
+        assert encode.made <= 120 + 80 and len(encode.words) + len(encode.pieces) == encode.made
+    assert sum(w.startswith("stone") for w in asked) == 20
+
+
 def test_words_are_put_together_from_known_parts(monkeypatch):
     encode = P.Encoder(QS.tokenizer_path())
     asked, plain = [], encode._encode_words

@@ -102,8 +102,8 @@ def dart_signatures(doc: np.ndarray, element: np.ndarray, weight: np.ndarray, n_
         cells_r = np.ceil(limit[doc[rows]]).astype(np.int64)
         ends = np.cumsum(cells_w * cells_r)
         at = 0
-        while at < len(rows):  # some 2 million cells at a time
-            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 21), side="right")))
+        while at < len(rows):  # some 260,000 cells at a time
+            stop = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + (1 << 18), side="right")))
             some = rows[at:stop]
             cells = (cells_w * cells_r)[at:stop]
             row = np.repeat(some, cells)

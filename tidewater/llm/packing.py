@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SLICE_BYTES, kept_by_worker, slices, text_list
+from .common import kept_by_worker, slices, text_list
 
 TIERS = (128, 256, 512, 1024, 2048)
 END_ID = 1
@@ -46,8 +46,10 @@ STEP_IDS = 16_384
 POOL_IDS = 1 << 20
 # The same where sequences have to follow the order of the rows.
 ORDERED_IDS = 1 << 16
-# Words whose ids are remembered; bounds memory only.
-CACHE_WORDS = 1_000_000
+# Words whose ids are remembered before those that were not met again are forgotten; bounds memory only.
+CACHE_WORDS = 400_000
+# Text that is encoded at a time; bounds memory only.
+ENCODED_BYTES = 2 << 20
 # New words that are encoded as one text.
 WORDS_A_TEXT = 500
 # Fixed value: how the byte-level vocabulary writes a space.
@@ -85,14 +87,25 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocabulary.values()) + 1, bool)
         self.spaced[[i for token, i in vocabulary.items() if token.startswith(SPACE)]] = True
-        self._forget()
-
-    def _forget(self) -> None:
         # places of what is remembered: words with a space before them, and pieces as they are
         self.words: dict[str, int] = {}
         self.pieces: dict[str, int] = {}
         # the ids of place i are ids[starts[i]:starts[i + 1]]
         self.ids, self.starts, self.made = np.zeros(1 << 16, "<u4"), np.zeros(1 << 12, np.int64), 0
+        # the places before this one are older than the texts at hand; those of them that were looked up again
+        self.older, self.again = 0, np.zeros(0, bool)
+
+    def _forget(self) -> None:
+        """Only what later texts have asked for again stays, or nothing if that is more than ``CACHE_WORDS``."""
+        again = self.again
+        if np.count_nonzero(again) > CACHE_WORDS:
+            again[:] = False
+        ids, lengths = self._gather(np.flatnonzero(again))
+        stays, place = again.tolist(), (np.cumsum(again) - 1).tolist()
+        self.words, self.pieces = ({name: place[at] for name, at in known.items() if stays[at]}
+                                   for known in (self.words, self.pieces))
+        self.ids, self.starts, self.made = ids, np.r_[0, np.cumsum(lengths)], len(lengths)
+        self.again = np.zeros(self.made, bool)
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in
@@ -134,15 +147,16 @@ class Encoder:
             ids, lengths = self._gather(places.reshape(-1))
             self._keep(self.words, list(parts), ids, lengths.reshape(-1, 4).sum(axis=1))
 
-    @staticmethod
-    def _places(known: dict[str, int], names: Sequence[str], keep) -> np.ndarray:
+    def _places(self, known: dict[str, int], names: Sequence[str], keep) -> np.ndarray:
         places = list(map(known.get, names))
         missing = [i for i, x in enumerate(places) if x is None]
         if missing:
             keep(list(dict.fromkeys(names[i] for i in missing)))
             for i in missing:
                 places[i] = known[names[i]]
-        return np.array(places, np.int64)
+        out = np.array(places, np.int64)
+        self.again[out[out < self.older]] = True
+        return out
 
     def _word_places(self, names: Sequence[str]) -> np.ndarray:
         return self._places(self.words, names, self._keep_words)
@@ -185,8 +199,10 @@ class Encoder:
         return [ids[a:b].tobytes() for a, b in zip(stops[:-1], stops[1:], strict=True)]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
+        self.again = np.r_[self.again, np.zeros(self.made - len(self.again), bool)]
         if self.made > CACHE_WORDS:
             self._forget()
+        self.older = self.made
         column = pa.array(texts, pa.large_string())
         uneven = pc.match_substring_regex(column, _uneven)
         out = [self._by_pieces(t) if u else b"" for t, u in zip(texts, uneven.to_pylist(), strict=True)]
@@ -290,11 +306,11 @@ class Packer:
 
 
 def _together(cuts: list[tuple[int, int]], texts: pa.Array) -> Iterator[list[tuple[int, int]]]:
-    """Successive row ranges in groups of up to ``SLICE_BYTES`` of text; a larger range is alone."""
+    """Successive row ranges in groups of up to ``ENCODED_BYTES`` of text; a larger range is alone."""
     group, size = [], 0
     for a, b in cuts:
         more = pc.sum(pc.binary_length(texts.slice(a, b - a))).as_py() or 0
-        if group and size + more > SLICE_BYTES:
+        if group and size + more > ENCODED_BYTES:
             yield group
             group, size = [], 0
         group.append((a, b))
